@@ -101,3 +101,21 @@ def coverage_gaps(expected: DataFrame, present: DataFrame, keys: list[str]) -> D
 
 def tolerant_equal(a: Column, b: Column, atol: float = 1e-8, rtol: float = 1e-5) -> Column:
     return F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b)
+
+
+def multiset_compare(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Exact multiset comparison of two row sets in one shuffle.
+
+    Returns ``(metric, n)`` rows: sizes of both sides and of both differences
+    (``exceptAll`` semantics), without any cross join.
+    """
+    cols = a.columns
+    u = (a.select(*cols, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+         .unionByName(b.select(*cols, F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
+    m = u.groupBy(*cols).agg(F.sum("_l").alias("nl"), F.sum("_r").alias("nr"))
+    wide = m.agg(F.sum("nl").alias("n_left"), F.sum("nr").alias("n_right"),
+                 F.sum(F.greatest(F.col("nl") - F.col("nr"), F.lit(0))).alias("n_only_left"),
+                 F.sum(F.greatest(F.col("nr") - F.col("nl"), F.lit(0))).alias("n_only_right"))
+    return wide.selectExpr("stack(4, 'n_left', n_left, 'n_right', n_right, 'n_only_left', n_only_left, "
+                           "'n_only_right', n_only_right) AS (metric, n)").select(
+        "metric", F.col("n").cast("long").alias("n"))
