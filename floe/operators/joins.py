@@ -35,6 +35,11 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> b
     return df.count() * _row_width(df.schema) <= max_bytes
 
 
+def broadcast_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only after the size is proven by a count; otherwise a plain (shuffle) join side."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
+
+
 def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
                max_bytes: int = DEFAULT_BROADCAST_BYTES,
                salt_by: list[str] | None = None,

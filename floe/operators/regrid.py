@@ -46,12 +46,13 @@ def bilinear(nodes: DataFrame, targets: DataFrame, target_keys: list[str], fy: s
 
     ``targets`` carry ``(target_keys..., fy, fx)`` in node-index units. A
     target outside the lattice, or with any missing corner (even one with a
-    zero weight), gets null. Targets are joined to cells on the integer anchor.
+    zero weight), gets null. Targets are joined to cells on the integer anchor
+    (and on ``by``, e.g. time, which targets must then carry).
     """
     cells = corner_cells(nodes, value, node_keys, by)
-    t = targets.select(*target_keys, F.col(fy).alias("_fy"), F.col(fx).alias("_fx"),
+    t = targets.select(*target_keys, *by, F.col(fy).alias("_fy"), F.col(fx).alias("_fx"),
                        F.floor(F.col(fy)).cast("int").alias("sy"), F.floor(F.col(fx)).cast("int").alias("sx"))
-    j = t.join(cells, ["sy", "sx"], "left")
+    j = t.join(cells, ["sy", "sx", *by], "left")
     return j.select(*target_keys, *by, bilinear_value(F.col("_fy"), F.col("_fx"), F.col("sy"), F.col("sx")).alias(value))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from floe import constants as C
 from floe.functions.grid import col
+from floe.operators.joins import broadcast_checked
 
 
 def select_present(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -65,17 +66,21 @@ def pick_steps(df: DataFrame, which: str = "middle", time: str = "time", every:
             "middle": F.col("pos") == F.floor(F.col("n_steps") / 2),
             "last": F.col("pos") == F.col("n_steps") - 1,
             "every": F.col("pos") % every == 0}[which]
-    return df.join(F.broadcast(s.where(cond).select(time)), time, "left_semi")
+    return df.join(broadcast_checked(s.where(cond).select(time)), time, "left_semi")
 
 
 def first_steps(df: DataFrame, n: int, time: str = "time") -> DataFrame:
     """Keep the first ``n`` time steps (test-mode runs), as a semi-join."""
     s = step_positions(df, time).where(F.col("pos") < n).select(time)
-    return df.join(F.broadcast(s), time, "left_semi")
+    return df.join(broadcast_checked(s), time, "left_semi")
 
 
 def bbox_subset(df: DataFrame, ref: DataFrame, buffer: float, x="x", y="y") -> DataFrame:
-    """P10: rows inside the extent of ``ref`` +/- ``buffer`` (the extent is one row)."""
+    """P10: rows inside the extent of ``ref`` +/- ``buffer``.
+
+    The extent is a global aggregate - exactly one row - so broadcasting it is
+    bounded by construction.
+    """
     e = ref.agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"))
     j = df.join(F.broadcast(e), how="inner", on=(
         F.col(x).between(F.col("_x0") - buffer, F.col("_x1") + buffer)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from floe.functions.grid import col
+from floe.operators.joins import broadcast_checked
 
 
 def _r(c: Column, nd: int | None) -> Column:
@@ -155,7 +156,7 @@ def tile_pairs(ext: DataFrame, by: str) -> DataFrame:
     r = ext.withColumn("rank", F.row_number().over(w))
     a = r.select(*[F.col(c).alias(f"a_{c}") for c in r.columns])
     b = r.select(*[F.col(c).alias(f"b_{c}") for c in r.columns])
-    p = a.join(F.broadcast(b), F.col("a_rank") < F.col("b_rank"))
+    p = a.join(broadcast_checked(b), F.col("a_rank") < F.col("b_rank"))
     dx = F.least("a_x_max", "b_x_max") - F.greatest("a_x_min", "b_x_min")
     dy = F.least("a_y_max", "b_y_max") - F.greatest("a_y_min", "b_y_min")
     return p.select(F.col(f"a_{by}").alias("tile_a"), F.col(f"b_{by}").alias("tile_b"),
@@ -187,7 +188,10 @@ def consecutive_gaps(df: DataFrame, ts: str, unit_micros: int = 86_400_000_000,
     partition is linked to the last row of the previous partition through a
     table with one row per partition (broadcast, bounded by the partition count).
     """
-    t = df.select(F.col(ts).alias("t")).where(F.col("t").isNotNull()).distinct()
+    c = F.col(ts)
+    if df.schema[ts].dataType.typeName() == "date":
+        c = c.cast("timestamp_ntz")  # zone-free; never through the session time zone
+    t = df.select(c.alias("t")).where(F.col("t").isNotNull()).distinct()
     t = (t.repartitionByRange(partitions, "t") if partitions else t.repartitionByRange("t"))
     t = t.withColumn("pid", F.spark_partition_id())
     w = Window.partitionBy("pid").orderBy("t")
@@ -195,7 +199,7 @@ def consecutive_gaps(df: DataFrame, ts: str, unit_micros: int = 86_400_000_000,
     bounds = t.groupBy("pid").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
     wb = Window.orderBy("pid")
     link = bounds.withColumn("prev_last", F.lag("last_t").over(wb)).select("pid", "first_t", "prev_last")
-    t = t.join(F.broadcast(link), "pid").withColumn(
+    t = t.join(broadcast_checked(link), "pid").withColumn(
         "prev", F.when(F.col("t") == F.col("first_t"), F.col("prev_last")).otherwise(F.col("prev")))
     us = F.timestamp_diff("MICROSECOND", F.col("prev"), F.col("t"))
     return (t.where(F.col("prev").isNotNull())

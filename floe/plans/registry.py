@@ -27,4 +27,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from floe.plans import q_fusion, q_grid, q_ops  # noqa: F401
+    from floe.plans import q_fusion, q_grid, q_io, q_ops, q_products  # noqa: F401
