@@ -61,7 +61,7 @@ def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left
     salt_cols = salt_by or [c for c in big.columns if c not in on][:2] or on
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salt_buckets))
     keyed = big.where(~null_key).withColumn("_salt", salt)
-    rep = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).cast("long"))
+    rep = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
     joined = keyed.join(rep, on + ["_salt"], how).drop("_salt")
     if how == "inner":
         return joined
