@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floe.functions.proj import unit_vector
+from floe.operators.joins import sized_join
 
 _CORNERS = [(0, 0), (0, 1), (1, 0), (1, 1)]  # (dy, dx)
 
@@ -25,7 +26,8 @@ def corner_cells(nodes: DataFrame, value: str = "v", node_keys=("cy", "cx"), by=
     e = e.select(*by, (F.col("_cy") - F.col("o.dy")).alias("sy"), (F.col("_cx") - F.col("o.dx")).alias("sx"),
                  (F.col("o.dy") * 2 + F.col("o.dx")).alias("corner"), "_v")
     aggs = [F.max(F.when(F.col("corner") == dy * 2 + dx, F.col("_v"))).alias(f"v{dy}{dx}") for dy, dx in _CORNERS]
-    return e.groupBy(*by, "sy", "sx").agg(*aggs, F.count("_v").alias("n_valid"))
+    return e.groupBy(*by, "sy", "sx").agg(*aggs, F.count("_v").alias("n_valid"),
+                                          F.bool_or(F.col("corner") == 0).alias("has00"))
 
 
 def bilinear_value(fy: Column, fx: Column, sy: Column, sx: Column) -> Column:
@@ -56,6 +58,24 @@ def bilinear(nodes: DataFrame, targets: DataFrame, target_keys: list[str], fy: s
     return j.select(*target_keys, *by, bilinear_value(F.col("_fy"), F.col("_fx"), F.col("sy"), F.col("sx")).alias(value))
 
 
+def upsample2x(nodes: DataFrame, value: str = "v", node_keys=("cy", "cx"), by=()) -> DataFrame:
+    """J12 on the master grid: a 1 km lattice refined to 500 m cell centres.
+
+    Target ``(2*cy + a, 2*cx + b)`` sits at node units ``(cy + .25 + .5a, cx + .25 + .5b)``,
+    always inside the cell anchored at node ``(cy, cx)``, with weights .25/.75.
+    Targets are therefore emitted straight from the cells (four per cell whose
+    anchor node exists): one shuffle in total and no join with a target table.
+    """
+    cells = corner_cells(nodes, value, node_keys, by).where(F.col("has00"))
+    ab = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)])
+    t = cells.select("*", F.explode(ab).alias("o"))
+    fy = F.col("sy").cast("double") + F.lit(0.25) + F.lit(0.5) * F.col("o.a").cast("double")
+    fx = F.col("sx").cast("double") + F.lit(0.25) + F.lit(0.5) * F.col("o.b").cast("double")
+    return t.select((F.col("sy") * 2 + F.col("o.a")).cast("int").alias("iy"),
+                    (F.col("sx") * 2 + F.col("o.b")).cast("int").alias("ix"), *by,
+                    bilinear_value(fy, fx, F.col("sy"), F.col("sx")).alias(value))
+
+
 def bilinear_weights(targets: DataFrame, dst: str, fy: str, fx: str, node_id) -> DataFrame:
     """Weights table ``(dst_id, src_id, w)`` of bilinear interpolation (for J13 reuse)."""
     sy, sx = F.floor(F.col(fy)).cast("int"), F.floor(F.col(fx)).cast("int")
@@ -130,7 +150,7 @@ def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float
         ci, cj = F.rint(fi).cast("int"), F.rint(fj).cast("int")
         lo = F.least(F.greatest(ci - r, F.lit(0)), F.lit(n_lat - 1))
         hi = F.greatest(F.least(ci + r, F.lit(n_lat - 1)), lo)
-        c = candidates(pending, lo, hi, cj - r, cj + r).join(s, ["si", "sj"])
+        c = sized_join(candidates(pending, lo, hi, cj - r, cj + r), s, ["si", "sj"], "inner", salt_by=["dst_id"])
         best = c.groupBy("dst_id").agg(F.min(_chord2(tv, sv)).alias("d2"))
         seeds.append(best)
         if 2 * r + 1 >= max(n_lat, n_lon):
@@ -158,7 +178,8 @@ def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float
     sj_hi = F.ceil((F.col("lon") + dlam - F.lit(lon0)) / F.lit(dlon)).cast("int") + 1
     tb = t.join(seed, "dst_id").withColumns(
         {"_si_lo": si_lo, "_si_hi": F.greatest(si_hi, si_lo), "_sj_lo": sj_lo, "_sj_hi": sj_hi}).drop("d2")
-    cand = candidates(tb, F.col("_si_lo"), F.col("_si_hi"), F.col("_sj_lo"), F.col("_sj_hi")).join(s, ["si", "sj"])
+    cand = sized_join(candidates(tb, F.col("_si_lo"), F.col("_si_hi"), F.col("_sj_lo"), F.col("_sj_hi")),
+                      s, ["si", "sj"], "inner", salt_by=["dst_id"])
     best = cand.groupBy("dst_id").agg(
         F.min_by(F.struct("src_id", value), F.struct(_chord2(tv, sv).alias("d"), F.col("src_id"))).alias("b"))
     return best.select("dst_id", F.col("b.src_id").alias("src_id"), F.col(f"b.{value}").alias(value))

@@ -67,12 +67,17 @@ def quadrant_stats(df: DataFrame, value: str, ny: int, nx: int, nd: int | None =
 
 
 def robust_stats(df: DataFrame, value: str, warn_abs: float, nd: int | None = 6) -> DataFrame:
-    """Min, max, mean, median, std (+ warning flag when |v| exceeds ``warn_abs``)."""
+    """Min, max, mean, median, std (+ warning flag when |v| exceeds ``warn_abs``).
+
+    The median is the exact distributed quantile (no single-task buffer).
+    """
     v = F.col(value)
-    return df.agg(F.min(v).alias("vmin"), F.max(v).alias("vmax"), _r(F.avg(v), nd).alias("vmean"),
-                  _r(F.median(v), nd).alias("vmedian"), _r(F.stddev_pop(v), nd).alias("vstd"),
-                  F.count(v).alias("n"),
-                  F.bool_or(F.abs(v) > warn_abs).alias("warn_out_of_typical"))
+    a = df.agg(F.min(v).alias("vmin"), F.max(v).alias("vmax"), _r(F.avg(v), nd).alias("vmean"),
+               _r(F.stddev_pop(v), nd).alias("vstd"), F.count(v).alias("n"),
+               F.bool_or(F.abs(v) > warn_abs).alias("warn_out_of_typical"))
+    med = exact_quantiles(df, value, [0.5]).select(_r(F.col("q"), nd).alias("vmedian"))
+    u = a.unionByName(med, allowMissingColumns=True)
+    return u.agg(*[F.max(c).alias(c) for c in ["vmin", "vmax", "vmean", "vmedian", "vstd", "n", "warn_out_of_typical"]])
 
 
 def weighted_mean(df: DataFrame, value: str, weight: str | None, by: str = "time", nd: int | None = 6) -> DataFrame:
@@ -123,10 +128,53 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def percentiles(df: DataFrame, value: str, ps=(0.02, 0.98), exact: bool = True, nd: int = 9) -> DataFrame:
-    """Exact (linear interpolation) or approximate percentiles."""
-    fn = (lambda p: F.percentile(value, p)) if exact else (lambda p: F.percentile_approx(value, p, 10000))
-    return df.agg(*[F.round(fn(p), nd).alias(f"p{int(round(p * 100)):02d}") for p in ps])
+def percentiles(df: DataFrame, value: str, ps=(0.02, 0.98), exact: bool = True, nd: int | None = 9) -> DataFrame:
+    """Exact (linear interpolation, as NumPy) or approximate percentiles; one row."""
+    names = [f"p{int(round(p * 100)):02d}" for p in ps]
+    if not exact:
+        return df.agg(*[_r(F.percentile_approx(value, p, 10000), nd).alias(n) for p, n in zip(ps, names)])
+    q = exact_quantiles(df, value, ps)
+    return q.groupBy().agg(*[_r(F.max(F.when(F.col("p") == F.lit(p), F.col("q"))), nd).alias(n)
+                             for p, n in zip(ps, names)])
+
+
+def exact_quantiles(df: DataFrame, value: str, ps, partitions: int | None = None) -> DataFrame:
+    """Exact quantiles ``(p, q)`` of a column without gathering values in one task.
+
+    1. value -> count, aggregated map-side (a value held by a third of all rows
+       becomes one row);
+    2. distinct values range-partitioned (balanced by sampling), running counts
+       inside each partition plus an offset per partition (a table with one row
+       per partition, so its broadcast is bounded by the partition count);
+    3. the two order statistics around ``(n - 1) * p`` are found by rank range
+       and interpolated linearly (NumPy's default rule).
+    """
+    spark = df.sparkSession
+    v = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    counts = counts.repartitionByRange(partitions, "v") if partitions else counts.repartitionByRange("v")
+    counts = counts.withColumn("pid", F.spark_partition_id())
+    w = Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = counts.withColumn("cum", F.sum("c").over(w))
+    per = counts.groupBy("pid").agg(F.sum("c").alias("pc"))
+    wp = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select("pid", F.coalesce(F.sum("pc").over(wp), F.lit(0)).alias("off"))
+    n = per.agg(F.sum("pc")).first()[0] or 0
+    if n == 0:
+        return spark.createDataFrame([(float(p), None) for p in ps], "p double, q double")
+    pos_rows = []
+    for p in ps:
+        pos = float(p) * (n - 1)
+        pos_rows.append((float(p), pos, int(pos // 1), int(-(-pos // 1))))
+    pos = spark.createDataFrame(pos_rows, "p double, pos double, k_lo long, k_hi long")
+    ranked = local.join(F.broadcast(offs), "pid").select(
+        "v", (F.col("off") + F.col("cum") - F.col("c")).alias("r0"), (F.col("off") + F.col("cum") - 1).alias("r1"))
+    lo = ranked.join(F.broadcast(pos), F.col("k_lo").between(F.col("r0"), F.col("r1"))).select(
+        "p", "pos", "k_lo", F.col("v").alias("v_lo"))
+    hi = ranked.join(F.broadcast(pos.select("p", "k_hi")), F.col("k_hi").between(F.col("r0"), F.col("r1"))).select(
+        "p", F.col("v").alias("v_hi"))
+    return lo.join(hi, "p").select(
+        "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("k_lo"))).alias("q"))
 
 
 def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -121,7 +121,7 @@ def a18_conservation(spark, d):
     sum(lwe_fused) equals N * lwe_length; groups with mixed (filled) anomalies
     are reported as such (finding D4).
     """
-    fused = materialize(b5_long_sparse(spark, d))
+    fused = materialize(b5_long_sparse(spark, d), "fused")
     r6 = F.lit(1000000.0)
     return (fused.where(F.col("mascon_id").isNotNull() & F.col("lwe_fused").isNotNull())
             .groupBy("mascon_id", "time")

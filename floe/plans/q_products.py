@@ -294,8 +294,7 @@ def b7_mosaic(spark, d):
 def b8_upsample(spark, d):
     """Spacing check (V2), bilinear 1 km -> 500 m (J12), FLOAT + units (K9, K8), write-if-absent (K5)."""
     audit.assert_ok(_v2(spark, d))
-    c = fx.fx_coarse(spark, d)
-    up = regrid.bilinear(c, q_grid._targets_2x(c), ["iy", "ix"])
+    up = regrid.upsample2x(fx.fx_coarse(spark, d))
     out = writers.with_metadata(writers.narrow_floats(up), {"v": {"units": "m", "long_name": "upsampled value"}})
     p = scratch_path(spark, "b8")
     writers.write_if_absent(out, p)
@@ -325,10 +324,4 @@ LEFT JOIN m1 c11 ON c11.iy = sy + 1 AND c11.ix = sx + 1 AND c11.time = tw.time""
 def b11_merge_regrid(spark, d):
     """One-step tile merge (M1) then 1 km -> 500 m regrid per time step."""
     m = _m1(spark, d).select(F.col("iy").alias("cy"), F.col("ix").alias("cx"), "time", "delta_h")
-    ab = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)])
-    t = m.select("cy", "cx", "time", F.explode(ab).alias("o")).select(
-        (F.col("cy") * 2 + F.col("o.a")).cast("int").alias("iy"),
-        (F.col("cx") * 2 + F.col("o.b")).cast("int").alias("ix"), "time")
-    t = t.withColumns({"fx": F.lit(0.25) + F.lit(0.5) * F.col("ix").cast("double"),
-                       "fy": F.lit(0.25) + F.lit(0.5) * F.col("iy").cast("double")})
-    return regrid.bilinear(m, t, ["iy", "ix"], value="delta_h", by=("time",))
+    return regrid.upsample2x(m, value="delta_h", by=("time",))

@@ -47,14 +47,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a zstd parquet table in the shared checkpoint folder and read it back.
 
-    Used where a large intermediate is read more than once; a lost executor
-    then re-reads the checkpoint instead of recomputing the upstream plan.
+    Cuts the lineage where a large intermediate is read more than once: a lost
+    executor re-reads the table instead of recomputing the upstream plan, and
+    later passes that need few columns read only those (columnar pruning).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
