@@ -98,6 +98,12 @@ def w2_mascon_totals(spark, d):
             .select("mascon_id", "time", F.col("_n_pix").alias("n_pix"), F.col("_sum_dh").alias("sum_dh")))
 
 
+@query("a17_mascon_totals", _with(_BB, _ST, _GR, _FF, _TOT) + "SELECT * FROM tot")
+def a17_mascon_totals(spark, d):
+    """N and sum(dh) per (mascon, time) - the grouped form of W2."""
+    return w2_mascon_totals(spark, d)
+
+
 @query("w3_signal_fusion", _with(_BB, _ST, _GR, _FF, _TOT, _FUSED)
        + "SELECT iy, ix, time, mascon_id, delta_h, lwe_length, lwe_fused FROM fused")
 def w3_signal_fusion(spark, d):

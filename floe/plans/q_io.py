@@ -175,3 +175,16 @@ def t1_incremental_load(spark, d):
     a.where(F.col("time") == F.lit(last)).withColumn("delta_h", F.col("delta_h") + 1).write.parquet(f"{inbox}/drop3")
     incremental.load_new_steps(spark, inbox, _ICESAT_SCHEMA, target, ckpt)
     return readers.read_steps(spark, target, _ICESAT_SCHEMA)
+
+
+@query("s4_grouped_product_read", W("fx_tiles") + """
+SELECT iy, ix, time, delta_h, delta_h_sigma, 'A' || CAST(tile_order + 1 AS VARCHAR) AS tile_id FROM fx_tiles""")
+def s4_grouped_product_read(spark, d):
+    """One stored table per (product, tile), read back by a config and stacked per product."""
+    t = fx.fx_tiles(spark, d)
+    config = {"delta_h": {}}
+    for i in range(4):
+        p = scratch_path(spark, f"s4-A{i + 1}")
+        writers.write_even(t.where(F.col("tile_order") == i).drop("tile_order"), p, files=1)
+        config["delta_h"][f"A{i + 1}"] = p
+    return readers.read_products(spark, config)["delta_h"]

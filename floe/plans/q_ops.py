@@ -536,3 +536,23 @@ def j15_merge_latlon(spark, d):
     land = s.where(F.col("si") % 2 == 0).select("lat", "lon", F.col("v").alias("land_v"))
     ocean = s.where(F.col("sj") % 2 == 0).select("lat", "lon", F.col("v").alias("ocean_v"))
     return joins.outer_align([land, ocean], ["lat", "lon"])
+
+
+@query("j16_combine_tiles", W("fx_tiles") + """
+SELECT iy, ix, time, delta_h, delta_h_sigma, tile_order FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY iy, ix, time ORDER BY delta_h_sigma NULLS LAST, tile_order) AS rn
+  FROM fx_tiles WHERE delta_h_sigma IS NOT NULL OR tile_order = 0) WHERE rn = 1""")
+def j16_combine_tiles(spark, d):
+    """Separately read tiles combined by coordinates (U1), overlaps resolved by M1."""
+    t = fx.fx_tiles(spark, d)
+    parts = {f"A{i + 1}": t.where(F.col("tile_order") == i).drop("tile_order") for i in range(4)}
+    return mosaic.mosaic(mosaic.union_tiles(parts).drop("tile_id"), "delta_h_sigma")
+
+
+@query("o2_tile_order", W("fx_tiles") + _EXT + """
+SELECT tile_order, y_min, ROW_NUMBER() OVER (ORDER BY y_min, tile_order) AS rank FROM ext""")
+def o2_tile_order(spark, d):
+    """O2: tiles ordered by their lower edge (a table with one row per tile)."""
+    from pyspark.sql import Window
+    ext = stats.extents(_xy(fx.fx_tiles(spark, d)), "tile_order", 500.0)
+    return ext.select("tile_order", "y_min", F.row_number().over(Window.orderBy("y_min", "tile_order")).alias("rank"))
