@@ -325,3 +325,53 @@ def b11_merge_regrid(spark, d):
     """One-step tile merge (M1) then 1 km -> 500 m regrid per time step."""
     m = _m1(spark, d).select(F.col("iy").alias("cy"), F.col("ix").alias("cx"), "time", "delta_h")
     return regrid.upsample2x(m, value="delta_h", by=("time",))
+
+
+# ------------------------------------------------- flatten -> long sparse ---
+
+_CHAIN = W("fx_static", "fx_icesat", "fx_ocean", "fx_grace") + _FEAT + _DYN + q_io._THERMO_SQL + """
+, st1 AS (SELECT s.iy, s.ix, s.surface, s.bed, s.thickness, s.mask, s.mascon_id, bs.slope AS bed_slope,
+                 e.dist AS dist_to_grounding_line
+          FROM fx_static s JOIN edt e ON e.iy = s.iy AND e.ix = s.ix LEFT JOIN bs ON bs.iy = s.iy AND bs.ix = s.ix
+          WHERE s.mask IN (1, 3)),
+alt AS (SELECT a.iy, a.ix, a.time, a.delta_h, a.ice_area, h.h AS h_surface_dynamic, ss.slope AS surface_slope
+        FROM fx_icesat a JOIN fx_static s ON a.iy = s.iy AND a.ix = s.ix AND s.mask IN (1, 3)
+        LEFT JOIN hsd h ON h.iy = a.iy AND h.ix = a.ix AND h.time = a.time
+        LEFT JOIN ss ON ss.iy = a.iy AND ss.ix = a.ix AND ss.time = a.time WHERE a.delta_h IS NOT NULL),
+oc AS (SELECT iy, ix, time, thetao, so, T_f, T_star FROM th WHERE thetao IS NOT NULL),
+an AS (SELECT mascon_id, time, lwe_length FROM fx_grace WHERE lwe_length IS NOT NULL),
+bb AS (SELECT COALESCE(a.iy, o.iy) AS iy, COALESCE(a.ix, o.ix) AS ix, COALESCE(a.time, o.time) AS time,
+              a.delta_h, a.ice_area, a.h_surface_dynamic, a.surface_slope, o.thetao, o.so, o.T_f, o.T_star
+       FROM alt a FULL OUTER JOIN oc o ON a.iy = o.iy AND a.ix = o.ix AND a.time = o.time),
+en AS (SELECT bb.*, s.surface, s.bed, s.thickness, s.mask, s.mascon_id, s.bed_slope, s.dist_to_grounding_line, g.lwe_length
+       FROM bb LEFT JOIN st1 s ON bb.iy = s.iy AND bb.ix = s.ix
+       LEFT JOIN an g ON s.mascon_id = g.mascon_id AND bb.time = g.time),
+ff AS (SELECT iy, ix, time, surface, bed, thickness, mask, mascon_id, bed_slope, dist_to_grounding_line,
+              LAST_VALUE(delta_h IGNORE NULLS) OVER w AS delta_h, LAST_VALUE(ice_area IGNORE NULLS) OVER w AS ice_area,
+              LAST_VALUE(h_surface_dynamic IGNORE NULLS) OVER w AS h_surface_dynamic,
+              LAST_VALUE(surface_slope IGNORE NULLS) OVER w AS surface_slope,
+              LAST_VALUE(thetao IGNORE NULLS) OVER w AS thetao, LAST_VALUE(so IGNORE NULLS) OVER w AS so,
+              LAST_VALUE(T_f IGNORE NULLS) OVER w AS T_f, LAST_VALUE(T_star IGNORE NULLS) OVER w AS T_star,
+              LAST_VALUE(lwe_length IGNORE NULLS) OVER w AS lwe_length
+       FROM en WINDOW w AS (PARTITION BY iy, ix ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+tot AS (SELECT mascon_id, time, COUNT(delta_h) AS n_pix,
+               CAST(SUM(CAST(ROUND(delta_h*100) AS DECIMAL(38,0))) AS DOUBLE)/100 AS sum_dh
+        FROM ff WHERE mascon_id IS NOT NULL GROUP BY mascon_id, time)
+SELECT ff.*, CAST(-3071750 + 500*ff.ix AS DOUBLE) AS x, CAST(3071750 - 500*ff.iy AS DOUBLE) AS y,
+       CASE WHEN ff.mascon_id IS NOT NULL AND ff.delta_h IS NOT NULL AND ff.lwe_length IS NOT NULL
+            THEN (CASE WHEN abs(tot.sum_dh / tot.n_pix) > 0.0001 THEN ff.delta_h / tot.sum_dh * tot.n_pix * ff.lwe_length
+                       ELSE ff.lwe_length END) + CAST(0 AS DOUBLE) END AS lwe_fused
+FROM ff LEFT JOIN tot ON ff.mascon_id = tot.mascon_id AND ff.time = tot.time"""
+
+
+@query("b5_long_sparse_chain", _CHAIN)
+def b5_long_sparse_chain(spark, d):
+    """Flatten (B1 static with features, B2 altimetry with features, B3 ocean with
+    thermodynamics, B4 anomaly) -> long sparse table (B5): the whole reference chain."""
+    from floe.plans import lsp
+    static = b1_static_table(spark, d)
+    alt = b2_altimetry_table(spark, d)
+    oc = select.drop_null(q_grid._thermo(spark, d).select("iy", "ix", "time", "thetao", "so", "T_f", "T_star"),
+                          "thetao")
+    an = b4_anomaly_table(spark, d)
+    return lsp.build_long_sparse(alt, oc, static, an, G, sum_scale=2)

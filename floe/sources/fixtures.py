@@ -103,9 +103,21 @@ def fx_coarse(spark, sf_dir) -> DataFrame:
                     F.when(F.col("p_size") % 11 == 0, F.lit(None)).otherwise(F.col("p_retailprice")).alias("v"))
 
 
+_GRID_ROWS: dict[tuple[str, float], int] = {}
+
+
 def grid_rows(spark, sf_dir) -> int:
-    """Number of grid rows of the part-derived grid (a scalar of grid metadata)."""
-    return int(table(spark, sf_dir, "part").agg(F.max(F.floor(F.col("p_partkey") / NX)) + 1).first()[0])
+    """Number of grid rows of the part-derived grid (a scalar of grid metadata).
+
+    Memoised per table path and modification time: grid metadata is read once,
+    not once per query.
+    """
+    import os
+    path = f"{sf_dir.rstrip('/')}/part.parquet"
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else 0.0)
+    if key not in _GRID_ROWS:
+        _GRID_ROWS[key] = int(table(spark, sf_dir, "part").agg(F.max(F.floor(F.col("p_partkey") / NX)) + 1).first()[0])
+    return _GRID_ROWS[key]
 
 
 def fx_source_ll(spark, sf_dir, nrows: int | None = None) -> DataFrame:
