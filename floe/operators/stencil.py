@@ -99,6 +99,15 @@ def _envelope_min(q: np.ndarray, f: np.ndarray, t: np.ndarray) -> np.ndarray:
     return best
 
 
+def _rows_transform(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pass 2 for a block of grid rows: one lower envelope per row."""
+    parts = [_row_transform(g) for _, g in pdf.groupby("iy", sort=False)]
+    if not parts:
+        return pd.DataFrame({"iy": pd.Series(dtype="int32"), "ix": pd.Series(dtype="int32"),
+                             "d2": pd.Series(dtype="Int64")})
+    return pd.concat(parts, ignore_index=True)
+
+
 def _row_transform(pdf: pd.DataFrame) -> pd.DataFrame:
     src = pdf[pdf["kind"] == 0].sort_values("ix")
     tgt = pdf[pdf["kind"] == 1].sort_values("ix")
@@ -113,14 +122,16 @@ def _row_transform(pdf: pd.DataFrame) -> pd.DataFrame:
     return out.assign(d2=_envelope_min(q, f, t).astype(np.int64))
 
 
-def distance_to_sources(cells: DataFrame, is_source, ny: int, res: float = 500.0, out: str = "dist") -> DataFrame:
+def distance_to_sources(cells: DataFrame, is_source, ny: int, res: float = 500.0, out: str = "dist",
+                        rows_per_group: int = 16) -> DataFrame:
     """Exact Euclidean distance from every cell to the nearest source cell.
 
     Two separable passes: (1) per column, the nearest source row (window +
     explode, bounded by the grid); (2) per row, the lower envelope of
-    parabolas over columns, in a grouped Arrow function whose group is one
-    grid row (at most the grid width of sources and targets). Sources get 0;
-    with no source anywhere the distance is null.
+    parabolas over columns, in a grouped Arrow function. A group is a block of
+    ``rows_per_group`` grid rows, so it holds at most 2 x rows_per_group x the
+    grid width entries, whatever the data volume. Sources get 0; with no
+    source anywhere the distance is null.
     """
     c = cells.withColumn("_src", is_source)
     sources = c.where(F.col("_src")).select("iy", "ix")
@@ -128,7 +139,8 @@ def distance_to_sources(cells: DataFrame, is_source, ny: int, res: float = 500.0
     targets = c.where(~F.col("_src") | F.col("_src").isNull()).select(
         "iy", "ix", F.lit(None).cast("long").alias("g"), F.lit(1).alias("kind"))
     rows = prof.unionByName(targets).join(targets.select("iy").distinct(), "iy", "left_semi")
-    d2 = rows.groupBy("iy").applyInPandas(_row_transform, schema="iy int, ix int, d2 long")
+    block = F.floor(F.col("iy") / F.lit(rows_per_group)).alias("_blk")
+    d2 = rows.groupBy(block).applyInPandas(_rows_transform, schema="iy int, ix int, d2 long")
     dist = (F.sqrt(F.col("d2").cast("double")) * F.lit(res)).cast("float")
     far = c.where(~F.col("_src") | F.col("_src").isNull()).drop("_src").join(
         d2.select("iy", "ix", dist.alias(out)), ["iy", "ix"], "left")
