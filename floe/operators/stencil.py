@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The grouped Arrow function below runs on executors. Pickle this module by
+# value so executors need only numpy/pandas, not an installed copy of floe.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def neighbour(value: str, along: str, across: list[str], offset: int):
     """Value of the cell ``offset`` steps away along an index (RANGE frame).
