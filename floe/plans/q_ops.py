@@ -555,4 +555,4 @@ def o2_tile_order(spark, d):
     """O2: tiles ordered by their lower edge (a table with one row per tile)."""
     from pyspark.sql import Window
     ext = stats.extents(_xy(fx.fx_tiles(spark, d)), "tile_order", 500.0)
-    return ext.select("tile_order", "y_min", F.row_number().over(Window.orderBy("y_min", "tile_order")).alias("rank"))
+    return ext.select("tile_order", "y_min", F.row_number().over(Window.orderBy("y_min", "tile_order")).cast("long").alias("rank"))
