@@ -104,8 +104,10 @@ def anomaly_audit(df: DataFrame, keys: list[str], value: str, time: str = "time"
     return checks(m, rules)
 
 
-def ocean_audit(df: DataFrame, required: list[str]) -> DataFrame:
-    """V6: required columns, physical bounds, depth rule, null pattern, per-step and per-pixel coverage."""
+def ocean_audit(df: DataFrame, required: list[str], expected: DataFrame | None = None) -> DataFrame:
+    """V6: required columns, physical bounds, depth rule, null pattern, per-step and per-pixel
+    coverage and, given the ``expected`` pixels (e.g. the shelf mask), pixels lacking data and
+    data outside the mask (J9, two anti-joins)."""
     missing = [c for c in required if c not in df.columns]
     a = df.agg(
         F.count_if(~F.col("thetao").between(C.THETAO_MIN, C.THETAO_MAX)).alias("n_thetao_out"),
@@ -117,7 +119,13 @@ def ocean_audit(df: DataFrame, required: list[str]) -> DataFrame:
     n_steps = df.agg(F.count_distinct("time").alias("n_steps"))
     per_px = df.groupBy("iy", "ix").agg(F.count("thetao").alias("n")).agg(
         F.max("n").alias("max_per_pixel"), F.count(F.lit(1)).alias("n_pixels"))
-    m = one_row(a, per_step, n_steps, per_px)
+    frames = [a, per_step, n_steps, per_px]
+    if expected is not None:
+        from floe.operators.joins import coverage_gaps
+        gaps = coverage_gaps(expected, df.where(F.col("thetao").isNotNull()), ["iy", "ix"])
+        frames.append(gaps.agg(F.count_if(F.col("kind") == "expected_missing").alias("n_expected_missing"),
+                               F.count_if(F.col("kind") == "unexpected_present").alias("n_outside_mask")))
+    m = one_row(*frames)
     rules = [("required_columns", f"{len(missing)} = 0", f"{len(missing)}"),
              ("thetao_bounds", "n_thetao_out = 0", "n_thetao_out"),
              ("so_bounds", "n_so_out = 0", "n_so_out"),
@@ -126,6 +134,9 @@ def ocean_audit(df: DataFrame, required: list[str]) -> DataFrame:
              ("null_pattern", "n_null_mismatch = 0", "n_null_mismatch"),
              ("min_valid_per_step", "min_per_step > 0", "min_per_step"),
              ("max_valid_per_pixel", "max_per_pixel <= n_steps", "max_per_pixel")]
+    if expected is not None:
+        rules += [("mask_pixels_without_data", "coalesce(n_expected_missing, 0) = 0", "coalesce(n_expected_missing, 0)"),
+                  ("data_outside_mask", "coalesce(n_outside_mask, 0) = 0", "coalesce(n_outside_mask, 0)")]
     return checks(m, rules)
 
 

@@ -136,14 +136,23 @@ m AS (SELECT COUNT(*) FILTER (WHERE NOT (thetao BETWEEN -3.5 AND 6.0)) AS n_thet
              COUNT(*) FILTER (WHERE pressure > abs(ice_draft) + 0.01) AS n_depth_rule,
              COUNT(*) FILTER (WHERE (thetao IS NULL) <> (so IS NULL)) AS n_null_mismatch,
              (SELECT MIN(n) FROM ps) AS min_per_step, (SELECT COUNT(DISTINCT time) FROM th) AS n_steps,
-             (SELECT MAX(n) FROM pp) AS max_per_pixel FROM th)
+             (SELECT MAX(n) FROM pp) AS max_per_pixel,
+             (SELECT COUNT(*) FROM (SELECT iy, ix FROM fx_static WHERE mask IN (2, 3)
+                                    EXCEPT SELECT iy, ix FROM th WHERE thetao IS NOT NULL)) AS n_expected_missing,
+             (SELECT COUNT(*) FROM (SELECT iy, ix FROM th WHERE thetao IS NOT NULL
+                                    EXCEPT SELECT iy, ix FROM fx_static WHERE mask IN (2, 3))) AS n_outside_mask FROM th)
 """ + _rep([("required_columns", "0 = 0", "0"), ("thetao_bounds", "n_thetao_out = 0", "n_thetao_out"),
             ("so_bounds", "n_so_out = 0", "n_so_out"), ("draft_bounds", "n_draft_out = 0", "n_draft_out"),
             ("depth_rule", "n_depth_rule = 0", "n_depth_rule"), ("null_pattern", "n_null_mismatch = 0", "n_null_mismatch"),
             ("min_valid_per_step", "min_per_step > 0", "min_per_step"),
-            ("max_valid_per_pixel", "max_per_pixel <= n_steps", "max_per_pixel")], "m"))
+            ("max_valid_per_pixel", "max_per_pixel <= n_steps", "max_per_pixel"),
+            ("mask_pixels_without_data", "coalesce(n_expected_missing, 0) = 0", "coalesce(n_expected_missing, 0)"),
+            ("data_outside_mask", "coalesce(n_outside_mask, 0) = 0", "coalesce(n_outside_mask, 0)")], "m"))
 def v6_ocean_audit(spark, d):
-    return audit.ocean_audit(q_grid._thermo(spark, d), _REQ)
+    """V6 with the shelf mask of the checker (mask codes 2, 3; finding D5)."""
+    from floe import constants as C
+    shelf = select.keep_codes(fx.fx_static(spark, d), codes=C.SHELF_CODES).select("iy", "ix")
+    return audit.ocean_audit(q_grid._thermo(spark, d), _REQ, expected=shelf)
 
 
 @query("v7_merge_validation", W("fx_tiles") + _M1 + f"""
