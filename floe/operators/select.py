@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floe import constants as C
@@ -47,16 +47,13 @@ def time_slice(df: DataFrame, c: str, first_day: str, last_day: str) -> DataFram
 
 
 def step_positions(df: DataFrame, time: str = "time") -> DataFrame:
-    """P9 helper: distinct steps with their position, count and role.
+    """P9 helper: distinct steps with their 0-based position and the number of steps.
 
-    The step axis (distinct time values) is small - one row per time step - so
-    it is numbered with a window over that axis only; data rows are never
-    ordered globally.
+    Numbered with a distributed rank (range partitions + per-partition
+    offsets); data rows are never ordered globally and no window spans the axis.
     """
-    steps = df.select(time).distinct()
-    w = Window.orderBy(time)
-    return (steps.withColumn("pos", F.row_number().over(w) - 1)
-            .withColumn("n_steps", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))))
+    from floe.operators.stats import positions
+    return positions(df, time).withColumnRenamed("n", "n_steps")
 
 
 def pick_steps(df: DataFrame, which: str = "middle", time: str = "time", every: int = 10) -> DataFrame:

@@ -227,6 +227,25 @@ def successor_violations(df: DataFrame, pos: str, value: str, increasing: bool =
                  F.coalesce(F.bool_and(~bad), F.lit(True)).alias("monotonic"))
 
 
+def positions(df: DataFrame, c: str, partitions: int | None = None) -> DataFrame:
+    """0-based rank ``pos`` of every distinct value of ``c`` and the number of values ``n``.
+
+    Distributed: distinct (map-side), range partition (balanced by sampling),
+    ``row_number`` inside each partition, plus an offset per partition from a
+    table with one row per partition. No window spans the whole axis.
+    """
+    t = df.select(c).where(F.col(c).isNotNull()).distinct()
+    t = t.repartitionByRange(partitions, c) if partitions else t.repartitionByRange(c)
+    t = t.withColumn("_pid", F.spark_partition_id())
+    t = t.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(c)) - 1)
+    per = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
+    wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select("_pid", F.coalesce(F.sum("_pc").over(wp), F.lit(0)).alias("_off"),
+                      F.sum("_pc").over(Window.partitionBy(F.lit(1))).alias("n"))
+    return (t.join(F.broadcast(offs), "_pid")  # one row per partition: bounded by construction
+            .select(c, (F.col("_off") + F.col("_rn")).cast("long").alias("pos"), F.col("n").cast("long").alias("n")))
+
+
 def consecutive_gaps(df: DataFrame, ts: str, unit_micros: int = 86_400_000_000,
                      partitions: int | None = None) -> DataFrame:
     """Gaps between consecutive distinct timestamps, in whole ``unit_micros`` units.
