@@ -60,3 +60,32 @@ def test_sized_join_salted_path_equals_broadcast(spark):
     s = sorted(joins.sized_join(big, small, ["mascon_id"], "left", max_bytes=0, salt_by=["iy", "ix"],
                                 salt_buckets=7).select("iy", "name").collect())
     assert b == s and len(b) == 200
+
+
+def test_fusion_under_a_hot_mascon(spark):
+    """One mascon holds over a third of all rows: grouped totals, forced salted join and the
+    literal window form give the same fused values."""
+    from floe.plans import lsp
+    from floe.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    d = SF_SMALL
+    static = fx.fx_static(spark, d).withColumn(
+        "mascon_id", F.when(F.col("iy") % 3 == 0, F.lit(7)).otherwise(F.col("mascon_id") % 3))
+    grace = fx.fx_grace(spark, d).where(F.col("mascon_id") < 8)
+    filled = lsp.build_filled(fx.fx_icesat(spark, d), fx.fx_ocean(spark, d), static, grace)
+    n = filled.count()
+    hot = filled.where(F.col("mascon_id") == 7).count()
+    assert hot * 3 > n
+
+    def fused(df):
+        return {(r.iy, r.ix, r.time): r.lwe_fused for r in df.select("iy", "ix", "time", "lwe_fused").collect()}
+
+    a = fused(fuse.fuse_signal(filled, sum_scale=2))
+    b = fused(fuse.fuse_signal_window(filled))
+    totals = fuse.mascon_totals(filled, sum_scale=2)
+    c = fused(joins.sized_join(filled, totals, ["mascon_id", "time"], "left", max_bytes=0, salt_by=["iy", "ix"])
+              .withColumn("lwe_fused", fuse.fused_value()))
+    assert a.keys() == b.keys() == c.keys()
+    for k in a:
+        assert a[k] == c[k]
+        assert (a[k] is None and b[k] is None) or abs(a[k] - b[k]) <= 1e-9 * max(1.0, abs(a[k]))
