@@ -143,17 +143,16 @@ def exact_quantiles(df: DataFrame, value: str, ps, partitions: int | None = None
 
     1. value -> count, aggregated map-side (a value held by a third of all rows
        becomes one row);
-    2. distinct values range-partitioned (balanced by sampling), running counts
-       inside each partition plus an offset per partition (a table with one row
-       per partition, so its broadcast is bounded by the partition count);
+    2. distinct values in deterministic range buckets (approximate quantiles),
+       running counts inside each bucket plus an offset per bucket (a table with
+       one row per bucket, so its broadcast is bounded by the bucket count);
     3. the two order statistics around ``(n - 1) * p`` are found by rank range
        and interpolated linearly (NumPy's default rule).
     """
     spark = df.sparkSession
     v = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    counts = counts.repartitionByRange(partitions, "v") if partitions else counts.repartitionByRange("v")
-    counts = counts.withColumn("pid", F.spark_partition_id())
+    counts = counts.withColumn("pid", range_bucket(counts, "v", partitions))
     w = Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = counts.withColumn("cum", F.sum("c").over(w))
     per = counts.groupBy("pid").agg(F.sum("c").alias("pc"))
@@ -227,22 +226,56 @@ def successor_violations(df: DataFrame, pos: str, value: str, increasing: bool =
                  F.coalesce(F.bool_and(~bad), F.lit(True)).alias("monotonic"))
 
 
+def range_bucket(distinct_values: DataFrame, c: str, buckets: int | None = None) -> Column:
+    """A deterministic range bucket of ``c`` (balanced by approximate quantiles).
+
+    The bucket bounds are computed once (``buckets - 1`` scalars on the
+    driver) and the bucket is then a pure Column expression. Every branch of a
+    plan, and every retried task, assigns a value to the same bucket - unlike
+    ``spark_partition_id()`` after a sampled range shuffle, whose bounds may
+    differ between two evaluations.
+    """
+    spark = distinct_values.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    key = _numeric_key(distinct_values, c)
+    if n <= 1:
+        return F.lit(0)
+    probs = [i / n for i in range(1, n)]
+    bounds = distinct_values.select(key.alias("_k")).approxQuantile("_k", probs, 0.001)
+    bounds = sorted({float(b) for b in bounds if b is not None})
+    if not bounds:
+        return F.lit(0)
+    arr = F.array(*[F.lit(b) for b in bounds])
+    return F.size(F.filter(arr, lambda b: b <= key)).cast("int")
+
+
+def _numeric_key(df: DataFrame, c: str) -> Column:
+    t = df.schema[c].dataType.typeName()
+    if t == "date":
+        return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"),
+                                F.col(c).cast("timestamp_ntz")).cast("double")
+    if t == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(c)).cast("double")
+    if t == "timestamp":
+        return F.unix_micros(F.col(c)).cast("double")
+    return F.col(c).cast("double")
+
+
 def positions(df: DataFrame, c: str, partitions: int | None = None) -> DataFrame:
     """0-based rank ``pos`` of every distinct value of ``c`` and the number of values ``n``.
 
-    Distributed: distinct (map-side), range partition (balanced by sampling),
-    ``row_number`` inside each partition, plus an offset per partition from a
-    table with one row per partition. No window spans the whole axis.
+    Distributed: distinct (map-side), deterministic range buckets,
+    ``row_number`` inside each bucket, plus an offset per bucket from a table
+    with one row per bucket. No window spans the whole axis.
     """
     t = df.select(c).where(F.col(c).isNotNull()).distinct()
-    t = t.repartitionByRange(partitions, c) if partitions else t.repartitionByRange(c)
-    t = t.withColumn("_pid", F.spark_partition_id())
+    t = t.withColumn("_pid", range_bucket(t, c, partitions))
     t = t.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(c)) - 1)
     per = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
     wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = per.select("_pid", F.coalesce(F.sum("_pc").over(wp), F.lit(0)).alias("_off"),
                       F.sum("_pc").over(Window.partitionBy(F.lit(1))).alias("n"))
-    return (t.join(F.broadcast(offs), "_pid")  # one row per partition: bounded by construction
+    return (t.join(F.broadcast(offs), "_pid")  # one row per bucket: bounded by construction
             .select(c, (F.col("_off") + F.col("_rn")).cast("long").alias("pos"), F.col("n").cast("long").alias("n")))
 
 
@@ -250,17 +283,16 @@ def consecutive_gaps(df: DataFrame, ts: str, unit_micros: int = 86_400_000_000,
                      partitions: int | None = None) -> DataFrame:
     """Gaps between consecutive distinct timestamps, in whole ``unit_micros`` units.
 
-    Scale design: distinct (map-side), range partition by time (balanced by
-    sampling), ``lag`` inside each range partition, then the first row of each
-    partition is linked to the last row of the previous partition through a
-    table with one row per partition (broadcast, bounded by the partition count).
+    Scale design: distinct (map-side), deterministic range buckets of time
+    (balanced by approximate quantiles), ``lag`` inside each bucket, then the
+    first row of each bucket is linked to the last row of the previous bucket
+    through a table with one row per bucket (bounded by the bucket count).
     """
     c = F.col(ts)
     if df.schema[ts].dataType.typeName() == "date":
         c = c.cast("timestamp_ntz")  # zone-free; never through the session time zone
     t = df.select(c.alias("t")).where(F.col("t").isNotNull()).distinct()
-    t = (t.repartitionByRange(partitions, "t") if partitions else t.repartitionByRange("t"))
-    t = t.withColumn("pid", F.spark_partition_id())
+    t = t.withColumn("pid", range_bucket(t, "t", partitions))
     w = Window.partitionBy("pid").orderBy("t")
     t = t.withColumn("prev", F.lag("t").over(w))
     bounds = t.groupBy("pid").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
