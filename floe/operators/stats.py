@@ -34,9 +34,15 @@ def summary(df: DataFrame, cols: list[str], where: Column | None = None, nd: int
     return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (variable, vmin, vmax, vmean, n_valid)")
 
 
-def valid_per_step(df: DataFrame, value: str, steps: DataFrame, time: str = "time") -> DataFrame:
-    """A2: valid count per time step; steps without data show 0."""
+def valid_per_step(df: DataFrame, value: str, steps: DataFrame | None = None, time: str = "time") -> DataFrame:
+    """A2: valid count per time step; steps without data show 0.
+
+    With no separate step list, one grouped pass suffices: a step whose rows
+    all lack ``value`` still forms a group with count 0.
+    """
     counts = df.groupBy(time).agg(F.count(value).alias("n_valid"))
+    if steps is None or steps is df:
+        return counts.select(time, F.col("n_valid").cast("long").alias("n_valid"))
     return (steps.select(time).distinct().join(counts, time, "left")
             .select(time, F.coalesce("n_valid", F.lit(0)).cast("long").alias("n_valid")))
 

@@ -93,8 +93,7 @@ SELECT t.time, CAST(COALESCE(c.n_valid, 0) AS BIGINT) AS n_valid
 FROM (SELECT DISTINCT time FROM bb) t LEFT JOIN (SELECT time, COUNT(delta_h) AS n_valid FROM bb GROUP BY time) c
 ON t.time = c.time""")
 def a2_valid_per_step(spark, d):
-    bb = _bb(spark, d)
-    return stats.valid_per_step(bb, "delta_h", bb)
+    return stats.valid_per_step(_bb(spark, d), "delta_h")
 
 
 @query("a3_valid_per_pixel", W("fx_icesat", "fx_ocean") + _BB + """
