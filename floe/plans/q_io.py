@@ -64,19 +64,24 @@ def k3_create_then_append(spark, d):
     return readers.read_steps(spark, p, _ICESAT_SCHEMA)
 
 
+_TILED = T.StructType(_ICESAT_SCHEMA.fields + [T.StructField("tile_y", T.IntegerType()),
+                                                T.StructField("tile_x", T.IntegerType())])
+
+
 @query("k4_region_overwrite", W("fx_icesat") + """
 SELECT ix, iy, CASE WHEN time = (SELECT MIN(time) FROM fx_icesat) THEN delta_h * 2 ELSE delta_h END AS delta_h,
        delta_h_sigma, ice_area, time FROM fx_icesat""")
 def k4_region_overwrite(spark, d):
-    """K4: rewrite one time step in place; every other step stays as written."""
+    """K4: rewrite the regions (time step x tile) of one step in place; all other regions stay."""
     p = scratch_path(spark, "k4")
-    a = fx.fx_icesat(spark, d)
-    writers.write_steps(a, p, "time")
+    keys = ["time", "tile_y", "tile_x"]
+    a = writers.with_tiles(fx.fx_icesat(spark, d), tile=32)
+    writers.overwrite_regions(a, p, keys)
     first = a.agg(F.min("time")).first()[0]
     fixed = a.where(F.col("time") == F.lit(first)).withColumn("delta_h", F.col("delta_h") * 2)
-    writers.overwrite_regions(fixed, p, ["time"])
-    writers.overwrite_regions(fixed, p, ["time"])  # replay: idempotent
-    return readers.read_steps(spark, p, _ICESAT_SCHEMA)
+    writers.overwrite_regions(fixed, p, keys)
+    writers.overwrite_regions(fixed, p, keys)  # replay: idempotent
+    return readers.read_steps(spark, p, _TILED).drop("tile_y", "tile_x")
 
 
 @query("k5_skip_existing", W("fx_static") + "SELECT * FROM fx_static")

@@ -34,17 +34,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     master may fall back to a fresh temporary folder; on a cluster an unset
     folder is an error, because executors cannot share a machine-local path.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set on this cluster")
-        conf = tempfile.mkdtemp(prefix="floe-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+    if conf:
+        return conf
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set on this cluster")
+    conf = tempfile.mkdtemp(prefix="floe-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
+    spark.conf.set("spark.checkpoint.dir", conf)
+    return conf
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

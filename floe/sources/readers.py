@@ -107,9 +107,14 @@ def snapped_extent(df: DataFrame, res: float, x: str = "x", y: str = "y") -> Dat
 
 
 def missing_inputs(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Every path that does not exist (checked through the Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Every path that does not exist (checked through the Hadoop file system,
+    so object stores and HDFS work; plain local checks when no JVM gateway exists)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        import os
+        return [p for p in paths if not os.path.exists(p.removeprefix("file:"))]
     out = []
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)
