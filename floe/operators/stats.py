@@ -2,8 +2,9 @@
 
 Everything is one distributed pass (``agg``/``groupBy`` with map-side partial
 aggregation). Nothing here funnels a table through one task: global order
-questions (gaps, monotonicity) are answered with range partitioning or with a
-self-join on the successor index.
+questions (gaps, ranks, exact quantiles) use deterministic range buckets whose
+bounds come from approximate quantiles, and monotonicity is a self-join on the
+successor index.
 """
 
 from __future__ import annotations
