@@ -80,10 +80,15 @@ def outer_align(frames: list[DataFrame], keys: list[str], partition_by: list[str
     """
     part = partition_by or keys
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    values = [c for c in u.columns if c not in keys]
-    return (u.repartition(*part)
-            .groupBy(*keys)
-            .agg(*[F.max(c).alias(c) for c in values]))
+    values = [f for f in u.schema.fields if f.name not in keys]
+
+    def pick(f):
+        # at most one non-null value per key and column: max is exact for orderable types;
+        # maps (not orderable) take the single non-null value
+        if isinstance(f.dataType, T.MapType):
+            return F.first(f.name, ignorenulls=True).alias(f.name)
+        return F.max(f.name).alias(f.name)
+    return u.repartition(*part).groupBy(*keys).agg(*[pick(f) for f in values])
 
 
 def full_outer_join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
