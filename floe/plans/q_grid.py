@@ -344,8 +344,9 @@ def s8_sanitize_time(spark, d):
 
 @query("s9_profile", W("fx_static") + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT({c}) AS n_valid, MIN(CAST({c} AS DOUBLE)) AS vmin, "
-    f"MAX(CAST({c} AS DOUBLE)) AS vmax, COUNT(*) AS n_rows FROM fx_static"
-    for c, t in [("ix", "int"), ("iy", "int"), ("x", "double"), ("y", "double"), ("surface", "double"),
-                 ("thickness", "double"), ("bed", "double"), ("mask", "int"), ("mascon_id", "int")]))
+    f"MAX(CAST({c} AS DOUBLE)) AS vmax, CAST(NULL AS VARCHAR) AS units, COUNT(*) AS n_rows, COUNT(*) * {w} AS est_bytes "
+    f"FROM fx_static"
+    for c, t, w in [("ix", "int", 4), ("iy", "int", 4), ("x", "double", 8), ("y", "double", 8), ("surface", "double", 8),
+                    ("thickness", "double", 8), ("bed", "double", 8), ("mask", "int", 4), ("mascon_id", "int", 4)]))
 def s9_profile(spark, d):
     return readers.profile(fx.fx_static(spark, d))

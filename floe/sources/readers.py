@@ -147,8 +147,12 @@ def sanitize_time(df: DataFrame, c: str = "time") -> DataFrame:
     return df
 
 
+_WIDTH = {"byte": 1, "short": 2, "integer": 4, "float": 4, "long": 8, "double": 8}
+
+
 def profile(df: DataFrame, nd: int = 6) -> DataFrame:
-    """Per numeric column: type, non-null count, min, max - one pass, unpivoted."""
+    """Per numeric column: type, non-null count, min, max, units attribute and an
+    in-memory size estimate (rows x type width) - one pass, unpivoted."""
     num = [f for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     aggs = []
     for f in num:
@@ -156,7 +160,13 @@ def profile(df: DataFrame, nd: int = 6) -> DataFrame:
         aggs += [F.count(v).alias(f"{f.name}__n"), F.min(v).alias(f"{f.name}__min"), F.max(v).alias(f"{f.name}__max")]
     aggs.append(F.count(F.lit(1)).alias("__rows"))
     wide = df.agg(*aggs)
-    stack = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', `{f.name}__n`, `{f.name}__min`, `{f.name}__max`"
-                      for f in num)
-    return wide.selectExpr(f"stack({len(num)}, {stack}) AS (column_name, data_type, n_valid, vmin, vmax)",
-                           "__rows AS n_rows")
+
+    def units(f):
+        u = (f.metadata or {}).get("units")
+        return "CAST(NULL AS STRING)" if u is None else "'" + str(u).replace("'", "''") + "'"
+    stack = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', `{f.name}__n`, `{f.name}__min`, `{f.name}__max`, "
+                      f"{units(f)}, CAST({_WIDTH.get(f.dataType.typeName(), 8)} AS BIGINT)" for f in num)
+    return wide.selectExpr(
+        f"stack({len(num)}, {stack}) AS (column_name, data_type, n_valid, vmin, vmax, units, width)",
+        "__rows AS n_rows").selectExpr("column_name", "data_type", "n_valid", "vmin", "vmax", "units",
+                                       "n_rows", "n_rows * width AS est_bytes")
