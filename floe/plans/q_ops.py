@@ -438,7 +438,7 @@ def u4_mask_intersection(spark, d):
 
 @query("j4_static_align", W("fx_static", "fx_coarse") + """
 , topo AS (SELECT iy, ix, surface, bed, thickness, mask FROM fx_static),
-masc AS (SELECT iy, ix, mascon_id FROM fx_static WHERE mascon_id IS NOT NULL AND iy % 2 = 0),
+masc AS (SELECT iy, ix, mascon_id FROM fx_static WHERE mascon_id IS NOT NULL),
 crs AS (SELECT cy AS iy, cx AS ix, v AS coarse_v FROM fx_coarse WHERE v IS NOT NULL)
 SELECT COALESCE(topo.iy, masc.iy, crs.iy) AS iy, COALESCE(topo.ix, masc.ix, crs.ix) AS ix,
        surface, bed, thickness, mask, mascon_id, coarse_v
@@ -447,7 +447,7 @@ FULL OUTER JOIN crs ON COALESCE(topo.iy, masc.iy) = crs.iy AND COALESCE(topo.ix,
 def j4_static_align(spark, d):
     s = fx.fx_static(spark, d)
     topo = s.select("iy", "ix", "surface", "bed", "thickness", "mask")
-    masc = s.where(F.col("mascon_id").isNotNull() & (F.col("iy") % 2 == 0)).select("iy", "ix", "mascon_id")
+    masc = s.where(F.col("mascon_id").isNotNull()).select("iy", "ix", "mascon_id")
     crs = fx.fx_coarse(spark, d).where(F.col("v").isNotNull()).select(
         F.col("cy").alias("iy"), F.col("cx").alias("ix"), F.col("v").alias("coarse_v"))
     return joins.outer_align([topo, masc, crs], ["iy", "ix"])
@@ -526,14 +526,14 @@ def j14_coordinate_equality(spark, d):
 
 
 @query("j15_merge_latlon", W("fx_source_ll") + """
-, land AS (SELECT lat, lon, v AS land_v FROM fx_source_ll WHERE si % 2 = 0),
-ocean AS (SELECT lat, lon, v AS ocean_v FROM fx_source_ll WHERE sj % 2 = 0)
+, land AS (SELECT lat, lon, v AS land_v FROM fx_source_ll WHERE v IS NOT NULL),
+ocean AS (SELECT lat, lon, v AS ocean_v FROM fx_source_ll WHERE lat < -70)
 SELECT COALESCE(land.lat, ocean.lat) AS lat, COALESCE(land.lon, ocean.lon) AS lon, land_v, ocean_v
 FROM land FULL OUTER JOIN ocean ON land.lat = ocean.lat AND land.lon = ocean.lon""")
 def j15_merge_latlon(spark, d):
     s = fx.fx_source_ll(spark, d)
-    land = s.where(F.col("si") % 2 == 0).select("lat", "lon", F.col("v").alias("land_v"))
-    ocean = s.where(F.col("sj") % 2 == 0).select("lat", "lon", F.col("v").alias("ocean_v"))
+    land = s.where(F.col("v").isNotNull()).select("lat", "lon", F.col("v").alias("land_v"))
+    ocean = s.where(F.col("lat") < -70).select("lat", "lon", F.col("v").alias("ocean_v"))
     return joins.outer_align([land, ocean], ["lat", "lon"])
 
 
