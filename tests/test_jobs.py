@@ -68,3 +68,28 @@ def test_run_upsample_and_flatten(spark):
     masc = _store(spark, s.where(F.col("mascon_id").isNotNull()).select("iy", "ix", "mascon_id"), "masc")
     flat = jobs.run_flatten_static(spark, {"topo": topo, "mascons": masc}, scratch_path(spark, "flat"))
     assert flat.count() == s.where(F.col("mask").isin(1, 3)).count()
+
+
+def test_run_features_equals_queries(spark):
+    d = SF_SMALL
+    s = _store(spark, fx.fx_static(spark, d), "static")
+    a = _store(spark, fx.fx_icesat(spark, d), "alt")
+    st, dyn = jobs.run_features(spark, s, a, scratch_path(spark, "fs"), scratch_path(spark, "fd"),
+                                fx.grid_rows(spark, d), fx.NX)
+    want_s = E.queries()["b9_features_static"](spark, d)
+    want_d = E.queries()["b9_features_dynamic"](spark, d)
+    cs = ["iy", "ix", "bed_slope", "dist_to_grounding_line"]
+    cd = ["iy", "ix", "time", "h_surface_dynamic", "surface_slope"]
+    assert _rows(st, cs) == _rows(want_s, cs)
+    assert _rows(dyn, cd) == _rows(want_d, cd)
+
+
+def test_run_flatten_dynamic_equals_altimetry_rows(spark):
+    d = SF_SMALL
+    s = _store(spark, fx.fx_static(spark, d), "static")
+    a = _store(spark, fx.fx_icesat(spark, d).select("iy", "ix", "time", "delta_h", "ice_area"), "alt")
+    got = jobs.run_flatten_dynamic(spark, {"alt": a}, s, "delta_h", scratch_path(spark, "flatdyn"))
+    ice = fx.fx_static(spark, d).where(F.col("mask").isin(1, 3)).select("iy", "ix")
+    want = fx.fx_icesat(spark, d).join(ice, ["iy", "ix"], "left_semi").where(F.col("delta_h").isNotNull())
+    cols = ["iy", "ix", "time", "delta_h", "ice_area"]
+    assert _rows(got, cols) == _rows(want, cols)
