@@ -27,25 +27,17 @@ def days_to_timestamp(days, epoch: str) -> Column:
 
 
 def nanos_to_timestamp(nanos) -> Column:
-    """BIGINT nanoseconds since 1970 -> TIMESTAMP_NTZ (truncates to us)."""
-    micros = F.floor(col(nanos) / F.lit(1000)).cast("decimal(24,0)")
+    """BIGINT nanoseconds since 1970 -> TIMESTAMP_NTZ (floor to microseconds).
+
+    Exact: the division is done in decimal (a BIGINT near 1.5e18 is not exactly
+    representable as a double).
+    """
+    micros = F.floor(col(nanos).cast("decimal(38,0)") / F.lit(1000)).cast("decimal(24,0)")
     secs = (micros / F.lit(1000000)).cast("decimal(24,6)")
     return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), secs)
 
 
-def elapsed_days(prev, cur) -> Column:
-    """Whole elapsed days between two timestamps (floor of 86400 s units)."""
-    micros = F.timestamp_diff("MICROSECOND", col(prev), col(cur))
-    return F.floor(micros / F.lit(86400000000)).cast("long")
-
-
-def slice_days(c, first_day: str, last_day: str) -> Column:
-    """Inclusive day slice [first_day, last_day] on a timestamp column."""
-    x = col(c)
-    return (x >= F.to_date(F.lit(first_day))) & (x < F.date_add(F.to_date(F.lit(last_day)), 1))
-
-
 def fmt_month(c) -> Column:
     """'yyyy-MM'."""
     return F.date_format(col(c), "yyyy-MM")

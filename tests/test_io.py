@@ -13,6 +13,16 @@ from floe.sources import readers
 from floe.streaming import incremental
 
 
+def test_nanos_are_converted_exactly(spark):
+    cases = {1546344000123456000: dt.datetime(2019, 1, 1, 12, 0, 0, 123456),
+             1546344000123456999: dt.datetime(2019, 1, 1, 12, 0, 0, 123456),
+             1546344000000000001: dt.datetime(2019, 1, 1, 12, 0, 0, 0),
+             -1500: dt.datetime(1969, 12, 31, 23, 59, 59, 999998)}
+    df = spark.createDataFrame([(k,) for k in cases], "time long")
+    got = {r.k: r.time for r in readers.sanitize_time(df.withColumn("k", F.col("time"))).collect()}
+    assert got == cases
+
+
 def test_read_table_turns_nan_into_null(spark):
     p = scratch_path(spark, "nan")
     spark.createDataFrame([(1, float("nan")), (2, 1.5), (3, None)], "k int, v double").write.parquet(p)
