@@ -55,9 +55,9 @@ def snap(c, res: float) -> Column:
     return F.rint(col(c) / F.lit(float(res))) * F.lit(float(res))
 
 
-def nan_to_null(c) -> Column:
-    """Rule 1.4.1: NaN means missing; turn it into SQL NULL once, at ingest."""
-    return F.nanvl(col(c), F.lit(None).cast("double"))
+def nan_to_null(c, dtype: str = "double") -> Column:
+    """Rule 1.4.1: NaN means missing; turn it into SQL NULL once, at ingest (type kept)."""
+    return F.nanvl(col(c), F.lit(None).cast(dtype)).cast(dtype)
 
 
 def is_finite(c) -> Column:

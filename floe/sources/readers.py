@@ -25,7 +25,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     df = r.parquet(path)
     floats = nan_cols if nan_cols is not None else [
         f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: nan_to_null(c) for c in floats}) if floats else df
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return df.withColumns({c: nan_to_null(c, types[c]) for c in floats}) if floats else df
 
 
 def read_steps(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -28,6 +28,10 @@ def test_read_table_turns_nan_into_null(spark):
     spark.createDataFrame([(1, float("nan")), (2, 1.5), (3, None)], "k int, v double").write.parquet(p)
     got = {r.k: r.v for r in readers.read_table(spark, p).collect()}
     assert got == {1: None, 2: 1.5, 3: None}
+    q = scratch_path(spark, "nanf")
+    spark.createDataFrame([(1, float("nan"))], "k int, v float").write.parquet(q)
+    back = readers.read_table(spark, q)
+    assert dict(back.dtypes)["v"] == "float" and back.first().v is None
 
 
 def test_cube_to_long_positions_and_nan(spark):
