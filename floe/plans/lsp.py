@@ -2,15 +2,19 @@
 
 backbone (J1) -> static (J2) -> anomaly (J3) -> forward fill (W1) -> fusion (W2, W3)
 
-Plan shape: one exchange for the backbone (by pixel), one for the static side,
-the anomaly table broadcast after a size check, the fill reusing the pixel
-partitioning, and a small aggregate for the mascon totals joined back by
-broadcast (salted shuffle join above the size budget).
+Plan shape (``build_filled``): altimetry, ocean and static rows share one
+shuffle by pixel; one sort; one window fills sensor and static columns; the
+anomaly table is broadcast after a size check; a second window (same
+partitioning and order, so no exchange and no sort) fills ``lwe_length``.
+Then the filled table is written once to the shared checkpoint folder, and the
+mascon totals - a small partial aggregate over three columns - are joined
+back by broadcast (salted shuffle join above the size budget).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from floe.functions.grid import Grid
 from floe.operators import fuse
@@ -35,10 +39,35 @@ def build_enriched(altimetry, ocean, static, anomaly) -> DataFrame:
     return fuse.attach_anomaly(st, anomaly)
 
 
-def build_filled(altimetry, ocean, static, anomaly) -> DataFrame:
+def build_filled_joins(altimetry, ocean, static, anomaly) -> DataFrame:
+    """W1 after J2 and J3 written as joins (the literal order; two sorts of the backbone at scale)."""
     return fuse.forward_fill(build_enriched(altimetry, ocean, static, anomaly))
 
 
+def build_filled(altimetry, ocean, static, anomaly) -> DataFrame:
+    """J1 + J2 + J3 + W1 with one shuffle and one sort of the backbone.
+
+    Static columns enter the pixel shuffle as one extra row per pixel with a
+    null time, which sorts first. The fill window then carries sensor and
+    static columns alike (the static row is the only one holding static
+    values). The static rows are dropped; pixels without observations
+    disappear, exactly as in a left join from the backbone. The anomaly join
+    (broadcast after a size check) keeps the partitioning and ordering, so the
+    second fill (``lwe_length``) needs no exchange and no sort.
+    """
+    alt = altimetry.select(*_present(altimetry, ALTIMETRY_COLS))
+    oc = ocean.select(*_present(ocean, OCEAN_COLS))
+    st = static.drop("x", "y", "time")
+    st_cols = [c for c in st.columns if c not in fuse.PIXEL and c not in alt.columns and c not in oc.columns]
+    st = st.select(*fuse.PIXEL, *st_cols).withColumn("time", F.lit(None).cast(alt.schema["time"].dataType))
+    merged = fuse.outer_align([alt, oc, st], fuse.CELL_TIME, partition_by=fuse.PIXEL)
+    sensors = [c for c in merged.columns if c not in fuse.CELL_TIME and c not in st_cols]
+    w = fuse.pixel_window()
+    filled = merged.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in sensors + st_cols})
+    filled = filled.where(F.col("time").isNotNull())
+    return fuse.forward_fill(fuse.attach_anomaly(filled, anomaly), ["lwe_length"])
+
+
 def build_long_sparse(altimetry: DataFrame, ocean: DataFrame, static: DataFrame,
                       anomaly: DataFrame, grid: Grid, sum_scale: int | None = None,
                       cut_lineage: bool = True) -> DataFrame:

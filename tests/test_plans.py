@@ -29,6 +29,24 @@ def test_fill_reuses_backbone_partitioning(spark):
     assert "Window" in plan
 
 
+def test_filled_table_one_shuffle_one_sort_without_broadcast(spark):
+    """Even when the static table is too large to broadcast, the filled table needs one pixel
+    shuffle and one sort: static rows ride in the same shuffle (no sort-merge join)."""
+    d = SF_SMALL
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        f = lsp.build_filled(fx.fx_icesat(spark, d), fx.fx_ocean(spark, d), fx.fx_static(spark, d),
+                             fx.fx_grace(spark, d))
+        plan = _initial(f)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(iy#\d+, ix#\d+, \d+\)", plan)) == 1
+    assert len(re.findall(r"\bSort \[iy#", plan)) == 1
+    assert len(re.findall(r"\bWindow \[", plan)) == 2
+
+
 def test_no_window_over_mascons(spark):
     plan = _plan(Q["b5_long_sparse"](spark, SF_SMALL))
     assert not re.search(r"windowspecdefinition\(mascon_id", plan)
