@@ -263,12 +263,19 @@ LEFT JOIN hsd h ON h.iy = a.iy AND h.ix = a.ix AND h.time = a.time
 LEFT JOIN ss ON ss.iy = a.iy AND ss.ix = a.ix AND ss.time = a.time
 WHERE a.delta_h IS NOT NULL""")
 def b2_altimetry_table(spark, d):
-    """B2: altimetry + dynamic features aligned (J5), ice pixels only (J7), rows with delta_h."""
+    """B2: altimetry with its dynamic features, ice pixels only (J7), rows with delta_h.
+
+    The features derive from the same rows (surface + delta_h, J6), so the two
+    stores are aligned by construction: one join with the static columns, the
+    two slope windows over all pixels (ice cells need their non-ice
+    neighbours), then the ice and non-null filters - no alignment shuffle.
+    """
     a = fx.fx_icesat(spark, d).select("iy", "ix", "time", "delta_h", "ice_area")
-    feats = _dynamic_features(spark, d)
-    aligned = joins.outer_align([a, feats], ["iy", "ix", "time"], partition_by=["iy", "ix"])
-    ice = select.keep_codes(fx.fx_static(spark, d)).select("iy", "ix")
-    return select.drop_null(joins.mask_semi(aligned, ice, ["iy", "ix"]), "delta_h")
+    s = fx.fx_static(spark, d).select("iy", "ix", "surface", "mask")
+    h = a.join(s, ["iy", "ix"]).withColumn("h_surface_dynamic", thermo.dynamic_surface())
+    h = stencil.slope(h, "h_surface_dynamic", fx.grid_rows(spark, d), fx.NX, by=("time",), out="surface_slope")
+    rows = select.drop_null(select.keep_codes(h), "delta_h")
+    return rows.select("iy", "ix", "time", "delta_h", "ice_area", "h_surface_dynamic", "surface_slope")
 
 
 @query("b3_ocean_table", W("fx_ocean") + "SELECT iy, ix, time, thetao, so FROM fx_ocean WHERE thetao IS NOT NULL")
