@@ -159,7 +159,7 @@ def exact_quantiles(df: DataFrame, value: str, ps, partitions: int | None = None
     spark = df.sparkSession
     v = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    counts = counts.withColumn("pid", range_bucket(counts, "v", partitions))
+    counts = counts.withColumn("pid", range_bucket(v, "v", partitions))
     w = Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = counts.withColumn("cum", F.sum("c").over(w))
     per = counts.groupBy("pid").agg(F.sum("c").alias("pc"))
@@ -233,7 +233,7 @@ def successor_violations(df: DataFrame, pos: str, value: str, increasing: bool =
                  F.coalesce(F.bool_and(~bad), F.lit(True)).alias("monotonic"))
 
 
-def range_bucket(distinct_values: DataFrame, c: str, buckets: int | None = None) -> Column:
+def range_bucket(values: DataFrame, c: str, buckets: int | None = None) -> Column:
     """A deterministic range bucket of ``c`` (balanced by approximate quantiles).
 
     The bucket bounds are computed once (``buckets - 1`` scalars on the
@@ -242,13 +242,14 @@ def range_bucket(distinct_values: DataFrame, c: str, buckets: int | None = None)
     ``spark_partition_id()`` after a sampled range shuffle, whose bounds may
     differ between two evaluations.
     """
-    spark = distinct_values.sparkSession
+    spark = values.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    key = _numeric_key(distinct_values, c)
+    key = _numeric_key(values, c)
     if n <= 1:
         return F.lit(0)
     probs = [i / n for i in range(1, n)]
-    bounds = distinct_values.select(key.alias("_k")).approxQuantile("_k", probs, 0.001)
+    # bounds from the raw column: one pass, no distinct shuffle; they only steer balance
+    bounds = values.select(key.alias("_k")).approxQuantile("_k", probs, 0.001)
     bounds = sorted({float(b) for b in bounds if b is not None})
     if not bounds:
         return F.lit(0)
@@ -275,8 +276,8 @@ def positions(df: DataFrame, c: str, partitions: int | None = None) -> DataFrame
     ``row_number`` inside each bucket, plus an offset per bucket from a table
     with one row per bucket. No window spans the whole axis.
     """
-    t = df.select(c).where(F.col(c).isNotNull()).distinct()
-    t = t.withColumn("_pid", range_bucket(t, c, partitions))
+    raw = df.select(c).where(F.col(c).isNotNull())
+    t = raw.distinct().withColumn("_pid", range_bucket(raw, c, partitions))
     t = t.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(c)) - 1)
     per = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
     wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -298,8 +299,8 @@ def consecutive_gaps(df: DataFrame, ts: str, unit_micros: int = 86_400_000_000,
     c = F.col(ts)
     if df.schema[ts].dataType.typeName() == "date":
         c = c.cast("timestamp_ntz")  # zone-free; never through the session time zone
-    t = df.select(c.alias("t")).where(F.col("t").isNotNull()).distinct()
-    t = t.withColumn("pid", range_bucket(t, "t", partitions))
+    raw = df.select(c.alias("t")).where(F.col("t").isNotNull())
+    t = raw.distinct().withColumn("pid", range_bucket(raw, "t", partitions))
     w = Window.partitionBy("pid").orderBy("t")
     t = t.withColumn("prev", F.lag("t").over(w))
     bounds = t.groupBy("pid").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
