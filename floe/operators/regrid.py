@@ -188,3 +188,14 @@ def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float
 def nearest_weights(nearest: DataFrame) -> DataFrame:
     """J11 result saved as a weights table (w = 1) for J13 reuse."""
     return nearest.select("dst_id", "src_id", F.lit(1.0).alias("w"))
+
+
+def weights_table(spark, path: str, build) -> DataFrame:
+    """J13 weights persisted once and reused: read ``path`` when it exists, otherwise
+    ``build()`` the ``(dst_id, src_id, w)`` table, write it there (never over an existing
+    table) and read it back."""
+    from floe.sinks.writers import write_if_absent
+    from floe.sources.readers import missing_inputs
+    if missing_inputs(spark, [path]):
+        write_if_absent(build(), path)
+    return spark.read.parquet(path)

@@ -109,3 +109,35 @@ def run_thermodynamics(spark: SparkSession, ocean_match: str, out: str) -> tuple
     writers.write_layout(writers.with_metadata(o, meta), out, keys=("time",))
     written = spark.read.parquet(out)
     return written, audit.post_write(written, ["T_f", "T_star"])
+
+
+def run_anomaly_regrid(spark: SparkSession, source: str, source_grid: str, targets: str, weights: str,
+                       out: str, lat0: float, dlat: float, lon0: float, dlon: float, n_lat: int, n_lon: int,
+                       value: str = "lwe", lo: float | None = None, hi: float | None = None
+                       ) -> tuple[DataFrame, DataFrame]:
+    """Anomaly on a regular lat/lon grid -> target cells, every step, with QC.
+
+    ``source``: ``(src_id, time, value)``; ``source_grid``: ``(src_id, si, sj, lat, lon)``;
+    ``targets``: ``(dst_id, x, y)`` in EPSG:3031 metres. Nearest-neighbour weights
+    (J11) are built once into ``weights`` and reused (J13); values outside the
+    open QC range become null (P11) and are counted per step (A10).
+    """
+    from floe import constants as C
+    from floe.functions.proj import xy_to_latlon
+    from floe.operators import stats
+    lo = C.QC_LWE_MIN if lo is None else lo
+    hi = C.QC_LWE_MAX if hi is None else hi
+    readers.validate_inputs(spark, [source, source_grid, targets])
+
+    def build():
+        lat, lon = xy_to_latlon("x", "y")
+        t = _read(spark, targets).select("dst_id", lat.alias("lat"), lon.alias("lon"))
+        g = _read(spark, source_grid).withColumn("_v", F.lit(None).cast("double"))
+        nn = regrid.nearest_regular(g, t, lat0, dlat, lon0, dlon, n_lat, n_lon, value="_v")
+        return regrid.nearest_weights(nn)
+    w = regrid.weights_table(spark, weights, build)
+    src = _read(spark, source)
+    out_df = select.qc_null_out(regrid.apply_weights(src, w, value=value, by=("time",)), value, lo, hi)
+    counters = stats.qc_counters(regrid.apply_weights(src, w, value=value, by=("time",)), value, lo, hi, by="time")
+    writers.write_steps(out_df, out, "time")
+    return spark.read.parquet(out), counters

@@ -93,3 +93,30 @@ def test_run_flatten_dynamic_equals_altimetry_rows(spark):
     want = fx.fx_icesat(spark, d).join(ice, ["iy", "ix"], "left_semi").where(F.col("delta_h").isNotNull())
     cols = ["iy", "ix", "time", "delta_h", "ice_area"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_run_anomaly_regrid_reuses_weights(spark):
+    from floe.operators import regrid
+    d = SF_SMALL
+    nrows = fx.grid_rows(spark, d)
+    dlat = 40.0 / nrows
+    grid = fx.fx_source_ll(spark, d, nrows)
+    g = _store(spark, grid.select("src_id", "si", "sj", "lat", "lon"), "sgrid")
+    src = grid.select("src_id", F.lit(None).cast("date").alias("t0"), F.col("v").alias("lwe"))
+    steps = [F.to_date(F.lit("2001-01-01")), F.to_date(F.lit("2001-04-01"))]
+    src = src.withColumn("time", steps[0]).unionByName(
+        src.withColumn("time", steps[1]).withColumn("lwe", F.col("lwe") * 10)).drop("t0")
+    s = _store(spark, src, "src")
+    t = _store(spark, fx.fx_target_xy(spark, d, nrows).select("dst_id", F.col("tx").alias("x"), F.col("ty").alias("y")), "tgt")
+    wpath = scratch_path(spark, "weights")
+    out, counters = jobs.run_anomaly_regrid(spark, s, g, t, wpath, scratch_path(spark, "regrid"),
+                                            -90.0 + dlat / 2, dlat, -176.4, 7.2, nrows, fx.NX, lo=-5000.0, hi=12000.0)
+    nn = E.queries()["j11_nearest_neighbour"](spark, d)
+    want = {r.dst_id: r.v for r in nn.collect()}
+    got0 = {r.dst_id: r.lwe for r in out.where(F.col("time") == steps[0]).collect()}
+    assert got0 == {k: (v if v is not None and -5000 < v < 12000 else None) for k, v in want.items()}
+    assert counters.count() == 2
+    # weights are read, not rebuilt, on the next run
+    called = []
+    regrid.weights_table(spark, wpath, lambda: called.append(1))
+    assert not called
