@@ -253,8 +253,17 @@ def range_bucket(values: DataFrame, c: str, buckets: int | None = None) -> Colum
     bounds = sorted({float(b) for b in bounds if b is not None})
     if not bounds:
         return F.lit(0)
-    arr = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= key)).cast("int")
+    return _bucket_tree(key, bounds, 0, len(bounds))
+
+
+def _bucket_tree(key: Column, bounds: list[float], lo: int, hi: int) -> Column:
+    """Bucket ``b`` holds ``bounds[b-1] <= key < bounds[b]``: a balanced comparison tree,
+    so each row costs about log2(len(bounds)) comparisons."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi + 1) // 2
+    return F.when(key >= F.lit(bounds[mid - 1]), _bucket_tree(key, bounds, mid, hi)) \
+            .otherwise(_bucket_tree(key, bounds, lo, mid - 1))
 
 
 def _numeric_key(df: DataFrame, c: str) -> Column:

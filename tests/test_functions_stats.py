@@ -71,3 +71,17 @@ def test_monotonic_by_successor_join(spark):
     assert r.monotonic and r.n_steps == 9
     bad = spark.createDataFrame([(0, 0.0), (1, 5.0), (2, 4.0)], "p int, v double")
     assert not stats.successor_violations(bad, "p", "v", True).first().monotonic
+
+
+def test_range_bucket_tree_matches_counting(spark):
+    import bisect
+    import random
+    random.seed(3)
+    vals = [random.uniform(-50, 50) for _ in range(300)] + [0.0, 10.0, -10.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    b = stats.range_bucket(df, "v", 13)
+    got = [(r.v, r.b) for r in df.select("v", b.alias("b")).collect()]
+    bounds = sorted({float(x) for x in df.approxQuantile("v", [i / 13 for i in range(1, 13)], 0.001)})
+    for v, bk in got:
+        assert bk == bisect.bisect_right(bounds, v)
+    assert len({bk for _, bk in got}) == len(bounds) + 1
