@@ -14,11 +14,6 @@ def quarter_start(c) -> Column:
     return F.make_date(F.year(x), F.quarter(x) * 3 - 2, F.lit(1))
 
 
-def month_start(c) -> Column:
-    x = col(c)
-    return F.make_date(F.year(x), F.month(x), F.lit(1))
-
-
 def days_to_timestamp(days, epoch: str) -> Column:
     """fractional days since ``epoch`` -> TIMESTAMP_NTZ, microsecond exact."""
     secs = (col(days) * F.lit(86400.0)).cast("decimal(18,6)")

@@ -9,8 +9,6 @@ successor index.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -333,7 +331,3 @@ def null_pattern_mismatch(df: DataFrame, a: str, b: str) -> DataFrame:
     """U4: rows where exactly one of two columns is null (mask equality check)."""
     return df.agg(F.count_if(col(a).isNull() != col(b).isNull()).alias("n_mismatch"),
                   F.count(F.lit(1)).alias("n"))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda x, y: x.unionByName(y), frames)

@@ -99,14 +99,6 @@ def canvas_from_extent(df: DataFrame, iy: str = "iy", ix: str = "ix") -> DataFra
                     (F.lit(ix0) + F.col("id") % F.lit(nx)).cast("int").alias(ix))
 
 
-def snapped_extent(df: DataFrame, res: float, x: str = "x", y: str = "y") -> DataFrame:
-    """S6 helper: extent of coordinates snapped to ``res`` (F1)."""
-    sx = F.rint(F.col(x) / res) * res
-    sy = F.rint(F.col(y) / res) * res
-    return df.agg(F.min(sx).alias("x_min"), F.max(sx).alias("x_max"),
-                  F.min(sy).alias("y_min"), F.max(sy).alias("y_max"))
-
-
 def missing_inputs(spark: SparkSession, paths: list[str]) -> list[str]:
     """Every path that does not exist (checked through the Hadoop file system,
     so object stores and HDFS work; plain local checks when no JVM gateway exists)."""

@@ -89,3 +89,20 @@ def test_fusion_under_a_hot_mascon(spark):
     for k in a:
         assert a[k] == c[k]
         assert (a[k] is None and b[k] is None) or abs(a[k] - b[k]) <= 1e-9 * max(1.0, abs(a[k]))
+
+
+def test_single_shuffle_fill_equals_join_form(spark):
+    """The static-rows-in-the-shuffle fill equals the literal join form on the fixture."""
+    from floe.plans import lsp
+    from floe.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    d = SF_SMALL
+    args = (fx.fx_icesat(spark, d), fx.fx_ocean(spark, d), fx.fx_static(spark, d), fx.fx_grace(spark, d))
+    a, b = lsp.build_filled(*args), lsp.build_filled_joins(*args)
+    cols = sorted(a.columns)
+    assert cols == sorted(b.columns)
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.select(*cols).collect()),
+                      key=lambda r: tuple((x is None, str(x)) for x in r))
+    assert rows(a) == rows(b)

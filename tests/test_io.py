@@ -96,3 +96,13 @@ def test_metadata_survives_parquet(spark):
 def test_narrow_floats(spark):
     df = writers.narrow_floats(spark.createDataFrame([(1, math.pi)], "k int, v double"))
     assert dict(df.dtypes) == {"k": "int", "v": "float"}
+
+
+def test_file_sink_stream_appends_exactly_once(spark):
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("time", T.DateType())])
+    inbox, target, ckpt = (scratch_path(spark, n) for n in ("fin", "fout", "fck"))
+    d1 = dt.date(2000, 1, 1)
+    spark.createDataFrame([(1, d1), (2, d1)], schema).write.parquet(f"{inbox}/a")
+    incremental.append_new_steps(spark, inbox, schema, target, ckpt)
+    incremental.append_new_steps(spark, inbox, schema, target, ckpt)   # re-run: nothing new
+    assert sorted(r.k for r in spark.read.parquet(target).collect()) == [1, 2]
