@@ -211,25 +211,20 @@ def f3_days_to_timestamp(spark, d):
     return e.select("event_id", timefn.days_to_timestamp(days, "2002-01-01").alias("time"))
 
 
-_THERMO = f"""
-, om AS (SELECT o.iy, o.ix, o.time, o.thetao, o.so, s.surface - s.thickness AS ice_draft
-         FROM fx_ocean o JOIN fx_static s ON o.iy = s.iy AND o.ix = s.ix),
-pr AS (SELECT *, CASE WHEN ice_draft IS NOT NULL THEN GREATEST(-ice_draft, CAST(0 AS DOUBLE)) END AS pressure FROM om),
-tf AS (SELECT *, CAST({_d(-0.0575)} * so + {_d(0.0901)} + {_d(-7.61e-4)} * pressure AS FLOAT) AS T_f FROM pr),
-th AS (SELECT iy, ix, time, thetao, so, ice_draft, pressure, T_f, CAST(thetao - CAST(T_f AS DOUBLE) AS FLOAT) AS T_star FROM tf)
-"""
-
-
 def _thermo(spark, d):
-    o = fx.fx_ocean(spark, d)
-    s = fx.fx_static(spark, d).select("iy", "ix", thermo.ice_draft().alias("ice_draft"))
-    om = o.join(s, ["iy", "ix"])
-    om = om.withColumn("pressure", thermo.base_pressure())
+    """Ocean match (thetao, so, draft) with pressure, freezing point and thermal driving."""
+    from floe.plans.q_io import ocean_match
+    om = ocean_match(spark, d).withColumn("pressure", thermo.base_pressure())
     om = om.withColumn("T_f", thermo.freezing_point())
     return om.withColumn("T_star", thermo.thermal_driving())
 
 
-@query("f5_f9_thermodynamics", W("fx_static", "fx_ocean") + _THERMO + "SELECT * FROM th")
+def _thermo_sql() -> str:
+    from floe.plans.q_io import _THERMO_SQL
+    return _THERMO_SQL
+
+
+@query("f5_f9_thermodynamics", W("fx_static", "fx_ocean") + _thermo_sql() + "SELECT * FROM th")
 def f5_f9_thermodynamics(spark, d):
     return _thermo(spark, d)
 
