@@ -44,7 +44,7 @@ def build_filled_joins(altimetry, ocean, static, anomaly) -> DataFrame:
     return fuse.forward_fill(build_enriched(altimetry, ocean, static, anomaly))
 
 
-def build_filled(altimetry, ocean, static, anomaly) -> DataFrame:
+def build_filled(altimetry, ocean, static, anomaly, max_bytes: int = fuse.DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """J1 + J2 + J3 + W1 with one shuffle and one sort of the backbone.
 
     Static columns enter the pixel shuffle as one extra row per pixel with a
@@ -65,7 +65,7 @@ def build_filled(altimetry, ocean, static, anomaly) -> DataFrame:
     w = fuse.pixel_window()
     filled = merged.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in sensors + st_cols})
     filled = filled.where(F.col("time").isNotNull())
-    return fuse.forward_fill(fuse.attach_anomaly(filled, anomaly), ["lwe_length"])
+    return fuse.forward_fill(fuse.attach_anomaly(filled, anomaly, max_bytes=max_bytes), ["lwe_length"])
 
 
 def build_long_sparse(altimetry: DataFrame, ocean: DataFrame, static: DataFrame,

@@ -106,3 +106,19 @@ def test_single_shuffle_fill_equals_join_form(spark):
         return sorted((tuple(r) for r in df.select(*cols).collect()),
                       key=lambda r: tuple((x is None, str(x)) for x in r))
     assert rows(a) == rows(b)
+
+
+def test_filled_table_salted_anomaly_join_equals_broadcast(spark):
+    """The anomaly table over the broadcast budget takes the salted shuffle join; same rows."""
+    from floe.plans import lsp
+    from floe.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    d = SF_SMALL
+    args = (fx.fx_icesat(spark, d), fx.fx_ocean(spark, d), fx.fx_static(spark, d), fx.fx_grace(spark, d))
+    a, b = lsp.build_filled(*args), lsp.build_filled(*args, max_bytes=0)
+    cols = sorted(a.columns)
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.select(*cols).collect()),
+                      key=lambda r: tuple((x is None, str(x)) for x in r))
+    assert rows(a) == rows(b)
