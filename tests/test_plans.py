@@ -58,10 +58,12 @@ def test_totals_pass_reads_three_columns(spark):
     assert "HashAggregate" in plan and "partial_count" in plan   # map-side partial aggregation
 
 
-def test_slope_one_exchange_per_axis(spark):
-    plan = _plan(Q["w6_slope"](spark, SF_SMALL))
-    assert len(re.findall(r"Exchange hashpartitioning\(ix#", plan)) == 1
-    assert len(re.findall(r"Exchange hashpartitioning\(iy#", plan)) == 1
+def test_slope_one_exchange_for_both_axes(spark):
+    """Halo tiles: one shuffle by tile; both axis windows reuse it (sorts only)."""
+    plan = _initial(Q["w6_slope"](spark, SF_SMALL))
+    assert len(re.findall(r"Exchange hashpartitioning\(_ty#", plan)) == 1
+    assert not re.findall(r"Exchange hashpartitioning\((ix|iy)#", plan)
+    assert len(re.findall(r"\bWindow \[", plan)) == 2
 
 
 def test_projection_and_filter_reach_the_scan(spark):
