@@ -112,12 +112,15 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     """
     if len(curriculum) != len(weights):
         raise ValueError("one schedule per weight")
-    cols = [c for c in docs.columns if c != "mix"]
+    docs = docs.drop("mix")
+    names = docs.columns
+    # columns by position: no clash with the names below, and those that nobody reads stay in the files
+    src = docs.toDF(*[f"__{i}" for i in range(len(names))])
+    at = {n: F.col(f"__{i}") for i, n in enumerate(names)}
     n_ranges = min(1 << 20, max(16, math.ceil(docs.count() / range_rows)))
-    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    row = F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row")
-    base = docs.select(row, _source_key(F.col(source_col)).alias("_src"), word_count(F.col(text_col)).alias("_z"),
-                       key.alias("_k"), F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_th"))
+    key = F.md5(F.coalesce(at[id_col].cast("string"), F.lit("")).cast("binary"))
+    base = src.select("*", _source_key(at[source_col]).alias("_src"), word_count(at[text_col]).alias("_z"),
+                      key.alias("_k"), at[id_col].alias("_id"), F.xxhash64(at[text_col]).alias("_th"))
     base = base.withColumn("_r", F.floor(F.conv(F.substring("_k", 1, 8), 16, 10).cast("long") * n_ranges / F.lit(1 << 32)).cast("int"))
 
     sums = base.groupBy("_src", "_r").agg(F.sum("_z").alias("_rz"))
@@ -136,7 +139,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     positions = F.transform(laps_taken, lambda lap: invert_schedule(F.col("_slot"), share(lap), curriculum))
     info = F.struct(F.col("_z").alias("size"), F.col("_s").alias("source_size"), F.col("_t").alias("target"),
                     F.col("_n").alias("copies"), (F.col("_z") * F.col("_n")).alias("taken"), positions.alias("positions"))
-    return d.select("_row.*", info.alias("mix"))
+    return d.select(*[at[n].alias(n) for n in names], info.alias("mix"))
 
 
 def by_position(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:

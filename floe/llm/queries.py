@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import chat, mixing
+import public_tokenizers
+
+from floe.llm import chat, mixing, piece_bpe, simhash
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +30,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# -- 1: SimHash near-dedup ----------------------------------------------------------------------------
+
+
+@query("op1_simhash_dedup")
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# -- 2: SentencePiece encoding and decoding ---------------------------------------------------------------
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.round_trip_digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 # -- 7: chat formatting -------------------------------------------------------------------------
 
 #: A conversation whose texts look like control strings, formatted beside the given ones.
