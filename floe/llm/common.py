@@ -38,6 +38,11 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*cols) if cols else F.lit(0).cast("long")
 
 
+def plus(schema: T.StructType, ddl: str) -> T.StructType:
+    """``schema`` with the fields of a DDL string added."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 def fresh(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns that an operator is about to add."""
     return df.drop(*[c for c in df.columns if c in names])

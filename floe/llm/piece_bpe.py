@@ -31,7 +31,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import fresh
+from floe.llm.common import fresh, plus
 
 MARK = "▁"
 #: Encoded strings that a generation of a worker's memory holds (there are two), and their longest.
@@ -313,7 +313,7 @@ def encode_documents(docs: DataFrame, model_path: str, *, text_col: str = "text"
             ids = pa.array([t.encode(x.as_py()) for x in b.column("_text")], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), ids], names=[*names, out_col])
     return (src.withColumn("_text", F.col(f"`{text_col}`").cast("string"))
-            .mapInArrow(run, src.schema.add(out_col, "array<int>")))
+            .mapInArrow(run, plus(src.schema, f"`{out_col}` array<int>")))
 
 
 def decode_documents(rows: DataFrame, model_path: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -326,7 +326,7 @@ def decode_documents(rows: DataFrame, model_path: str, *, ids_col: str = "ids",
         for b in batches:
             said = pa.array([t.decode(x.as_py() or []) for x in b.column(ids_col)], pa.string())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), said], names=[*names, out_col])
-    return src.mapInArrow(run, src.schema.add(out_col, "string"))
+    return src.mapInArrow(run, plus(src.schema, f"`{out_col}` string"))
 
 
 def round_trip_digests(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -348,5 +348,5 @@ def round_trip_digests(docs: DataFrame, model_path: str, *, id_col: str = "doc_i
                 text_sha.append(hashlib.sha256(t.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(ids_sha), pa.array(text_sha)],
                                              names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
-    schema = src.select(id_col).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    schema = plus(src.select(id_col).schema, "n_tokens long, ids_sha256 string, decoded_sha256 string")
     return src.mapInArrow(run, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from floe.llm import chat, mixing, piece_bpe, simhash
+from floe.llm import chat, mixing, ordinal_quality, piece_bpe, simhash
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +89,22 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "formatted_chars"))
 
 
+# -- 9: quality classifier ------------------------------------------------------------------------------
+
+
+def graded(labels: DataFrame) -> DataFrame:
+    """The labels as ratings 0, 1, 2: one point for quality, one for not being toxic."""
+    return labels.select("doc_id", (F.col("quality") + 1 - F.col("toxic")).alias("grade"))
+
+
+@query("op9_ordinal_quality")
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = ordinal_quality.rate_documents(docs, graded(table(spark, sf_dir, "labels")))
+    return rated.select("doc_id", F.round("quality.expected_grade", 6).alias("expected_grade"), F.round("quality.tail", 6).alias("tail_probability"),
+                        (F.col("quality.tail") >= ordinal_quality.MIN_TAIL).alias("kept"))
+
+
 # -- 10: mixing sources to target weights -----------------------------------------------------------
 
 OP10 = """

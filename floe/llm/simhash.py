@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import connected_components, row_hash, utf8
+from floe.llm.common import connected_components, plus, row_hash, utf8
 from floe.session import materialize
 
 SEED = 42
@@ -118,7 +118,7 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text", keep: list[str], sh
             cols = [b.column(c) for c in keep] + [pa.array(fp.view(np.int64))]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "fp"])
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("_text"))
-    schema = src.drop("_text").schema.add("fp", "long")
+    schema = plus(src.drop("_text").schema, "fp long")
     return src.mapInArrow(run, schema)
 
 
