@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +73,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (for sinks in queries)."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/floe-out/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers (once per context), for functions that run inside tasks.
+
+    A package that is installed on the workers, or sent with ``--py-files``, does as well.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_floe_shipped", False):
+        return
+    root = Path(__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="floe-zip-")) / "floe.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    sc._floe_shipped = True
