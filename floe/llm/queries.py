@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
-from floe.llm import chat, mixing, ordinal_quality, piece_bpe, simhash
+from floe.llm import chat, mixing, ordinal_quality, piece_bpe, simhash, suffix_dedup
+from floe.session import ship_package
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,10 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def deco(fn: Builder) -> Builder:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -49,6 +52,16 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip_digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+# -- 5: suffix-array dedup ------------------------------------------------------------------------------
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, min_bytes=200).select(
+        "doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", F.sha2("dedup.kept", 256).alias("kept_sha256"))
+
+
 # -- 7: chat formatting -------------------------------------------------------------------------
 
 #: A conversation whose texts look like control strings, formatted beside the given ones.
