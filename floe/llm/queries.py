@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import chat, mixing, ordinal_quality, piece_bpe, simhash, suffix_dedup
+from floe.llm import chat, embed_dedup, mixing, ordinal_quality, piece_bpe, simhash, suffix_dedup
 from floe.session import ship_package
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,14 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip_digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+# -- 3: embedding near-dedup ------------------------------------------------------------------------------
+
+
+@query("op3_embedding_dedup")
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.embedding_groups(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 # -- 5: suffix-array dedup ------------------------------------------------------------------------------
 
 
