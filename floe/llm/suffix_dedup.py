@@ -10,13 +10,13 @@ counted) is removed. Four steps:
 2. Only grams that occur twice go on. Their number sets the size of a Bloom filter (bounded; it only
    saves shuffling, a join decides), by which a second scan sends on the anchors that may repeat.
    Anchors whose whole context occurs twice are settled by counting.
-3. The other contexts meet by gram, each distinct context once. A group is an enhanced sparse suffix array:
+3. The other contexts meet by gram, each distinct context once (tasks send the bytes of a context once). A group is an enhanced sparse suffix array:
    the suffixes at the anchors, sorted, with their common prefixes. A stack scan gives its intervals; in
    each, the texts to the left are sorted and scanned the same way, and a left interval whose members
    differ in what precedes it, and which is not one of a deeper right interval, is a maximal repeat with all
    its occurrences.
-4. Groups of more than ``group`` distinct contexts are never gathered. Their windows are halved by position:
-   the bytes common to all windows of a half make a longer key, and the rows are grouped anew, down to
+4. Groups of more than ``group`` distinct contexts are never gathered. Their windows are parted by position:
+   the bytes common to all windows of a part make a longer key, and the rows are grouped anew, down to
    single windows, where equality of keys settles all.
 
 Documents are known by a hash of their text (128 bits of SHA-256); equal texts have equal results.
@@ -36,13 +36,17 @@ from floe.llm.common import by_group, fresh, plus, utf8
 from floe.session import materialize
 
 MIN_BYTES = 200
-GRAM = 50
+GRAM = 80
 #: Distinct contexts of a key that are sorted in one task.
-GROUP = 64
+GROUP = 256
+#: Parts that the windows of larger groups are cut into at a time.
+PARTS = 4
+#: Contexts that a task remembers having sent.
+SENT = 200_000
 #: Bits of a Bloom filter for each gram, and at most.
 BLOOM_BITS, BLOOM_MAX = 16, 1 << 27
 #: Bytes looked at together; bounds a worker's arrays whatever the length of a text.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -218,13 +222,14 @@ def _merged(run, rows: int = 50_000):
     return out
 
 
-_HITS = "ah long, ch long, k binary, pos int, left int, right int, ctx binary"
+_HITS = "ah long, ch long, k binary, pos int, left int, right int, ctx binary, mixed boolean"
 
 
 def _anchor_hits(texts: DataFrame, min_bytes: int, gram: int, any_of, mixed) -> DataFrame:
-    """Anchors that a filter lets through; with the bytes of their context if their gram has several contexts."""
+    """Anchors that a filter lets through; ``mixed`` by another filter if their gram has several contexts, then
+    with the bytes of the context when the task meets it first."""
     def run(batches):
-        pick = Anchors(min_bytes, gram)
+        pick, sent = Anchors(min_bytes, gram), set()
         for b in batches:
             data, keys = list(utf8(b.column("data"))), b.column("k")
             for i, at, h in pick.of_texts(data):
@@ -232,15 +237,26 @@ def _anchor_hits(texts: DataFrame, min_bytes: int, gram: int, any_of, mixed) ->
                 if not hit.any():
                     continue
                 at, h, t = at[hit], h[hit], data[i]
-                more = mixed.value.has(h).tolist()
+                more = mixed.value.has(h)
                 lo, hi = pick.contexts(t, at)
-                ctx = [t[a:c] for a, c in zip(lo.tolist(), hi.tolist())]
                 left = at - lo
+                digests, ctx = [], []
+                for a, c, x, m, g in zip(lo.tolist(), hi.tolist(), left.tolist(), more.tolist(), h.tolist()):
+                    part = t[a:c]
+                    d = _digest(part, x)
+                    digests.append(d)
+                    if m and (g, d) not in sent:
+                        if len(sent) >= SENT:
+                            sent.clear()
+                        sent.add((g, d))
+                        ctx.append(part)
+                    else:
+                        ctx.append(None)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), _signed([_digest(c, s) for c, s in zip(ctx, left.tolist())]),
-                     pa.array([keys[i].as_py()] * len(at), pa.binary()), pa.array(at.astype(np.int32)), pa.array(left.astype(np.int32)),
-                     pa.array((hi - at).astype(np.int32)), pa.array([c if m else None for c, m in zip(ctx, more)], pa.binary())],
-                    names=["ah", "ch", "k", "pos", "left", "right", "ctx"])
+                    [pa.array(h.view(np.int64)), _signed(digests), pa.array([keys[i].as_py()] * len(at), pa.binary()),
+                     pa.array(at.astype(np.int32)), pa.array(left.astype(np.int32)), pa.array((hi - at).astype(np.int32)),
+                     pa.array(ctx, pa.binary()), pa.array(more)],
+                    names=["ah", "ch", "k", "pos", "left", "right", "ctx", "mixed"])
     return texts.select("k", "data").mapInArrow(_merged(run), _HITS)
 
 
@@ -329,66 +345,68 @@ def _repeats_in_groups(groups: DataFrame, min_bytes: int) -> DataFrame:
     return by_group(groups.select("ah", "c", "k", "pos", "left", "ctx", "lo", "hi"), ["ah"], run, "k binary, b int, e int")
 
 
-def _halved(rows: DataFrame, min_bytes: int) -> DataFrame:
-    """Each context's windows in two halves, keyed by what all windows of a half share; the context cut to the half."""
+def _parted(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """Each context's windows in parts, keyed by what all windows of a part share; the context cut to the part."""
     def run(batches):
         for b in batches:
             n = b.num_rows
-            ah, c, pos, left = (b.column(x).to_numpy(zero_copy_only=False) for x in ("ah", "c", "pos", "left"))
-            lo, hi = (b.column(x).to_numpy(zero_copy_only=False) for x in ("lo", "hi"))
+            ah, left, lo, hi = (b.column(x).to_pylist() for x in ("ah", "left", "lo", "hi"))
             ctx = b.column("ctx").to_pylist()
-            take, out = [], {x: [] for x in ("ah", "ch", "left", "ctx", "lo", "hi")}
+            take, out = [], {x: [] for x in ("ah", "ch", "left", "right", "ctx", "lo", "hi")}
             for i in range(n):
-                mid = (int(lo[i]) + int(hi[i])) // 2
-                at, data = int(left[i]), ctx[i]
-                for x, y in ((int(lo[i]), mid), (mid + 1, int(hi[i]))):
+                step = -(-(hi[i] - lo[i] + 1) // PARTS)
+                at, data = left[i], ctx[i]
+                for x in range(lo[i], hi[i] + 1, step):
+                    y = min(x + step - 1, hi[i])
                     # windows start at x..y from the anchor; those that the context holds
                     s, t = max(x, -at), min(y, len(data) - at - min_bytes)
-                    if x > y or s > t:
+                    if s > t:
                         continue
                     part = data[at + s: at + t + min_bytes]
                     take.append(i)
-                    out["ah"].append(_digest(data[at + y: at + x + min_bytes], (int(ah[i]) * 1009 + x) & _MASK))
+                    out["ah"].append(_digest(data[at + y: at + x + min_bytes], (ah[i] * 1009 + x) & _MASK))
                     out["ch"].append(_digest(part, s & _MASK))
                     out["left"].append(-s)
+                    out["right"].append(t + min_bytes)
                     out["ctx"].append(part)
                     out["lo"].append(x)
                     out["hi"].append(y)
             pick = pa.array(take, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [_signed(out["ah"]), _signed(out["ch"]), pa.array(c).take(pick), b.column("k").take(pick), pa.array(pos).take(pick),
-                 pa.array(out["left"], pa.int32()), pa.array(out["ctx"], pa.binary()), pa.array(out["lo"], pa.int32()), pa.array(out["hi"], pa.int32())],
-                names=["ah", "ch", "c", "k", "pos", "left", "ctx", "lo", "hi"])
+                [_signed(out["ah"]), _signed(out["ch"]), *(b.column(x).take(pick) for x in ("c", "k", "pos")),
+                 *(pa.array(out[x], pa.int32()) for x in ("left", "right")), pa.array(out["ctx"], pa.binary()),
+                 *(pa.array(out[x], pa.int32()) for x in ("lo", "hi"))],
+                names=["ah", "ch", "c", "k", "pos", "left", "right", "ctx", "lo", "hi"])
     return rows.select("ah", "c", "k", "pos", "left", "ctx", "lo", "hi").mapInArrow(
-        run, "ah long, ch long, c long, k binary, pos int, left int, ctx binary, lo int, hi int")
+        run, "ah long, ch long, c long, k binary, pos int, left int, right int, ctx binary, lo int, hi int")
 
 
 def _resolve(rows: DataFrame, min_bytes: int, group: int, levels: int) -> list[DataFrame]:
-    """Spans of occurrences ``(ah, ch, c, k, pos, left, ctx, lo, hi)``; ``c`` counts occurrences that a row stands for.
+    """Spans of occurrences ``(ah, ch, c, k, pos, left, right, ctx, lo, hi)``; ``c`` counts occurrences that a row stands for.
 
     Rows that stand for several are partners only: their own spans were found when they were put together.
+    ``ctx`` is null where another row with the same ``ah`` and ``ch`` has it.
     """
     spans = []
     for _ in range(levels + 1):
-        each = rows.groupBy("ah", "ch").agg(
-            F.sum("c").alias("n"), F.min(F.struct("k", "pos")).alias("one"), F.first("left").alias("left"), F.first("ctx").alias("ctx"),
-            F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-        each = materialize(each, "contexts")
-        twice = each.where("n > 1").select("ah", "ch")
-        spans.append(rows.where("c = 1").join(twice, ["ah", "ch"])
-                     .select("k", (F.col("pos") - F.col("left")).alias("b"), (F.col("pos") - F.col("left") + F.length("ctx")).alias("e"))
-                     .where(F.col("e") - F.col("b") >= min_bytes))
+        # k and pos are those of the only occurrence, or not used
+        each = materialize(rows.groupBy("ah", "ch").agg(
+            F.sum("c").alias("c"), *[F.max(x).alias(x) for x in ("k", "pos", "left", "ctx", "lo", "hi")]), "contexts")
+        twice = each.where("c > 1").select("ah", "ch")
+        spans.append(rows.where((F.col("c") == 1) & (F.col("left") + F.col("right") >= min_bytes)).select("ah", "ch", "k", "pos", "left", "right")
+                     .join(twice, ["ah", "ch"])
+                     .select("k", (F.col("pos") - F.col("left")).alias("b"), (F.col("pos") + F.col("right")).alias("e")))
         size = each.groupBy("ah").agg(F.count("*").alias("m")).where("m > 1")
-        some = each.join(size, "ah").select("ah", F.col("n").alias("c"), "one.k", "one.pos", "left", "ctx", "lo", "hi", "m")
+        some = each.join(size, "ah")
         spans.append(_repeats_in_groups(some.where(F.col("m") <= group), min_bytes))
         crowd = some.where(F.col("m") > group)
-        if crowd.isEmpty():
+        if size.where(F.col("m") > group).isEmpty():
             return spans
+        rows = materialize(_parted(crowd, min_bytes), "parts")
         # keys that occur once need no further look
-        rows = materialize(_halved(crowd, min_bytes), "halves")
-        alone = rows.groupBy("ah").agg(F.sum("c").alias("n")).where("n > 1").select("ah")
-        rows = rows.join(alone, "ah")
-    raise RuntimeError("windows were halved down to one and still differ")
+        again = rows.groupBy("ah").agg(F.sum("c").alias("n")).where("n > 1").select("ah")
+        rows = rows.join(again, "ah")
+    raise RuntimeError("windows were parted down to one and still differ")
 
 
 def repeat_spans(docs: DataFrame, *, text_col: str = "text", min_bytes: int = MIN_BYTES, gram: int = GRAM, group: int = GROUP) -> DataFrame:
@@ -402,15 +420,17 @@ def repeat_spans(docs: DataFrame, *, text_col: str = "text", min_bytes: int = MI
     counts = repeated.agg(F.count("*"), F.count_if("mixed")).first()
     every = spark.sparkContext.broadcast(Bloom.of(repeated, counts[0]))
     mixed = spark.sparkContext.broadcast(Bloom.of(repeated.where("mixed"), counts[1]))
-    hits = materialize(_anchor_hits(texts, min_bytes, gram, every, mixed).join(repeated, "ah"), "anchors")
-    whole = (hits.where(~F.col("mixed") & (F.col("left") + F.col("right") >= min_bytes))
+    hits = materialize(_anchor_hits(texts, min_bytes, gram, every, mixed), "anchors")
+    # what passes a filter by chance: here the join drops it, among the mixed it is alone with its gram
+    whole = (hits.where(~F.col("mixed") & (F.col("left") + F.col("right") >= min_bytes)).select("ah", "k", "pos", "left", "right")
+             .join(repeated.where("not mixed").select("ah"), "ah")
              .select("k", (F.col("pos") - F.col("left")).alias("b"), (F.col("pos") + F.col("right")).alias("e")))
     span = min_bytes - gram
-    rows = hits.where("mixed").select("ah", "ch", F.lit(1).cast("long").alias("c"), "k", "pos", "left", "ctx",
+    rows = hits.where("mixed").select("ah", "ch", F.lit(1).cast("long").alias("c"), "k", "pos", "left", "right", "ctx",
                                       F.lit(-span).alias("lo"), F.lit(0).alias("hi"))
     spans = [whole]
     if counts[1]:
-        spans += _resolve(rows, min_bytes, group, math.ceil(math.log2(span + 1)) + 1)
+        spans += _resolve(rows, min_bytes, group, math.ceil(math.log(span + 1, PARTS)) + 1)
     out = spans[0]
     for s in spans[1:]:
         out = out.unionByName(s)
