@@ -19,7 +19,7 @@ from floe.llm.common import fresh, plus, utf8
 GRAM = 4
 BUCKETS = 1 << 16
 #: Mean log-likelihood ratio (natural log, per n-gram) from which a text is kept.
-THRESHOLD = -0.10
+THRESHOLD = -0.25
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import chat, embed_dedup, mixing, ordinal_quality, piece_bpe, simhash, suffix_dedup
+from floe.llm import chat, embed_dedup, mixing, ordinal_quality, piece_bpe, quality_rules, simhash, suffix_dedup, url_filter
 from floe.session import ship_package
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,28 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.embedding_groups(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+# -- 4: quality rules -------------------------------------------------------------------------------------
+
+#: Trusted documents that the target multinomial is counted on, at most: those whose ids hash lowest.
+MAX_TRUSTED = 20_000
+
+
+def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts labelled as good and not toxic: a bounded sample, joined by a broadcast of its ids."""
+    ids = (labels.where("quality = 1 AND toxic = 0").select("doc_id").distinct()
+           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRUSTED))
+    return docs.join(F.broadcast(ids), "doc_id").select("text")
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules.judge_documents(docs, trusted(docs, table(spark, sf_dir, "labels")))
+    r = "rules."
+    return judged.select("doc_id", *[r + c for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")],
+                         F.round("rules.score", 6).alias("score"))
+
+
 # -- 5: suffix-array dedup ------------------------------------------------------------------------------
 
 
@@ -110,6 +132,18 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "formatted_chars"))
 
 
+# -- 8: URL filters ---------------------------------------------------------------------------------------
+
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.train(url_filter.labelled_sample(pages, URL_RULES))
+    return url_filter.judge_urls(pages, URL_RULES, model).select("page_id", "filter.host", "filter.path", "filter.rule", "filter.verdict")
+
+
 # -- 9: quality classifier ------------------------------------------------------------------------------
 
 
