@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import chat, embed_dedup, mixing, ordinal_quality, piece_bpe, quality_rules, simhash, suffix_dedup, url_filter
+from floe.llm import chat, embed_dedup, mixing, ordinal_quality, piece_bpe, quality_rules, simhash, suffix_dedup, url_filter, warc_zip
 from floe.session import ship_package
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,24 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", F.sha2("dedup.kept", 256).alias("kept_sha256"))
 
 
+# -- 6: WARC in ZIP -----------------------------------------------------------------------------------------
+
+OP6 = """
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> best THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> best THEN best END AS refers_to
+FROM (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS digest,
+        max(page_id) OVER (PARTITION BY coalesce(html, '')) AS best FROM pages)
+"""
+
+
+@query("op6_warc_zip", OP6)
+def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc_zip.round_trip(spark, table(spark, sf_dir, "pages"))
+    return read.select(F.expr("try_cast(page AS bigint)").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+                       F.col("type").alias("record_type"), F.expr("try_cast(refers_to AS bigint)").alias("refers_to"))
+
+
 # -- 7: chat formatting -------------------------------------------------------------------------
 
 #: A conversation whose texts look like control strings, formatted beside the given ones.
