@@ -438,9 +438,11 @@ def repeat_spans(docs: DataFrame, *, text_col: str = "text", min_bytes: int = MI
     return out.select("k", packed).distinct().groupBy("k").agg(F.collect_list("s").alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, *, text_col: str = "text", min_bytes: int = MIN_BYTES, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, text_col: str = "text", min_bytes: int = MIN_BYTES, gram: int = GRAM, group: int = GROUP,
+                   as_text: bool = False) -> DataFrame:
     """``docs`` with a struct ``dedup`` (an input column of that name is replaced): ``n_bytes``, ``n_removed``,
-    ``n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes; cuts may split a character).
+    ``n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes; cuts may split a character). With
+    ``as_text``, ``kept`` is a string, without what is left of split characters.
 
     Null text counts as empty and keeps nothing. Texts under ``min_bytes`` are whole. Copies and repeated rows
     repeat each other entirely; ids play no part, so ties don't matter. An empty table gives an empty table.
@@ -467,8 +469,9 @@ def remove_repeats(docs: DataFrame, *, text_col: str = "text", min_bytes: int =
                 n[1, i], n[2, i] = (z - a).sum(), len(a)
                 stay = zip([0, *z.tolist()], [*a.tolist(), len(t)])
                 kept.append(b"".join([t[x:y] for x, y in stay]))
-            made = pa.StructArray.from_arrays([*(pa.array(x) for x in n), pa.array(kept, pa.binary())],
+            left = pa.array([t.decode("utf-8", "ignore") for t in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+            made = pa.StructArray.from_arrays([*(pa.array(x) for x in n), left],
                                               names=["n_bytes", "n_removed", "n_spans", "kept"])
             yield pa.RecordBatch.from_arrays([b.column("row"), made], names=["row", "dedup"])
-    schema = plus(joined.select("row").schema, "dedup struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept:binary>")
+    schema = plus(joined.select("row").schema, f"dedup struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept:{'string' if as_text else 'binary'}>")
     return joined.mapInArrow(run, schema).select("row.*", "dedup")
