@@ -45,7 +45,15 @@ def plus(schema: T.StructType, ddl: str) -> T.StructType:
 
 def fresh(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns that an operator is about to add."""
-    return df.drop(*[c for c in df.columns if c in names])
+    return df.drop(*names)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def group_starts(table: pa.Table, keys: Iterable[str]) -> np.ndarray:

@@ -17,12 +17,13 @@ small table, and a running sum inside each range. No source is ever handled by o
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WORD = r"[^\x20\x09-\x0D]+"
+from floe.llm.common import WORD, unused
+
 #: Documents aimed at in one hash range of a source.
 RANGE_ROWS = 20_000
 #: (time, rate) knots by weight slot: light sources early, heavy ones late.
@@ -146,11 +147,14 @@ def by_position(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per document, range-sorted by its first position; documents not taken come last, spread by hash."""
     last = F.lit(2.0) + F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     at = F.coalesce(F.get(F.col("mix.positions"), F.lit(0)), last)
-    keyed = mixed.withColumn("_at", at)
-    return keyed.repartitionByRange(F.col("_at"), F.col(id_col)).sortWithinPartitions("_at", id_col).drop("_at")
+    return _sorted(mixed.withColumn(name := unused(mixed, "_at"), at), name, id_col)
 
 
 def training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per taken copy in training order, with the columns of the documents."""
-    copies = mixed.withColumn("_at", F.explode("mix.positions"))
-    return copies.repartitionByRange(F.col("_at"), F.col(id_col)).sortWithinPartitions("_at", id_col).drop("_at", "mix")
+    name = unused(mixed, "_at")
+    return _sorted(mixed.withColumn(name, F.explode("mix.positions")), name, id_col).drop("mix")
+
+
+def _sorted(rows: DataFrame, name: str, id_col: str) -> DataFrame:
+    return rows.repartitionByRange(F.col(name), F.col(id_col)).sortWithinPartitions(name, id_col).drop(name)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import fresh, plus, utf8
+from floe.llm.common import fresh, plus, unused, utf8
 
 WORD_BUCKETS = 1 << 17
 #: Bytes of a word's beginning that make a feature.
@@ -177,19 +177,19 @@ def score_documents(docs: DataFrame, model: OrdinalModel, *, text_col: str = "te
     columns don't matter; an empty table gives an empty table.
     """
     src = fresh(docs, out_col)
-    names = src.columns
+    names, held = src.columns, unused(src, "_text")
     context = docs.sparkSession.sparkContext.broadcast(model)  # a fixed size: the feature buckets
 
     def run(batches):
         m = context.value
         for b in batches:
-            s = np.fromiter((m.score(t) for t in utf8(b.column("_text"))), np.float64, b.num_rows)
+            s = np.fromiter((m.score(t) for t in utf8(b.column(held))), np.float64, b.num_rows)
             tails = m.tails(s)
             made = pa.StructArray.from_arrays([pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(s)],
                                               names=["expected_grade", "tail", "score"])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), made], names=[*names, out_col])
     schema = plus(src.schema, f"`{out_col}` struct<expected_grade:double,tail:double,score:double>")
-    return src.withColumn("_text", F.col(f"`{text_col}`").cast("string")).mapInArrow(run, schema)
+    return src.withColumn(held, F.col(f"`{text_col}`").cast("string")).mapInArrow(run, schema)
 
 
 def rate_documents(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -31,7 +31,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import fresh, plus
+from floe.llm.common import fresh, plus, unused
 
 MARK = "▁"
 #: Encoded strings that a generation of a worker's memory holds (there are two), and their longest.
@@ -305,14 +305,14 @@ def encode_documents(docs: DataFrame, model_path: str, *, text_col: str = "text"
     every worker has. An empty table gives an empty table.
     """
     src = fresh(docs, out_col)
-    names = src.columns
+    names, held = src.columns, unused(src, "_text")
 
     def run(batches):
         t = tokenizer(model_path)
         for b in batches:
-            ids = pa.array([t.encode(x.as_py()) for x in b.column("_text")], pa.list_(pa.int32()))
+            ids = pa.array([t.encode(x.as_py()) for x in b.column(held)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), ids], names=[*names, out_col])
-    return (src.withColumn("_text", F.col(f"`{text_col}`").cast("string"))
+    return (src.withColumn(held, F.col(f"`{text_col}`").cast("string"))
             .mapInArrow(run, plus(src.schema, f"`{out_col}` array<int>")))
 
 

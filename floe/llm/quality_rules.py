@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import fresh, plus, utf8
+from floe.llm.common import fresh, plus, unused, utf8
 
 GRAM = 4
 BUCKETS = 1 << 16
@@ -135,7 +135,7 @@ def judge_documents(docs: DataFrame, target: DataFrame, *, text_col: str = "text
     table gives an empty table.
     """
     src = fresh(docs, "rules")
-    names = src.columns
+    names, held = src.columns, unused(src, "_text")
     trusted = gram_counts(target, target_col)
     ratio = Ratio.of(trusted, gram_counts(src, text_col)) if trusted.any() else Ratio(np.zeros(BUCKETS))
     context = docs.sparkSession.sparkContext.broadcast(ratio)  # a number for each bucket
@@ -146,7 +146,7 @@ def judge_documents(docs: DataFrame, target: DataFrame, *, text_col: str = "text
         for b in batches:
             n = np.zeros((b.num_rows, len(counts)), np.int64)
             score = np.zeros(b.num_rows)
-            for i, t in enumerate(utf8(b.column("_text"))):
+            for i, t in enumerate(utf8(b.column(held))):
                 n[i] = base_counts(t)
                 score[i] = ratio.score(t)
             failed = (n[:, 0] < MIN_WORDS) | (100 * n[:, 4] > MAX_REPEAT_PERCENT * n[:, 0])
@@ -154,4 +154,4 @@ def judge_documents(docs: DataFrame, target: DataFrame, *, text_col: str = "text
                                               names=[*counts, "base_failed", "score", "kept"])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), made], names=[*names, "rules"])
     schema = plus(src.schema, f"rules struct<{','.join(f'{c}:bigint' for c in counts)},base_failed:boolean,score:double,kept:boolean>")
-    return src.withColumn("_text", F.col(f"`{text_col}`").cast("string")).mapInArrow(run, schema)
+    return src.withColumn(held, F.col(f"`{text_col}`").cast("string")).mapInArrow(run, schema)

@@ -182,9 +182,9 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     The choice is made on (id, row hash) only; the texts are shuffled once, to join the choice.
     """
-    hashed = docs.withColumn("_rh", row_hash(docs))
-    grouped = simhash_groups(hashed, id_col=id_col, text_col=text_col, shingle=shingle, max_bits=max_bits, extra=["_rh"])
-    order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("_rh").alias("h"))
+    hashed = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), row_hash(docs).alias("rh"))
+    grouped = simhash_groups(hashed, id_col="id", text_col="text", shingle=shingle, max_bits=max_bits, extra=["rh"])
+    order = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("rh").alias("h"))
     chosen = grouped.groupBy("root").agg(F.min(order).alias("c"))
     key = lambda i, h: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("~")), h.cast("string"))
     chosen = chosen.select(key(F.col("c.i"), F.col("c.h")).alias("_key"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import fresh, plus
+from floe.llm.common import fresh, plus, unused
 
 BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
@@ -112,18 +112,18 @@ def judge_urls(pages: DataFrame, rules: Mapping[str, str], model: UrlModel, *, u
         raise ValueError("rules are host/path, verdicts allow or block")
     src = fresh(pages, "filter")
     names = src.columns
-    u = F.col(f"`{url_col}`")
-    d = src.withColumns({"_host": url_host(u), "_path": url_path(u)})
-    rule, verdict = matching_rule(F.col("_host"), F.col("_path"), rules)
-    d = d.withColumns({"_rule": rule, "_verdict": verdict})
+    u, held = F.col(f"`{url_col}`"), unused(src, "_url")
+    rule, verdict = matching_rule(F.col(f"{held}.host"), F.col(f"{held}.path"), rules)
+    d = (src.withColumn(held, F.struct(url_host(u).alias("host"), url_path(u).alias("path")))
+         .withColumn(held, F.struct(f"{held}.*", rule.alias("rule"), verdict.alias("verdict"))))
     context = pages.sparkSession.sparkContext.broadcast(model)  # a number for each bucket
 
     def run(batches):
         m = context.value
         for b in batches:
+            host, path, rule, verdict = b.column(held).flatten()
             said = [v if v is not None else ("block" if m.block_score(h, p) >= 0 else "allow")
-                    for h, p, v in zip(*(b.column(c).to_pylist() for c in ("_host", "_path", "_verdict")))]
-            made = pa.StructArray.from_arrays([b.column("_host"), b.column("_path"), b.column("_rule"), pa.array(said, pa.string())],
-                                              names=["host", "path", "rule", "verdict"])
+                    for h, p, v in zip(host.to_pylist(), path.to_pylist(), verdict.to_pylist())]
+            made = pa.StructArray.from_arrays([host, path, rule, pa.array(said, pa.string())], names=["host", "path", "rule", "verdict"])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), made], names=[*names, "filter"])
     return d.mapInArrow(run, plus(src.schema, "filter struct<host:string,path:string,rule:string,verdict:string>"))
