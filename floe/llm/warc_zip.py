@@ -68,7 +68,7 @@ def members(f, size: int) -> list[Member]:
     """Entries of the central directory of an open package of ``size`` bytes."""
     tail = read_at(f, max(0, size - 65_557), min(size, 65_557))
     at = tail.rfind(b"PK\5\6")
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+    while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
         at = tail.rfind(b"PK\5\6", 0, at)
     if at < 0:
         raise ValueError("no end of central directory")
@@ -238,7 +238,8 @@ def write_packages(records: DataFrame, folder: str, *, max_bytes: int = MAX_PACK
         for head in source:
             def rest(head=head):
                 yield head
-                yield from source
+                for r in source:  # not "yield from": a package that is full closes this generator, not the source
+                    yield r
             name = f"part-{context.partitionId():05d}-{context.taskAttemptId()}-{k:04d}-{uuid.uuid4().hex[:8]}.wacz"
             store.create_dir(root, recursive=True)
             with store.open_output_stream(f"{root}/{name}") as raw:
