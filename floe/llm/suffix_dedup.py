@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floe.llm.common import by_group, fresh, plus, utf8
+from floe.operators.joins import broadcast_checked
 from floe.session import materialize
 
 MIN_BYTES = 200
@@ -320,10 +321,12 @@ def maximal_repeats(contexts: list[tuple[bytes, bytes]], min_bytes: int):
 
 
 def _repeats_in_groups(groups: DataFrame, min_bytes: int) -> DataFrame:
-    """``(ah, c, k, pos, left, ctx, lo, hi)``, a row per distinct context -> spans ``(k, b, e)`` of the single ones."""
+    """``(ah, c, k, pos, left, ctx)``, a row per distinct context -> spans ``(k, b, e)`` of the single ones.
+
+    All repeats around an occurrence hold its anchor, so their union is one span.
+    """
     def run(t: pa.Table, starts: np.ndarray):
         c, pos, left = (t.column(x).to_numpy() for x in ("c", "pos", "left"))
-        lo, hi = t.column("lo").to_numpy(), t.column("hi").to_numpy()
         ctx, keys = t.column("ctx").to_pylist(), t.column("k")
         ends = [*starts[1:].tolist(), t.num_rows]
         ks, b, e = [], [], []
@@ -334,15 +337,19 @@ def _repeats_in_groups(groups: DataFrame, min_bytes: int) -> DataFrame:
             for i in range(s, end):
                 at = int(left[i])
                 sides.append((ctx[i][:at][::-1], ctx[i][at:]))
+            reach: dict[int, tuple[int, int]] = {}
             for members, l, r in maximal_repeats(sides, min_bytes):
                 for m in members:
-                    if c[s + m] == 1:
-                        ks.append(s + m)
-                        b.append(int(pos[s + m]) - l)
-                        e.append(int(pos[s + m]) + r)
+                    x, y = reach.get(m, (0, 0))
+                    reach[m] = max(x, l), max(y, r)
+            for m, (l, r) in reach.items():
+                if c[s + m] == 1:
+                    ks.append(s + m)
+                    b.append(int(pos[s + m]) - l)
+                    e.append(int(pos[s + m]) + r)
         if ks:
             yield pa.RecordBatch.from_arrays([keys.take(pa.array(ks)).combine_chunks(), pa.array(b, pa.int32()), pa.array(e, pa.int32())], names=["k", "b", "e"])
-    return by_group(groups.select("ah", "c", "k", "pos", "left", "ctx", "lo", "hi"), ["ah"], run, "k binary, b int, e int")
+    return by_group(groups.select("ah", "c", "k", "pos", "left", "ctx"), ["ah"], run, "k binary, b int, e int")
 
 
 def _parted(rows: DataFrame, min_bytes: int) -> DataFrame:
@@ -396,13 +403,13 @@ def _resolve(rows: DataFrame, min_bytes: int, group: int, levels: int) -> list[D
         spans.append(rows.where((F.col("c") == 1) & (F.col("left") + F.col("right") >= min_bytes)).select("ah", "ch", "k", "pos", "left", "right")
                      .join(twice, ["ah", "ch"])
                      .select("k", (F.col("pos") - F.col("left")).alias("b"), (F.col("pos") + F.col("right")).alias("e")))
-        size = each.groupBy("ah").agg(F.count("*").alias("m")).where("m > 1")
-        some = each.join(size, "ah")
-        spans.append(_repeats_in_groups(some.where(F.col("m") <= group), min_bytes))
-        crowd = some.where(F.col("m") > group)
-        if size.where(F.col("m") > group).isEmpty():
-            return spans
-        rows = materialize(_parted(crowd, min_bytes), "parts")
+        # the keys of large groups are few; they are broadcast when a count proves it, else joined by a shuffle
+        large = materialize(each.groupBy("ah").agg(F.count("*").alias("m")).where(F.col("m") > group).select("ah"), "large-groups")
+        if large.isEmpty():
+            return [*spans, _repeats_in_groups(each, min_bytes)]
+        large = broadcast_checked(large, 16 << 20)
+        spans.append(_repeats_in_groups(each.join(large, "ah", "left_anti"), min_bytes))
+        rows = materialize(_parted(each.join(large, "ah", "left_semi"), min_bytes), "parts")
         # keys that occur once need no further look
         again = rows.groupBy("ah").agg(F.sum("c").alias("n")).where("n > 1").select("ah")
         rows = rows.join(again, "ah")
@@ -435,7 +442,7 @@ def repeat_spans(docs: DataFrame, *, text_col: str = "text", min_bytes: int = MI
     for s in spans[1:]:
         out = out.unionByName(s)
     packed = (F.col("b").cast("long") * (1 << 32) + F.col("e")).alias("s")
-    return out.select("k", packed).distinct().groupBy("k").agg(F.collect_list("s").alias("spans"))
+    return out.select("k", packed).groupBy("k").agg(F.collect_set("s").alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, *, text_col: str = "text", min_bytes: int = MIN_BYTES, gram: int = GRAM, group: int = GROUP,
