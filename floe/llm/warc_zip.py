@@ -39,6 +39,8 @@ WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Records next to each other are read together up to this many bytes.
 READ_BYTES = 4 << 20
+#: Bytes of a package that one task reads in a row.
+STRETCH_BYTES = 32 << 20
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -283,11 +285,13 @@ def record_ranges(packages: DataFrame) -> DataFrame:
 _FIELDS = ("page", "url", "type", "digest", "refers_to", "payload_bytes", "payload")
 
 
-def read_records(ranges: DataFrame, *, payload: bool = True) -> DataFrame:
+def read_records(ranges: DataFrame, *, payload: bool = True, total_bytes: int = 0) -> DataFrame:
     """Records at ``(path, offset, length)``: page, url, type, digest, refers_to, payload_bytes and, if wanted, payload.
 
-    Ranges are dealt out by stretches of a package, and neighbours are read together.
+    Ranges are dealt out by stretches of a package, and neighbours are read together. ``total_bytes`` (of the
+    packages) sets the number of tasks, as the ranges themselves are too small for Spark to tell.
     """
+    tasks = max(ranges.sparkSession.sparkContext.defaultParallelism, -(-total_bytes // STRETCH_BYTES))
     want = _FIELDS if payload else _FIELDS[:-1]
 
     def stretches(batches):
@@ -318,8 +322,8 @@ def read_records(ranges: DataFrame, *, payload: bool = True) -> DataFrame:
         if f is not None:
             f.close()
 
-    dealt = (ranges.withColumn("_s", F.floor(F.col("offset") / (8 * READ_BYTES)))
-             .repartition("path", "_s").sortWithinPartitions("path", "offset").select("path", "offset", "length"))
+    dealt = (ranges.withColumn("_s", F.floor(F.col("offset") / STRETCH_BYTES))
+             .repartition(tasks, "path", "_s").sortWithinPartitions("path", "offset").select("path", "offset", "length"))
     kinds = {"payload": "binary", "payload_bytes": "long"}
     return dealt.mapInArrow(run, ", ".join(f"{c} {kinds.get(c, 'string')}" for c in want))
 
@@ -330,4 +334,5 @@ def round_trip(spark: SparkSession, pages: DataFrame, *, payload: bool = False,
     One record per row, repeated rows too; other columns of ``pages`` are ignored; an empty table gives no record.
     """
     packages = write_packages(with_revisits(pages, **columns), scratch_path(spark, "warc"), max_bytes=max_bytes)
-    return read_records(record_ranges(packages), payload=payload)
+    total = packages.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return read_records(record_ranges(packages), payload=payload, total_bytes=total)
