@@ -36,6 +36,8 @@ SMOOTHING = 10.0
 MIN_TAIL = 0.8
 #: A byte pair weighs nothing in an empty text; texts are looked at in pieces of this size.
 _PIECE = 1 << 20
+#: Entries of the design that are multiplied at a time; bounds the driver's temporary arrays.
+_BLOCK = 1 << 19
 _LETTERS = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 
@@ -81,19 +83,26 @@ def _design(texts: list[bytes]):
     for t in texts:
         w = word_buckets(t)
         p, c = np.unique(np.concatenate([np.empty(0, np.int64), *_pairs(t)]), return_counts=True)
-        idx += [w, p + WORD_BUCKETS]
+        idx += [w.astype(np.int32), (p + WORD_BUCKETS).astype(np.int32)]
         val += [np.ones(len(w), np.float32), (PAIR_SCALE * c / max(len(t) - 1, 1)).astype(np.float32)]
         ptr.append(ptr[-1] + len(w) + len(p))
-    return np.concatenate(idx).astype(np.int32), np.concatenate(val), np.array(ptr)
+    return np.concatenate(idx), np.concatenate(val), np.array(ptr)
+
+
+def _blocks(n: int):
+    return [slice(i, i + _BLOCK) for i in range(0, n, _BLOCK)]
 
 
 def _associated(idx: np.ndarray, val: np.ndarray, row: np.ndarray, grades: np.ndarray, d: int, min_z: float) -> np.ndarray:
     """All word features, and byte pairs whose correlation with the grade is beyond ``min_z`` standard errors."""
     n = len(grades)
     g = grades - grades.mean()
-    s1 = np.bincount(idx, weights=val, minlength=d)
-    s2 = np.bincount(idx, weights=val.astype(np.float64) ** 2, minlength=d)
-    sg = np.bincount(idx, weights=val * g[row], minlength=d)
+    s1, s2, sg = np.zeros((3, d))
+    for b in _blocks(len(idx)):
+        v = val[b].astype(np.float64)
+        s1 += np.bincount(idx[b], weights=v, minlength=d)
+        s2 += np.bincount(idx[b], weights=v * v, minlength=d)
+        sg += np.bincount(idx[b], weights=v * g[row[b]], minlength=d)
     spread = np.sqrt(np.maximum(s2 - s1 * s1 / n, 0) * max(g @ g, 1e-12))
     need = np.where(np.arange(d) < WORD_BUCKETS, 0.0, min_z)
     return np.abs(sg) * np.sqrt(n) > need * np.maximum(spread, 1e-9)
@@ -119,19 +128,22 @@ def fit(texts: list[bytes], grades: np.ndarray, n_grades: int, *, steps: int = 1
     """Full-batch Adam on the mean negative log-likelihood; deterministic."""
     idx, val, ptr = _design(texts)
     d, n = WORD_BUCKETS + 65536, len(texts)
-    row = np.repeat(np.arange(n), np.diff(ptr))
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(ptr))
     live = _associated(idx, val, row, grades, d, min_z)[idx]
     idx, val, row = idx[live], val[live], row[live]
     scale = _odds(idx, row, grades, n_grades, d)
-    val = val * scale[idx]
+    val *= scale[idx].astype(np.float32)
     counts = np.bincount(grades, minlength=n_grades)[::-1].cumsum()[::-1][1:] / n
     base = -np.log((counts + 1e-3) / (1 - counts + 1e-3))
     gaps = np.maximum(np.diff(base), 0.1)
     theta = np.concatenate([np.zeros(d), base[:1], np.log(np.expm1(gaps))])  # gaps by softplus
     m, v = np.zeros_like(theta), np.zeros_like(theta)
+    blocks = _blocks(len(idx))
     for step in range(1, steps + 1):
         cut = theta[d] + np.concatenate([[0.0], np.cumsum(np.log1p(np.exp(theta[d + 1:])))])
-        s = np.bincount(row, weights=val * theta[idx], minlength=n)
+        s = np.zeros(n)
+        for b in blocks:
+            s += np.bincount(row[b], weights=val[b] * theta[idx[b]], minlength=n)
         up = 1 / (1 + np.exp(-np.clip(s[:, None] - cut, -40, 40)))       # P(grade >= k)
         full = np.concatenate([np.ones((n, 1)), up, np.zeros((n, 1))], axis=1)
         prob = np.maximum(full[np.arange(n), grades] - full[np.arange(n), grades + 1], 1e-9)
@@ -143,7 +155,9 @@ def fit(texts: list[bytes], grades: np.ndarray, n_grades: int, *, steps: int = 1
         np.add.at(gc, grades + 1, -hi / prob / n)
         gc = gc[1:-1]
         g = np.empty_like(theta)
-        g[:d] = np.bincount(idx, weights=val * gs[row], minlength=d) + l2 * theta[:d]
+        g[:d] = l2 * theta[:d]
+        for b in blocks:
+            g[:d] += np.bincount(idx[b], weights=val[b] * gs[row[b]], minlength=d)
         g[d] = gc.sum()
         g[d + 1:] = gc[::-1].cumsum()[::-1][1:] / (1 + np.exp(-theta[d + 1:]))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g

@@ -35,29 +35,40 @@ from floe.llm.common import fresh, plus, unused
 
 MARK = "▁"
 #: Encoded strings that a generation of a worker's memory holds (there are two), and their longest.
-CACHE_PARTS = 400_000
+CACHE_PARTS = 150_000
 CACHE_CHARS = 48
 
 
 class Memory:
-    """A bounded dictionary: when the young generation is full it becomes the old one, and that is forgotten."""
+    """A bounded dictionary: when the young generation is full it becomes the old one, and that is forgotten.
+
+    A string is kept from its second sight on (by a bitmap of hashes), as most strings come once.
+    """
 
     def __init__(self, limit: int):
         self.limit, self.young, self.old = limit, {}, {}
+        self.seen = bytearray(1 << 21)
 
     def get(self, key: str) -> list[int] | None:
         got = self.young.get(key)
         if got is None:
             got = self.old.get(key)
             if got is not None:
-                self.put(key, got)
+                self._keep(key, got)
         return got
 
     def put(self, key: str, ids: list[int]) -> None:
         if len(key) <= CACHE_CHARS:
-            if len(self.young) >= self.limit:
-                self.old, self.young = self.young, {}
-            self.young[key] = ids
+            at = hash(key) & (1 << 21) - 1
+            if self.seen[at]:
+                self._keep(key, ids)
+            else:
+                self.seen[at] = 1
+
+    def _keep(self, key: str, ids: list[int]) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young, self.seen = self.young, {}, bytearray(1 << 21)
+        self.young[key] = ids
 
 
 class PieceBpe:
