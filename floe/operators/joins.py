@@ -75,20 +75,36 @@ def outer_align(frames: list[DataFrame], keys: list[str], partition_by: list[str
     """Full outer alignment of frames that are unique per ``keys``.
 
     Written as union + group (not a chain of full outer joins): one shuffle for
-    any number of inputs, and key filters still push into every scan. Each
-    non-key column must come from exactly one input.
+    any number of inputs, and key filters still push into every scan.
+
+    * Each non-key column comes from exactly one input; a shared one is an error.
+    * A key that an input holds twice is an error when the plan runs (A13 inside the
+      same aggregate, no extra pass); ``full_outer_join`` is the form for such inputs.
+    * As in a join, a null in a key matches nothing: such rows stay apart, per input.
     """
+    seen: dict[str, int] = {}
+    for i, f in enumerate(frames):
+        for c in f.columns:
+            if c not in keys and seen.setdefault(c, i) != i:
+                raise ValueError(f"column {c!r} comes from two inputs; rename or drop one of them")
     part = partition_by or keys
-    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    values = [f for f in u.schema.fields if f.name not in keys]
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    sided = [f.withColumn("_side", F.lit(i)) for i, f in enumerate(frames)]
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sided)
+    values = [f for f in u.schema.fields if f.name not in keys and f.name != "_side"]
 
     def pick(f):
-        # at most one non-null value per key and column: max is exact for orderable types;
+        # one value per key and column, as keys are unique per input: max is exact for orderable types;
         # maps (not orderable) take the single non-null value
         if isinstance(f.dataType, T.MapType):
             return F.first(f.name, ignorenulls=True).alias(f.name)
         return F.max(f.name).alias(f.name)
-    return u.repartition(*part).groupBy(*keys).agg(*[pick(f) for f in values])
+    counts = [F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(len(frames))]
+    g = (u.repartition(*part).withColumn("_apart", F.when(null_key, F.col("_side")))
+         .groupBy(*keys, "_apart").agg(*[pick(f) for f in values], *counts))
+    most = F.greatest(*[f"_n{i}" for i in range(len(frames))]) if len(frames) > 1 else F.col("_n0")
+    unique = F.when(most > 1, F.raise_error(F.concat(F.lit(f"outer_align: an input holds a key twice: {keys} = "), F.to_json(F.struct(*keys)))).cast("boolean"))
+    return g.where(F.coalesce(unique, F.lit(True))).select(*keys, *[f.name for f in values])
 
 
 def full_outer_join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,18 +91,27 @@ def bilinear_weights(targets: DataFrame, dst: str, fy: str, fx: str, node_id) ->
 
 
 def apply_weights(src: DataFrame, weights: DataFrame, value: str = "v", by=()) -> DataFrame:
-    """Sparse matrix product ``sum(w * v)`` per destination (and time).
+    """Sparse matrix product ``sum(w * v)`` per destination (and per ``by`` that the sources hold, e.g. time).
 
-    A destination is null when any of its weighted sources is missing or null.
-    Hot sources (one coarse cell feeding many targets) are split by AQE's
-    skew-join handling of this inner join.
+    Every destination has a row for every ``by``; it is null when any of its
+    weighted sources is missing or null. Hot sources (one coarse cell feeding
+    many targets) are split by ``sized_join`` (broadcast within its budget,
+    salted by destination beyond) or by AQE.
     """
     n_w = weights.groupBy("dst_id").agg(F.count(F.lit(1)).alias("_n_w"))
-    j = weights.join(src.select("src_id", *by, value), "src_id", "inner")
+    if by:
+        # the steps: one row, an array as long as the time axis
+        steps = src.agg(F.collect_set(F.struct(*by)).alias("_steps"))
+        n_w = n_w.crossJoin(F.broadcast(steps)).select("dst_id", "_n_w", F.explode("_steps").alias("_by")).select("dst_id", "_n_w", "_by.*")
+        j = weights.join(src.select("src_id", *by, value), "src_id", "inner")
+    else:
+        j = sized_join(weights, src.select("src_id", value), ["src_id"], "inner", salt_by=["dst_id"])
     agg = j.groupBy("dst_id", *by).agg(F.sum(F.col("w") * F.col(value)).alias("_s"),
                                        F.count(value).alias("_n"))
-    return (agg.join(n_w, "dst_id")
-            .select("dst_id", *by, F.when(F.col("_n") == F.col("_n_w"), F.col("_s")).alias(value)))
+    keys = ["dst_id", *by]
+    same = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys])
+    return (n_w.alias("t").join(agg.alias("a"), same, "left")
+            .select(*[F.col(f"t.{k}").alias(k) for k in keys], F.when(F.col("_n") == F.col("_n_w"), F.col("_s")).alias(value)))
 
 
 # ----------------------------------------------------------- nearest (J11) ---
@@ -125,7 +136,8 @@ def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float
        Ties go to the smallest ``src_id``. Null source values stay candidates.
 
     Targets whose seed window is empty (holes in the source grid) retry with a
-    doubled radius until they find one.
+    doubled radius until they find one or the window holds the whole grid. Every
+    target has a row; it is null only when there are no sources at all.
     """
     s = src.select("src_id", "si", "sj", value, *[c.alias(n) for c, n in zip(unit_vector("lat", "lon"), ("sx", "sy", "sz"))])
     t = targets.select("dst_id", "lat", "lon",
@@ -153,7 +165,7 @@ def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float
         c = sized_join(candidates(pending, lo, hi, cj - r, cj + r), s, ["si", "sj"], "inner", salt_by=["dst_id"])
         best = c.groupBy("dst_id").agg(F.min(_chord2(tv, sv)).alias("d2"))
         seeds.append(best)
-        if 2 * r + 1 >= max(n_lat, n_lon):
+        if r >= n_lat - 1 and 2 * r + 1 >= n_lon:  # a window at one edge reaches the other
             break
         pending = pending.join(best, "dst_id", "left_anti")
         if pending.isEmpty():
@@ -182,7 +194,8 @@ def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float
                       s, ["si", "sj"], "inner", salt_by=["dst_id"])
     best = cand.groupBy("dst_id").agg(
         F.min_by(F.struct("src_id", value), F.struct(_chord2(tv, sv).alias("d"), F.col("src_id"))).alias("b"))
-    return best.select("dst_id", F.col("b.src_id").alias("src_id"), F.col(f"b.{value}").alias(value))
+    best = best.select("dst_id", F.col("b.src_id").alias("src_id"), F.col(f"b.{value}").alias(value))
+    return t.select("dst_id").join(best, "dst_id", "left")
 
 
 def nearest_weights(nearest: DataFrame) -> DataFrame:
@@ -190,12 +203,12 @@ def nearest_weights(nearest: DataFrame) -> DataFrame:
     return nearest.select("dst_id", "src_id", F.lit(1.0).alias("w"))
 
 
-def weights_table(spark, path: str, build) -> DataFrame:
-    """J13 weights persisted once and reused: read ``path`` when it exists, otherwise
-    ``build()`` the ``(dst_id, src_id, w)`` table, write it there (never over an existing
-    table) and read it back."""
+def weights_table(spark, path: str, build, fingerprint: str = "weights") -> DataFrame:
+    """J13 weights persisted once and reused, in a folder named by ``fingerprint`` (of grid and method).
+
+    Only a complete table is reused (its write left ``_SUCCESS``); what a failed write left is written over.
+    """
     from floe.sinks.writers import write_if_absent
-    from floe.sources.readers import missing_inputs
-    if missing_inputs(spark, [path]):
-        write_if_absent(build(), path)
-    return spark.read.parquet(path)
+    table = f"{path.rstrip('/')}/{fingerprint}"
+    write_if_absent(build, table, spark=spark)
+    return spark.read.parquet(table)

@@ -25,7 +25,7 @@ def neighbour(value: str, along: str, across: list[str], offset: int):
 
 
 def slope(df: DataFrame, value: str, ny: int, nx: int, res_y: float = 500.0, res_x: float = 500.0,
-          by: tuple[str, ...] = (), out: str = "slope", block: int = 2048) -> DataFrame:
+          by: tuple[str, ...] = (), out: str = "slope", block: int = 256) -> DataFrame:
     """|grad v| by central differences, edge-replicated at the grid border.
 
     Interior cells with a missing neighbour get null (NaN propagates in the
@@ -34,7 +34,7 @@ def slope(df: DataFrame, value: str, ny: int, nx: int, res_y: float = 500.0, res
 
     One shuffle: cells are grouped in ``block x block`` tiles (per ``by``),
     and a cell on a tile border is also sent, as a halo copy, to the
-    neighbouring tile (a one-cell overlap, replication about 4/block). After
+    neighbouring tile (a one-cell overlap, replication about 4/block, 1.6% at 256). After
     one hash partitioning by (tile, by), the column and row windows, both
     partitioned by the tile plus one index, reuse it and need only sorts.
     A tile holds at most (block + 2)^2 cells per step.

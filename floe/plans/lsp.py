@@ -16,21 +16,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from floe import constants as C
 from floe.functions.grid import Grid
 from floe.operators import fuse
 
-ALTIMETRY_COLS = ["iy", "ix", "time", "delta_h", "ice_area", "h_surface_dynamic", "surface_slope"]
-OCEAN_COLS = ["iy", "ix", "time", "thetao", "so", "T_f", "T_star"]
-
-
-def _present(df: DataFrame, cols: list[str]) -> list[str]:
-    """Select-if-present."""
-    return [c for c in cols if c in df.columns]
-
-
 def build_backbone(altimetry: DataFrame, ocean: DataFrame) -> DataFrame:
-    return fuse.backbone(altimetry.select(*_present(altimetry, ALTIMETRY_COLS)),
-                         ocean.select(*_present(ocean, OCEAN_COLS)))
+    return fuse.backbone(altimetry, ocean)
 
 
 def build_enriched(altimetry, ocean, static, anomaly) -> DataFrame:
@@ -47,25 +38,27 @@ def build_filled_joins(altimetry, ocean, static, anomaly) -> DataFrame:
 def build_filled(altimetry, ocean, static, anomaly, max_bytes: int = fuse.DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """J1 + J2 + J3 + W1 with one shuffle and one sort of the backbone.
 
-    Static columns enter the pixel shuffle as one extra row per pixel with a
-    null time, which sorts first. The fill window then carries sensor and
-    static columns alike (the static row is the only one holding static
-    values). The static rows are dropped; pixels without observations
-    disappear, exactly as in a left join from the backbone. The anomaly join
-    (broadcast after a size check) keeps the partitioning and ordering, so the
-    second fill (``lwe_length``) needs no exchange and no sort.
+    Static columns enter the pixel shuffle as one extra, flagged row per pixel,
+    which sorts first. The fill window then carries the filled sensor columns and
+    the static ones alike (the static row is the only one holding static values). The flagged
+    rows are dropped; pixels without observations disappear, exactly as in a
+    left join from the backbone. Every input column is kept (of columns that
+    static shares with a sensor, the sensor's), and so are sensor rows without
+    a time. The anomaly join (broadcast after a size check) keeps the
+    partitioning and ordering, so the second fill (``lwe_length``) needs no
+    exchange and no sort.
     """
-    alt = altimetry.select(*_present(altimetry, ALTIMETRY_COLS))
-    oc = ocean.select(*_present(ocean, OCEAN_COLS))
     st = static.drop("x", "y", "time")
-    st_cols = [c for c in st.columns if c not in fuse.PIXEL and c not in alt.columns and c not in oc.columns]
-    st = st.select(*fuse.PIXEL, *st_cols).withColumn("time", F.lit(None).cast(alt.schema["time"].dataType))
-    merged = fuse.outer_align([alt, oc, st], fuse.CELL_TIME, partition_by=fuse.PIXEL)
-    sensors = [c for c in merged.columns if c not in fuse.CELL_TIME and c not in st_cols]
-    w = fuse.pixel_window()
+    st_cols = [c for c in st.columns if c not in fuse.PIXEL and c not in altimetry.columns and c not in ocean.columns]
+    st = st.select(*fuse.PIXEL, *st_cols).withColumns(
+        {"time": F.lit(None).cast(altimetry.schema["time"].dataType), "_static": F.lit(True)})
+    merged = fuse.outer_align([altimetry, ocean, st], fuse.CELL_TIME, partition_by=fuse.PIXEL)
+    sensors = [c for c in C.FFILL_COLS if c in merged.columns and c not in st_cols]
+    order = [F.col("_static").desc_nulls_last(), F.col("time").asc_nulls_first()]
+    w = fuse.pixel_window(order=order)
     filled = merged.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in sensors + st_cols})
-    filled = filled.where(F.col("time").isNotNull())
-    return fuse.forward_fill(fuse.attach_anomaly(filled, anomaly, max_bytes=max_bytes), ["lwe_length"])
+    filled = filled.where(F.col("_static").isNull())
+    return fuse.forward_fill(fuse.attach_anomaly(filled, anomaly, max_bytes=max_bytes), ["lwe_length"], order=order).drop("_static")
 
 
 def build_long_sparse(altimetry: DataFrame, ocean: DataFrame, static: DataFrame,

@@ -18,7 +18,7 @@ _FX = fx.ctes("fx_static", "fx_icesat", "fx_ocean", "fx_grace")
 
 _BB = """
 bb AS (SELECT COALESCE(a.iy, o.iy) AS iy, COALESCE(a.ix, o.ix) AS ix, COALESCE(a.time, o.time) AS time,
-              a.delta_h, a.ice_area, o.thetao, o.so
+              a.delta_h, a.delta_h_sigma, a.ice_area, o.thetao, o.so
        FROM fx_icesat a FULL OUTER JOIN fx_ocean o ON a.iy = o.iy AND a.ix = o.ix AND a.time = o.time)"""
 _ST = """
 st AS (SELECT bb.*, s.surface, s.thickness, s.bed, s.mask, s.mascon_id
@@ -26,7 +26,7 @@ st AS (SELECT bb.*, s.surface, s.thickness, s.bed, s.mask, s.mascon_id
 _GR = """
 gr AS (SELECT st.*, g.lwe_length FROM st LEFT JOIN fx_grace g ON st.mascon_id = g.mascon_id AND st.time = g.time)"""
 _FF = """
-ff AS (SELECT iy, ix, time, surface, thickness, bed, mask, mascon_id,
+ff AS (SELECT iy, ix, time, surface, thickness, bed, mask, mascon_id, delta_h_sigma,
               LAST_VALUE(delta_h IGNORE NULLS) OVER w AS delta_h,
               LAST_VALUE(ice_area IGNORE NULLS) OVER w AS ice_area,
               LAST_VALUE(thetao IGNORE NULLS) OVER w AS thetao,
@@ -72,7 +72,7 @@ def j1_backbone(spark, d):
 def j1_full_outer_join(spark, d):
     """J1 in its literal full-outer-join form (kept for comparison with the union form)."""
     alt, oce, _, _ = _inputs(spark, d)
-    return full_outer_join(alt.select("iy", "ix", "time", "delta_h", "ice_area"), oce, ["iy", "ix", "time"])
+    return full_outer_join(alt, oce, ["iy", "ix", "time"])
 
 
 @query("j2_static_left_join", _with(_BB, _ST) + "SELECT * FROM st")

@@ -240,18 +240,23 @@ def f10_elementary(spark, d):
 
 
 @query("f11_finite", W("fx_tiles") + """
-SELECT iy, ix, time, tile_order, (delta_h_sigma IS NOT NULL AND NOT isnan(delta_h_sigma) AND abs(delta_h_sigma) < 'inf'::DOUBLE) AS sigma_finite
-FROM fx_tiles""")
+, v AS (SELECT iy, ix, time, tile_order, CASE tile_order WHEN 1 THEN 'NaN'::DOUBLE WHEN 2 THEN delta_h_sigma * 'inf'::DOUBLE
+          ELSE delta_h_sigma END AS sigma FROM fx_tiles)
+SELECT iy, ix, time, tile_order, (sigma IS NOT NULL AND NOT isnan(sigma) AND abs(sigma) < 'inf'::DOUBLE) AS sigma_finite FROM v""")
 def f11_finite(spark, d):
-    t = fx.fx_tiles(spark, d)
-    return t.select("iy", "ix", "time", "tile_order", gf.is_finite("delta_h_sigma").alias("sigma_finite"))
+    """F11 over nulls, NaN and infinities (two of the tiles)."""
+    sigma = F.when(F.col("tile_order") == 1, F.lit(float("nan"))).when(
+        F.col("tile_order") == 2, F.col("delta_h_sigma") * F.lit(float("inf"))).otherwise(F.col("delta_h_sigma"))
+    t = fx.fx_tiles(spark, d).withColumn("sigma", sigma)
+    return t.select("iy", "ix", "time", "tile_order", gf.is_finite("sigma").alias("sigma_finite"))
 
 
 @query("f12_isclose", W("fx_static") + """
-SELECT iy, ix, abs(x - round_even(x / 1000, 0) * 1000) <= 1.0 + 1e-5 * abs(round_even(x / 1000, 0) * 1000) AS x_close FROM fx_static""")
+SELECT iy, ix, abs(x - (x + 20 * (ix % 3))) <= 1.0 + 1e-5 * abs(x + 20 * (ix % 3)) AS x_close FROM fx_static""")
 def f12_isclose(spark, d):
+    """coordinates against copies that are off by nothing, by less and by more than the tolerance."""
     s = fx.fx_static(spark, d)
-    return s.select("iy", "ix", gf.isclose(F.col("x"), gf.snap("x", 1000), atol=1.0).alias("x_close"))
+    return s.select("iy", "ix", gf.isclose(F.col("x"), F.col("x") + F.col("ix") % 3 * 20, atol=1.0).alias("x_close"))
 
 
 @query("f13_try_cast", W("fx_static") + """

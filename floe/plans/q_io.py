@@ -113,8 +113,8 @@ def k6_add_columns(spark, d):
     """K6 (B10 core): add T_f and T_star to a copy of the ocean table."""
     src, dst = scratch_path(spark, "k6-in"), scratch_path(spark, "k6-out")
     writers.write_layout(ocean_match(spark, d), src, keys=("time",))
-    out = writers.add_columns(src, dst, spark, {"pressure": thermo.base_pressure()})
-    return out.withColumn("T_f", thermo.freezing_point()).withColumn("T_star", thermo.thermal_driving())
+    return writers.add_columns(src, dst, spark, {"pressure": thermo.base_pressure(), "T_f": thermo.freezing_point(),
+                                                 "T_star": thermo.thermal_driving()})
 
 
 @query("k7_overwrite", W("fx_static") + "SELECT ix, iy, x, y, surface * 2 AS surface, thickness, bed, mask, mascon_id FROM fx_static")
@@ -126,9 +126,13 @@ def k7_overwrite(spark, d):
     return _read(spark, p)
 
 
-@query("k8_column_metadata")
+_K8_COLUMNS = ["iy", "ix", "time", "thetao", "so", "ice_draft", "pressure", "T_f", "T_star"]
+
+
+@query("k8_column_metadata", W("fx_static", "fx_ocean") + _THERMO_SQL + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {repr('degC') if c in ('T_f', 'T_star') else 'NULL'} AS unit, COUNT({c}) AS n FROM th" for c in _K8_COLUMNS))
 def k8_column_metadata(spark, d):
-    """K8: attributes written with the data and read back (rows-only: a schema report)."""
+    """K8: attributes written with the data and read back, and the values of each column counted."""
     p = scratch_path(spark, "k8")
     meta = {"T_f": {"long_name": "Freezing point", "units": "degC"},
             "T_star": {"long_name": "Thermal driving", "units": "degC"}}
@@ -138,7 +142,7 @@ def k8_column_metadata(spark, d):
     back = _read(spark, p)
     rows = writers.metadata_report(back)
     counts = back.agg(*[F.count(c).alias(c) for c, _ in rows]).first().asDict()
-    return spark.createDataFrame([(c, u, int(counts[c])) for c, u in rows], "column_name string, units string, n long")
+    return spark.createDataFrame([(c, u, int(counts[c])) for c, u in rows], "column_name string, unit string, n long")
 
 
 @query("k9_narrow_floats", W("fx_ocean") + """

@@ -38,22 +38,35 @@ def with_tiles(df: DataFrame, tile: int = 2048) -> DataFrame:
 
 def write_layout(df: DataFrame, path: str, keys=("time",), tile: int = 2048, mode: str = "overwrite",
                  partitions: int | None = None) -> None:
-    """Range-partition by (keys, tile) and sort within files by (keys, iy, ix)."""
+    """Range-partition by (keys, tile, pixel) and sort within files by (keys, iy, ix).
+
+    The pixel in the range key lets a (step, tile) of any size spread over several files.
+    """
     d = with_tiles(df, tile)
-    order = [*keys, "tile_y", "tile_x"]
+    order = [*keys, "tile_y", "tile_x", "iy", "ix"]
     d = d.repartitionByRange(partitions, *order) if partitions else d.repartitionByRange(*order)
     d = d.sortWithinPartitions(*keys, "iy", "ix").drop("tile_y", "tile_x")
     _writer(d, mode).parquet(path)
 
 
+def spread_steps(df: DataFrame, keys) -> DataFrame:
+    """Rows ranged by (keys, pixel): steps lie together, and a step of any size spreads over several tasks.
+
+    Tables without pixel columns are spread by a hash of the row instead.
+    """
+    pixel = [c for c in ("iy", "ix") if c in df.columns]
+    rest = [F.col(c) for c in pixel] if pixel else [F.xxhash64(*[F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])]
+    return df.repartitionByRange(*[F.col(k) for k in keys], *rest).sortWithinPartitions(*keys, *pixel)
+
+
 def write_steps(df: DataFrame, path: str, step_col: str = "time", mode: str = "overwrite") -> None:
     """K2: one folder per time step; steps without rows simply do not appear."""
-    _writer(df.repartition(step_col), mode, partition_by=[step_col]).parquet(path)
+    _writer(spread_steps(df, [step_col]), mode, partition_by=[step_col]).parquet(path)
 
 
 def append_steps(df: DataFrame, path: str, step_col: str = "time") -> None:
     """K3: append new steps to an existing table."""
-    _writer(df.repartition(step_col), "append", partition_by=[step_col]).parquet(path)
+    _writer(spread_steps(df, [step_col]), "append", partition_by=[step_col]).parquet(path)
 
 
 def overwrite_regions(df: DataFrame, path: str, keys=("time",)) -> None:
@@ -62,19 +75,38 @@ def overwrite_regions(df: DataFrame, path: str, keys=("time",)) -> None:
     Idempotent: re-running a step (e.g. a replayed batch) rewrites the same
     partitions and leaves all others untouched.
     """
-    _writer(df.repartition(*keys), "overwrite", partition_by=list(keys), dynamic=True).parquet(path)
+    _writer(spread_steps(df, list(keys)), "overwrite", partition_by=list(keys), dynamic=True).parquet(path)
 
 
-def write_if_absent(df: DataFrame, path: str, partition_by=None) -> None:
-    """K5: skip the write when the output exists (``mode('ignore')``)."""
-    _writer(df, "ignore", partition_by=partition_by).parquet(path)
+def is_complete(spark, path: str) -> bool:
+    """Whether a write to ``path`` was committed (it left ``_SUCCESS``)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def write_if_absent(df, path: str, partition_by=None, spark=None) -> bool:
+    """K5: skip the write when a complete output exists; returns whether it wrote.
+
+    What a failed write left is no output and is written over. ``df`` may be a function that
+    returns the DataFrame, so that nothing is planned or computed when the output is there.
+    """
+    spark = spark or df.sparkSession
+    if is_complete(spark, path):
+        return False
+    _writer(df() if callable(df) else df, "overwrite", partition_by=partition_by).parquet(path)
+    return True
 
 
 def add_columns(src_path: str, dst_path: str, spark, columns: dict, partition_by=None) -> DataFrame:
-    """K6: read a table, add derived columns, write a new table (never over its own input)."""
+    """K6: read a table, add derived columns, write a new table (never over its own input).
+
+    Columns are added in order, so that one may use those before it.
+    """
     if src_path.rstrip("/") == dst_path.rstrip("/"):
         raise ValueError("add_columns writes to a new path, not over its input")
-    out = spark.read.parquet(src_path).withColumns(columns)
+    out = spark.read.parquet(src_path)
+    for name, c in columns.items():
+        out = out.withColumn(name, c)
     _writer(out, "overwrite", partition_by=partition_by).parquet(dst_path)
     return spark.read.parquet(dst_path)
 

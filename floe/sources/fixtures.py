@@ -74,12 +74,12 @@ def fx_ocean(spark, sf_dir) -> DataFrame:
 
 
 def fx_grace(spark, sf_dir) -> DataFrame:
-    """Mascon anomalies per (mascon_id, time); a third of the cells removed."""
+    """Mascon anomalies per (mascon_id, time); a third of the cells without a value."""
     o = table(spark, sf_dir, "orders")
     m = (F.col("o_custkey") % 50).cast("int")
-    return (o.where((F.col("o_custkey") % 50 + F.quarter("o_orderdate")) % 3 != 0)
-            .groupBy(m.alias("mascon_id"), quarter_start("o_orderdate").alias("time"))
-            .agg((F.sum(F.col("o_totalprice").cast("decimal(14,2)")).cast("double")
+    known = (F.col("o_custkey") % 50 + F.quarter("o_orderdate")) % 3 != 0
+    return (o.groupBy(m.alias("mascon_id"), quarter_start("o_orderdate").alias("time"))
+            .agg((F.sum(F.when(known, F.col("o_totalprice").cast("decimal(14,2)"))).cast("double")
                   / F.lit(1000000.0)).alias("lwe_length")))
 
 
@@ -103,21 +103,12 @@ def fx_coarse(spark, sf_dir) -> DataFrame:
                     F.when(F.col("p_size") % 11 == 0, F.lit(None)).otherwise(F.col("p_retailprice")).alias("v"))
 
 
-_GRID_ROWS: dict[tuple[str, float], int] = {}
-
-
 def grid_rows(spark, sf_dir) -> int:
     """Number of grid rows of the part-derived grid (a scalar of grid metadata).
 
-    Memoised per table path and modification time: grid metadata is read once,
-    not once per query.
+    One column's maximum, read anew each time: a memo by path would go stale when the table changes.
     """
-    import os
-    path = f"{sf_dir.rstrip('/')}/part.parquet"
-    key = (path, os.path.getmtime(path) if os.path.exists(path) else 0.0)
-    if key not in _GRID_ROWS:
-        _GRID_ROWS[key] = int(table(spark, sf_dir, "part").agg(F.max(F.floor(F.col("p_partkey") / NX)) + 1).first()[0])
-    return _GRID_ROWS[key]
+    return int(table(spark, sf_dir, "part").agg(F.max(F.floor(F.col("p_partkey") / NX)) + 1).first()[0])
 
 
 def fx_source_ll(spark, sf_dir, nrows: int | None = None) -> DataFrame:
@@ -176,9 +167,8 @@ SELECT CAST(l_partkey%50 AS INT) AS ix, CAST(floor(l_partkey/50.0) AS INT) AS iy
 FROM lineitem WHERE l_linenumber%2=0 GROUP BY l_partkey, {_qtr('l_shipdate')}""",
     "fx_grace": f"""
 SELECT CAST(o_custkey%50 AS INT) AS mascon_id, {_qtr('o_orderdate')} AS time,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE)/CAST(1000000 AS DOUBLE) AS lwe_length
-FROM orders WHERE (o_custkey%50 + quarter(o_orderdate))%3 <> 0
-GROUP BY CAST(o_custkey%50 AS INT), {_qtr('o_orderdate')}""",
+       CAST(SUM(CASE WHEN (o_custkey%50 + quarter(o_orderdate))%3 <> 0 THEN CAST(o_totalprice AS DECIMAL(14,2)) END) AS DOUBLE)/CAST(1000000 AS DOUBLE) AS lwe_length
+FROM orders GROUP BY CAST(o_custkey%50 AS INT), {_qtr('o_orderdate')}""",
     "fx_tiles": f"""
 SELECT CAST(l_partkey%50 AS INT) AS ix, CAST(floor(l_partkey/50.0) AS INT) AS iy, {_qtr('l_shipdate')} AS time,
        CAST(l_linenumber%4 AS INT) AS tile_order,

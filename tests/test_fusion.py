@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from floe import constants as C
 from floe.operators import fuse, joins
 
 D = [dt.date(2000, 1, 1), dt.date(2000, 4, 1), dt.date(2000, 7, 1), dt.date(2000, 10, 1)]
@@ -81,7 +83,11 @@ def test_fusion_under_a_hot_mascon(spark):
         return {(r.iy, r.ix, r.time): r.lwe_fused for r in df.select("iy", "ix", "time", "lwe_fused").collect()}
 
     a = fused(fuse.fuse_signal(filled, sum_scale=2))
-    b = fused(fuse.fuse_signal_window(filled))
+    # the formula over a window: pixel / region mean x signal, evenly where the mean says nothing
+    mean = F.avg("delta_h").over(Window.partitionBy("mascon_id", "time"))
+    even = F.abs(mean) <= C.FUSION_MIN_MEAN_DH_M
+    value = F.when(even, F.col("lwe_length")).otherwise(F.col("delta_h") / mean * F.col("lwe_length"))
+    b = fused(filled.withColumn("lwe_fused", F.when(F.col("mascon_id").isNotNull() & F.col("delta_h").isNotNull(), value)))
     totals = fuse.mascon_totals(filled, sum_scale=2)
     c = fused(joins.sized_join(filled, totals, ["mascon_id", "time"], "left", max_bytes=0, salt_by=["iy", "ix"])
               .withColumn("lwe_fused", fuse.fused_value()))

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import math
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,22 +70,72 @@ def test_validate_inputs_lists_every_missing_path(spark):
 def test_write_if_absent_keeps_first_version(spark):
     p = scratch_path(spark, "ignore")
     writers.write_if_absent(spark.range(3), p)
-    writers.write_if_absent(spark.range(10), p)
+    assert not writers.write_if_absent(spark.range(10), p)
     assert spark.read.parquet(p).count() == 3
 
 
-def test_stream_reruns_are_idempotent(spark):
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("time", T.DateType())])
+def test_what_a_failed_write_left_is_written_over(spark):
+    p = scratch_path(spark, "failed")
+    spark.range(3).write.parquet(p)
+    (Path(p.removeprefix("file:")) / "_SUCCESS").unlink()
+    assert writers.write_if_absent(lambda: spark.range(10), p, spark=spark)
+    assert spark.read.parquet(p).count() == 10
+    assert not writers.write_if_absent(lambda: 1 / 0, p, spark=spark)  # not even planned
+
+
+def test_one_step_spreads_over_files(spark):
+    """A single step, and a single (step, tile), is written by more than one task."""
+    df = spark.range(40_000).selectExpr("CAST(id DIV 200 AS INT) iy", "CAST(id % 200 AS INT) ix", "DATE'2000-01-01' AS time", "id AS v").repartition(8)
+    for name, write in (("k2", lambda p: writers.write_steps(df, p)), ("k4", lambda p: writers.overwrite_regions(df, p)),
+                        ("k11", lambda p: writers.write_layout(df, p, partitions=4))):
+        p = scratch_path(spark, name)
+        old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            write(p)
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+        back = spark.read.parquet(p)
+        assert len(back.inputFiles()) >= 4 and back.count() == 40_000
+
+
+_STEP = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.IntegerType()), T.StructField("time", T.DateType())])
+D1, D2 = dt.date(2000, 1, 1), dt.date(2000, 4, 1)
+
+
+def _stored(spark, target):
+    return sorted((r.k, r.v, r.time) for r in spark.read.schema(_STEP).parquet(target).collect())
+
+
+def test_stream_reruns_and_corrections(spark):
     inbox, target, ckpt = (scratch_path(spark, n) for n in ("in", "out", "ck"))
-    d1, d2 = dt.date(2000, 1, 1), dt.date(2000, 4, 1)
-    spark.createDataFrame([(1, d1), (2, d1)], schema).write.parquet(f"{inbox}/a")
-    assert incremental.load_new_steps(spark, inbox, schema, target, ckpt) == 1
-    assert incremental.load_new_steps(spark, inbox, schema, target, ckpt) == 0   # nothing new
-    spark.createDataFrame([(3, d2)], schema).write.parquet(f"{inbox}/b")
-    spark.createDataFrame([(9, d1)], schema).write.parquet(f"{inbox}/c")          # corrected step d1
-    incremental.load_new_steps(spark, inbox, schema, target, ckpt)
-    got = sorted((r.k, r.time) for r in spark.read.schema(schema).parquet(target).collect())
-    assert got == [(3, d2), (9, d1)]
+    load = lambda: incremental.load_new_steps(spark, inbox, _STEP, target, ckpt, keys=("k",))
+    spark.createDataFrame([(1, 1, D1), (2, 1, D1)], _STEP).write.parquet(f"{inbox}/a")
+    assert load() == 1
+    assert load() == 0   # nothing new
+    time.sleep(1.1)      # files are ordered by modification time
+    spark.createDataFrame([(3, 1, D2)], _STEP).write.parquet(f"{inbox}/b")
+    spark.createDataFrame([(1, 9, D1)], _STEP).write.parquet(f"{inbox}/c")          # corrects one row of step D1
+    load()
+    want = [(1, 9, D1), (2, 1, D1), (3, 1, D2)]
+    assert _stored(spark, target) == want
+    # the same files again, from a lost checkpoint: nothing changes
+    incremental.load_new_steps(spark, inbox, _STEP, target, scratch_path(spark, "ck2"), keys=("k",), max_files_per_trigger=1)
+    assert _stored(spark, target) == want
+
+
+@pytest.mark.parametrize("split", ["batches", "folders", "runs"])
+def test_a_split_step_ends_complete(spark, split):
+    inbox, target, ckpt = (scratch_path(spark, n) for n in ("in", "out", "ck"))
+    load = lambda: incremental.load_new_steps(spark, inbox, _STEP, target, ckpt, keys=("k",),
+                                              max_files_per_trigger=1 if split == "batches" else None)
+    for i in range(3):
+        where = f"{inbox}/A{i}" if split == "folders" else inbox
+        spark.createDataFrame([(i, i, D1)], _STEP).coalesce(1).write.mode("append").parquet(where)
+        if split == "runs":
+            load()
+    load()
+    assert _stored(spark, target) == [(i, i, D1) for i in range(3)]
 
 
 def test_metadata_survives_parquet(spark):
