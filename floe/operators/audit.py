@@ -1,20 +1,22 @@
-"""Audits (V1-V8): each returns a report DataFrame ``(check_name STRING, ok BOOLEAN, value DOUBLE)``.
+"""Audits (V1-V8): each returns a report DataFrame
+``(check_name STRING, ok BOOLEAN, value DOUBLE, severity STRING)``; severity is ``error`` or ``warning``.
 
 Metrics are computed in one distributed aggregation per input; the rules are
 expressions over that single metrics row, unpivoted with ``stack``. Nothing is
-printed or decided on the driver; ``assert_ok`` turns a report into an error
-when a pipeline must stop on a failed check.
+printed or decided on the driver; ``assert_ok`` turns the failed errors of a
+report into an exception when a pipeline must stop; warnings don't stop it.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floe import constants as C
 from floe.operators import select, stats
+from floe.session import materialize
 
 
 def one_row(*frames: DataFrame) -> DataFrame:
@@ -23,22 +25,23 @@ def one_row(*frames: DataFrame) -> DataFrame:
     return u.agg(*[F.max(c).alias(c) for c in u.columns])
 
 
-def checks(metrics: DataFrame, rules: list[tuple[str, str, str]], nd: int = 6) -> DataFrame:
-    """Rules ``(name, ok_sql, value_sql)`` evaluated on a one-row metrics frame."""
-    parts = ", ".join(f"'{n}', CAST({ok} AS BOOLEAN), CAST(round({v}, {nd}) AS DOUBLE)" for n, ok, v in rules)
-    return metrics.selectExpr(f"stack({len(rules)}, {parts}) AS (check_name, ok, value)")
+def checks(metrics: DataFrame, rules: list[tuple[str, ...]], nd: int = 6) -> DataFrame:
+    """Rules ``(name, ok_sql, value_sql[, severity])`` evaluated on a one-row metrics frame."""
+    parts = ", ".join(f"'{r[0]}', CAST({r[1]} AS BOOLEAN), CAST(round({r[2]}, {nd}) AS DOUBLE), '{r[3] if len(r) > 3 else 'error'}'" for r in rules)
+    return metrics.selectExpr(f"stack({len(rules)}, {parts}) AS (check_name, ok, value, severity)")
 
 
 def assert_ok(report: DataFrame) -> None:
-    bad = report.where(~F.col("ok")).select("check_name").limit(20).collect()
+    """Raises with every failed error (a report has a row per rule)."""
+    bad = report.where(~F.coalesce(F.col("ok"), F.lit(False)) & (F.col("severity") == "error")).select("check_name").collect()
     if bad:
         raise ValueError(f"audit failed: {[r.check_name for r in bad]}")
 
 
 def physics(df: DataFrame, values: list[str], area: str | None = "ice_area") -> DataFrame:
-    """V1: |v| <= 500 for height-change variables; ice area non-negative and of a sane magnitude."""
+    """V1: |v| <= 500 for height-change variables (a warning); ice area non-negative and of a sane magnitude."""
     aggs = [F.max(F.abs(v)).alias(f"{v}_maxabs") for v in values]
-    rules = [(f"{v}_within_500", f"coalesce({v}_maxabs <= {C.HEIGHT_CHANGE_ABS_MAX}, true)", f"{v}_maxabs")
+    rules = [(f"{v}_within_500", f"coalesce({v}_maxabs <= {C.HEIGHT_CHANGE_ABS_MAX}, true)", f"{v}_maxabs", "warning")
              for v in values]
     if area:
         aggs += [F.min(area).alias("area_min"), F.max(area).alias("area_max")]
@@ -63,93 +66,132 @@ def grid_compat(src: DataFrame, dst: DataFrame, src_res: float, dst_res: float,
 
 def mosaic_integrity(df: DataFrame, value: str, canvas_cells: int) -> DataFrame:
     """V3: steps present, coverage at the middle step, value range within +/-500."""
+    df = materialize(df, "audit")
     a = df.agg(F.count_distinct("time").alias("n_steps"), F.max(F.abs(value)).alias("maxabs"))
     b = select.pick_steps(df, "middle").agg(F.count(value).alias("n_mid"))
     m = one_row(a, b)
     rules = [("n_steps", "n_steps > 0", "n_steps"),
-             ("coverage_middle_pct", "n_mid > 0", f"n_mid * 100.0 / {canvas_cells}"),
-             ("range_within_500", f"coalesce(maxabs <= {C.HEIGHT_CHANGE_ABS_MAX}, true)", "maxabs")]
+             ("coverage_middle_pct", f"n_mid * 100.0 / {canvas_cells} >= {C.COVERAGE_WARN_PCT}", f"n_mid * 100.0 / {canvas_cells}", "warning"),
+             ("range_within_500", f"coalesce(maxabs <= {C.HEIGHT_CHANGE_ABS_MAX}, true)", "maxabs", "warning")]
     return checks(m, rules)
 
 
 def product_audit(df: DataFrame, value: str, res: float, canvas_cells: int, tol: float = 0.1) -> DataFrame:
     """V4: spacing, coverage >= 1% and value range at the last step."""
+    df = materialize(df, "audit")
     a = df.agg(((F.max("x") - F.min("x")) / (F.count_distinct("x") - 1).cast("double")).alias("res"))
     last = select.pick_steps(df, "last")
     b = last.agg(F.count(value).alias("n_last"), F.max(F.abs(value)).alias("maxabs_last"))
     m = one_row(a, b)
     rules = [("spacing", f"abs(res - {res}) <= {tol} + 1e-5 * {res}", "res"),
              ("coverage_last_pct", f"n_last * 100.0 / {canvas_cells} >= {C.COVERAGE_WARN_PCT}",
-              f"n_last * 100.0 / {canvas_cells}"),
-             ("range_last_within_500", f"coalesce(maxabs_last <= {C.HEIGHT_CHANGE_ABS_MAX}, true)", "maxabs_last")]
+              f"n_last * 100.0 / {canvas_cells}", "warning"),
+             ("range_last_within_500", f"coalesce(maxabs_last <= {C.HEIGHT_CHANGE_ABS_MAX}, true)", "maxabs_last", "warning")]
     return checks(m, rules)
 
 
 def anomaly_audit(df: DataFrame, keys: list[str], value: str, time: str = "time") -> DataFrame:
-    """V5: unique keys, typical range, coverage, time gaps (> 60 days), temporal spread."""
+    """V5: unique keys; typical range, coverage, time gaps and temporal spread (warnings)."""
+    df = materialize(df, "audit")
     dup = stats.duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("n_dup"))
     a = df.agg(F.max(F.abs(value)).alias("maxabs"), F.count(value).alias("n_valid"),
                F.count_distinct(keys[0]).alias("n_regions"), F.count_distinct(time).alias("n_steps"))
     gaps = stats.consecutive_gaps(df, time).agg(
         F.count_if(F.col("gap") > C.GAP_WARN_DAYS).alias("n_large_gaps"), F.max("gap").alias("max_gap"))
     spread = stats.temporal_moments(df, value, keys=[k for k in keys if k != time], nd=None).agg(
-        F.max("std").alias("max_std"))
+        F.max("std").alias("max_std"), F.count_if(F.col("std") == 0).alias("n_flat"))
     m = one_row(dup, a, gaps, spread)
+    pct = "n_valid * 100.0 / (n_regions * n_steps)"
     rules = [("keys_unique", "n_dup = 0", "n_dup"),
-             ("within_typical", f"coalesce(maxabs <= {C.LWE_TYPICAL_ABS}, true)", "maxabs"),
-             ("coverage_pct", "n_valid > 0", "n_valid * 100.0 / (n_regions * n_steps)"),
-             ("large_time_gaps", "n_large_gaps = 0", "n_large_gaps"),
-             ("max_gap_days", "true", "max_gap"),
-             ("max_temporal_std", "true", "max_std")]
+             ("within_typical", f"coalesce(maxabs <= {C.LWE_TYPICAL_ABS}, true)", "maxabs", "warning"),
+             ("coverage_pct", f"{pct} >= {C.COVERAGE_WARN_PCT}", pct, "warning"),
+             ("large_time_gaps", "n_large_gaps = 0", "n_large_gaps", "warning"),
+             ("max_gap_days", f"coalesce(max_gap <= {C.GAP_WARN_DAYS}, true)", "max_gap", "warning"),
+             ("regions_vary", "n_flat = 0", "n_flat", "warning"),
+             ("max_temporal_std", f"coalesce(max_std <= {C.LWE_TYPICAL_ABS}, true)", "max_std", "warning")]
     return checks(m, rules)
 
 
-def ocean_audit(df: DataFrame, required: list[str], expected: DataFrame | None = None) -> DataFrame:
-    """V6: required columns, physical bounds, depth rule, null pattern, per-step and per-pixel
-    coverage and, given the ``expected`` pixels (e.g. the shelf mask), pixels lacking data and
-    data outside the mask (J9, two anti-joins)."""
-    missing = [c for c in required if c not in df.columns]
-    a = df.agg(
-        F.count_if(~F.col("thetao").between(C.THETAO_MIN, C.THETAO_MAX)).alias("n_thetao_out"),
-        F.count_if(~F.col("so").between(C.SO_MIN, C.SO_MAX)).alias("n_so_out"),
-        F.count_if(~F.col("ice_draft").between(C.DRAFT_MIN, C.DRAFT_MAX)).alias("n_draft_out"),
-        F.count_if(F.col("pressure") > F.abs("ice_draft") + 0.01).alias("n_depth_rule"),
-        F.count_if(F.col("thetao").isNull() != F.col("so").isNull()).alias("n_null_mismatch"))
-    per_step = stats.valid_per_step(df, "thetao").agg(F.min("n_valid").alias("min_per_step"),
-                                                    F.count(F.lit(1)).alias("n_steps"))
-    per_px = df.groupBy("iy", "ix").agg(F.count("thetao").alias("n")).agg(
-        F.max("n").alias("max_per_pixel"), F.count(F.lit(1)).alias("n_pixels"))
-    frames = [a, per_step, per_px]
-    if expected is not None:
-        from floe.operators.joins import coverage_gaps
-        gaps = coverage_gaps(expected, df.where(F.col("thetao").isNotNull()), ["iy", "ix"])
-        frames.append(gaps.agg(F.count_if(F.col("kind") == "expected_missing").alias("n_expected_missing"),
-                               F.count_if(F.col("kind") == "unexpected_present").alias("n_outside_mask")))
-    m = one_row(*frames)
-    rules = [("required_columns", f"{len(missing)} = 0", f"{len(missing)}"),
-             ("thetao_bounds", "n_thetao_out = 0", "n_thetao_out"),
-             ("so_bounds", "n_so_out = 0", "n_so_out"),
-             ("draft_bounds", "n_draft_out = 0", "n_draft_out"),
-             ("depth_rule", "n_depth_rule = 0", "n_depth_rule"),
-             ("null_pattern", "n_null_mismatch = 0", "n_null_mismatch"),
-             ("min_valid_per_step", "min_per_step > 0", "min_per_step"),
-             ("max_valid_per_pixel", "max_per_pixel <= n_steps", "max_per_pixel")]
-    if expected is not None:
-        rules += [("mask_pixels_without_data", "coalesce(n_expected_missing, 0) = 0", "coalesce(n_expected_missing, 0)"),
-                  ("data_outside_mask", "coalesce(n_outside_mask, 0) = 0", "coalesce(n_outside_mask, 0)")]
+def ocean_audit(df: DataFrame, types: dict[str, str], shelf: DataFrame, grid: DataFrame, times: DataFrame,
+                max_depth: float, units: tuple[str, ...] = (), value_2d: tuple[str, ...] = ("ice_draft", "clamped_depth", "mascon_id"),
+                reference: str = "dist_to_ocean", salinity: str = "so", temperature: str = "thetao") -> DataFrame:
+    """V6, all groups: schema and types, coordinates and times against their sources, NaN fill, coverage of the
+    shelf, one null pattern, bounds, whole-number regions, temporal coverage, metadata.
+
+    ``types``: required columns and their Spark type names; ``shelf``: expected pixels; ``grid`` and
+    ``times``: pixels and steps of the source stores; ``max_depth``: deepest level of the ocean
+    product; ``units``: columns that must carry a unit. Bounds and coverage look at shelf
+    pixels. The table is written once; three aggregates (rows, pixels, steps) read it.
+    """
+    have = {f.name: f for f in df.schema.fields}
+    missing = [c for c in types if c not in have]
+    if missing:
+        one = df.sparkSession.range(1)
+        return checks(one, [("required_columns", "false", f"{len(missing)}")])
+    pix = ["iy", "ix"]
+    on_shelf = shelf.select(*pix).distinct().withColumn("_shelf", F.lit(True))
+    rows = materialize(df.join(on_shelf, pix, "left").withColumn("_shelf", F.coalesce("_shelf", F.lit(False))), "audit")
+    inside = lambda cond: F.count_if(F.col("_shelf") & cond)
+    two = [reference, *value_2d]
+    nans = [F.isnan(c) for c, t in types.items() if t in ("float", "double")]
+    a = rows.agg(
+        F.count_if(reduce(lambda x, y: x | y, nans)).alias("n_nan"),
+        *[F.count_if(F.col(c).isNull() != F.col(reference).isNull()).alias(f"n_null_{c}") for c in value_2d],
+        F.count_if(F.col(temperature).isNull() != F.col(salinity).isNull()).alias("n_null_pair"),
+        inside(~((F.col(reference) >= 0) & (F.col(reference) < C.DIST_MAX_M))).alias("n_dist_out"),
+        inside(~F.col("clamped_depth").between(0, max_depth + 1.0)).alias("n_depth_out"),
+        inside(~F.col("ice_draft").between(C.DRAFT_MIN, C.DRAFT_MAX)).alias("n_draft_out"),
+        inside(~F.col(temperature).between(C.THETAO_MIN, C.THETAO_MAX)).alias("n_thetao_out"),
+        inside(~F.col(salinity).between(C.SO_MIN, C.SO_MAX)).alias("n_so_out"),
+        inside(F.col("mascon_id") != F.rint("mascon_id")).alias("n_mascon_part"))
+    per_step = rows.groupBy("time").agg(F.count_if(F.col("_shelf") & F.col(temperature).isNotNull()).alias("n")).agg(
+        F.min("n").alias("min_per_step"), F.count(F.lit(1)).alias("n_steps"))
+    # pixels: the table's, the shelf's and the source grid's in one aggregate
+    flags = lambda d, **k: d.select(*pix, *[(F.lit(v) if not isinstance(v, Column) else v).alias(n) for n, v in k.items()])
+    sides = (flags(rows, own=1, data=F.col(reference).isNotNull().cast("int"), t=F.when(F.col(temperature).isNotNull(), F.col("time")), sh=0, src=0)
+             .unionByName(flags(on_shelf, own=0, data=0, t=F.lit(None).cast(rows.schema["time"].dataType), sh=1, src=0))
+             .unionByName(flags(grid, own=0, data=0, t=F.lit(None).cast(rows.schema["time"].dataType), sh=0, src=1)))
+    px = sides.groupBy(*pix).agg(*[F.max(c).alias(c) for c in ("own", "data", "sh", "src")], F.count("t").alias("n_t"))
+    n_steps = rows.select("time").distinct().count()
+    per_px = px.agg(F.count_if((F.col("own") == 1) & (F.col("src") == 0)).alias("n_px_extra"),
+                    F.count_if((F.col("own") == 0) & (F.col("src") == 1)).alias("n_px_lacking"),
+                    F.count_if((F.col("sh") == 1) & (F.col("data") == 0)).alias("n_shelf_lacking"),
+                    F.count_if((F.col("sh") == 0) & (F.col("data") == 1)).alias("n_outside"),
+                    F.count_if((F.col("sh") == 1) & (F.col("n_t") < n_steps)).alias("n_px_gaps"))
+    tt = (rows.select("time").distinct().withColumn("o", F.lit(1)).withColumn("s", F.lit(0))
+          .unionByName(times.select("time").distinct().withColumn("o", F.lit(0)).withColumn("s", F.lit(1)))
+          .groupBy("time").agg(F.max("o").alias("o"), F.max("s").alias("s"))
+          .agg(F.count_if(F.col("o") != F.col("s")).alias("n_time_diff")))
+    m = one_row(a, per_step, per_px, tt)
+    zero = lambda name, count: (name, f"{count} = 0", count)
+    wrong = [c for c, t in types.items() if have[c].dataType.typeName() != t]
+    bare = [c for c in units if not (have[c].metadata or {}).get("units")]
+    rules = [("required_columns", "true", "0"), ("column_types", f"{len(wrong)} = 0", f"{len(wrong)}"),
+             zero("pixels_not_in_grid", "n_px_extra"), zero("grid_pixels_lacking", "n_px_lacking"), zero("time_differs", "n_time_diff"),
+             zero("nan_values", "n_nan"), zero("shelf_without_data", "n_shelf_lacking"), zero("data_outside_shelf", "n_outside"),
+             *[zero(f"null_pattern_{c}", f"n_null_{c}") for c in value_2d], zero("null_pattern_pair", "n_null_pair"),
+             zero("dist_bounds", "n_dist_out"), zero("depth_bounds", "n_depth_out"), zero("draft_bounds", "n_draft_out"),
+             zero("thetao_bounds", "n_thetao_out"), zero("so_bounds", "n_so_out"), zero("mascon_whole", "n_mascon_part"),
+             ("min_valid_per_step", "min_per_step > 0", "min_per_step"), zero("shelf_pixels_with_time_gaps", "n_px_gaps"),
+             ("units_missing", f"{len(bare)} = 0", f"{len(bare)}")]
     return checks(m, rules)
 
 
 def merge_validation(df: DataFrame, value: str, canvas_cells: int) -> DataFrame:
-    """V7: unique keys, monotonic x along ix, coverage >= 1% (warning)."""
+    """V7: unique keys, x ascending along ix, y descending along iy, one coordinate per index; coverage of the
+    first step >= 1% (a warning)."""
+    df = materialize(df, "audit")
     dup = stats.duplicate_keys(df, ["iy", "ix", "time"]).agg(F.count(F.lit(1)).alias("n_dup"))
-    mono = stats.successor_violations(df, "ix", "x", True).select(F.col("n_violations").alias("n_x_violations"))
-    cov = df.agg(F.count(value).alias("n_valid"), F.count_distinct("time").alias("n_steps"))
-    m = one_row(dup, mono, cov)
-    pct = f"n_valid * 100.0 / ({canvas_cells} * n_steps)"
+    x = stats.successor_violations(df, "ix", "x", True).select(F.col("n_violations").alias("n_x_violations"))
+    y = stats.successor_violations(df, "iy", "y", False).select(F.col("n_violations").alias("n_y_violations"))
+    several = [df.select(i, c).distinct().groupBy(i).count().agg(F.count_if(F.col("count") > 1).alias(f"n_{c}_several")) for i, c in (("ix", "x"), ("iy", "y"))]
+    cov = select.pick_steps(df, "first").agg(F.count(value).alias("n_valid"))
+    m = one_row(dup, x, y, *several, cov)
+    pct = f"n_valid * 100.0 / {canvas_cells}"
     rules = [("unique_keys", "n_dup = 0", "n_dup"),
-             ("x_monotonic", "n_x_violations = 0", "n_x_violations"),
-             ("coverage_pct", f"{pct} >= {C.COVERAGE_WARN_PCT}", pct)]
+             ("x_monotonic", "n_x_violations = 0", "n_x_violations"), ("y_monotonic", "n_y_violations = 0", "n_y_violations"),
+             ("x_single", "n_x_several = 0", "n_x_several"), ("y_single", "n_y_several = 0", "n_y_several"),
+             ("coverage_first_pct", f"{pct} >= {C.COVERAGE_WARN_PCT}", pct, "warning")]
     return checks(m, rules)
 
 

@@ -10,6 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from floe.session import materialize
+
 # The grouped Arrow function below runs on executors. Pickle this module by
 # value so executors need only numpy/pandas, not an installed copy of floe.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -92,78 +94,78 @@ def _column_profile(sources: DataFrame, ny: int) -> DataFrame:
     return e.select(F.col("row").alias("iy"), "ix", g.cast("long").alias("g"))
 
 
-def _envelope_min(q: np.ndarray, f: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """min over i of (t - q_i)^2 + f_i for sorted q and sorted t (lower envelope, linear)."""
-    n = len(q)
-    v = np.zeros(n, dtype=np.int64)
-    z = np.empty(n + 1, dtype=np.float64)
-    k = 0
-    v[0] = 0
-    z[0], z[1] = -np.inf, np.inf
-    qf, ff = q.astype(np.float64), f.astype(np.float64)
+#: Stands for "no source in this column": never the lowest parabola where there is another.
+_FAR = float(1 << 50)
+
+
+def _envelopes(q: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower envelopes of the parabolas (t - q_i)^2 + f[r, i], for all rows r at once.
+
+    Returns parabola numbers ``v`` and left ends ``z`` by row, and the last used position ``k``.
+    A step adds one column to every row's envelope; rows that must drop parabolas first do so
+    together, so the Python steps are linear in the columns and not in the cells.
+    """
+    rows, n = f.shape
+    v = np.zeros((rows, n), np.int64)
+    z = np.full((rows, n), -np.inf)
+    k = np.zeros(rows, np.int64)
+    key = f + q.astype(np.float64) ** 2
     for i in range(1, n):
-        while True:
-            j = v[k]
-            s = ((ff[i] + qf[i] * qf[i]) - (ff[j] + qf[j] * qf[j])) / (2.0 * qf[i] - 2.0 * qf[j])
-            if s <= z[k] and k > 0:
-                k -= 1
-                continue
-            if s <= z[k]:
-                v[0] = i
-                z[1] = np.inf
-                break
-            k += 1
-            v[k] = i
-            z[k] = s
-            z[k + 1] = np.inf
-            break
-    m = k + 1
-    env_q, env_f, env_z = q[v[:m]], f[v[:m]], z[1:m + 1]
-    idx = np.searchsorted(env_z, t, side="left")
-    idx = np.clip(idx, 0, m - 1)
-    best = None
-    for d in (-1, 0, 1):  # guard against floating boundary placement: check neighbours exactly
-        j = np.clip(idx + d, 0, m - 1)
-        val = (t - env_q[j]) ** 2 + env_f[j]
-        best = val if best is None else np.minimum(best, val)
-    return best
+        left = np.arange(rows)
+        while len(left):
+            top = k[left]
+            j = v[left, top]
+            cross = (key[left, i] - key[left, j]) / (2.0 * (q[i] - q[j]))
+            below = cross <= z[left, top]
+            first = below & (top == 0)
+            put = left[~below | first]
+            k[put] = np.where(first, 0, top + 1)[~below | first]
+            v[put, k[put]] = i
+            z[put, k[put]] = np.where(first, -np.inf, cross)[~below | first]
+            left = left[below & ~first]
+            k[left] -= 1
+    return v, z, k
 
 
 def _rows_transform(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pass 2 for a block of grid rows: one lower envelope per row."""
-    parts = [_row_transform(g) for _, g in pdf.groupby("iy", sort=False)]
-    if not parts:
-        return pd.DataFrame({"iy": pd.Series(dtype="int32"), "ix": pd.Series(dtype="int32"),
-                             "d2": pd.Series(dtype="Int64")})
-    return pd.concat(parts, ignore_index=True)
-
-
-def _row_transform(pdf: pd.DataFrame) -> pd.DataFrame:
-    src = pdf[pdf["kind"] == 0].sort_values("ix")
-    tgt = pdf[pdf["kind"] == 1].sort_values("ix")
-    out = pd.DataFrame({"iy": tgt["iy"].astype("int32").values, "ix": tgt["ix"].astype("int32").values})
-    if len(tgt) == 0:
-        return out.assign(d2=pd.Series(dtype="Int64"))
-    if len(src) == 0:
+    """Pass 2 for a block of grid rows: squared distances of the targets (``kind`` 1) to the profile (``kind`` 0)."""
+    src, tgt = pdf[pdf["kind"] == 0], pdf[pdf["kind"] == 1]
+    out = pd.DataFrame({"iy": tgt["iy"].astype("int32").to_numpy(), "ix": tgt["ix"].astype("int32").to_numpy()})
+    if not len(src) or not len(tgt):
         return out.assign(d2=pd.array([None] * len(out), dtype="Int64"))
-    q = src["ix"].to_numpy(dtype=np.int64)
-    f = src["g"].to_numpy(dtype=np.int64) ** 2
-    t = tgt["ix"].to_numpy(dtype=np.int64)
-    return out.assign(d2=_envelope_min(q, f, t).astype(np.int64))
+    q, col = np.unique(src["ix"].to_numpy(np.int64), return_inverse=True)
+    iy, row = np.unique(src["iy"].to_numpy(np.int64), return_inverse=True)
+    f = np.full((len(iy), len(q)), _FAR)
+    f[row, col] = src["g"].to_numpy(np.float64) ** 2
+    v, z, k = _envelopes(q, f)
+    best = np.full(len(out), _FAR)
+    at = out["iy"].to_numpy(np.int64)
+    order = np.argsort(at, kind="stable")
+    begin, end = np.searchsorted(at[order], iy), np.searchsorted(at[order], iy, side="right")
+    for r in range(len(iy)):
+        mine = order[begin[r]: end[r]]
+        t = out["ix"].to_numpy(np.int64)[mine]
+        near = np.searchsorted(z[r, : k[r] + 1], t, side="right") - 1
+        for d in (-1, 0, 1):  # ends are rounded: look at the neighbours too, exactly
+            j = v[r, np.clip(near + d, 0, k[r])]
+            best[mine] = np.minimum(best[mine], (t - q[j]) ** 2.0 + f[r, j])
+    return out.assign(d2=pd.array(np.where(best < _FAR, best, 0).astype(np.int64), dtype="Int64")).assign(
+        d2=lambda d: d["d2"].mask(pd.Series(best >= _FAR)))
 
 
 def distance_to_sources(cells: DataFrame, is_source, ny: int, res: float = 500.0, out: str = "dist",
-                        rows_per_group: int = 16) -> DataFrame:
+                        rows_per_group: int = 64) -> DataFrame:
     """Exact Euclidean distance from every cell to the nearest source cell.
 
     Two separable passes: (1) per column, the nearest source row (window +
     explode, bounded by the grid); (2) per row, the lower envelope of
-    parabolas over columns, in a grouped Arrow function. A group is a block of
-    ``rows_per_group`` grid rows, so it holds at most 2 x rows_per_group x the
-    grid width entries, whatever the data volume. Sources get 0; with no
-    source anywhere the distance is null.
+    parabolas over columns, in a grouped Arrow function that handles all rows
+    of its group at once. A group is a block of ``rows_per_group`` grid rows, so
+    it holds at most 2 x rows_per_group x the grid width entries, whatever the
+    data volume. Sources get 0; with no source anywhere the distance is null.
+    The cells are written once and read, pruned to what each pass needs.
     """
-    c = cells.withColumn("_src", is_source)
+    c = materialize(cells.withColumn("_src", is_source), "distance-cells")
     sources = c.where(F.col("_src")).select("iy", "ix")
     prof = _column_profile(sources, ny).select("iy", "ix", "g", F.lit(0).alias("kind"))
     targets = c.where(~F.col("_src") | F.col("_src").isNull()).select(
