@@ -203,6 +203,12 @@ def nearest_weights(nearest: DataFrame) -> DataFrame:
     return nearest.select("dst_id", "src_id", F.lit(1.0).alias("w"))
 
 
+def grid_fingerprint(method: str, *parts) -> str:
+    """Folder name of a weights table: the method and a digest of what the weights depend on."""
+    import hashlib
+    return f"{method}-{hashlib.sha256(repr(parts).encode()).hexdigest()[:16]}"
+
+
 def weights_table(spark, path: str, build, fingerprint: str = "weights") -> DataFrame:
     """J13 weights persisted once and reused, in a folder named by ``fingerprint`` (of grid and method).
 

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from floe.functions import thermo
 from floe.functions.grid import Grid
+from floe.functions.timefn import days_to_timestamp
 from floe.operators import audit, joins, mosaic, regrid, select, stencil
 from floe.plans import lsp
+from floe.session import materialize
 from floe.sinks import writers
 from floe.sources import readers
 
@@ -54,31 +56,64 @@ def run_flatten_dynamic(spark: SparkSession, sources: dict[str, str], static: st
 
 
 def run_mosaic(spark: SparkSession, tiles: dict[str, str], sigma: str, out: str, grid: Grid) -> DataFrame:
-    """Snap tile coordinates to the grid (F1), lowest-sigma mosaic (M1), physics gate (V1), write if absent (K5)."""
+    """Snap tile coordinates to the grid (F1), lowest-sigma mosaic (M1), physics gate (V1), write if absent (K5).
+
+    Nothing is computed when a complete output exists; else the mosaic is computed once, audited
+    (warnings don't stop the job) and written.
+    """
     readers.validate_inputs(spark, list(tiles.values()))
-    frames = {}
-    for tid, p in tiles.items():
-        t = _read(spark, p)
-        frames[tid] = t.withColumns({"iy": grid.iy("y"), "ix": grid.ix("x")}).drop("x", "y")
-    m = mosaic.mosaic(mosaic.union_tiles(frames, list(tiles)).drop("tile_id"), sigma)
-    values = [c for c in m.columns if c not in ("iy", "ix", "time", "tile_order") and "sigma" not in c
-              and "ice_area" not in c]
-    audit.assert_ok(audit.physics(m, values, area="ice_area" if "ice_area" in m.columns else None))
-    writers.write_if_absent(m.withColumns({"x": grid.x("ix"), "y": grid.y("iy")}), out)
+
+    def build():
+        frames = {}
+        for tid, p in tiles.items():
+            t = _read(spark, p)
+            frames[tid] = t.withColumns({"iy": grid.iy("y"), "ix": grid.ix("x")}).drop("x", "y")
+        m = materialize(mosaic.mosaic(mosaic.union_tiles(frames, list(tiles)).drop("tile_id"), sigma), "mosaic")
+        values = [c for c in m.columns if c not in ("iy", "ix", "time", "tile_order") and "sigma" not in c
+                  and "ice_area" not in c]
+        audit.assert_ok(audit.physics(m, values, area="ice_area" if "ice_area" in m.columns else None))
+        return m.withColumns({"x": grid.x("ix"), "y": grid.y("iy")})
+    writers.write_if_absent(build, out, spark=spark)
     return spark.read.parquet(out)
 
 
 def run_upsample(spark: SparkSession, coarse: str, value: str, out: str, units: str = "m") -> DataFrame:
     """1 km lattice (cy, cx[, time]) -> 500 m cells by bilinear interpolation, FLOAT with units."""
     readers.validate_inputs(spark, [coarse])
-    c = _read(spark, coarse)
-    by = ("time",) if "time" in c.columns else ()
-    up = regrid.upsample2x(c, value=value, by=by)
-    up = writers.with_metadata(writers.narrow_floats(up), {value: {"units": units}})
-    writers.write_if_absent(up, out)
+
+    def build():
+        c = _read(spark, coarse)
+        by = ("time",) if "time" in c.columns else ()
+        up = regrid.upsample2x(c, value=value, by=by)
+        return writers.with_metadata(writers.narrow_floats(up), {value: {"units": units}})
+    writers.write_if_absent(build, out, spark=spark)
     return spark.read.parquet(out)
 
 
+def run_upsample_products(spark: SparkSession, products: dict[str, tuple[str, str, str]], src_res: float = 1000.0,
+                          dst_res: float = 500.0) -> dict[str, str]:
+    """B8 over several products ``name -> (coarse path, value column, output path)``: each is checked (V2: its lattice
+    against the nominal spacing) and refined by itself; one that fails doesn't stop the others.
+
+    Returns ``name -> "written"`` or the error, and raises only when every product failed.
+    """
+    said = {}
+    for name, (coarse, value, out) in products.items():
+        try:
+            readers.validate_inputs(spark, [coarse])
+            c = _read(spark, coarse)
+            src = c.select((F.col("cx") * src_res).cast("double").alias("x")).distinct()
+            dst = src.select(F.explode(F.array(F.col("x") - dst_res / 2, F.col("x") + dst_res / 2)).alias("x"))
+            audit.assert_ok(audit.grid_compat(src, dst, src_res, dst_res))
+            run_upsample(spark, coarse, value, out)
+            said[name] = "written"
+        except Exception as e:  # reported per product
+            said[name] = f"{type(e).__name__}: {e}"
+    if products and all(x != "written" for x in said.values()):
+        raise RuntimeError(f"no product was written: {said}")
+    return said
+
+
 def run_features(spark: SparkSession, static: str, altimetry: str, out_static: str, out_dynamic: str,
                  ny: int, nx: int) -> tuple[DataFrame, DataFrame]:
     """Bed slope, distance to grounding line, dynamic surface and its slope, null outside ice."""
@@ -89,13 +124,14 @@ def run_features(spark: SparkSession, static: str, altimetry: str, out_static: s
                                      out="dist_to_grounding_line")
     f = select.null_outside(gl.join(bs, ["iy", "ix"], "left"), ["bed_slope", "dist_to_grounding_line"],
                             F.col("mask").isin(1, 3)).drop("mask")
+    # features are stored as FLOAT; heights and slopes are computed in DOUBLE
     writers.write_even(f, out_static, files=max(1, spark.sparkContext.defaultParallelism))
     a = _read(spark, altimetry)
     h = a.join(s.select("iy", "ix", "surface", "mask"), ["iy", "ix"]).select(
         "iy", "ix", "time", "mask", thermo.dynamic_surface().alias("h_surface_dynamic"))
     h = stencil.slope(h, "h_surface_dynamic", ny, nx, by=("time",), out="surface_slope")
     h = select.null_outside(h, ["h_surface_dynamic", "surface_slope"], F.col("mask").isin(1, 3)).drop("mask")
-    writers.write_steps(h, out_dynamic, "time")
+    writers.write_steps(writers.narrow_floats(h), out_dynamic, "time")
     return spark.read.parquet(out_static), spark.read.parquet(out_dynamic)
 
 
@@ -113,14 +149,16 @@ def run_thermodynamics(spark: SparkSession, ocean_match: str, out: str) -> tuple
 
 def run_anomaly_regrid(spark: SparkSession, source: str, source_grid: str, targets: str, weights: str,
                        out: str, lat0: float, dlat: float, lon0: float, dlon: float, n_lat: int, n_lon: int,
-                       value: str = "lwe", lo: float | None = None, hi: float | None = None
+                       value: str = "lwe", lo: float | None = None, hi: float | None = None,
+                       epoch: str | None = None, first_day: str | None = None, last_day: str | None = None,
                        ) -> tuple[DataFrame, DataFrame]:
     """Anomaly on a regular lat/lon grid -> target cells, every step, with QC.
 
-    ``source``: ``(src_id, time, value)``; ``source_grid``: ``(src_id, si, sj, lat, lon)``;
-    ``targets``: ``(dst_id, x, y)`` in EPSG:3031 metres. Nearest-neighbour weights
-    (J11) are built once into ``weights`` and reused (J13); values outside the
-    open QC range become null (P11) and are counted per step (A10).
+    ``source``: ``(src_id, time, value)``, ``time`` in days since ``epoch`` if that is given (F3);
+    ``source_grid``: ``(src_id, si, sj, lat, lon)``; ``targets``: ``(dst_id, x, y)`` in EPSG:3031 metres.
+    Steps from ``first_day`` to ``last_day`` (P8). Nearest-neighbour weights (J11) are built once
+    into ``weights`` and reused (J13). Values outside the open QC range become null (P11) and are counted per
+    step (A10) from the same regridded table; steps are written as regions (K4), so a rerun replaces its own.
     """
     from floe import constants as C
     from floe.functions.proj import xy_to_latlon
@@ -135,9 +173,13 @@ def run_anomaly_regrid(spark: SparkSession, source: str, source_grid: str, targe
         g = _read(spark, source_grid).withColumn("_v", F.lit(None).cast("double"))
         nn = regrid.nearest_regular(g, t, lat0, dlat, lon0, dlon, n_lat, n_lon, value="_v")
         return regrid.nearest_weights(nn)
-    w = regrid.weights_table(spark, weights, build)
-    src = _read(spark, source)
-    out_df = select.qc_null_out(regrid.apply_weights(src, w, value=value, by=("time",)), value, lo, hi)
-    counters = stats.qc_counters(regrid.apply_weights(src, w, value=value, by=("time",)), value, lo, hi, by="time")
-    writers.write_steps(out_df, out, "time")
-    return spark.read.parquet(out), counters
+    mark = regrid.grid_fingerprint("nearest", source_grid, targets, lat0, dlat, lon0, dlon, n_lat, n_lon)
+    w = regrid.weights_table(spark, weights, build, mark)
+    src = spark.read.parquet(source) if epoch else _read(spark, source)
+    if epoch:
+        src = src.withColumn("time", days_to_timestamp("time", epoch).cast("date"))
+    if first_day and last_day:
+        src = select.time_slice(src, "time", first_day, last_day)
+    raw = materialize(regrid.apply_weights(src, w, value=value, by=("time",)), "regridded")
+    writers.overwrite_regions(select.qc_null_out(raw, value, lo, hi), out, ("time",))
+    return spark.read.parquet(out), stats.qc_counters(raw, value, lo, hi, by="time")

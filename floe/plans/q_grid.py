@@ -12,9 +12,11 @@ from floe.functions import grid as gf
 from floe.functions import thermo, timefn
 from floe.functions.grid import FIXTURE_GRID as G
 from floe.functions.proj import xy_to_latlon
+from floe.functions.timefn import quarter_start
 from floe.functions import proj
 from floe.operators import regrid, stencil
 from floe.plans.registry import query
+from floe.session import scratch_path
 from floe.sources import fixtures as fx
 from floe.sources import readers
 
@@ -123,16 +125,27 @@ def j11_nearest_neighbour(spark, d):
     return _nearest(spark, d)
 
 
-@query("b6_anomaly_regrid", W("fx_source_ll", "fx_target_xy") + _NN + """
-SELECT dst_id, src_id, CASE WHEN v > -5000 AND v < 5000 THEN v END AS v FROM nn""")
+@query("b6_anomaly_regrid", W("fx_source_ll", "fx_target_xy") + _NN + f"""
+, an AS (SELECT CAST(l_partkey AS INT) AS src_id, {fx._qtr('l_shipdate')} AS time, MAX(l_quantity) * 200 - 3600 AS lwe FROM lineitem GROUP BY 1, 2),
+sl AS (SELECT * FROM an WHERE time BETWEEN DATE '1993-01-01' AND DATE '1996-12-31'),
+ts AS (SELECT DISTINCT time FROM sl)
+SELECT nn.dst_id, ts.time, CASE WHEN lwe > -5000 AND lwe < 5000 THEN lwe END AS lwe
+FROM nn CROSS JOIN ts LEFT JOIN sl ON sl.src_id = nn.src_id AND sl.time = ts.time""")
 def b6_anomaly_regrid(spark, d):
-    """Targets -> lat/lon (F4) -> nearest source (J11) -> weights applied (J13) -> QC."""
-    from floe.operators.select import qc_null_out
-    nn = _nearest(spark, d)
-    w = regrid.nearest_weights(nn)
-    src = fx.fx_source_ll(spark, d).select("src_id", "v")
-    vals = regrid.apply_weights(src, w)
-    return qc_null_out(nn.select("dst_id", "src_id").join(vals, "dst_id"), "v")
+    """B6 with its time axis, through the job: days decoded (F3), steps sliced (P8), targets -> lat/lon (F4) -> nearest source
+    (J11, once) -> weights applied to every step (J13) -> QC (P11) -> regions written (K4) and read back."""
+    from floe.plans import jobs
+    nrows = fx.grid_rows(spark, d)
+    dlat = 40.0 / nrows
+    source, grid, targets, weights, out = (scratch_path(spark, f"b6-{n}") for n in ("source", "grid", "targets", "weights", "out"))
+    steps = fx.table(spark, d, "lineitem").groupBy(F.col("l_partkey").cast("int").alias("src_id"), quarter_start("l_shipdate").alias("q")).agg(
+        (F.max("l_quantity") * 200 - 3600).alias("lwe"))
+    steps.select("src_id", (F.date_diff("q", F.lit("1990-01-01").cast("date")) + F.lit(0.25)).cast("double").alias("time"), "lwe").write.parquet(source)
+    fx.fx_source_ll(spark, d, nrows).select("src_id", "si", "sj", "lat", "lon").write.parquet(grid)
+    fx.fx_target_xy(spark, d, nrows).select("dst_id", F.col("tx").alias("x"), F.col("ty").alias("y")).write.parquet(targets)
+    table, _ = jobs.run_anomaly_regrid(spark, source, grid, targets, weights, out, -90.0 + dlat / 2, dlat, -176.4, 7.2, nrows, fx.NX,
+                                       epoch="1990-01-01", first_day="1993-01-01", last_day="1996-12-31")
+    return table.select("dst_id", "time", "lwe")
 
 
 # -------------------------------------------------------------- stencils ---
@@ -342,11 +355,25 @@ def s8_sanitize_time(spark, d):
     return readers.sanitize_time(raw, "time")
 
 
-@query("s9_profile", W("fx_static") + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT({c}) AS n_valid, MIN(CAST({c} AS DOUBLE)) AS vmin, "
-    f"MAX(CAST({c} AS DOUBLE)) AS vmax, CAST(NULL AS VARCHAR) AS units, COUNT(*) AS n_rows, COUNT(*) * {w} AS est_bytes "
-    f"FROM fx_static"
-    for c, t, w in [("ix", "int", 4), ("iy", "int", 4), ("x", "double", 8), ("y", "double", 8), ("surface", "double", 8),
-                    ("thickness", "double", 8), ("bed", "double", 8), ("mask", "int", 4), ("mascon_id", "int", 4)]))
+def _s9_sql() -> str:
+    def row(c, t, number, width):
+        v = f"CAST(CAST({c} AS INT) AS DOUBLE)" if t == "boolean" else f"CAST({c} AS DOUBLE)"
+        lo, hi = (f"MIN({v})", f"MAX({v})") if number else ("CAST(NULL AS DOUBLE)",) * 2
+        first, last = ("CAST(NULL AS VARCHAR)",) * 2 if number else (f"CAST(MIN({c}) AS VARCHAR)", f"CAST(MAX({c}) AS VARCHAR)")
+        size = f"COUNT(*) * {width}" if width else f"CAST(SUM(strlen({c})) AS BIGINT)"
+        return (f"SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT({c}) AS n_valid, {lo} AS vmin, {hi} AS vmax, {first} AS first, {last} AS last, "
+                f"CAST(NULL AS VARCHAR) AS units, COUNT(*) AS n_rows, {size} AS est_bytes FROM s9")
+    return W("fx_static", "fx_icesat") + """
+, s9 AS (SELECT a.iy, a.time, a.delta_h, s.mask = 3 AS floating, 'cell-' || a.ix AS label, s.mascon_id
+         FROM fx_icesat a JOIN fx_static s ON a.iy = s.iy AND a.ix = s.ix)
+""" + " UNION ALL ".join(row(*x) for x in [("iy", "int", True, 4), ("time", "date", False, 4), ("delta_h", "double", True, 8), ("floating", "boolean", True, 1),
+                                           ("label", "string", False, 0), ("mascon_id", "int", True, 4)])
+
+
+@query("s9_profile", _s9_sql())
 def s9_profile(spark, d):
-    return readers.profile(fx.fx_static(spark, d))
+    """S9 over numbers, dates, booleans and strings."""
+    s = fx.fx_static(spark, d).select("iy", "ix", (F.col("mask") == 3).alias("floating"), "mascon_id")
+    t = fx.fx_icesat(spark, d).join(s, ["iy", "ix"]).select(
+        "iy", "time", "delta_h", "floating", F.concat(F.lit("cell-"), F.col("ix")).alias("label"), "mascon_id")
+    return readers.profile(t)

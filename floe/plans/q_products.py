@@ -268,11 +268,11 @@ _DYN = q_grid._HSD + """
 
 
 @query("b9_features_dynamic", W("fx_static", "fx_icesat") + _DYN + """
-SELECT h.iy, h.ix, h.time, CASE WHEN s.mask IN (1, 3) THEN h.h END AS h_surface_dynamic,
+SELECT h.iy, h.ix, h.time, CAST(CASE WHEN s.mask IN (1, 3) THEN h.h END AS FLOAT) AS h_surface_dynamic,
        CASE WHEN s.mask IN (1, 3) THEN ss.slope END AS surface_slope
 FROM hsd h JOIN fx_static s ON h.iy = s.iy AND h.ix = s.ix JOIN ss ON ss.iy = h.iy AND ss.ix = h.ix AND ss.time = h.time""")
 def b9_features_dynamic(spark, d):
-    return _dynamic_features(spark, d)
+    return writers.narrow_floats(_dynamic_features(spark, d))
 
 
 @query("b1_static_table", W("fx_static") + _FEAT + """

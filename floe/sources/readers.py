@@ -101,13 +101,9 @@ def canvas_from_extent(df: DataFrame, iy: str = "iy", ix: str = "ix") -> DataFra
 
 def missing_inputs(spark: SparkSession, paths: list[str]) -> list[str]:
     """Every path that does not exist (checked through the Hadoop file system,
-    so object stores and HDFS work; plain local checks when no JVM gateway exists)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:
-        import os
-        return [p for p in paths if not os.path.exists(p.removeprefix("file:"))]
+    so object stores and HDFS work; a session without a JVM gateway is an error)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)
@@ -140,26 +136,31 @@ def sanitize_time(df: DataFrame, c: str = "time") -> DataFrame:
     return df
 
 
-_WIDTH = {"byte": 1, "short": 2, "integer": 4, "float": 4, "long": 8, "double": 8}
+_WIDTH = {"byte": 1, "short": 2, "integer": 4, "float": 4, "long": 8, "double": 8, "boolean": 1, "date": 4}
 
 
 def profile(df: DataFrame, nd: int = 6) -> DataFrame:
-    """Per numeric column: type, non-null count, min, max, units attribute and an
-    in-memory size estimate (rows x type width) - one pass, unpivoted."""
-    num = [f for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    aggs = []
-    for f in num:
-        v = F.col(f.name).cast("double")
-        aggs += [F.count(v).alias(f"{f.name}__n"), F.min(v).alias(f"{f.name}__min"), F.max(v).alias(f"{f.name}__max")]
-    aggs.append(F.count(F.lit(1)).alias("__rows"))
-    wide = df.agg(*aggs)
-
-    def units(f):
+    """Per column: type, non-null count, smallest and largest value, units attribute and an in-memory size
+    estimate (rows x type width) - one pass, unpivoted.
+
+    Numbers and booleans (0, 1) have ``vmin`` and ``vmax``; strings, dates, timestamps and other ordered types
+    ``first`` and ``last`` as text. The size of strings is that of their bytes.
+    """
+    fields = df.schema.fields
+    aggs, parts = [F.count(F.lit(1)).alias("__rows")], []
+    for i, f in enumerate(fields):
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        number = isinstance(t, (T.NumericType, T.BooleanType))
+        text = not number and isinstance(t, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))
+        v = c.cast("int").cast("double") if isinstance(t, T.BooleanType) else c.cast("double") if number else F.lit(None).cast("double")
+        o = c if text else F.lit(None).cast("string")
+        size = F.sum(F.octet_length(c)).cast("long") if isinstance(t, (T.StringType, T.BinaryType)) else F.count(F.lit(1)) * _WIDTH.get(t.typeName(), 8)
+        aggs += [F.count(c).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"), F.min(o).cast("string").alias(f"first{i}"),
+                 F.max(o).cast("string").alias(f"last{i}"), size.alias(f"size{i}")]
         u = (f.metadata or {}).get("units")
-        return "CAST(NULL AS STRING)" if u is None else "'" + str(u).replace("'", "''") + "'"
-    stack = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', `{f.name}__n`, `{f.name}__min`, `{f.name}__max`, "
-                      f"{units(f)}, CAST({_WIDTH.get(f.dataType.typeName(), 8)} AS BIGINT)" for f in num)
-    return wide.selectExpr(
-        f"stack({len(num)}, {stack}) AS (column_name, data_type, n_valid, vmin, vmax, units, width)",
-        "__rows AS n_rows").selectExpr("column_name", "data_type", "n_valid", "vmin", "vmax", "units",
-                                       "n_rows", "n_rows * width AS est_bytes")
+        units = "CAST(NULL AS STRING)" if u is None else "'" + str(u).replace("'", "''") + "'"
+        name = f.name.replace("'", "''")
+        parts.append(f"'{name}', '{t.simpleString()}', n{i}, lo{i}, hi{i}, first{i}, last{i}, {units}, size{i}")
+    return df.agg(*aggs).selectExpr(
+        f"stack({len(fields)}, {', '.join(parts)}) AS (column_name, data_type, n_valid, vmin, vmax, first, last, units, est_bytes)", "__rows AS n_rows").select(
+        "column_name", "data_type", "n_valid", "vmin", "vmax", "first", "last", "units", "n_rows", F.coalesce("est_bytes", F.lit(0)).cast("long").alias("est_bytes"))

@@ -1,5 +1,6 @@
 """Batch jobs over stored tables give the same rows as the registered queries."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -118,5 +119,27 @@ def test_run_anomaly_regrid_reuses_weights(spark):
     assert counters.count() == 2
     # weights are read, not rebuilt, on the next run
     called = []
-    regrid.weights_table(spark, wpath, lambda: called.append(1))
+    mark = regrid.grid_fingerprint("nearest", g, t, -90.0 + dlat / 2, dlat, -176.4, 7.2, nrows, fx.NX)
+    regrid.weights_table(spark, wpath, lambda: called.append(1), mark)
     assert not called
+
+
+def test_a_warning_does_not_stop_the_mosaic_and_an_error_does(spark):
+    def store(dh, area):
+        return _store(spark, spark.createDataFrame([(-3071750.0, 3071750.0, None, dh, 0.1, area)],
+                                                   "x double, y double, time date, delta_h double, delta_h_sigma double, ice_area double"), "tile")
+    from floe.functions.grid import FIXTURE_GRID
+    out = scratch_path(spark, "warned")
+    assert jobs.run_mosaic(spark, {"A1": store(900.0, 1.0)}, "delta_h_sigma", out, FIXTURE_GRID).count() == 1
+    # a complete output is returned as it is, whatever the inputs say now
+    assert jobs.run_mosaic(spark, {"A1": store(1.0, -1.0)}, "delta_h_sigma", out, FIXTURE_GRID).first().delta_h == 900.0
+    with pytest.raises(ValueError, match="ice_area_non_negative"):
+        jobs.run_mosaic(spark, {"A1": store(1.0, -1.0)}, "delta_h_sigma", scratch_path(spark, "failed"), FIXTURE_GRID)
+
+
+def test_one_failing_product_does_not_stop_the_others(spark):
+    good = _store(spark, fx.fx_coarse(spark, SF_SMALL), "coarse")
+    said = jobs.run_upsample_products(spark, {"bad": (good + "-none", "v", scratch_path(spark, "p")), "good": (good, "v", scratch_path(spark, "p"))})
+    assert said["good"] == "written" and said["bad"].startswith("FileNotFoundError")
+    with pytest.raises(RuntimeError):
+        jobs.run_upsample_products(spark, {"bad": (good + "-none", "v", "x")})
