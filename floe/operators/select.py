@@ -63,13 +63,15 @@ def pick_steps(df: DataFrame, which: str = "middle", time: str = "time", every:
             "middle": F.col("pos") == F.floor(F.col("n_steps") / 2),
             "last": F.col("pos") == F.col("n_steps") - 1,
             "every": F.col("pos") % every == 0}[which]
-    return df.join(broadcast_checked(s.where(cond).select(time)), time, "left_semi")
+    picked = s.where(cond).select(time)
+    # one step is one row; a list of steps is counted first
+    return df.join(broadcast_checked(picked) if which == "every" else F.broadcast(picked), time, "left_semi")
 
 
 def first_steps(df: DataFrame, n: int, time: str = "time") -> DataFrame:
     """Keep the first ``n`` time steps (test-mode runs), as a semi-join."""
     s = step_positions(df, time).where(F.col("pos") < n).select(time)
-    return df.join(broadcast_checked(s), time, "left_semi")
+    return df.join(F.broadcast(s), time, "left_semi")  # n rows at most
 
 
 def bbox_subset(df: DataFrame, ref: DataFrame, buffer: float, x="x", y="y") -> DataFrame:

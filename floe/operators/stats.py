@@ -189,13 +189,19 @@ def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def extents(df: DataFrame, by: str, res: float, x: str = "x", y: str = "y") -> DataFrame:
-    """Per-tile extent, counts and half-cell edges."""
+    """Per-tile extent, counts and half-cell edges.
+
+    Rows are first reduced to one per (tile, x) and one per (tile, y), so that the distinct
+    counts need no expansion of every row.
+    """
     h = res / 2.0
-    return df.groupBy(by).agg(
-        F.min(x).alias("x_min"), F.max(x).alias("x_max"), F.min(y).alias("y_min"), F.max(y).alias("y_max"),
-        F.count_distinct(x).alias("nx"), F.count_distinct(y).alias("ny"), F.count(F.lit(1)).alias("n")
-    ).withColumns({"left": F.col("x_min") - h, "right": F.col("x_max") + h,
-                   "bottom": F.col("y_min") - h, "top": F.col("y_max") + h})
+    cols = (df.groupBy(by, x).agg(F.min(y).alias("_y0"), F.max(y).alias("_y1"), F.count(F.lit(1)).alias("_n"))
+            .groupBy(by).agg(F.min(x).alias("x_min"), F.max(x).alias("x_max"), F.min("_y0").alias("y_min"), F.max("_y1").alias("y_max"),
+                             F.count(x).alias("nx"), F.sum("_n").alias("n")))
+    rows = df.groupBy(by, y).agg(F.count(F.lit(1)).alias("_n")).groupBy(by).agg(F.count(y).alias("ny")).withColumnRenamed(by, "_by")
+    return (cols.join(rows, cols[by].eqNullSafe(rows["_by"]))
+            .select(by, "x_min", "x_max", "y_min", "y_max", "nx", "ny", "n")
+            .withColumns({"left": F.col("x_min") - h, "right": F.col("x_max") + h, "bottom": F.col("y_min") - h, "top": F.col("y_max") + h}))
 
 
 def tile_pairs(ext: DataFrame, by: str) -> DataFrame:
@@ -313,7 +319,7 @@ def consecutive_gaps(df: DataFrame, ts: str, unit_micros: int = 86_400_000_000,
     bounds = t.groupBy("pid").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
     wb = Window.orderBy("pid")
     link = bounds.withColumn("prev_last", F.lag("last_t").over(wb)).select("pid", "first_t", "prev_last")
-    t = t.join(broadcast_checked(link), "pid").withColumn(
+    t = t.join(F.broadcast(link), "pid").withColumn(  # one row per bucket: bounded by construction
         "prev", F.when(F.col("t") == F.col("first_t"), F.col("prev_last")).otherwise(F.col("prev")))
     us = F.timestamp_diff("MICROSECOND", F.col("prev"), F.col("t"))
     return (t.where(F.col("prev").isNotNull())

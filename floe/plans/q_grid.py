@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -337,13 +338,18 @@ def s6_canvas_from_extent(spark, d):
     return readers.canvas_from_extent(fx.fx_icesat(spark, d))
 
 
-@query("s7_input_check")
+@query("s7_input_check", """
+SELECT 'part' AS name, true AS exists, COUNT(*) AS n FROM part UNION ALL SELECT 'lineitem', true, COUNT(*) FROM lineitem
+UNION ALL SELECT 'orders', true, COUNT(*) FROM orders UNION ALL SELECT 'events', true, COUNT(*) FROM events
+UNION ALL SELECT 'not_a_table', false, CAST(NULL AS BIGINT)""")
 def s7_input_check(spark, d):
-    """Existence of every input table (rows-only: a report of paths)."""
+    """Existence of every input table, and the rows of those that are there."""
     names = ["part", "lineitem", "orders", "events", "not_a_table"]
-    paths = [f"{d}/{n}.parquet" for n in names]
-    missing = set(readers.missing_inputs(spark, paths))
-    return spark.createDataFrame([(n, p not in missing) for n, p in zip(names, paths)], "name string, exists boolean")
+    missing = set(readers.missing_inputs(spark, [f"{d}/{n}.parquet" for n in names]))
+    rows = [fx.table(spark, d, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), F.lit(True).alias("exists"), "n")
+            if f"{d}/{n}.parquet" not in missing else
+            spark.range(1).select(F.lit(n).alias("name"), F.lit(False).alias("exists"), F.lit(None).cast("long").alias("n")) for n in names]
+    return reduce(lambda a, b: a.unionByName(b), rows)
 
 
 @query("s8_sanitize_time", """

@@ -273,11 +273,15 @@ jy AS (SELECT a.v, b.v AS v_next FROM ys a JOIN ys b ON b.p - 1 = a.p)
 SELECT 'x' AS axis, COUNT(*) AS n_steps, COUNT(*) FILTER (WHERE v_next <= v) AS n_violations,
        COALESCE(bool_and(NOT (v_next <= v)), TRUE) AS monotonic FROM jx
 UNION ALL
-SELECT 'y', COUNT(*), COUNT(*) FILTER (WHERE v_next >= v), COALESCE(bool_and(NOT (v_next >= v)), TRUE) FROM jy""")
+SELECT 'y', COUNT(*), COUNT(*) FILTER (WHERE v_next >= v), COALESCE(bool_and(NOT (v_next >= v)), TRUE) FROM jy
+UNION ALL
+SELECT 'bed', COUNT(*), COUNT(*) FILTER (WHERE v_next <= v), COALESCE(bool_and(NOT (v_next <= v)), TRUE) FROM (
+  SELECT a.v, b.v AS v_next FROM (SELECT ix AS p, MAX(bed) AS v FROM fx_static GROUP BY ix) a JOIN (SELECT ix AS p, MAX(bed) AS v FROM fx_static GROUP BY ix) b ON b.p - 1 = a.p)""")
 def w5_monotonic(spark, d):
     s = fx.fx_static(spark, d)
     return (stats.successor_violations(s, "ix", "x", True).select(F.lit("x").alias("axis"), "*")
-            .unionByName(stats.successor_violations(s, "iy", "y", False).select(F.lit("y").alias("axis"), "*")))
+            .unionByName(stats.successor_violations(s, "iy", "y", False).select(F.lit("y").alias("axis"), "*"))
+            .unionByName(stats.successor_violations(s.groupBy("ix").agg(F.max("bed").alias("v")), "ix", "v", True).select(F.lit("bed").alias("axis"), "*")))
 
 
 # ------------------------------------------------------------- selection ---

@@ -42,7 +42,6 @@ def test_entry_smoke(spark):
     assert "lwe_fused" in df.columns
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    rows_only = set(QUERIES) - set(ORACLES)
-    assert rows_only <= {"s7_input_check"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
