@@ -3,7 +3,6 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from floe.llm import common, queries, simhash
 from tests.conftest import SF_SMALL
