@@ -100,9 +100,9 @@ def apply_weights(src: DataFrame, weights: DataFrame, value: str = "v", by=()) -
     """
     n_w = weights.groupBy("dst_id").agg(F.count(F.lit(1)).alias("_n_w"))
     if by:
-        # the steps: one row, an array as long as the time axis
-        steps = src.agg(F.collect_set(F.struct(*by)).alias("_steps"))
-        n_w = n_w.crossJoin(F.broadcast(steps)).select("dst_id", "_n_w", F.explode("_steps").alias("_by")).select("dst_id", "_n_w", "_by.*")
+        # the steps as one value: an array as long as the time axis
+        steps = src.agg(F.collect_set(F.struct(*by)).alias("_steps")).scalar()
+        n_w = n_w.select("dst_id", "_n_w", F.explode(steps).alias("_by")).select("dst_id", "_n_w", "_by.*")
         j = weights.join(src.select("src_id", *by, value), "src_id", "inner")
     else:
         j = sized_join(weights, src.select("src_id", value), ["src_id"], "inner", salt_by=["dst_id"])

@@ -77,14 +77,12 @@ def first_steps(df: DataFrame, n: int, time: str = "time") -> DataFrame:
 def bbox_subset(df: DataFrame, ref: DataFrame, buffer: float, x="x", y="y") -> DataFrame:
     """P10: rows inside the extent of ``ref`` +/- ``buffer``.
 
-    The extent is a global aggregate - exactly one row - so broadcasting it is
-    bounded by construction.
+    The extent is four scalar subqueries (computed in one pass): the comparison is a plain
+    filter of the scan, not a join.
     """
-    e = ref.agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"))
-    j = df.join(F.broadcast(e), how="inner", on=(
-        F.col(x).between(F.col("_x0") - buffer, F.col("_x1") + buffer)
-        & F.col(y).between(F.col("_y0") - buffer, F.col("_y1") + buffer)))
-    return j.drop("_x0", "_x1", "_y0", "_y1")
+    e = ref.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
+    x0, x1, y0, y1 = (e.select(c).scalar() for c in ("x0", "x1", "y0", "y1"))
+    return df.where(F.col(x).between(x0 - buffer, x1 + buffer) & F.col(y).between(y0 - buffer, y1 + buffer))
 
 
 def qc_null_out(df: DataFrame, c: str, lo: float = C.QC_LWE_MIN, hi: float = C.QC_LWE_MAX) -> DataFrame:
