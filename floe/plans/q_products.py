@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from floe.functions import thermo
 from floe.functions.grid import FIXTURE_GRID as G
+from floe.functions.timefn import days_to_timestamp
 from floe.operators import audit, joins, mosaic, regrid, select, stencil
 from floe.plans import q_grid, q_io
 from floe.plans.registry import query
-from floe.session import scratch_path
+from floe.session import materialize, scratch_path
 from floe.sinks import writers
 from floe.sources import fixtures as fx
 from floe.sources import readers
@@ -311,13 +312,23 @@ def b2_altimetry_table(spark, d):
     return rows.select("iy", "ix", "time", "delta_h", "ice_area", "h_surface_dynamic", "surface_slope")
 
 
-@query("b3_ocean_table", W("fx_ocean") + "SELECT iy, ix, time, thetao, so FROM fx_ocean WHERE thetao IS NOT NULL")
+@query("b3_ocean_table", W("fx_static", "fx_ocean") + q_io._THERMO_SQL + """
+SELECT th.iy, th.ix, th.time, thetao, so, T_f, T_star FROM th JOIN fx_static s ON s.iy = th.iy AND s.ix = th.ix
+WHERE s.mask IN (1, 3) AND thetao IS NOT NULL""")
 def b3_ocean_table(spark, d):
-    """Decoded ocean chunks per step (S3) -> long rows, dropped where thetao is missing."""
+    """Decoded ocean chunks per step (S3) -> long rows with freezing point and thermal driving (F7-F9), on ice (J7), dropped
+    where thetao is missing (P7), stored by step (K2) and read back."""
     o = fx.fx_ocean(spark, d)
     cubes = [readers.cube_to_long(readers.long_to_cube(o, v, 10, extra=("time",)), v) for v in ("thetao", "so")]
     long = joins.outer_align(cubes, ["iy", "ix", "time"], partition_by=["iy", "ix"])
-    return select.drop_null(long, "thetao")
+    s = fx.fx_static(spark, d)
+    rows = long.join(s.select("iy", "ix", thermo.ice_draft().alias("ice_draft")), ["iy", "ix"])
+    rows = rows.withColumn("pressure", thermo.base_pressure()).withColumn("T_f", thermo.freezing_point()).withColumn("T_star", thermo.thermal_driving())
+    rows = select.drop_null(joins.mask_semi(rows, select.keep_codes(s).select("iy", "ix"), ["iy", "ix"]), "thetao")
+    out = rows.select("iy", "ix", "time", "thetao", "so", "T_f", "T_star")
+    path = scratch_path(spark, "b3")
+    writers.write_steps(out, path, "time")
+    return readers.read_steps(spark, path, out.schema)
 
 
 @query("b4_anomaly_table", W("fx_grace") + "SELECT mascon_id, time, lwe_length FROM fx_grace WHERE lwe_length IS NOT NULL")
@@ -376,6 +387,54 @@ def b11_merge_regrid(spark, d):
     return regrid.upsample2x(m, value="delta_h", by=("time",))
 
 
+_B11_WHOLE = W("fx_tiles", "fx_static", "fx_coarse") + f"""
+, ext AS (SELECT MIN(ix) AS x0, MAX(ix) AS x1, MIN(iy) AS y0, MAX(iy) AS y1 FROM fx_static WHERE ix BETWEEN 5 AND 44),
+inside AS (SELECT t.* FROM fx_tiles t, ext WHERE t.ix BETWEEN x0 - 1 AND x1 + 1 AND t.iy BETWEEN y0 - 1 AND y1 + 1),
+m1 AS (SELECT iy, ix, time, delta_h FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY iy, ix, time ORDER BY delta_h_sigma NULLS LAST, tile_order) AS rn
+  FROM inside WHERE delta_h_sigma IS NOT NULL OR tile_order = 0) WHERE rn = 1),
+tg AS (SELECT 2*cy + a AS iy, 2*cx + b AS ix, cy, cx, 0.25 + 0.5*a AS wy, 0.25 + 0.5*b AS wx FROM fx_coarse, (VALUES (0), (1)) A(a), (VALUES (0), (1)) B(b)),
+wt AS (SELECT iy, ix, cy + dy AS sy, cx + dx AS sx, (CASE dy WHEN 1 THEN wy ELSE 1 - wy END) * (CASE dx WHEN 1 THEN wx ELSE 1 - wx END) AS w
+       FROM tg, (VALUES (0), (1)) C(dy), (VALUES (0), (1)) D(dx)),
+ts AS (SELECT DISTINCT time FROM m1),
+rg AS (SELECT wt.iy, wt.ix, ts.time, CASE WHEN COUNT(m1.delta_h) = 4 THEN SUM(w * m1.delta_h) END AS v
+       FROM wt CROSS JOIN ts LEFT JOIN m1 ON m1.iy = wt.sy AND m1.ix = wt.sx AND m1.time = ts.time GROUP BY wt.iy, wt.ix, ts.time)
+SELECT CAST(iy AS INT) AS iy, CAST(ix AS INT) AS ix, time, ROUND(v, 6) AS delta_h, n_valid FROM rg JOIN (SELECT time AS tt, COUNT(v) AS n_valid FROM rg GROUP BY time) ON time = tt
+WHERE v IS NOT NULL"""
+
+
+@query("b11_merge_regrid_stored", _B11_WHOLE)
+def b11_merge_regrid_stored(spark, d):
+    """B11 with its whole chain: coordinates in km and days decoded (F2, F3), tiles cut to an extent (P10), merged (M1), weights of
+    the fine grid made once (J13) and applied to every step, coverage counted (A9), the first step created and the others
+    appended (K3), read back."""
+    epoch = "1990-01-01"
+    raw = fx.fx_tiles(spark, d).select(
+        (F.col("ix") * 0.5).alias("x_km"), (F.col("iy") * -0.5).alias("y_km"), F.date_diff("time", F.lit(epoch).cast("date")).cast("double").alias("days"),
+        "tile_order", "delta_h", "delta_h_sigma")
+    tiles = raw.select((F.col("x_km") * 1000).alias("x"), (F.col("y_km") * 1000).alias("y"), days_to_timestamp("days", epoch).cast("date").alias("time"),
+                       "tile_order", "delta_h", "delta_h_sigma")
+    ref = fx.fx_static(spark, d).where(F.col("ix").between(5, 44)).select((F.col("ix") * 500.0).alias("x"), (F.col("iy") * -500.0).alias("y"))
+    inside = select.bbox_subset(tiles, ref, 500.0).select(
+        F.rint(F.col("y") / -500).cast("int").alias("iy"), F.rint(F.col("x") / 500).cast("int").alias("ix"), "time", "tile_order", "delta_h", "delta_h_sigma")
+    merged = mosaic.mosaic(inside, "delta_h_sigma")
+    node = lambda cy, cx: cy.cast("long") * (1 << 20) + cx
+    t = q_grid._targets_2x(fx.fx_coarse(spark, d)).withColumn("dst_id", node(F.col("iy"), F.col("ix")))
+    weights = regrid.weights_table(spark, scratch_path(spark, "b11-weights"), lambda: regrid.bilinear_weights(t, "dst_id", "fy", "fx", node),
+                                   regrid.grid_fingerprint("bilinear", "2x"))
+    src = merged.select(node(F.col("iy"), F.col("ix")).alias("src_id"), "time", "delta_h")
+    fine = regrid.apply_weights(src, weights, value="delta_h", by=("time",))
+    fine = materialize(fine.select(F.floor(F.col("dst_id") / (1 << 20)).cast("int").alias("iy"), (F.col("dst_id") % (1 << 20)).cast("int").alias("ix"), "time",
+                                   F.round("delta_h", 6).alias("delta_h")), "b11")
+    path = scratch_path(spark, "b11-out")
+    first = fine.agg(F.min("time")).scalar()
+    writers.write_steps(fine.where(F.col("time") == first), path, "time")
+    writers.append_steps(fine.where(F.col("time") > first), path, "time")
+    back = readers.read_steps(spark, path, fine.schema)
+    coverage = back.groupBy("time").agg(F.count("delta_h").alias("n_valid"))
+    return select.drop_null(back, "delta_h").join(coverage, "time").select("iy", "ix", "time", "delta_h", "n_valid")
+
+
 # ------------------------------------------------- flatten -> long sparse ---
 
 _CHAIN = W("fx_static", "fx_icesat", "fx_ocean", "fx_grace") + _FEAT + _DYN + q_io._THERMO_SQL + """
