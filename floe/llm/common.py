@@ -24,6 +24,13 @@ def utf8(values: pa.Array) -> Iterator[bytes | None]:
         yield v.as_py()
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, for work that holds Python copies of the texts it looks at."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def row_hash(df: DataFrame) -> Column:
     """Hash of all columns that can be hashed (maps can't)."""
     def hashable(t: T.DataType) -> bool:

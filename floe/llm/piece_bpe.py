@@ -35,8 +35,10 @@ from floe.llm.common import fresh, plus, unused
 
 MARK = "▁"
 #: Encoded strings that a generation of a worker's memory holds (there are two), and their longest.
-CACHE_PARTS = 150_000
+CACHE_PARTS = 100_000
 CACHE_CHARS = 48
+#: Pairs of pieces whose fit a worker remembers.
+FITS = 500_000
 
 
 class Memory:
@@ -106,11 +108,12 @@ class PieceBpe:
         self._score = score
         self._adjacent = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self._trie = ahocorasick.Automaton()
-        for p in self.ids:
-            self._trie.add_word(p, len(p))
+        for p, i in self.ids.items():
+            self._trie.add_word(p, i)
         self._trie.make_automaton()
-        self._fits: dict[tuple[str, str], bool] = {}
-        self._shorter: dict[str, str | None] = {}
+        self._size = [len(p) for p in self.pieces]
+        self._fits: dict[int, bool] = {}  # by number of the left piece (-1: the start) times n plus that of the right
+        self._shorter = [-2] * n  # longest piece that is a proper prefix; -1: none, -2: not looked up yet
         self._parts = Memory(CACHE_PARTS // 2)  # by characters
         self._marked = Memory(CACHE_PARTS)  # by the characters after a space mark
         self._runs: dict[int, list[int]] = {}
@@ -144,50 +147,54 @@ class PieceBpe:
                 offer(prv[i])
         return [s for s in sym if s is not None]
 
-    def fits(self, a: str, b: str) -> bool:
-        """Whether ``a`` (empty: the start) then ``b`` is what merging their joined text gives."""
-        key = (a, b)
+    def fits(self, a: int, b: int) -> bool:
+        """Whether piece ``a`` (-1: the start) then piece ``b`` is what merging their joined text gives."""
+        key = a * len(self.pieces) + b
         ok = self._fits.get(key)
         if ok is None:
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) >= FITS:
                 self._fits.clear()
-            ok = self._fits[key] = self.merge(a + b) == ([a, b] if a else [b])
+            pair = [self.pieces[i] for i in (a, b) if i >= 0]
+            ok = self._fits[key] = self.merge("".join(pair)) == pair
         return ok
 
-    def shorter(self, p: str) -> str | None:
-        """The longest piece that is a proper prefix of ``p``."""
-        if p not in self._shorter:
-            self._shorter[p] = next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), None)
-        return self._shorter[p]
-
-    def backtrack(self, text: str) -> list[str]:
-        """Pieces of a text whose characters are all in the vocabulary."""
-        if text in self.ids and self.fits("", text):
-            return [text]
-        n = len(text)
-        longest = [0] * (n + 1)
-        for end, size in self._trie.iter(text):
-            longest[end + 1 - size] = size  # ends ascend, so the longest piece of a position comes last
+    def shorter(self, i: int) -> int:
+        """The longest piece that is a proper prefix of piece ``i``, or -1."""
+        got = self._shorter[i]
+        if got == -2:
+            p = self.pieces[i]
+            got = self._shorter[i] = next((self.ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), -1)
+        return got
+
+    def backtrack(self, text: str) -> list[int]:
+        """Ids of the pieces of a text whose characters are all in the vocabulary."""
+        whole = self.ids.get(text)
+        if whole is not None and self.fits(-1, whole):
+            return [whole]
+        n, size, n_pieces = len(text), self._size, len(self.pieces)
+        longest = [-1] * (n + 1)
+        for end, i in self._trie.iter(text):
+            longest[end + 1 - size[i]] = i  # ends ascend, so the longest piece of a position comes last
         open_at = bytearray(b"\1") * (n + 1)  # 0: no encoding goes on from here
-        known = self._fits.get
-        out: list[str] = []
-        last, pos, piece = "", 0, text[:longest[0]]
+        known, shorter = self._fits.get, self._shorter
+        out: list[int] = []
+        last, pos, piece = -1, 0, longest[0]
         while pos < n:
-            while piece is not None:
-                end = pos + len(piece)
+            while piece >= 0:
+                end = pos + size[piece]
                 if open_at[end]:
-                    ok = known((last, piece))
+                    ok = known(last * n_pieces + piece)
                     if ok or ok is None and self.fits(last, piece):
                         out.append(piece)
-                        last, pos = piece, end
-                        piece = text[end:end + longest[end]]
+                        last, pos, piece = piece, end, longest[end]
                         break
-                piece = self.shorter(piece)
+                less = shorter[piece]
+                piece = less if less != -2 else self.shorter(piece)
             else:
                 open_at[pos] = 0
                 piece = out.pop()
-                pos -= len(piece)
-                last = out[-1] if out else ""
+                pos -= size[piece]
+                last = out[-1] if out else -1
         return out
 
     def _part(self, part: str) -> list[int]:
@@ -210,7 +217,7 @@ class PieceBpe:
             if len(text) == 1 and text not in self.ids:
                 got = [self.byte_ids[b] for b in text.encode("utf-8")]
             else:
-                got = [self.ids[p] for p in self.backtrack(text)]
+                got = self.backtrack(text)
             self._parts.put(text, got)
         return got
 

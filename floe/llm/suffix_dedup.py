@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import by_group, fresh, plus, utf8
+from floe.llm.common import by_group, fresh, plus, slices, utf8
 from floe.operators.joins import broadcast_checked
 from floe.session import materialize
 
@@ -43,7 +43,7 @@ GROUP = 256
 #: Parts that the windows of larger groups are cut into at a time.
 PARTS = 4
 #: Contexts that a task remembers having sent.
-SENT = 200_000
+SENT = 100_000
 #: Bits of a Bloom filter for each gram, and at most.
 BLOOM_BITS, BLOOM_MAX = 16, 1 << 27
 #: Bytes looked at together; bounds a worker's arrays whatever the length of a text.
@@ -198,7 +198,7 @@ def _anchor_keys(texts: DataFrame, min_bytes: int, gram: int) -> DataFrame:
     """``(ah, ch)`` of every anchor: hashes of its gram and of its context."""
     def run(batches):
         pick = Anchors(min_bytes, gram)
-        for b in batches:
+        for b in slices(batches):
             data = list(utf8(b.column("data")))
             for i, at, h in pick.of_texts(data):
                 t = data[i]
@@ -208,7 +208,7 @@ def _anchor_keys(texts: DataFrame, min_bytes: int, gram: int) -> DataFrame:
     return texts.select("data").mapInArrow(_merged(run), "ah long, ch long")
 
 
-def _merged(run, rows: int = 50_000):
+def _merged(run, rows: int = 20_000):
     """Small batches of ``run`` put together, as each batch costs a trip to the JVM."""
     def out(batches):
         held, n = [], 0
@@ -231,7 +231,7 @@ def _anchor_hits(texts: DataFrame, min_bytes: int, gram: int, any_of, mixed) ->
     with the bytes of the context when the task meets it first."""
     def run(batches):
         pick, sent = Anchors(min_bytes, gram), set()
-        for b in batches:
+        for b in slices(batches):
             data, keys = list(utf8(b.column("data"))), b.column("k")
             for i, at, h in pick.of_texts(data):
                 hit = any_of.value.has(h)

@@ -45,7 +45,7 @@ def test_any_ids_decode_as_the_library(lib, ours):
 
 def test_backtracking_equals_literal_merging(ours):
     for t in ("▁unbelievable", "▁ththention", "▁aaaaaaa", "==========", "▁internationalization"):
-        assert ours.backtrack(t) == ours.merge(t)
+        assert [ours.pieces[i] for i in ours.backtrack(t)] == ours.merge(t)
 
 
 def test_forgetting_changes_nothing(lib, monkeypatch):
