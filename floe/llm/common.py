@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,6 +25,23 @@ def utf8(values: pa.Array) -> Iterator[bytes | None]:
         yield v.as_py()
 
 
+_SPACE = re.compile(rb"[ \t-\r]")
+#: Bytes of a very long text that are cut into words at a time.
+WORD_PIECE = 1 << 20
+
+
+def word_pieces(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, piece by piece, cut at spaces; texts of ordinary length are one piece."""
+    at = 0
+    while len(text) - at > WORD_PIECE:
+        cut = _SPACE.search(text, at + WORD_PIECE)
+        if cut is None:
+            break
+        yield text[at: cut.start()].split()
+        at = cut.start()
+    yield (text[at:] if at else text).split()
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Batches in slices, for work that holds Python copies of the texts it looks at."""
     for b in batches:

@@ -46,7 +46,10 @@ def word_buckets(text: bytes) -> np.ndarray:
 
     Words are runs of ASCII letters and digits (lower-cased) and non-ASCII bytes.
     """
-    words = set(_LETTERS.findall(text.lower()))
+    if len(text) > _PIECE:  # without a list of all words
+        words = {m[0] for m in _LETTERS.finditer(text.lower())}
+    else:
+        words = set(_LETTERS.findall(text.lower()))
     stems = {w[:k] for k in STEMS for w in words if len(w) >= k}
     return np.unique(np.fromiter((zlib.crc32(w) % WORD_BUCKETS for w in stems), np.int64, len(stems)))
 

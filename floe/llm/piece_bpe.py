@@ -37,6 +37,8 @@ MARK = "▁"
 #: Encoded strings that a generation of a worker's memory holds (there are two), and their longest.
 CACHE_PARTS = 100_000
 CACHE_CHARS = 48
+#: Characters of a very long text that are encoded at a time (cut before space marks).
+LONG_CHARS = 1 << 20
 #: Pairs of pieces whose fit a worker remembers.
 FITS = 500_000
 
@@ -233,8 +235,21 @@ class PieceBpe:
     def encode(self, text: str | None) -> list[int]:
         """Ids without begin and end ids; null: none."""
         norm = self._normalize(text) if text else ""
-        if not norm:
-            return []
+        if len(norm) <= LONG_CHARS:
+            return self._encode(norm) if norm else []
+        out: list[int] = []
+        at = 0
+        while at < len(norm):
+            cut = norm.find(MARK, at + LONG_CHARS)
+            while cut > 0 and norm[cut - 1] == MARK:  # a run of marks stays together
+                cut = norm.find(MARK, cut + 1)
+            cut = len(norm) if cut < 0 else cut
+            out += self._encode(norm[at:cut])
+            at = cut
+        return out
+
+    def _encode(self, norm: str) -> list[int]:
+        """Ids of normalised text that begins at a run of space marks, or at the start."""
         parts = norm.split(MARK)
         out: list[int] = []
         if parts[0]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import fresh, plus, unused, utf8
+from floe.llm.common import fresh, plus, unused, utf8, word_pieces
 
 GRAM = 4
 BUCKETS = 1 << 16
@@ -56,22 +56,18 @@ def base_counts(text: bytes | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; null counts as empty."""
     if not text:
         return 0, 0, 0, 0, 0
-    words = text.split()
-    kinds = np.bincount(_CLASS[np.frombuffer(text, np.uint8)], minlength=4)
+    number: dict[bytes, int] = {}
+    ids = np.concatenate([np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)) for words in word_pieces(text)])
+    kinds = sum(np.bincount(_CLASS[np.frombuffer(text[i: i + _PIECE], np.uint8)], minlength=4) for i in range(0, len(text), _PIECE))
     seen = [line for line in text.split(b"\n") if line.strip()] if b"\n" in text else []
-    return len(words), int(kinds[1] + kinds[3]), int(kinds[2] + kinds[3]), len(seen) - len(set(seen)), repeat_words(words)
+    return len(ids), int(kinds[1] + kinds[3]), int(kinds[2] + kinds[3]), len(seen) - len(set(seen)), repeat_words(ids, len(number))
 
 
-def repeat_words(words: list[bytes]) -> int:
-    """Words that lie in a 3-word window found twice or more."""
-    n = len(words)
-    if n < 4:
-        return 0
-    number: dict[bytes, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
-    if len(number) == n:
+def repeat_words(ids: np.ndarray, size: int) -> int:
+    """Words (as numbers below ``size``, the number of different ones) that lie in a 3-word window found twice or more."""
+    n = len(ids)
+    if n < 4 or size == n:
         return 0
-    size = len(number)
     pair = ids[:-1] * size + ids[1:]
     if size ** 3 < 1 << 62:
         triple = pair[:-1] * size + ids[2:]

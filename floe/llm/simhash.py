@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import connected_components, plus, row_hash, utf8
+from floe.llm.common import connected_components, plus, row_hash, utf8, word_pieces
 from floe.session import materialize
 
 SEED = 42
@@ -41,20 +41,32 @@ GOLAY_POLY = 0b101011100011
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     """Unsigned 64-bit SimHash of ``shingle``-word shingles; text without words: 0."""
-    words = text.lower().split() if text else []
-    if not words:
-        return 0
+    counts, n, held = np.zeros(64, np.int64), 0, []
+    for words in word_pieces((text or b"").lower()):
+        words = held + words
+        if len(words) >= shingle:
+            counts += _bit_counts(words, shingle)
+            n += len(words) - shingle + 1
+        held = words[1 - shingle:] if shingle > 1 else []
+    if not n:
+        if not held:
+            return 0
+        counts, n = _bit_counts(held, len(held)), 1
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+
+
+def _bit_counts(words: list[bytes], k: int) -> np.ndarray:
+    """How many of the hashes of all ``k``-word shingles have each bit."""
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     begins = np.concatenate(([0], ends[:-1] + 1))
-    k = min(shingle, len(words))
     spans = list(zip(begins[: len(words) - k + 1].tolist(), ends[k - 1:].tolist()))
     h = xxhash.xxh64_intdigest
     counts = np.zeros(64, np.int64)
     for i in range(0, len(spans), _CHUNK):
         part = np.array([h(joined[a:b], SEED) for a, b in spans[i:i + _CHUNK]], dtype="<u8")
         counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(spans), bitorder="little").view("<u8")[0])
+    return counts
 
 
 def _syndrome(words: np.ndarray, table: np.ndarray) -> np.ndarray:

@@ -36,6 +36,12 @@ def test_long_strings_without_spaces(lib, ours):
         assert ours.encode(t) == lib.encode(t)
 
 
+def test_long_texts_do_not_depend_on_pieces(lib, ours, monkeypatch):
+    monkeypatch.setattr(piece_bpe, "LONG_CHARS", 7)
+    for t in ("one two  three   four five      six seven", "   x" * 20, "a" * 50, "▁▁▁a ▁b" * 9, "no-spaces-at-all-here", "end   "):
+        assert ours.encode(t) == lib.encode(t)
+
+
 def test_any_ids_decode_as_the_library(lib, ours):
     rng = random.Random(4)
     for _ in range(2000):

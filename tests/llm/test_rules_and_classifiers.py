@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from floe.llm import ordinal_quality, quality_rules, queries, url_filter
+from floe.llm import common, ordinal_quality, quality_rules, queries, url_filter
 from tests.conftest import SF_MID, SF_SMALL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -34,6 +34,13 @@ def test_base_counts(text):
     assert quality_rules.base_counts(text.encode() if text is not None else None) == brute_counts(text)
 
 
+def test_counts_do_not_depend_on_pieces(monkeypatch):
+    monkeypatch.setattr(common, "WORD_PIECE", 9)
+    monkeypatch.setattr(quality_rules, "_PIECE", 5)
+    for text in ("p q r s " * 40, "é ß\n\né ß\n \né ß\n x#y <z> " * 3, "long-word-without-any-space-in-it " * 4, "a b c"):
+        assert quality_rules.base_counts(text.encode()) == brute_counts(text)
+
+
 def test_grams_do_not_depend_on_pieces(monkeypatch):
     text = ("the quick brown fox é " * 50).encode()
     whole = np.concatenate(list(quality_rules.gram_buckets(text)))

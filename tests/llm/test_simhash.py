@@ -35,6 +35,14 @@ def test_fingerprint_equals_definition():
         assert simhash.fingerprint(t.encode() if t is not None else None) == brute_fingerprint(t)
 
 
+def test_long_texts_do_not_depend_on_pieces(monkeypatch):
+    texts = ["One two three FOUR five six seven eight nine ten eleven " * 9, "a", "a b", "x" * 60, " a  b \n c ", ""]
+    for size in (1, 5, 17, 64):
+        monkeypatch.setattr(common, "WORD_PIECE", size)
+        for k in (1, 2, 3):
+            assert [simhash.fingerprint(t.encode(), k) for t in texts] == [brute_fingerprint(t, k) for t in texts]
+
+
 def test_golay_code_is_perfect():
     table, errors = simhash._golay()
     assert len(set(errors.tolist())) == 2048 and max(bin(e).count("1") for e in errors) == 3
