@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import re
 from functools import lru_cache
 
 import ahocorasick
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from floe.llm.common import fresh, plus, unused
 
 MARK = "▁"
+_ESCAPE = re.compile("[\udc80-\udcff]")
 #: Encoded strings that a generation of a worker's memory holds (there are two), and their longest.
 CACHE_PARTS = 100_000
 CACHE_CHARS = 48
@@ -120,6 +122,9 @@ class PieceBpe:
         self._marked = Memory(CACHE_PARTS)  # by the characters after a space mark
         self._runs: dict[int, list[int]] = {}
         self._text = [p.replace(MARK, " ") for p in self.pieces]
+        # bytes beyond ASCII as escapes, to be joined to characters
+        self._escaped = [bytes([self.byte_of[i]]).decode("utf-8", "surrogateescape") if i in self.byte_of else "" if i in self.silent
+                         else " ⁇ " if i == self.unknown else t for i, t in enumerate(self._text)]
         self.digits = [str(i) for i in range(n)]
 
     def merge(self, text: str, vocabulary: dict[str, int] | None = None) -> list[str]:
@@ -280,6 +285,20 @@ class PieceBpe:
     def decode(self, ids: list[int]) -> str:
         """Text of ids, as the library's ``decode``: one leading space of the first piece goes, byte pieces
         join to characters, a byte that begins no valid character becomes U+FFFD."""
+        if not self.silent.isdisjoint(ids):
+            return self._decode_any(ids)
+        said = "".join(map(self._escaped.__getitem__, ids))
+        if said.startswith(" ") and ids[0] not in self.byte_of and ids[0] != self.unknown:
+            said = said[1:]
+        if not _ESCAPE.search(said):
+            return said
+        try:
+            return said.encode("utf-8", "surrogateescape").decode("utf-8")
+        except UnicodeDecodeError:
+            return self._decode_any(ids)
+
+    def _decode_any(self, ids: list[int]) -> str:
+        """The same, id by id: for bytes that form no character."""
         out: list[str] = []
         held = bytearray()
         byte_of, text = self.byte_of, self._text
