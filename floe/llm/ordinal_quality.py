@@ -80,14 +80,34 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(-np.clip(scores[:, None] - self.thresholds[None, :], -60, 60)))
 
 
-def _design(texts: list[bytes]):
-    """Rows of (feature, value) as flat arrays with row starts; byte pairs come after the word buckets."""
+def _pair_counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte pairs of a text and their scaled relative frequencies."""
+    p, c = np.unique(np.concatenate([np.empty(0, np.int64), *_pairs(text)]), return_counts=True)
+    return p, PAIR_SCALE * c / max(len(text) - 1, 1)
+
+
+def _associated_pairs(texts: list[bytes], grades: np.ndarray, min_z: float) -> np.ndarray:
+    """Byte pairs whose correlation with the grade is beyond ``min_z`` standard errors in the sample."""
+    n, g = len(grades), grades - grades.mean()
+    s1, s2, sg = np.zeros((3, 65536))
+    for t, x in zip(texts, g):
+        p, v = _pair_counts(t)
+        s1[p] += v
+        s2[p] += v * v
+        sg[p] += v * x
+    spread = np.sqrt(np.maximum(s2 - s1 * s1 / n, 0) * max(g @ g, 1e-12))
+    return np.abs(sg) * np.sqrt(n) > min_z * np.maximum(spread, 1e-9)
+
+
+def _design(texts: list[bytes], pairs: np.ndarray):
+    """Rows of (feature, value) as flat arrays with row starts; the byte pairs in use come after the word buckets."""
     idx, val, ptr = [], [], [0]
     for t in texts:
         w = word_buckets(t)
-        p, c = np.unique(np.concatenate([np.empty(0, np.int64), *_pairs(t)]), return_counts=True)
-        idx += [w.astype(np.int32), (p + WORD_BUCKETS).astype(np.int32)]
-        val += [np.ones(len(w), np.float32), (PAIR_SCALE * c / max(len(t) - 1, 1)).astype(np.float32)]
+        p, c = _pair_counts(t)
+        p, c = p[pairs[p]], c[pairs[p]]
+        idx.append(np.concatenate([w, p + WORD_BUCKETS]).astype(np.int32))
+        val.append(np.concatenate([np.ones(len(w)), c]).astype(np.float32))
         ptr.append(ptr[-1] + len(w) + len(p))
     return np.concatenate(idx), np.concatenate(val), np.array(ptr)
 
@@ -96,21 +116,6 @@ def _blocks(n: int):
     return [slice(i, i + _BLOCK) for i in range(0, n, _BLOCK)]
 
 
-def _associated(idx: np.ndarray, val: np.ndarray, row: np.ndarray, grades: np.ndarray, d: int, min_z: float) -> np.ndarray:
-    """All word features, and byte pairs whose correlation with the grade is beyond ``min_z`` standard errors."""
-    n = len(grades)
-    g = grades - grades.mean()
-    s1, s2, sg = np.zeros((3, d))
-    for b in _blocks(len(idx)):
-        v = val[b].astype(np.float64)
-        s1 += np.bincount(idx[b], weights=v, minlength=d)
-        s2 += np.bincount(idx[b], weights=v * v, minlength=d)
-        sg += np.bincount(idx[b], weights=v * g[row[b]], minlength=d)
-    spread = np.sqrt(np.maximum(s2 - s1 * s1 / n, 0) * max(g @ g, 1e-12))
-    need = np.where(np.arange(d) < WORD_BUCKETS, 0.0, min_z)
-    return np.abs(sg) * np.sqrt(n) > need * np.maximum(spread, 1e-9)
-
-
 def _odds(idx: np.ndarray, row: np.ndarray, grades: np.ndarray, n_grades: int, d: int) -> np.ndarray:
     """Scale of a word feature: half the square of its smoothed log odds of a grade below the best, against the base rate.
 
@@ -129,11 +134,9 @@ def _odds(idx: np.ndarray, row: np.ndarray, grades: np.ndarray, n_grades: int, d
 def fit(texts: list[bytes], grades: np.ndarray, n_grades: int, *, steps: int = 150, rate: float = 0.1,
         l2: float = 1e-4, min_z: float = MIN_Z) -> OrdinalModel:
     """Full-batch Adam on the mean negative log-likelihood; deterministic."""
-    idx, val, ptr = _design(texts)
+    idx, val, ptr = _design(texts, _associated_pairs(texts, grades, min_z))
     d, n = WORD_BUCKETS + 65536, len(texts)
     row = np.repeat(np.arange(n, dtype=np.int32), np.diff(ptr))
-    live = _associated(idx, val, row, grades, d, min_z)[idx]
-    idx, val, row = idx[live], val[live], row[live]
     scale = _odds(idx, row, grades, n_grades, d)
     val *= scale[idx].astype(np.float32)
     counts = np.bincount(grades, minlength=n_grades)[::-1].cumsum()[::-1][1:] / n
@@ -182,8 +185,8 @@ def graded_sample(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id"
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).dropna()
     # the rated side is bounded by max_train rows of two numbers
     rows = texts.join(F.broadcast(rated), "id").select(by_hash.alias("h"), "id", "text", "grade")
-    rows = rows.orderBy("h", "id", F.xxhash64("text")).limit(max_train).collect()
-    return [(bytes(r.text), r.grade) for r in rows]
+    rows = rows.orderBy("h", "id", F.xxhash64("text")).limit(max_train).select("text", "grade").toArrow()
+    return list(zip(rows.column("text").to_pylist(), rows.column("grade").to_pylist()))
 
 
 def score_documents(docs: DataFrame, model: OrdinalModel, *, text_col: str = "text", out_col: str = "quality") -> DataFrame:
