@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floe.llm import chat, embed_dedup, mixing, ordinal_quality, piece_bpe, quality_rules, simhash, suffix_dedup, url_filter, warc_zip
+from floe.operators.joins import broadcast_checked
 from floe.session import ship_package
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -62,15 +63,14 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- 4: quality rules -------------------------------------------------------------------------------------
 
-#: Trusted documents that the target multinomial is counted on, at most: those whose ids hash lowest.
-MAX_TRUSTED = 20_000
+#: Bytes of label ids that are broadcast at most.
+MAX_BROADCAST = 16 << 20
 
 
-def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts labelled as good and not toxic: a bounded sample, joined by a broadcast of its ids."""
-    ids = (labels.where("quality = 1 AND toxic = 0").select("doc_id").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRUSTED))
-    return docs.join(F.broadcast(ids), "doc_id").select("text")
+def trusted(docs: DataFrame, labels: DataFrame, max_bytes: int = MAX_BROADCAST) -> DataFrame:
+    """All texts labelled as good and not toxic; the ids are broadcast when a count proves them small, else joined by a shuffle."""
+    ids = labels.where("quality = 1 AND toxic = 0").select("doc_id").distinct()
+    return docs.join(broadcast_checked(ids, max_bytes), "doc_id", "left_semi").select("text")
 
 
 @query("op4_quality_rules")

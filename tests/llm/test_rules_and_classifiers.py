@@ -77,6 +77,20 @@ def test_rules_tell_junk_from_clean(spark):
     assert all(r.kept == (labels[r.doc_id].quality == 1) for r in rows)
 
 
+def test_every_trusted_text_is_counted(spark):
+    n = 25_000
+    docs = spark.range(n + 500).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(n + 100).selectExpr("id AS doc_id", "1 AS quality", f"cast(id >= {n} AS int) AS toxic")
+    docs = docs.unionByName(spark.createDataFrame([(0, "text 0"), (None, "no id")], "doc_id long, text string"))
+    labels = labels.unionByName(labels.limit(10)).unionByName(spark.createDataFrame([(None, 1, 0)], "doc_id long, quality int, toxic int"))
+    want = np.zeros(quality_rules.BUCKETS, np.int64)
+    for i in [0, *range(n)]:
+        np.add.at(want, next(quality_rules.gram_buckets(f"text {i}".encode())), 1)
+    for max_bytes in (queries.MAX_BROADCAST, 0):
+        texts = queries.trusted(docs, labels, max_bytes)
+        assert texts.count() == n + 1 and (quality_rules.gram_counts(texts, "text") == want).all()
+
+
 def test_rules_messy(spark, messy, empty):
     got = quality_rules.judge_documents(messy, messy.limit(1)).collect()
     assert len(got) == messy.count()
