@@ -1,16 +1,17 @@
 """Embedding near-duplicates by spherical-cap filters.
 
 A filter is a random direction; a vector belongs to every filter whose inner product with it reaches a
-threshold (a cap of the sphere). Directions form product codes: the dimensions, in a random order, are
-cut into blocks, each block has its own Gaussian code words, and every combination of one word per block
-is a direction. The scores of a vector add up block by block, so all directions beyond the threshold
+threshold (a cap of the sphere). Directions form product codes: the space is turned at random, its
+dimensions are cut into blocks, each block has Gaussian code words, and every combination of one word per
+block is a direction. The scores of a vector add up block by block, so all directions beyond the threshold
 are found by list decoding: partial sums that cannot reach it any more are dropped, and most directions
-are never looked at. Directions of one code share words, which makes the number of a vector's caps
-uneven; several independent codes even it out.
+are never looked at.
 
-Two vectors at the cosine asked for share a cap with a probability that follows from the bivariate
-normal distribution; the number of directions is chosen so that a pair misses all caps with probability
-``miss`` at most. The threshold follows from the number of vectors, so that a cap holds few at any size.
+Directions of one code share words and so are not independent. Each code turns the space independently, so
+every pair at the cosine asked for, whatever its coordinates, is missed by one code with the same
+probability. That is measured on random pairs with the words in use, and there are as many codes as it takes
+to miss a pair in all of them with probability ``miss`` at most. The threshold follows from the number of
+vectors, so that a cap holds few at any size.
 
 Vectors that share a cap are compared in blocks of bounded size (matrix products in double precision);
 a pair is counted in the lowest of its common caps only. What leaves a block is one row per vector, a
@@ -32,8 +33,14 @@ from floe.llm.common import by_group, connected_components
 from floe.session import materialize
 
 MIN_COSINE = 0.93
-#: Vectors that a cap is to hold on average, the probability to miss a pair, vectors of one chunk, codes.
+#: Vectors that a cap is to hold on average, the probability to miss a pair, vectors of one chunk, codes that the words are sized for.
 LOAD, MISS, CHUNK, CODES = 24, 1e-8, 256, 12
+#: Random pairs that a code's miss is measured on, and the miss beyond which it gets more words.
+TRIALS, MAX_LOST = 2000, 0.9
+#: Dimensions up to which turns are matrices; beyond, they are three rounds of random signs and a Hartley transform.
+MAX_MATRIX = 128
+#: Entries of the arrays that decoding makes at a time.
+_ENTRIES = 1 << 18
 SEED = 20_240_607
 
 
@@ -59,13 +66,18 @@ def _joint(t: float, cosine: float) -> float:
     return float((w * y).sum() / w.sum())
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.sqrt((x * x).sum(axis=-1, keepdims=True))
+
+
 @dataclass
 class Caps:
-    """``CODES`` product codes of ``words ** blocks`` directions each in ``dim`` dimensions, and the threshold of a cap."""
+    """``count`` product codes of ``words ** blocks`` directions each in ``dim`` dimensions, and the threshold of a cap."""
     dim: int
     blocks: int
     words: int
     threshold: float
+    count: int = CODES
 
     @staticmethod
     def sized(dim: int, n: int, cosine: float = MIN_COSINE, load: int = LOAD, miss: float = MISS) -> Caps:
@@ -73,36 +85,81 @@ class Caps:
         t = _quantile(share)
         directions = math.log(1 / miss) / _joint(t, cosine) / share / CODES
         blocks = min(dim, 2 if directions < 4e6 else 3 if directions < 4e9 else 4)
-        return Caps(dim, blocks, math.ceil(directions ** (1 / blocks)), t)
+        # half the words and more codes: fewer caps for the same miss
+        caps = Caps(dim, blocks, math.ceil(directions ** (1 / blocks) / 2), t)
+        while (lost := caps.lost(cosine)) > MAX_LOST:
+            caps.words = math.ceil(1.5 * caps.words)
+        caps.count = math.ceil(math.log(miss) / math.log(lost))
+        return caps
+
+    def lost(self, cosine: float) -> float:
+        """Probability that a randomly turned pair at ``cosine`` shares no cap of a code, at three standard errors above its measure."""
+        rng = np.random.default_rng(SEED - self.dim)
+        words, cuts, missed = self._words(), self._cuts(), 0
+        size = self.words ** self.blocks
+        for part in np.array_split(np.arange(TRIALS), 20):
+            x = _unit(rng.standard_normal((len(part), self.dim)))
+            y = x
+            if self.dim > 1:
+                z = rng.standard_normal(x.shape)
+                y = cosine * x + math.sqrt(max(1 - cosine * cosine, 0)) * _unit(z - (z * x).sum(axis=1, keepdims=True) * x)
+            found = self.decode(x, [(np.arange(self.dim), words)] * len(part))
+            at, score = found // size, 0
+            for b, (w, v) in enumerate(zip(words, np.split(y, cuts, axis=1))):
+                score = score + (v @ w.T)[at, found // self.words ** (self.blocks - 1 - b) % self.words]
+            missed += len(part) - len(np.unique(at[score >= self.threshold]))
+        p = missed / TRIALS
+        return p + 3 * math.sqrt(p * (1 - p) / TRIALS) + 3 / TRIALS
+
+    def _cuts(self) -> np.ndarray:
+        return np.cumsum([len(x) for x in np.array_split(np.arange(self.dim), self.blocks)])[:-1]
+
+    def _words(self) -> list[np.ndarray]:
+        rng = np.random.default_rng(SEED + self.dim)
+        return [rng.standard_normal((self.words, len(x))) for x in np.array_split(np.arange(self.dim), self.blocks)]
 
     def codes(self) -> list[tuple[np.ndarray, list[np.ndarray]]]:
-        """Order of the dimensions and code words by block, for each code."""
-        rng = np.random.default_rng(SEED + self.dim)
-        sizes = [len(x) for x in np.array_split(np.arange(self.dim), self.blocks)]
-        return [(rng.permutation(self.dim), [rng.standard_normal((self.words, s)) for s in sizes]) for _ in range(CODES)]
+        """Order of the dimensions, after its turn, for each code, and the code words by block, the same for all."""
+        rng, words = np.random.default_rng([SEED, self.dim, 1]), self._words()
+        return [(rng.permutation(self.dim), words) for _ in range(self.count)]
+
+    def turns(self):
+        """Function of unit vectors (n, dim) that gives them turned at random for each code, (n, count, dim)."""
+        rng = np.random.default_rng([SEED, self.dim, 2])
+        if self.dim > MAX_MATRIX:
+            signs = rng.choice([-1.0, 1.0], (3, self.count, self.dim))
+
+            def turn(x: np.ndarray) -> np.ndarray:
+                x = x[:, None, :]
+                for s in signs:
+                    f = np.fft.fft(x * s, norm="ortho")
+                    x = f.real - f.imag
+                return x
+            return turn
+        q, r = np.linalg.qr(rng.standard_normal((self.count, self.dim, self.dim)))
+        q *= np.sign(np.diagonal(r, axis1=1, axis2=2))[:, None, :]  # uniform over all turns
+        every = np.concatenate(list(q), axis=1)
+        return lambda x: (x @ every).reshape(len(x), self.count, self.dim)
 
     def decode(self, x: np.ndarray, codes) -> np.ndarray:
-        """Sorted numbers of the directions whose caps hold the unit vector ``x``."""
-        found = [self._decode_one(x[order], code) + k * self.words ** self.blocks for k, (order, code) in enumerate(codes)]
-        return np.sort(np.concatenate(found))
-
-    def _decode_one(self, x: np.ndarray, code: list[np.ndarray]) -> np.ndarray:
-        scores, at = [], 0
-        for c in code:
-            scores.append(c @ x[at: at + c.shape[1]])
-            at += c.shape[1]
-        rest = [0.0]
+        """Sorted numbers of the directions whose caps hold the unit vector ``x``, or for each code a vector of its own."""
+        x = np.take_along_axis(np.broadcast_to(x, (len(codes), self.dim)), np.stack([order for order, _ in codes]), 1)
+        scores = [v @ w.T for v, w in zip(np.split(x, self._cuts(), axis=1), codes[0][1])]
+        rest = [np.zeros(len(codes))]
         for s in reversed(scores[1:]):
-            rest.insert(0, rest[0] + float(s.max()))
-        sums, ids = np.zeros(1), np.zeros(1, np.int64)
-        for s, r in zip(scores, rest):
-            order = np.argsort(-s, kind="stable")
-            # descending scores: a prefix of the words keeps a partial sum alive
-            alive = np.searchsorted(-s[order], sums + r - self.threshold, side="right")
-            rep = np.repeat(np.arange(len(sums)), alive)
-            word = order[np.arange(len(rep)) - np.repeat(np.cumsum(alive) - alive, alive)]
-            sums, ids = sums[rep] + s[word], ids[rep] * self.words + word
-        return ids[sums >= self.threshold]
+            rest.insert(0, rest[0] + s.max(axis=1))
+        step = max(1, _ENTRIES // self.words ** min(2, self.blocks))
+        found = []
+        for i in range(0, len(codes), step):
+            ids = at = np.arange(i, min(i + step, len(codes)))
+            sums = np.zeros(len(at))
+            for s, r in zip(scores, rest):
+                now = sums[:, None] + s[at]
+                # partial sums that the best words to come can still lift over the threshold
+                row, word = np.nonzero(now >= (self.threshold - r[at])[:, None])
+                sums, ids, at = now[row, word], ids[row] * self.words + word, at[row]
+            found.append(ids)
+        return np.sort(np.concatenate(found))
 
 
 def _compare(cosine: float, dtype):
@@ -158,12 +215,11 @@ def near_links(classes: DataFrame, *, cosine: float, dtype: str, dim: int, n_lar
     caps = Caps.sized(dim, n_largest, cosine, load)
 
     def decode(batches):
-        codes = caps.codes()
+        codes, turn = caps.codes(), caps.turns()
+        step = max(1, _ENTRIES // (caps.count * caps.dim))
         for b in batches:
-            found = []
-            for v in b.column("vec"):
-                x = np.frombuffer(v.as_py(), dtype).astype(np.float64)
-                found.append(caps.decode(x / math.sqrt(float(x @ x)), codes))
+            x = _unit(np.frombuffer(b"".join(b.column("vec").to_pylist()), dtype).reshape(b.num_rows, dim).astype(np.float64))
+            found = [caps.decode(v, codes) for i in range(0, len(x), step) for v in turn(x[i: i + step])]
             yield pa.RecordBatch.from_arrays([b.column("cid"), b.column("lab"), pa.array(found, pa.list_(pa.int64()))], names=["cid", "lab", "fs"])
 
     lists = materialize(classes.select("cid", "lab", "vec").mapInArrow(decode, "cid long, lab long, fs array<long>"), "caps")
@@ -172,8 +228,9 @@ def near_links(classes: DataFrame, *, cosine: float, dtype: str, dim: int, n_lar
     # chunks of each shared cap; then back to one row per vector, so that vectors are shuffled once, to their blocks
     mine = (one.join(shared, ["lab", "f"]).select("cid", F.struct("f", F.ceil(F.col("m") / chunk).cast("long").alias("b")).alias("fb"))
             .groupBy("cid").agg(F.sort_array(F.collect_list("fb")).alias("fbs")))
-    rows = (classes.join(mine, "cid").select("cid", "lab", "copies", "vec", F.col("fbs.f").alias("fs"), F.explode("fbs").alias("x"))
-            .select("cid", "lab", "copies", "vec", "fs", F.col("x.f").alias("f"), F.col("x.b").alias("b"))
+    rows = (classes.join(mine, "cid").select("cid", "lab", "copies", "vec", F.col("fbs.f").alias("fs"), F.posexplode("fbs").alias("p", "x"))
+            # of a vector's caps only the lower ones go along
+            .select("cid", "lab", "copies", "vec", F.slice("fs", F.lit(1), F.col("p")).alias("fs"), F.col("x.f").alias("f"), F.col("x.b").alias("b"))
             .withColumn("c", F.pmod(F.xxhash64("cid", "f"), F.col("b")))
             .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("b") - 1)))
             .select("cid", "lab", "copies", "vec", "fs", "f", "c", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j")))

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from floe.llm import embed_dedup, queries
@@ -70,6 +71,38 @@ def test_list_decoding_finds_every_cap():
     assert caps.decode(x, codes).tolist() == want
 
 
+@pytest.mark.parametrize("dim, n", [(64, 2_000), (64, 200_000), (3, 2_000), (200, 20_000)])
+def test_recall_of_dominant_coordinates(dim, n):
+    """Pairs at the cosine asked for, most of whose norm lies in one coordinate or two."""
+    caps, rng = embed_dedup.Caps.sized(dim, n), np.random.default_rng(dim + n)
+    codes, turn = caps.codes(), caps.turns()
+    e, sharp, pairs = np.eye(dim), math.sqrt(1 - 0.9301 ** 2), []
+    for i in range(150):
+        x = e[i % dim] + (0 if i % 2 else 0.05 / math.sqrt(dim) * rng.standard_normal(dim))
+        x /= np.linalg.norm(x)
+        z = e[(i + 1) % dim] if i % 3 else rng.standard_normal(dim)
+        z = z - (z @ x) * x
+        pairs += [x, 0.9301 * x + sharp * z / np.linalg.norm(z)]
+    pairs = np.array(pairs)
+    found = [set(caps.decode(v, codes)) for i in range(0, len(pairs), 20) for v in turn(pairs[i: i + 20])]
+    assert all(a & b for a, b in zip(found[::2], found[1::2]))
+
+
+@pytest.mark.parametrize("dim", [1, 2, 3, 64, 129, 200])
+def test_turns_keep_products(dim):
+    caps = embed_dedup.Caps(dim, 1, 2, 1.0, 5)
+    x = np.random.default_rng(dim).standard_normal((4, dim))
+    for k in range(5):
+        y = caps.turns()(x)[:, k]
+        assert np.allclose(y @ y.T, x @ x.T) and not np.allclose(np.abs(y), np.abs(x)) or dim == 1
+
+
+def test_missed_pairs_set_the_number_of_codes():
+    for dim, n in ((1, 100), (2, 5_000), (64, 100), (64, 5_000), (300, 5_000)):
+        caps = embed_dedup.Caps.sized(dim, n)
+        assert caps.lost(embed_dedup.MIN_COSINE) ** caps.count <= embed_dedup.MISS
+
+
 def test_invalid_vectors_ties_and_clashes(spark):
     v, w = [1.0, 2.0, 3.0], [1.0, 2.0, 3.01]
     rows = [(1, v, 1), (2, w, 1), (3, v, 2), (4, v, None), (5, None, 1), (6, [], 1), (7, [0.0, 0.0, 0.0], 1), (8, [1.0, None, 3.0], 1),
