@@ -238,9 +238,9 @@ def near_links(classes: DataFrame, *, cosine: float, dtype: str, dim: int, n_lar
 
 
 def _label_number(df: DataFrame, col: str) -> Column:
-    """Whole-number labels as they are, others as a 64-bit hash."""
+    """Whole-number labels as they are, others as a 64-bit hash; null where the label is null."""
     whole = isinstance(df.schema[col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    return F.col(f"`{col}`").cast("long") if whole else F.xxhash64(F.col(f"`{col}`").cast("string"))
+    return F.col(f"`{col}`").cast("long") if whole else F.when(F.col(f"`{col}`").isNotNull(), F.xxhash64(F.col(f"`{col}`").cast("string")))
 
 
 def embedding_groups(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",

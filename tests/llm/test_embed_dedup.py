@@ -116,6 +116,13 @@ def test_invalid_vectors_ties_and_clashes(spark):
     assert embed_dedup.embedding_groups(df.limit(0)).count() == 0
 
 
+def test_null_string_labels_link_with_nothing(spark):
+    v = [1.0, 2.0, 3.0]
+    rows = [(1, v, None), (2, v, None), (3, v, "a"), (4, v, "a"), (5, v, "")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    assert got(embed_dedup.embedding_groups(df)) == brute(rows)
+
+
 def test_query_equals_brute_force(spark):
     rows = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()]
     assert got(queries.QUERIES["op3_embedding_dedup"](spark, SF_SMALL)) == brute(rows)
