@@ -48,7 +48,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copies of each document that the mix takes (none to three), as rows in training order."""
+    """The copies of each document that the mix takes (none to three), as rows in training order.
+
+    The order holds for the frame returned only: stages keep the columns of documents, so no row carries its position,
+    and the written table is read in any order. ``op10_mix_sources`` returns the positions.
+    """
     ship_package(spark)
     return mixing.training_order(mixing.mix(docs))
 
