@@ -58,7 +58,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids."""
+    """The documents with their token ids. They are only encoded here; ``op2_sentencepiece`` decodes them too."""
     ship_package(spark)
     d = piece_bpe.encode_documents(docs, queries.PIECE_MODEL)
     return d.withColumn("n_tokens", F.size("ids").cast("long"))
