@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import chat, embed_dedup, mixing, ordinal_quality, piece_bpe, quality_rules, simhash, suffix_dedup, url_filter, warc_zip
+from floe.llm import (chat, collocations, embed_dedup, license_scan, mixing, ordinal_quality, piece_bpe, quality_rules, simhash, suffix_dedup, url_filter,
+                      vector_codes, warc_zip)
 from floe.operators.joins import broadcast_checked
 from floe.session import ship_package
 
@@ -221,3 +222,94 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(docs).select("doc_id", "mix")
     return mixing.by_position(m).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.copies",
                                          F.round(F.get("mix.positions", F.lit(0)), 6).alias("position"))
+
+
+# -- 11: licence scans --------------------------------------------------------------------------------
+
+
+@query("op11_license_scan")
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan_documents(docs).select("doc_id", "license.*")
+    base, own = F.col("places.label"), F.col("spans.label")
+
+    def listed(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min("places.word").alias("first_word"),
+                        F.array_max("places.word").alias("last_word"), listed(base).alias("base_labels"), listed(F.concat(base, own)).alias("labels"), "score")
+
+
+# -- 12: vector code compression ------------------------------------------------------------------------
+
+
+def _op12() -> str:
+    def assigned(books: str) -> str:
+        """Nearest entry of every part: the least of 64 * distance + number."""
+        return (f"SELECT vec_id, p, min(64 * d + e) AS v FROM (SELECT x.vec_id, x.p, c.e, sum((x.x - c.x) * (x.x - c.x)) AS d "
+                f"FROM parts x JOIN {books} c USING (p, k) GROUP BY ALL) GROUP BY ALL")
+
+    def updated(books: str, codes: str) -> str:
+        return (f"SELECT c.p, c.e, c.k, CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS x FROM {books} c LEFT JOIN "
+                f"(SELECT p, v % 64 AS e, k, sum(x)::BIGINT AS s, count(*) AS n FROM parts JOIN {codes} USING (vec_id, p) GROUP BY ALL) USING (p, e, k)")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS (SELECT vec_id, len(embedding) // 16 AS width, unnest(embedding) AS f, unnest(range(len(embedding))) AS i FROM kept),
+parts AS MATERIALIZED (SELECT vec_id, i // width AS p, i % width AS k, floor(256 * f::DOUBLE)::BIGINT AS x FROM cells),
+first AS (SELECT vec_id, (row_number() OVER (ORDER BY vec_id)) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64),
+b0 AS MATERIALIZED (SELECT p, e, k, x FROM parts JOIN first USING (vec_id)),
+a0 AS MATERIALIZED ({assigned("b0")}),
+b1 AS MATERIALIZED ({updated("b0", "a0")}),
+a1 AS MATERIALIZED ({assigned("b1")}),
+b2 AS MATERIALIZED ({updated("b1", "a1")}),
+a2 AS MATERIALIZED ({assigned("b2")}),
+coded AS (SELECT vec_id, string_agg(lower(lpad(hex(v % 64), 2, '0')), '' ORDER BY p) AS code, sum(v // 64)::BIGINT AS error FROM a2 GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, k)) AS s FROM b2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT s FROM digest) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+@query("op12_vector_codes", _op12())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "codes.code", "codes.error", "codes.label_error", "codes.codebooks_sha256")
+
+
+# -- 13: phrase collocation mining ---------------------------------------------------------------------------
+
+TOP_PHRASES = 2000
+
+OP13 = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+places AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) t(k)),
+counted AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f FROM places GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS ws FROM counted WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.ws, c.f AS a, j, l.f AS l, r.f AS r, (1000000 * c.f * c.f) // (l.f * r.f) AS score
+  FROM candidates c, (VALUES (1), (2)) t(j)
+  JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:j], ' ')
+  JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[j + 1:], ' ')
+  WHERE j < c.k),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+around AS (
+  SELECT lang, phrase, max(f) AS most FROM (
+    SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, f FROM candidates WHERE k = 3
+    UNION ALL SELECT lang, array_to_string(ws[2:3], ' '), f FROM candidates WHERE k = 3) GROUP BY ALL)
+SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank, w.phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM weakest w JOIN total USING (lang) LEFT JOIN around x ON x.lang = w.lang AND x.phrase = w.phrase
+WHERE most IS NULL OR 100 * most < 50 * a
+QUALIFY rank <= 2000
+"""
+
+
+@query("op13_collocations", OP13)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mined = collocations.mine(table(spark, sf_dir, "documents").select("text", "lang"), max_words=3, min_count=10, covered_percent=50)
+    return collocations.top_phrases(mined, TOP_PHRASES).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
