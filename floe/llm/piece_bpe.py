@@ -15,7 +15,11 @@ Two facts of the vocabulary, verified when it is loaded, bound the work:
 
 Characters outside the vocabulary stand alone and become byte pieces. Two adjacent characters that no
 piece holds side by side are never merged across, so text is also cut between them; what remains are
-short strings that come back often, and each worker remembers a bounded number of them.
+short strings that come back often, and a task remembers a bounded number of them, as packed ids.
+
+Whether two pieces are compatible is read off their merge trees: going back in time along the seam between them, every pair
+of symbols that once stood side by side there is looked up; the pieces fit when none of these pairs
+would have merged before its symbols were used up inside their own piece.
 """
 
 from __future__ import annotations
@@ -23,7 +27,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from functools import lru_cache
+from operator import add
 
 import ahocorasick
 import numpy as np
@@ -32,17 +38,18 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import fresh, plus, unused
+from floe.llm.common import fresh, plus, slices, unused
 
 MARK = "▁"
 _ESCAPE = re.compile("[\udc80-\udcff]")
 #: Encoded strings that a generation of a worker's memory holds (there are two), and their longest.
-CACHE_PARTS = 100_000
+CACHE_PARTS = 150_000
 CACHE_CHARS = 48
 #: Characters of a very long text that are encoded at a time (cut before space marks).
 LONG_CHARS = 1 << 20
-#: Pairs of pieces whose fit a worker remembers.
-FITS = 500_000
+#: Pairs of pieces whose fit a task remembers.
+FITS = 250_000
+_LATE = 1 << 60
 
 
 class Memory:
@@ -55,7 +62,7 @@ class Memory:
         self.limit, self.young, self.old = limit, {}, {}
         self.seen = bytearray(1 << 21)
 
-    def get(self, key: str) -> list[int] | None:
+    def get(self, key: str) -> bytes | None:
         got = self.young.get(key)
         if got is None:
             got = self.old.get(key)
@@ -63,7 +70,7 @@ class Memory:
                 self._keep(key, got)
         return got
 
-    def put(self, key: str, ids: list[int]) -> None:
+    def put(self, key: str, ids: bytes) -> None:
         if len(key) <= CACHE_CHARS:
             at = hash(key) & (1 << 21) - 1
             if self.seen[at]:
@@ -71,7 +78,10 @@ class Memory:
             else:
                 self.seen[at] = 1
 
-    def _keep(self, key: str, ids: list[int]) -> None:
+    def clear(self) -> None:
+        self.young, self.old, self.seen = {}, {}, bytearray(1 << 21)
+
+    def _keep(self, key: str, ids: bytes) -> None:
         if len(self.young) >= self.limit:
             self.old, self.young, self.seen = self.young, {}, bytearray(1 << 21)
         self.young[key] = ids
@@ -113,14 +123,19 @@ class PieceBpe:
         self._adjacent = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self._trie = ahocorasick.Automaton()
         for p, i in self.ids.items():
-            self._trie.add_word(p, i)
+            if len(p) > 1:  # characters stand for themselves
+                self._trie.add_word(p, i)
         self._trie.make_automaton()
         self._size = [len(p) for p in self.pieces]
+        self._plant_trees(n)
         self._fits: dict[int, bool] = {}  # by number of the left piece (-1: the start) times n plus that of the right
+        self._code = "H" if n <= 1 << 16 else "I"
+        self._packed = np.dtype(self._code)
+        self._lone = self._pack([self.ids[MARK]]) if MARK in self.ids else None
         self._shorter = [-2] * n  # longest piece that is a proper prefix; -1: none, -2: not looked up yet
         self._parts = Memory(CACHE_PARTS // 2)  # by characters
         self._marked = Memory(CACHE_PARTS)  # by the characters after a space mark
-        self._runs: dict[int, list[int]] = {}
+        self._runs: dict[int, bytes] = {}
         self._text = [p.replace(MARK, " ") for p in self.pieces]
         # bytes beyond ASCII as escapes, to be joined to characters
         self._escaped = [bytes([self.byte_of[i]]).decode("utf-8", "surrogateescape") if i in self.byte_of else "" if i in self.silent
@@ -154,6 +169,57 @@ class PieceBpe:
                 offer(prv[i])
         return [s for s in sym if s is not None]
 
+    def _plant_trees(self, n: int) -> None:
+        """For each piece, when it is merged (rank by score, -1: a character) and of which two; ``_seams`` has the rank of what two pieces merge to.
+
+        The split of a piece is the one whose parts fit side by side until its own rank. A piece without
+        such a split, or with a part that merges later than itself, is left to literal merging.
+        """
+        self._rank, self._left, self._right = [-1] * n, [-1] * n, [-1] * n
+        self._seams: dict[int, int] = {}
+        self._literal: set[int] = set()
+        order = sorted((p for p in self.ids if len(p) > 1), key=lambda p: -self._score[p])
+        for r, p in enumerate(order):
+            self._rank[self.ids[p]] = r
+        for p in order:
+            i = self.ids[p]
+            splits = [(a, b) for k in range(1, len(p)) if (a := self.ids.get(p[:k], -1)) >= 0 and (b := self.ids.get(p[k:], -1)) >= 0]
+            for a, b in splits:
+                self._seams[a * n + b] = self._rank[i]
+        for p in order:
+            i = self.ids[p]
+            for k in range(1, len(p)):
+                a, b = self.ids.get(p[:k], -1), self.ids.get(p[k:], -1)
+                if a >= 0 and b >= 0 and max(self._rank[a], self._rank[b]) < self._rank[i] and not {a, b} & self._literal and self._seam_holds(a, b, False):
+                    self._left[i], self._right[i] = a, b
+                    break
+            else:
+                self._literal.add(i)
+
+    def _seam_holds(self, x: int, y: int, top: bool = True) -> bool:
+        """Whether no two symbols that meet at the seam of pieces ``x`` and ``y`` merge; ``top``: the whole pieces count too.
+
+        A pair merges when the better of its own rank and its symbols' births comes before either is used up. At equal
+        ranks the left merge goes first, so the left symbol must outlive the pair and the right one may end with it.
+        """
+        n, rank, seams = len(self.pieces), self._rank, self._seams
+        used_x = used_y = _LATE
+        while True:
+            born_x, born_y = rank[x], rank[y]
+            if top:
+                at = seams.get(x * n + y)
+                if at is not None:
+                    at = max(at, born_x, born_y)
+                    if at < used_x and at <= used_y:
+                        return False
+            top = True
+            if born_x > born_y:
+                x, used_x = self._right[x], born_x
+            elif born_y >= 0:
+                y, used_y = self._left[y], born_y
+            else:
+                return True
+
     def fits(self, a: int, b: int) -> bool:
         """Whether piece ``a`` (-1: the start) then piece ``b`` is what merging their joined text gives."""
         key = a * len(self.pieces) + b
@@ -161,10 +227,23 @@ class PieceBpe:
         if ok is None:
             if len(self._fits) >= FITS:
                 self._fits.clear()
-            pair = [self.pieces[i] for i in (a, b) if i >= 0]
-            ok = self._fits[key] = self.merge("".join(pair)) == pair
+            if a in self._literal or b in self._literal:
+                pair = [self.pieces[i] for i in (a, b) if i >= 0]
+                ok = self.merge("".join(pair)) == pair
+            else:
+                ok = a < 0 or self._seam_holds(a, b)
+            self._fits[key] = ok
         return ok
 
+    def forget(self) -> None:
+        """Empties the memories; tables of the vocabulary stay."""
+        self._fits.clear()
+        self._parts.clear()
+        self._marked.clear()
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return array(self._code, ids).tobytes()
+
     def shorter(self, i: int) -> int:
         """The longest piece that is a proper prefix of piece ``i``, or -1."""
         got = self._shorter[i]
@@ -179,7 +258,7 @@ class PieceBpe:
         if whole is not None and self.fits(-1, whole):
             return [whole]
         n, size, n_pieces = len(text), self._size, len(self.pieces)
-        longest = [-1] * (n + 1)
+        longest = [*map(self.ids.__getitem__, text), -1]
         for end, i in self._trie.iter(text):
             longest[end + 1 - size[i]] = i  # ends ascend, so the longest piece of a position comes last
         open_at = bytearray(b"\1") * (n + 1)  # 0: no encoding goes on from here
@@ -204,62 +283,70 @@ class PieceBpe:
                 last = out[-1] if out else -1
         return out
 
-    def _part(self, part: str) -> list[int]:
-        """Ids of one space mark (or none) and the characters up to the next."""
-        adjacent = self._adjacent
-        cuts = [i for i in range(1, len(part)) if part[i - 1:i + 1] not in adjacent]
-        if not cuts:
+    def _part(self, part: str) -> bytes:
+        """Packed ids of one space mark (or none) and the characters up to the next."""
+        joined = list(map(self._adjacent.__contains__, map(add, part, part[1:])))
+        if all(joined):
             return self._known(part)
-        out: list[int] = []
-        start = 0
-        for i in cuts:
-            out += self._known(part[start:i])
-            start = i
-        return out + self._known(part[start:])
-
-    def _known(self, text: str) -> list[int]:
-        """Ids of one character, or of characters that all stand side by side in some piece."""
+        out, start, cut = [], 0, joined.index(False)
+        while True:
+            out.append(self._known(part[start:cut + 1]))
+            start = cut + 1
+            try:
+                cut = joined.index(False, start)
+            except ValueError:
+                out.append(self._known(part[start:]))
+                return b"".join(out)
+
+    def _known(self, text: str) -> bytes:
+        """Packed ids of one character, or of characters that all stand side by side in some piece."""
         got = self._parts.get(text)
         if got is None:
             if len(text) == 1 and text not in self.ids:
                 got = [self.byte_ids[b] for b in text.encode("utf-8")]
             else:
                 got = self.backtrack(text)
+            got = self._pack(got)
             self._parts.put(text, got)
         return got
 
-    def _run(self, k: int) -> list[int]:
-        """Ids of ``k`` space marks that merge with nothing else."""
+    def _run(self, k: int) -> bytes:
+        """Packed ids of ``k`` space marks that merge with nothing else."""
         got = self._runs.get(k)
         if got is None:
-            got = [self._marks[p] if p in self._marks else self.ids[p] for p in self.merge(MARK * k, self._marks)]
+            got = self._pack([self._marks[p] if p in self._marks else self.ids[p] for p in self.merge(MARK * k, self._marks)])
             if k <= 256:
                 self._runs[k] = got
         return got
 
     def encode(self, text: str | None) -> list[int]:
         """Ids without begin and end ids; null: none."""
+        return self.encode_array(text).tolist()
+
+    def encode_array(self, text: str | None) -> np.ndarray:
+        """The same, as an array."""
         norm = self._normalize(text) if text else ""
         if len(norm) <= LONG_CHARS:
-            return self._encode(norm) if norm else []
-        out: list[int] = []
+            return np.frombuffer(self._encode(norm), self._packed)
+        out: list[bytes] = []
         at = 0
         while at < len(norm):
             cut = norm.find(MARK, at + LONG_CHARS)
             while cut > 0 and norm[cut - 1] == MARK:  # a run of marks stays together
                 cut = norm.find(MARK, cut + 1)
             cut = len(norm) if cut < 0 else cut
-            out += self._encode(norm[at:cut])
+            out.append(self._encode(norm[at:cut]))
             at = cut
-        return out
+        return np.frombuffer(b"".join(out), self._packed)
 
-    def _encode(self, norm: str) -> list[int]:
-        """Ids of normalised text that begins at a run of space marks, or at the start."""
+    def _encode(self, norm: str) -> bytes:
+        """Packed ids of normalised text that begins at a run of space marks, or at the start."""
         parts = norm.split(MARK)
-        out: list[int] = []
+        out: list[bytes] = []
         if parts[0]:
-            out += self._part(parts[0])
-        marked, lone, run = self._marked, self.ids.get(MARK), 0
+            out.append(self._part(parts[0]))
+        marked, lone, run = self._marked, self._lone, 0
+        size = self._packed.itemsize
         for p in parts[1:]:
             if not p:
                 run += 1
@@ -269,18 +356,18 @@ class PieceBpe:
                 got = self._part(MARK + p)
                 marked.put(p, got)
             if run:
-                if got[0] == lone:
-                    out += self._run(run + 1)
-                    out += got[1:]
+                if got[:size] == lone:
+                    out.append(self._run(run + 1))
+                    out.append(got[size:])
                 else:
-                    out += self._run(run)
-                    out += got
+                    out.append(self._run(run))
+                    out.append(got)
                 run = 0
             else:
-                out += got
+                out.append(got)
         if run:
-            out += self._run(run)
-        return out
+            out.append(self._run(run))
+        return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids, as the library's ``decode``: one leading space of the first piece goes, byte pieces
@@ -346,7 +433,7 @@ def _characters(data: bytes) -> str:
 
 @lru_cache(maxsize=2)
 def tokenizer(model_path: str) -> PieceBpe:
-    """One per Python worker."""
+    """One per Python worker. Tasks empty its memories when they end, so an idle worker holds the vocabulary only."""
     return PieceBpe(model_path)
 
 
@@ -361,9 +448,14 @@ def encode_documents(docs: DataFrame, model_path: str, *, text_col: str = "text"
 
     def run(batches):
         t = tokenizer(model_path)
-        for b in batches:
-            ids = pa.array([t.encode(x.as_py()) for x in b.column(held)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), ids], names=[*names, out_col])
+        try:
+            for b in slices(batches):
+                ids = [t.encode_array(x.as_py()) for x in b.column(held)]
+                starts = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+                made = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(ids, dtype=np.int32)))
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), made], names=[*names, out_col])
+        finally:
+            t.forget()
     return (src.withColumn(held, F.col(f"`{text_col}`").cast("string"))
             .mapInArrow(run, plus(src.schema, f"`{out_col}` array<int>")))
 
@@ -391,14 +483,17 @@ def round_trip_digests(docs: DataFrame, model_path: str, *, id_col: str = "doc_i
     def run(batches):
         t = tokenizer(model_path)
         digits = t.digits
-        for b in batches:
-            n, ids_sha, text_sha = np.empty(b.num_rows, np.int64), [], []
-            for k, x in enumerate(b.column("_text")):
-                ids = t.encode(x.as_py())
-                n[k] = len(ids)
-                ids_sha.append(hashlib.sha256(",".join([digits[i] for i in ids]).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(t.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(ids_sha), pa.array(text_sha)],
-                                             names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for b in batches:
+                n, ids_sha, text_sha = np.empty(b.num_rows, np.int64), [], []
+                for k, x in enumerate(b.column("_text")):
+                    ids = t.encode(x.as_py())
+                    n[k] = len(ids)
+                    ids_sha.append(hashlib.sha256(",".join([digits[i] for i in ids]).encode()).hexdigest())
+                    text_sha.append(hashlib.sha256(t.decode(ids).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(ids_sha), pa.array(text_sha)],
+                                                 names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            t.forget()
     schema = plus(src.select(id_col).schema, "n_tokens long, ids_sha256 string, decoded_sha256 string")
     return src.mapInArrow(run, schema)

@@ -54,11 +54,32 @@ def test_backtracking_equals_literal_merging(ours):
         assert [ours.pieces[i] for i in ours.backtrack(t)] == ours.merge(t)
 
 
+def test_trees_equal_literal_merging(ours):
+    """Every piece's split is its last literal merge, and pairs fit as literal merging says."""
+    plain = sorted(ours.ids.values())
+    assert all((ours.merge(ours.pieces[i]) == [ours.pieces[i]]) == (i not in ours._literal) for i in plain if len(ours.pieces[i]) > 1)
+    rng = random.Random(9)
+    short = [i for i in plain if len(ours.pieces[i]) <= 3]
+    pairs = [(rng.choice(plain), rng.choice(plain)) for _ in range(20_000)] + [(rng.choice(short), rng.choice(short)) for _ in range(20_000)]
+    # neighbours cut out of real pieces and runs of one character, where ranks tie
+    pairs += [(ours.ids[p[:k]], ours.ids[p[k:]]) for p in rng.sample(sorted(ours.ids), 6000) for k in range(1, len(p)) if p[:k] in ours.ids and p[k:] in ours.ids]
+    runs = [i for i in plain if len(set(ours.pieces[i])) <= 2 and len(ours.pieces[i]) <= 8]
+    pairs += [(rng.choice(runs), rng.choice(runs)) for _ in range(20_000)]
+    fitting = 0
+    for a, b in pairs:
+        want = ours.merge(ours.pieces[a] + ours.pieces[b]) == [ours.pieces[a], ours.pieces[b]]
+        assert ours.fits(a, b) == want
+        fitting += want
+    assert 1000 < fitting < len(pairs) - 1000
+
+
 def test_forgetting_changes_nothing(lib, monkeypatch):
     monkeypatch.setattr(piece_bpe, "CACHE_PARTS", 4)
     small = piece_bpe.PieceBpe(queries.PIECE_MODEL)
     for t in ("one two three four five six seven one two three", "a b c d e f g a b c d"):
         assert small.encode(t) == lib.encode(t) == small.encode(t)
+        small.forget()
+        assert small.encode(t) == lib.encode(t)
 
 
 def test_messy_rows(messy, empty, lib):
