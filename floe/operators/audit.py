@@ -112,6 +112,56 @@ def anomaly_audit(df: DataFrame, keys: list[str], value: str, time: str = "time"
     return checks(m, rules)
 
 
+def gridded_anomaly_audit(df: DataFrame, grid: DataFrame, value: str, ny: int, nx: int, every: int = 10, every_cell: int = 10, time: str = "time") -> DataFrame:
+    """V5 on the grid, all parts: dimensions and coordinates against ``grid`` (iy, ix, x, y), unique keys, data at the first, middle
+    and last step, statistics of a strided sample (P9, A6), continuity of time, and the quadrants of the temporal mean (A5).
+
+    ``ny`` and ``nx`` are the grid's shape; halves are those of the whole grid. One aggregate by pixel serves coordinates,
+    keys and quadrants, one by step the completeness; the sample's median is a radix selection.
+    """
+    df = materialize(df, "audit")
+    mean = F.avg(value)
+    pixels = materialize(df.groupBy("iy", "ix").agg(
+        *[f(c).alias(f"{c}{n}") for c in ("x", "y") for n, f in ((0, F.min), (1, F.max))], F.count(F.lit(1)).alias("rows"),
+        F.size(F.collect_set(time)).alias("steps"), mean.alias("mean")), "audit")
+
+    def close(c):
+        tolerance = F.lit(1e-8) + F.lit(1e-5) * F.abs(F.col(f"g{c}"))
+        return (F.abs(F.col(f"{c}0") - F.col(f"g{c}")) <= tolerance) & (F.abs(F.col(f"{c}1") - F.col(f"g{c}")) <= tolerance)
+    cells = grid.select("iy", "ix", F.col("x").alias("gx"), F.col("y").alias("gy"))
+    placed = pixels.join(cells, ["iy", "ix"], "left").agg(
+        F.count_if(~F.coalesce(close("x"), F.lit(False))).alias("n_x_off"), F.count_if(~F.coalesce(close("y"), F.lit(False))).alias("n_y_off"),
+        F.sum(F.col("rows") - F.col("steps")).alias("n_dup"), F.count_distinct("iy").alias("n_y"), F.count_distinct("ix").alias("n_x"))
+    shape = grid.agg(F.count_distinct("iy").alias("grid_y"), F.count_distinct("ix").alias("grid_x"), F.count(F.lit(1)).alias("n_cells"))
+    per_step = df.groupBy(time).agg(F.count(value).alias("n")).join(select.step_positions(df, time), time)
+    steps = per_step.agg(F.max("n_steps").alias("n_steps"), F.max(F.when(F.col("pos") == 0, F.col("n"))).alias("n_first"),
+                         F.max(F.when(F.col("pos") == F.floor(F.col("n_steps") / 2), F.col("n"))).alias("n_middle"),
+                         F.max(F.when(F.col("pos") == F.col("n_steps") - 1, F.col("n"))).alias("n_last"))
+    sample = materialize(select.strided_sample(df, every, every_cell, time).select(value), "audit")
+    seen = stats.robust_stats(sample, value, C.LWE_TYPICAL_ABS, nd=None).select(
+        "vmin", "vmax", "vmean", "vmedian", "vstd", F.col("n").alias("n_sample"))
+    gaps = stats.consecutive_gaps(df, time).agg(F.count_if(F.col("gap") > C.GAP_WARN_DAYS).alias("n_large_gaps"), F.max("gap").alias("max_gap"),
+                                                F.min("gap").alias("min_gap"))
+    quarters = stats.quadrant_stats(pixels, "mean", ny, nx, nd=None)
+    names = ("NW", "NE", "SW", "SE")
+    spread = quarters.agg(*[F.max(F.when(F.col("quadrant") == q, F.col(c))).alias(f"{q}_{c}") for q in names for c in ("mean", "std", "n")])
+    m = one_row(placed, shape, steps, seen, gaps, spread)
+
+    def typical(c):
+        return f"coalesce(abs({c}) <= {C.LWE_TYPICAL_ABS}, false)"
+    rules = [("rows_match", "n_y = grid_y", "n_y"), ("columns_match", "n_x = grid_x", "n_x"),
+             ("x_matches", "n_x_off = 0", "n_x_off"), ("y_matches", "n_y_off = 0", "n_y_off"), ("keys_unique", "n_dup = 0", "n_dup"),
+             *[(f"{s}_step_pct", f"n_{s} * 100.0 / n_cells >= {C.COVERAGE_WARN_PCT}", f"n_{s} * 100.0 / n_cells", "warning") for s in ("first", "middle", "last")],
+             ("sample_size", "n_sample > 0", "n_sample", "warning"),
+             *[(f"sample_{c}", typical(f"v{c}"), f"v{c}", "warning") for c in ("min", "max", "mean", "median", "std")],
+             ("large_time_gaps", "n_large_gaps = 0", "n_large_gaps", "warning"),
+             ("max_gap_days", f"coalesce(max_gap <= {C.GAP_WARN_DAYS}, true)", "max_gap", "warning"),
+             ("min_gap_days", "coalesce(min_gap >= 1, true)", "min_gap"),
+             *[(f"quadrant_{q}_pixels", f"coalesce({q}_n > 0, false)", f"coalesce({q}_n, 0)", "warning") for q in names],
+             *[(f"quadrant_{q}_{c}", typical(f"{q}_{c}"), f"{q}_{c}", "warning") for q in names for c in ("mean", "std")]]
+    return checks(m, rules)
+
+
 def ocean_audit(df: DataFrame, types: dict[str, str], shelf: DataFrame, grid: DataFrame, times: DataFrame,
                 max_depth: float, units: tuple[str, ...] = (), value_2d: tuple[str, ...] = ("ice_draft", "clamped_depth", "mascon_id"),
                 reference: str = "dist_to_ocean", salinity: str = "so", temperature: str = "thetao") -> DataFrame:

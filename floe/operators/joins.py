@@ -1,7 +1,7 @@
 """Join strategies and the small relational operators built on them.
 
 ``sized_join`` is the one place where broadcasting is decided: the small side is
-counted first (a proof of its size); under the budget it is broadcast, above it
+measured first (the bytes of its rows, summed); under the budget it is broadcast, above it
 the join falls back to a salted shuffle join that spreads hot keys over many
 tasks and keeps rows with null keys out of the shuffle altogether.
 """
@@ -18,25 +18,33 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_SALT_BUCKETS = 64
 
 
-def _row_width(schema: T.StructType) -> int:
-    w = 16
+def _row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row: 8 per fixed-size value and 16 per row; strings and binaries as long as they are, other types 4 times
+    as long as their JSON text (a number in an array has 2 characters with its comma, and takes 8 bytes)."""
+    w = F.lit(16 + 8 * len(schema.fields)).cast("long")
     for f in schema.fields:
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            w += 48
+            w = w + F.coalesce(F.octet_length(c), F.lit(0))
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            w += 128
-        else:
-            w += 8
+            w = w + F.coalesce(4 * F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        elif isinstance(f.dataType, (T.DecimalType, T.VariantType, T.CalendarIntervalType)):
+            w = w + F.lit(16)
     return w
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that the rows take, summed over the rows themselves (one pass)."""
+    return df.agg(F.sum(_row_bytes(df.schema))).first()[0] or 0
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """Size check: exact row count times a per-row width estimate."""
-    return df.count() * _row_width(df.schema) <= max_bytes
+    """Size check by the measured bytes of all rows."""
+    return measured_bytes(df) <= max_bytes
 
 
 def broadcast_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only after the size is proven by a count; otherwise a plain (shuffle) join side."""
+    """Broadcast hint only after the rows' bytes are measured; otherwise a plain (shuffle) join side."""
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
@@ -46,7 +54,7 @@ def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left
                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Join ``big`` with a side that is usually small.
 
-    * broadcast when the counted size of ``small`` is within ``max_bytes``;
+    * broadcast when the measured size of ``small`` is within ``max_bytes``;
     * otherwise a salted shuffle join: ``big`` rows get a deterministic salt
       from ``salt_by`` (e.g. the pixel key), ``small`` rows are replicated per
       salt, so a key holding a third of all rows still spreads over

@@ -58,3 +58,14 @@ def seam_presence(df: DataFrame, by: str, x: str = "x", y: str = "y", tol: float
     """M4: does a product touch the x = 0 / y = 0 seams (within ``tol`` metres)?"""
     return df.groupBy(by).agg(F.bool_or(F.abs(F.col(x)) < tol).alias("seam_x"),
                               F.bool_or(F.abs(F.col(y)) < tol).alias("seam_y"))
+
+
+def on_canvas(mosaicked: DataFrame, canvas: DataFrame, time: str = "time", keys=("iy", "ix")) -> DataFrame:
+    """S6 + J8 for B7: every cell of the canvas at every step of the mosaic; cells that no tile covers have nulls.
+
+    Steps are few (one row each) and come as one array, so cells are repeated by a generator, not by a cross
+    join; the mosaic is then joined to them by its key.
+    """
+    steps = mosaicked.select(time).distinct().agg(F.sort_array(F.collect_list(time)).alias("s")).scalar()
+    cells = canvas.select(*keys).withColumn("_steps", steps).select(*keys, F.explode("_steps").alias(time))
+    return cells.join(mosaicked, [*keys, time], "left")

@@ -68,6 +68,17 @@ def pick_steps(df: DataFrame, which: str = "middle", time: str = "time", every:
     return df.join(broadcast_checked(picked) if which == "every" else F.broadcast(picked), time, "left_semi")
 
 
+def strided_sample(df: DataFrame, every: int = 10, every_cell: int = 10, time: str = "time", keys=("iy", "ix")) -> DataFrame:
+    """Every ``every``-th step (by its rank among all steps) and every ``every_cell``-th grid row and column (by index).
+
+    The strides on the grid are plain filters, which reach the scan; the steps are a semi-join with the picked ones.
+    """
+    steps = step_positions(df, time).where(F.col("pos") % every == 0).select(time)
+    for c in keys:
+        df = df.where(F.col(c) % every_cell == 0)
+    return df.join(broadcast_checked(steps), time, "left_semi")
+
+
 def first_steps(df: DataFrame, n: int, time: str = "time") -> DataFrame:
     """Keep the first ``n`` time steps (test-mode runs), as a semi-join."""
     s = step_positions(df, time).where(F.col("pos") < n).select(time)

@@ -2,18 +2,20 @@
 
 Everything is one distributed pass (``agg``/``groupBy`` with map-side partial
 aggregation). Nothing here funnels a table through one task: global order
-questions (gaps, ranks, exact quantiles) use deterministic range buckets whose
-bounds come from approximate quantiles, and monotonicity is a self-join on the
-successor index.
+questions (gaps, ranks) use deterministic range buckets whose bounds come from
+approximate quantiles, exact quantiles are selected digit by digit (``quantiles``),
+and monotonicity is a self-join on the successor index.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from floe.functions.grid import col
 from floe.operators.joins import broadcast_checked
+from floe.operators.quantiles import percentile_names, quantile_values
 
 
 def _r(c: Column, nd: int | None) -> Column:
@@ -74,15 +76,13 @@ def quadrant_stats(df: DataFrame, value: str, ny: int, nx: int, nd: int | None =
 def robust_stats(df: DataFrame, value: str, warn_abs: float, nd: int | None = 6) -> DataFrame:
     """Min, max, mean, median, std (+ warning flag when |v| exceeds ``warn_abs``).
 
-    The median is the exact distributed quantile (no single-task buffer).
+    The median is the exact quantile by radix selection (no sort, no single-task buffer).
     """
     v = F.col(value)
-    a = df.agg(F.min(v).alias("vmin"), F.max(v).alias("vmax"), _r(F.avg(v), nd).alias("vmean"),
-               _r(F.stddev_pop(v), nd).alias("vstd"), F.count(v).alias("n"),
-               F.bool_or(F.abs(v) > warn_abs).alias("warn_out_of_typical"))
-    med = exact_quantiles(df, value, [0.5]).select(_r(F.col("q"), nd).alias("vmedian"))
-    u = a.unionByName(med, allowMissingColumns=True)
-    return u.agg(*[F.max(c).alias(c) for c in ["vmin", "vmax", "vmean", "vmedian", "vstd", "n", "warn_out_of_typical"]])
+    median = F.lit(quantile_values(df, value, [0.5])[0]).cast("double")
+    return df.agg(F.min(v).alias("vmin"), F.max(v).alias("vmax"), _r(F.avg(v), nd).alias("vmean"), _r(F.stddev_pop(v), nd).alias("vstd"),
+                  F.count(v).alias("n"), F.bool_or(F.abs(v) > warn_abs).alias("warn_out_of_typical")).select(
+        "vmin", "vmax", "vmean", _r(median, nd).alias("vmedian"), "vstd", "n", "warn_out_of_typical")
 
 
 def weighted_mean(df: DataFrame, value: str, weight: str | None, by: str = "time", nd: int | None = 6) -> DataFrame:
@@ -135,50 +135,18 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def percentiles(df: DataFrame, value: str, ps=(0.02, 0.98), exact: bool = True, nd: int | None = 9) -> DataFrame:
     """Exact (linear interpolation, as NumPy) or approximate percentiles; one row."""
-    names = [f"p{int(round(p * 100)):02d}" for p in ps]
+    names = percentile_names(ps)
     if not exact:
         return df.agg(*[_r(F.percentile_approx(value, p, 10000), nd).alias(n) for p, n in zip(ps, names)])
-    q = exact_quantiles(df, value, ps)
-    return q.groupBy().agg(*[_r(F.max(F.when(F.col("p") == F.lit(p), F.col("q"))), nd).alias(n)
-                             for p, n in zip(ps, names)])
+    found = quantile_values(df, value, ps)
+    one = df.sparkSession.createDataFrame([tuple(found)], ", ".join(f"{n} double" for n in names))
+    return one.select(*[_r(F.col(n), nd).alias(n) for n in names])
 
 
-def exact_quantiles(df: DataFrame, value: str, ps, partitions: int | None = None) -> DataFrame:
-    """Exact quantiles ``(p, q)`` of a column without gathering values in one task.
-
-    1. value -> count, aggregated map-side (a value held by a third of all rows
-       becomes one row);
-    2. distinct values in deterministic range buckets (approximate quantiles),
-       running counts inside each bucket plus an offset per bucket (a table with
-       one row per bucket, so its broadcast is bounded by the bucket count);
-    3. the two order statistics around ``(n - 1) * p`` are found by rank range
-       and interpolated linearly (NumPy's default rule).
-    """
-    spark = df.sparkSession
-    v = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    counts = counts.withColumn("pid", range_bucket(v, "v", partitions))
-    w = Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = counts.withColumn("cum", F.sum("c").over(w))
-    per = counts.groupBy("pid").agg(F.sum("c").alias("pc"))
-    wp = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per.select("pid", F.coalesce(F.sum("pc").over(wp), F.lit(0)).alias("off"))
-    n = per.agg(F.sum("pc")).first()[0] or 0
-    if n == 0:
-        return spark.createDataFrame([(float(p), None) for p in ps], "p double, q double")
-    pos_rows = []
-    for p in ps:
-        pos = float(p) * (n - 1)
-        pos_rows.append((float(p), pos, int(pos // 1), int(-(-pos // 1))))
-    pos = spark.createDataFrame(pos_rows, "p double, pos double, k_lo long, k_hi long")
-    ranked = local.join(F.broadcast(offs), "pid").select(
-        "v", (F.col("off") + F.col("cum") - F.col("c")).alias("r0"), (F.col("off") + F.col("cum") - 1).alias("r1"))
-    lo = ranked.join(F.broadcast(pos), F.col("k_lo").between(F.col("r0"), F.col("r1"))).select(
-        "p", "pos", "k_lo", F.col("v").alias("v_lo"))
-    hi = ranked.join(F.broadcast(pos.select("p", "k_hi")), F.col("k_hi").between(F.col("r0"), F.col("r1"))).select(
-        "p", F.col("v").alias("v_hi"))
-    return lo.join(hi, "p").select(
-        "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("k_lo"))).alias("q"))
+def exact_quantiles(df: DataFrame, value: str, ps) -> DataFrame:
+    """Exact quantiles ``(p, q)`` of a column by radix selection: four passes at most, see ``quantiles.quantile_values``."""
+    found = quantile_values(df, value, ps)
+    return df.sparkSession.createDataFrame([(float(p), q) for p, q in zip(ps, found)], "p double, q double")
 
 
 def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -257,17 +225,24 @@ def range_bucket(values: DataFrame, c: str, buckets: int | None = None) -> Colum
     bounds = sorted({float(b) for b in bounds if b is not None})
     if not bounds:
         return F.lit(0)
-    return _bucket_tree(key, bounds, 0, len(bounds))
+    return bucket_of(key, bounds)
 
 
-def _bucket_tree(key: Column, bounds: list[float], lo: int, hi: int) -> Column:
-    """Bucket ``b`` holds ``bounds[b-1] <= key < bounds[b]``: a balanced comparison tree,
-    so each row costs about log2(len(bounds)) comparisons."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(key >= F.lit(bounds[mid - 1]), _bucket_tree(key, bounds, mid, hi)) \
-            .otherwise(_bucket_tree(key, bounds, lo, mid - 1))
+def bucket_of(key: Column, bounds: list[float]) -> Column:
+    """Bucket ``b`` holds ``bounds[b-1] <= key < bounds[b]``; a null key is in bucket 0.
+
+    A binary search in one sorted array literal: the expression is the same size for any number of bounds, and
+    a row costs about log2(len(bounds)) comparisons.
+    """
+    array = F.lit(np.array(bounds, np.float64))
+    steps = F.sequence(F.lit(1), F.lit(max(len(bounds).bit_length(), 1)))
+
+    def narrow(at, _):
+        mid = F.shiftright(at["lo"] + at["hi"], 1)
+        above = key >= F.get(array, mid)
+        more = at["lo"] < at["hi"]
+        return F.struct(F.when(more & above, mid + 1).otherwise(at["lo"]).alias("lo"), F.when(more & F.coalesce(~above, F.lit(True)), mid).otherwise(at["hi"]).alias("hi"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), narrow, lambda at: at["lo"])
 
 
 def _numeric_key(df: DataFrame, c: str) -> Column:

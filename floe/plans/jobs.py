@@ -8,6 +8,8 @@ Outputs go to new paths; nothing is written over its own input (K6).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,36 @@ def run_mosaic(spark: SparkSession, tiles: dict[str, str], sigma: str, out: str,
     return spark.read.parquet(out)
 
 
+def run_mosaics(spark: SparkSession, products: dict[str, tuple[dict[str, str], str]], out: dict[str, str], grid: Grid) -> dict[str, DataFrame]:
+    """B7, whole: ``products`` are ``{product: ({tile: path}, sigma column)}``, each with its own sigma.
+
+    The canvas is the extent of the snapped tiles of all products (S6, F1). Each product is mosaicked (M1), audited (V1),
+    laid on the canvas (J8: uncovered cells are rows with nulls) and written unless a complete output is
+    there (K5); the canvas is measured only if some product has to be built.
+    """
+    readers.validate_inputs(spark, [p for tiles, _ in products.values() for p in tiles.values()])
+
+    def snapped(path):
+        t = _read(spark, path)
+        return t.withColumns({"iy": grid.iy("y"), "ix": grid.ix("x")}).drop("x", "y")
+    extent = []
+
+    def canvas():
+        if not extent:
+            cells = [snapped(p).select("iy", "ix") for tiles, _ in products.values() for p in tiles.values()]
+            extent.append(readers.canvas_from_extent(reduce(lambda a, b: a.unionByName(b), cells)))
+        return extent[0]
+
+    def build(tiles, sigma):
+        m = materialize(mosaic.mosaic(mosaic.union_tiles({t: snapped(p) for t, p in tiles.items()}, list(tiles)).drop("tile_id"), sigma), "mosaic")
+        values = [c for c in m.columns if c not in ("iy", "ix", "time", "tile_order") and "sigma" not in c and "ice_area" not in c]
+        audit.assert_ok(audit.physics(m, values, area="ice_area" if "ice_area" in m.columns else None))
+        return mosaic.on_canvas(m, canvas()).withColumns({"x": grid.x("ix"), "y": grid.y("iy")})
+    for name, (tiles, sigma) in products.items():
+        writers.write_if_absent(lambda tiles=tiles, sigma=sigma: build(tiles, sigma), out[name], spark=spark)
+    return {name: spark.read.parquet(out[name]) for name in products}
+
+
 def run_upsample(spark: SparkSession, coarse: str, value: str, out: str, units: str = "m") -> DataFrame:
     """1 km lattice (cy, cx[, time]) -> 500 m cells by bilinear interpolation, FLOAT with units."""
     readers.validate_inputs(spark, [coarse])

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from floe import constants as C
 from floe.functions.grid import FIXTURE_GRID as G
-from floe.operators import joins, mosaic, select, stats
+from floe.operators import joins, mosaic, quantiles, select, stats
+from floe.operators.joins import broadcast_checked
 from floe.plans.registry import query
+from floe.session import materialize
 from floe.sources import fixtures as fx
 
 W = fx.ctes
@@ -197,6 +199,27 @@ def a14_percentiles(spark, d):
     return stats.percentiles(fx.table(spark, d, "events"), "value")
 
 
+_PS = (0.001, 0.02, 0.25, 0.5, 0.975, 0.999)
+
+
+@query("a14_many_percentiles", "SELECT " + ", ".join(f"ROUND(quantile_cont(value, {p}), 9) AS {n}" for p, n in zip(_PS, quantiles.percentile_names(_PS))) + " FROM events")
+def a14_many_percentiles(spark, d):
+    return stats.percentiles(fx.table(spark, d, "events"), "value", _PS)
+
+
+@query("a14_sketch_percentiles", "SELECT event_type, p, COUNT(value) AS n, TRUE AS within FROM events, (VALUES " + ", ".join(f"(CAST({p} AS DOUBLE))" for p in _PS) + ") t(p) GROUP BY event_type, p")
+def a14_sketch_percentiles(spark, d):
+    """A14 at scale: a sketch per type and day is stored, the days of a type are merged; the exact rank of each answer is within 1%."""
+    e = fx.table(spark, d, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    stored = materialize(quantiles.step_sketches(e, "value", ("event_type", "day")), "sketches")
+    found = quantiles.sketch_quantiles(stored, _PS, ("event_type",)).groupBy("event_type").agg(F.collect_list(F.struct("p", "q")).alias("pq"))
+    ranked = e.where(F.col("value").isNotNull()).join(broadcast_checked(found), "event_type").select("event_type", "value", F.explode("pq").alias("c"))
+    counts = ranked.groupBy("event_type", "c.p").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") < F.col("c.q")).alias("below"),
+                                                     F.count_if(F.col("value") <= F.col("c.q")).alias("up_to"))
+    within = (F.col("below") <= (F.col("p") + 0.01) * F.col("n")) & (F.col("up_to") >= (F.col("p") - 0.01) * F.col("n"))
+    return counts.select("event_type", "p", "n", within.alias("within"))
+
+
 @query("a15_rule_counts", W("fx_static") + """
 SELECT 'thickness_exceeds_draft' AS rule, COUNT(*) FILTER (WHERE thickness > abs(bed) + 0.01) AS n_violations FROM fx_static
 UNION ALL
@@ -345,6 +368,13 @@ def p9_every_10th_step(spark, d):
     return select.pick_steps(fx.fx_icesat(spark, d), "every", every=10)
 
 
+@query("p9_strided_sample", W("fx_icesat") + """
+, s AS (SELECT time, ROW_NUMBER() OVER (ORDER BY time) - 1 AS pos FROM (SELECT DISTINCT time FROM fx_icesat))
+SELECT f.* FROM fx_icesat f JOIN s ON f.time = s.time WHERE s.pos % 10 = 0 AND iy % 10 = 0 AND ix % 10 = 0""")
+def p9_strided_sample(spark, d):
+    return select.strided_sample(fx.fx_icesat(spark, d), every=10, every_cell=10)
+
+
 @query("p10_bbox_subset", W("fx_target_xy", "fx_ocean") + """
 , e AS (SELECT MIN(20000*ix - 500000) AS x0, MAX(20000*ix - 500000) AS x1, MIN(3000000 - 20000*iy) AS y0, MAX(3000000 - 20000*iy) AS y1 FROM fx_ocean)
 SELECT t.* FROM fx_target_xy t, e WHERE t.tx BETWEEN e.x0 - 1000 AND e.x1 + 1000 AND t.ty BETWEEN e.y0 - 1000 AND e.y1 + 1000""")

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from floe.functions import thermo
 from floe.functions.grid import FIXTURE_GRID as G
-from floe.functions.timefn import days_to_timestamp
+from floe.functions.timefn import days_to_timestamp, quarter_start
 from floe.operators import audit, joins, mosaic, regrid, select, stencil
+from floe.operators.joins import broadcast_checked
 from floe.plans import q_grid, q_io
 from floe.plans.registry import query
 from floe.session import materialize, scratch_path
@@ -109,6 +110,48 @@ def v4_product_audit(spark, d):
     return audit.product_audit(_xy(fx.fx_icesat(spark, d)), "delta_h", 500.0, _cells(spark, d))
 
 
+_QUADS = ("NW", "NE", "SW", "SE")
+_V5_RULES = [
+    ("rows_match", "n_y = grid_y", "n_y"), ("columns_match", "n_x = grid_x", "n_x"), ("x_matches", "n_x_off = 0", "n_x_off"),
+    ("y_matches", "n_y_off = 0", "n_y_off"), ("keys_unique", "n_dup = 0", "n_dup"),
+    *[(f"{s}_step_pct", f"n_{s} * 100.0 / n_cells >= 1.0", f"n_{s} * 100.0 / n_cells", "warning") for s in ("first", "middle", "last")],
+    ("sample_size", "n_sample > 0", "n_sample", "warning"),
+    *[(f"sample_{c}", f"coalesce(abs(v{c}) <= 200.0, false)", f"v{c}", "warning") for c in ("min", "max", "mean", "median", "std")],
+    ("large_time_gaps", "n_large_gaps = 0", "n_large_gaps", "warning"), ("max_gap_days", "coalesce(max_gap <= 60, true)", "max_gap", "warning"),
+    ("min_gap_days", "coalesce(min_gap >= 1, true)", "min_gap"),
+    *[(f"quadrant_{q}_pixels", f"coalesce({q}_n > 0, false)", f"coalesce({q}_n, 0)", "warning") for q in _QUADS],
+    *[(f"quadrant_{q}_{c}", f"coalesce(abs({q}_{c}) <= 200.0, false)", f"{q}_{c}", "warning") for q in _QUADS for c in ("mean", "std")]]
+
+
+@query("v5_gridded_anomaly", W("fx_static", "fx_grace") + """
+, p AS (SELECT s.iy, s.ix, s.x, s.y, g.time, g.lwe_length FROM fx_static s JOIN fx_grace g ON s.mascon_id = g.mascon_id),
+grid AS (SELECT iy, ix, -3071750.0 + 500 * ix AS x, 3071750.0 - 500 * iy AS y FROM fx_static WHERE mascon_id IN (SELECT mascon_id FROM fx_grace)),
+""" + _STEPS.format(src="p").strip().removeprefix(",").strip() + """,
+ps AS (SELECT pos, n, COUNT(lwe_length) AS valid FROM p JOIN st ON p.time = st.time GROUP BY pos, n),
+px AS (SELECT iy, ix, MIN(x) AS x0, MAX(x) AS x1, MIN(y) AS y0, MAX(y) AS y1, COUNT(*) AS c, COUNT(DISTINCT time) AS s, AVG(lwe_length) AS mean FROM p GROUP BY iy, ix),
+q AS (SELECT (CASE WHEN iy < """ + _ROWS + """ // 2 THEN 'N' ELSE 'S' END) || (CASE WHEN ix < 25 THEN 'W' ELSE 'E' END) AS quadrant, mean FROM px),
+sample AS (SELECT lwe_length AS v FROM p JOIN st ON p.time = st.time WHERE pos % 10 = 0 AND iy % 10 = 0 AND ix % 10 = 0),
+g AS (SELECT datediff('day', LAG(time) OVER (ORDER BY time), time) AS gap FROM st),
+m AS (SELECT (SELECT COUNT(DISTINCT iy) FROM p) AS n_y, (SELECT COUNT(DISTINCT ix) FROM p) AS n_x, (SELECT COUNT(DISTINCT iy) FROM grid) AS grid_y,
+  (SELECT COUNT(DISTINCT ix) FROM grid) AS grid_x, (SELECT COUNT(*) FROM grid) AS n_cells,
+  (SELECT COUNT(*) FILTER (WHERE g.x IS NULL OR greatest(abs(x0 - g.x), abs(x1 - g.x)) > 1e-8 + 1e-5 * abs(g.x)) FROM px LEFT JOIN grid g USING (iy, ix)) AS n_x_off,
+  (SELECT COUNT(*) FILTER (WHERE g.y IS NULL OR greatest(abs(y0 - g.y), abs(y1 - g.y)) > 1e-8 + 1e-5 * abs(g.y)) FROM px LEFT JOIN grid g USING (iy, ix)) AS n_y_off,
+  (SELECT SUM(c - s) FROM px) AS n_dup,
+  (SELECT MAX(valid) FROM ps WHERE pos = 0) AS n_first, (SELECT MAX(valid) FROM ps WHERE pos = n // 2) AS n_middle, (SELECT MAX(valid) FROM ps WHERE pos = n - 1) AS n_last,
+  (SELECT COUNT(v) FROM sample) AS n_sample, (SELECT MIN(v) FROM sample) AS vmin, (SELECT MAX(v) FROM sample) AS vmax, (SELECT AVG(v) FROM sample) AS vmean,
+  (SELECT quantile_cont(v, 0.5) FROM sample) AS vmedian, (SELECT STDDEV_POP(v) FROM sample) AS vstd,
+  (SELECT COUNT(*) FILTER (WHERE gap > 60) FROM g) AS n_large_gaps, (SELECT MAX(gap) FROM g) AS max_gap, (SELECT MIN(gap) FROM g) AS min_gap,
+  """ + ", ".join(f"(SELECT {f}(mean) FROM q WHERE quadrant = '{x}') AS {x}_{n}" for x in _QUADS for n, f in (("mean", "AVG"), ("std", "STDDEV_POP"), ("n", "COUNT"))) + """)
+""" + _rep(_V5_RULES, "m"))
+def v5_gridded_anomaly(spark, d):
+    """V5 over the gridded anomalies: the regional series on every cell of its region, against the grid's own coordinates."""
+    static = fx.fx_static(spark, d)
+    series = fx.fx_grace(spark, d)
+    gridded = static.select("iy", "ix", "x", "y", "mascon_id").join(broadcast_checked(series), "mascon_id").drop("mascon_id")
+    grid = _xy(static.join(broadcast_checked(series.select("mascon_id")), "mascon_id", "left_semi").select("iy", "ix"))
+    return audit.gridded_anomaly_audit(gridded, grid, "lwe_length", fx.grid_rows(spark, d), fx.NX)
+
+
 @query("v5_anomaly_audit", W("fx_grace") + """
 , tt AS (SELECT DISTINCT time FROM fx_grace),
 g AS (SELECT datediff('day', LAG(time) OVER (ORDER BY time), time) AS gap FROM tt),
@@ -336,6 +379,56 @@ def b4_anomaly_table(spark, d):
     return select.drop_null(fx.fx_grace(spark, d).select("mascon_id", "time", "lwe_length"), "lwe_length")
 
 
+#: Product groups of B7: value and sigma from the line items of each tile; a sigma of 0 is missing.
+_GROUPS = {"delta_h": ("SUM(CAST(l_discount AS DECIMAL(10,2)) - CAST(l_tax AS DECIMAL(10,2)))", "MIN(l_tax)"),
+           "dhdt_lag1": ("SUM(CAST(l_discount AS DECIMAL(10,2)))", "MIN(l_discount)"),
+           "dhdt_lag4": ("SUM(CAST(l_tax AS DECIMAL(10,2)))", "MAX(l_tax)")}
+
+
+def _group_sql(name: str) -> str:
+    value, sigma = _GROUPS[name]
+    return f"""
+SELECT '{name}' AS product, c.iy, c.ix, c.time, m.value, m.sigma, m.tile_order, CAST(-3071750 + 500*c.ix AS DOUBLE) AS x, CAST(3071750 - 500*c.iy AS DOUBLE) AS y
+FROM cells c LEFT JOIN (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY iy, ix, time ORDER BY sigma NULLS LAST, tile_order) AS rn FROM (
+    SELECT CAST(l_partkey%50 AS INT) AS ix, CAST(floor(l_partkey/50.0) AS INT) AS iy, make_date(year(l_shipdate), 3*quarter(l_shipdate)-2, 1) AS time,
+      CAST(l_linenumber%4 AS INT) AS tile_order, CAST({value} AS DOUBLE) AS value, NULLIF({sigma}, 0) AS sigma
+    FROM lineitem GROUP BY l_partkey, make_date(year(l_shipdate), 3*quarter(l_shipdate)-2, 1), l_linenumber%4)
+    WHERE sigma IS NOT NULL OR tile_order = 0) WHERE rn = 1) m ON c.iy = m.iy AND c.ix = m.ix AND c.time = m.time"""
+
+
+@query("b7_mosaic_products", """
+WITH e AS (SELECT MIN(CAST(floor(l_partkey/50.0) AS INT)) AS iy0, MAX(CAST(floor(l_partkey/50.0) AS INT)) AS iy1,
+    MIN(CAST(l_partkey%50 AS INT)) AS ix0, MAX(CAST(l_partkey%50 AS INT)) AS ix1 FROM lineitem),
+times AS (SELECT DISTINCT make_date(year(l_shipdate), 3*quarter(l_shipdate)-2, 1) AS time FROM lineitem),
+cells AS (SELECT CAST(iy AS INT) AS iy, CAST(ix AS INT) AS ix, time FROM
+  (SELECT unnest(generate_series(iy0, iy1)) AS iy FROM e) CROSS JOIN (SELECT unnest(generate_series(ix0, ix1)) AS ix FROM e) CROSS JOIN times)
+""" + "\nUNION ALL".join(_group_sql(g) for g in _GROUPS))
+def b7_mosaic_products(spark, d):
+    """B7, whole: three product groups with their own sigma from raw tile coordinates: snap (F1), canvas of all tiles' extent (S6),
+    mosaic (M1), physics gate (V1), uncovered cells as rows with nulls (J8), written unless complete (K5)."""
+    li = fx.table(spark, d, "lineitem")
+    tiles = li.groupBy("l_partkey", quarter_start("l_shipdate").alias("time"), (F.col("l_linenumber") % 4).cast("int").alias("tile_order")).agg(
+        *[F.expr(v).cast("double").alias(f"{g}_value") for g, (v, _) in _GROUPS.items()], *[F.nullif(F.expr(s), F.lit(0.0)).alias(f"{g}_sigma") for g, (_, s) in _GROUPS.items()])
+    ix, iy = (F.col("l_partkey") % fx.NX).cast("int"), F.floor(F.col("l_partkey") / fx.NX).cast("int")
+    jitter = (F.col("tile_order") - F.lit(1.5)) * F.lit(7.0)
+    raw = tiles.withColumns({"ix": ix, "iy": iy}).withColumns({"x": G.x("ix") + jitter, "y": G.y("iy") - jitter}).drop("ix", "iy", "l_partkey")
+    snapped = materialize(raw.withColumns({"iy": G.iy("y"), "ix": G.ix("x")}).drop("x", "y"), "b7-tiles")
+    canvas = readers.canvas_from_extent(snapped)
+    out = None
+    for g in _GROUPS:
+        def build(g=g):
+            tiles_of = snapped.select("iy", "ix", "time", "tile_order", F.col(f"{g}_value").alias("value"), F.col(f"{g}_sigma").alias("sigma"))
+            m = materialize(mosaic.mosaic(tiles_of, "sigma"), "b7")
+            audit.assert_ok(audit.physics(m, ["value"], area=None))
+            return _xy(mosaic.on_canvas(m, canvas))
+        path = scratch_path(spark, f"b7-{g}")
+        writers.write_if_absent(build, path, spark=spark)
+        rows = spark.read.parquet(path).select(F.lit(g).alias("product"), "iy", "ix", "time", "value", "sigma", "tile_order", "x", "y")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("b7_mosaic", W("fx_tiles") + _M1 + f"SELECT iy, ix, time, delta_h, delta_h_sigma, tile_order, {XY} FROM m1")
 def b7_mosaic(spark, d):
     """Raw tile coordinates snapped to the grid (F1), lowest-sigma mosaic (M1), physics gate (V1)."""

@@ -95,3 +95,43 @@ def test_only_errors_stop(spark):
     audit.assert_ok(audit.physics(rows, ["dh"]))  # a warning
     with pytest.raises(ValueError, match="ice_area_non_negative"):
         audit.assert_ok(audit.physics(rows.withColumn("ice_area", F.lit(-1.0)), ["dh"]))
+
+
+def gridded(spark, change=lambda d: d):
+    """20 x 20 cells, 3 monthly steps; every rule holds."""
+    rows = [(iy, ix, 500.0 * ix, -500.0 * iy, t, float(iy + ix + i)) for iy in range(20) for ix in range(20) for i, t in enumerate(D)]
+    df = spark.createDataFrame(rows, "iy int, ix int, x double, y double, time date, lwe double")
+    grid = df.select("iy", "ix", "x", "y").distinct()
+    return ok(audit.gridded_anomaly_audit(change(df), grid, "lwe", 20, 20, every=1, every_cell=10))
+
+
+def test_a_clean_gridded_table_passes(spark):
+    got = gridded(spark)
+    assert len(got) == 29 and all(got.values())
+
+
+@pytest.mark.parametrize("change,broken", [
+    (lambda d: d.where("iy <> 3"), {"rows_match"}),
+    (lambda d: d.where("ix <> 3"), {"columns_match"}),
+    (at("x", 999.0, "ix = 1 AND iy = 5"), {"x_matches"}),
+    (at("y", 999.0, "ix = 1 AND time = DATE'2000-02-01' AND iy = 5"), {"y_matches"}),
+    (lambda d: d.unionByName(d.where("iy = 2 AND ix = 2").limit(1)), {"keys_unique"}),
+    (at("lwe", None, "time = DATE'2000-01-01'"), {"first_step_pct"}),
+    (at("lwe", None, "time = DATE'2000-02-01'"), {"middle_step_pct"}),
+    (at("lwe", None, "time = DATE'2000-03-01'"), {"last_step_pct"}),
+    (at("lwe", None, "iy % 10 = 0 AND ix % 10 = 0"), {"sample_size", *(f"sample_{c}" for c in ("min", "max", "mean", "median", "std"))}),
+    (at("lwe", 5000.0, "iy = 10 AND ix = 10 AND time = DATE'2000-02-01'"), {"sample_max", "sample_mean", "sample_std", "quadrant_SE_std"} - {"quadrant_SE_std"}),
+    (at("lwe", -900.0, "iy = 0 AND ix = 0"), {"sample_min", "sample_mean", "sample_std"}),
+    (lambda d: d.withColumn("time", F.when(F.col("time") == D[2], F.date_add("time", 100)).otherwise(F.col("time"))), {"large_time_gaps", "max_gap_days"}),
+    (at("lwe", None, "iy < 10 AND ix >= 10"), {"quadrant_NE_pixels", "quadrant_NE_mean", "quadrant_NE_std"}),
+    (at("lwe", 1000.0, "iy >= 10 AND ix < 9 AND ix > 0 AND iy <> 10"), {"quadrant_SW_mean", "quadrant_SW_std"}),
+])
+def test_each_gridded_fault_breaks_its_rules(spark, change, broken):
+    assert {n for n, x in gridded(spark, change).items() if not x} == broken
+
+
+def test_steps_of_less_than_a_day(spark):
+    from pyspark.sql.types import TimestampNTZType
+    hours = lambda d: d.withColumn("time", (F.col("time").cast(TimestampNTZType()))).withColumn(
+        "time", F.when(F.month("time") == 2, F.expr("timestamp_ntz'2000-01-01 05:00:00'")).otherwise(F.col("time")))
+    assert {n for n, x in gridded(spark, hours).items() if not x} >= {"min_gap_days"}

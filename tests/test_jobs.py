@@ -1,5 +1,7 @@
 """Batch jobs over stored tables give the same rows as the registered queries."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +52,29 @@ def test_run_mosaic_from_raw_coordinates(spark):
     assert _rows(got, cols) == _rows(want, cols)
 
 
+def test_run_mosaics_lays_products_on_one_canvas(spark):
+    """Each product by its own sigma, on the extent of all tiles; cells without a tile are rows with nulls; complete outputs stay."""
+    g = FIXTURE_GRID
+    day = dt.date(2020, 1, 1)
+
+    def tile(cells, name):
+        rows = [(g.x0 + g.res * ix + 3.0, g.y0 - g.res * iy - 2.0, day, v, s) for iy, ix, v, s in cells]
+        return _store(spark, spark.createDataFrame(rows, f"x double, y double, time date, {name} double, {name}_sigma double"), "tile")
+    products = {"a": ({"A1": tile([(0, 0, 1.0, 0.5), (0, 1, 2.0, 0.5)], "a"), "A2": tile([(0, 1, 9.0, 0.1)], "a")}, "a_sigma"),
+                "b": ({"A1": tile([(2, 2, 7.0, None)], "b"), "A2": tile([(2, 2, 8.0, 0.3)], "b")}, "b_sigma")}
+    out = {n: scratch_path(spark, n) for n in products}
+    got = jobs.run_mosaics(spark, products, out, g)
+    a = {(r.iy, r.ix): (r.a, r.x, r.y) for r in got["a"].collect()}
+    assert len(a) == 9 and a[0, 0][0] == 1.0 and a[0, 1][0] == 9.0
+    assert {k for k, v in a.items() if v[0] is None} == {(iy, ix) for iy in range(3) for ix in range(3)} - {(0, 0), (0, 1)}
+    assert a[2, 2][1:] == (g.x0 + 2 * g.res, g.y0 - 2 * g.res)
+    b = {(r.iy, r.ix): r.b for r in got["b"].collect()}
+    assert len(b) == 9 and [k for k, v in b.items() if v is not None] == [(2, 2)] and b[2, 2] == 8.0
+    before = {n: sorted(p.name for p in __import__("pathlib").Path(o.removeprefix("file:")).iterdir()) for n, o in out.items()}
+    jobs.run_mosaics(spark, products, out, g)
+    assert before == {n: sorted(p.name for p in __import__("pathlib").Path(o.removeprefix("file:")).iterdir()) for n, o in out.items()}
+
+
 def test_run_thermodynamics_and_audit(spark):
     from floe.plans import q_io
     p = _store(spark, q_io.ocean_match(spark, SF_SMALL), "om")
