@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floe.functions.proj import unit_vector
 from floe.operators.joins import sized_join
+from floe.session import materialize
 
 _CORNERS = [(0, 0), (0, 1), (1, 0), (1, 1)]  # (dy, dx)
 
@@ -120,10 +123,122 @@ def _chord2(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column])
     return ((a[0] - b[0]) * (a[0] - b[0]) + (a[1] - b[1]) * (a[1] - b[1]) + (a[2] - b[2]) * (a[2] - b[2]))
 
 
+#: Degrees from a pole within which rounding hides the longitude.
+_AT_POLE_DEG = 1e-5
+#: Axis lengths up to which the lattice's axes are array literals of a plan.
+MAX_AXES = 20_000
+
+
 def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float, lon0: float, dlon: float,
                     n_lat: int, n_lon: int, value: str = "v", seed_radius: int = 1) -> DataFrame:
     """Nearest source cell (great-circle) for each target, on a regular lat/lon source grid.
 
+    ``src``: ``(src_id, si, sj, lat, lon, value)``; ``targets``: ``(dst_id, lat, lon)``. Exact, without a cap on
+    candidates; ties go to the smallest ``src_id``; null source values stay candidates. Every target has a
+    row; it is null only when there are no sources at all.
+
+    The nearest point of the *lattice* is found inside the target's row (``nearest_cell``); if that cell
+    has a source it is the nearest source, and one join by cell fetches it (broadcast, or salted beyond the
+    budget). Only targets whose nearest cell is a hole search again among the sources themselves
+    (``nearest_by_windows``), as do all targets of a source table that isn't a lattice: coordinates that
+    don't follow the axes or axes that don't go round the globe, cells held twice, or ids that don't ascend along them.
+    """
+    axes = lattice_axes(src, lat0, dlat, lon0, dlon, n_lat, n_lon)
+    if axes is None:
+        return nearest_by_windows(src, targets, lat0, dlat, lon0, dlon, n_lat, n_lon, value, seed_radius)
+    cells = nearest_cell(targets, axes, lat0, dlat, lon0, dlon, n_lat, n_lon)
+    found = sized_join(cells, src.select("si", "sj", "src_id", value), ["si", "sj"], "left", salt_by=["dst_id"])
+    if axes.full:
+        return found.select("dst_id", "src_id", value)
+    found = materialize(found, "nearest")
+    hit = found.where(F.col("src_id").isNotNull()).select("dst_id", "src_id", value)
+    holes = found.where(F.col("src_id").isNull()).select("dst_id", "lat", "lon")
+    return hit.unionByName(nearest_by_windows(src, holes, lat0, dlat, lon0, dlon, n_lat, n_lon, value, seed_radius))
+
+
+@dataclass(frozen=True)
+class Axes:
+    """Sines and cosines along the axes of a lattice, as Spark computes them, and whether every cell has a source."""
+    cos_lat: list[float]
+    sin_lat: list[float]
+    cos_lon: list[float]
+    sin_lon: list[float]
+    full: bool
+
+
+def lattice_axes(src: DataFrame, lat0: float, dlat: float, lon0: float, dlon: float, n_lat: int, n_lon: int) -> Axes | None:
+    """The axes of a source table, or None if it is no lattice. One row per grid row and column goes to the driver."""
+    if n_lat + n_lon > MAX_AXES or abs(n_lon * abs(dlon) - 360) > 1e-6:
+        return None
+    off = F.col("src_id") - (F.col("si").cast("long") * n_lon + F.col("sj"))
+    c = src.select("si", "sj", off.alias("off")).groupBy("si", "sj").agg(F.count(F.lit(1)).alias("n"), F.min("off").alias("off")).agg(
+        F.count(F.lit(1)).alias("cells"), F.max("n").alias("n"), F.min("off").alias("lo"), F.max("off").alias("hi"),
+        F.min("si").alias("si0"), F.max("si").alias("si1"), F.min("sj").alias("sj0"), F.max("sj").alias("sj1")).first()
+    if not c.cells or c.n > 1 or c.lo != c.hi or min(c.si0, c.sj0) < 0 or c.si1 >= n_lat or c.sj1 >= n_lon:
+        return None
+    got = []
+    for axis, degrees, first, step, size in (("si", "lat", lat0, dlat, n_lat), ("sj", "lon", lon0, dlon, n_lon)):
+        held = src.groupBy(F.col(axis).cast("long").alias("k")).agg(F.min(degrees).alias("d"), F.max(degrees).alias("d1"))
+        every = src.sparkSession.range(size).select(F.col("id").alias("k"), (F.lit(first) + F.col("id") * F.lit(step)).alias("plain"))
+        at = F.radians(F.coalesce("d", "plain"))
+        rows = every.join(held, "k", "left").select("k", F.cos(at).alias("cos"), F.sin(at).alias("sin"),
+                                                    F.coalesce(F.abs(F.col("d") - F.col("plain")) < abs(step) * 1e-6, F.lit(True)).alias("placed"),
+                                                    F.coalesce(F.col("d") == F.col("d1"), F.lit(True)).alias("one")).collect()
+        if not all(r.placed and r.one for r in rows):
+            return None
+        rows.sort(key=lambda r: r.k)
+        got += [[r["cos"] for r in rows], [r["sin"] for r in rows]]
+    return Axes(*got, full=c.cells == n_lat * n_lon)
+
+
+def _window(lat: Column, lon: Column, d2: Column, lat0: float, dlat: float, lon0: float, dlon: float, n_lat: int) -> tuple[Column, Column, Column, Column]:
+    """First and last grid row and column of the cells that can be within chord distance sqrt(d2) (columns not yet wrapped)."""
+    chord = F.sqrt(d2) * F.lit(1 + 1e-9) + F.lit(1e-12)
+    theta = F.lit(2.0) * F.asin(F.least(chord / 2, F.lit(1.0)))
+    theta_deg = F.degrees(theta)
+    ratio = F.sin(theta) / F.cos(F.radians(lat))
+    reaches_pole = (lat - theta_deg <= -90.0) | (lat + theta_deg >= 90.0)
+    dlam = F.when(reaches_pole | (ratio >= 1.0), F.lit(180.0)).otherwise(F.degrees(F.asin(ratio)))
+    si_lo = F.greatest(F.ceil((lat - theta_deg - F.lit(lat0)) / F.lit(dlat)).cast("int") - 1, F.lit(0))
+    si_hi = F.least(F.floor((lat + theta_deg - F.lit(lat0)) / F.lit(dlat)).cast("int") + 1, F.lit(n_lat - 1))
+    return (si_lo, F.greatest(si_hi, si_lo), F.floor((lon - dlam - F.lit(lon0)) / F.lit(dlon)).cast("int") - 1,
+            F.ceil((lon + dlam - F.lit(lon0)) / F.lit(dlon)).cast("int") + 1)
+
+
+def nearest_cell(targets: DataFrame, axes: Axes, lat0: float, dlat: float, lon0: float, dlon: float, n_lat: int, n_lon: int) -> DataFrame:
+    """``targets`` with ``(si, sj)`` of the nearest lattice point, ties to the first in row order; no shuffle, no extra rows.
+
+    In a grid row the distance grows with the difference in longitude, so the nearest point lies in the rounded column
+    or, on ties, beside it. Along a column the distance is a sinusoid of latitude whose minimum is known in closed form,
+    so only the rows around that latitude count: nine candidates, compared as an array inside the row. A target
+    at a pole, where longitude says nothing, looks at all columns. The axes are the only data in the plan.
+    """
+    cos_lat, sin_lat, cos_lon, sin_lon = (F.lit(np.array(v, np.float64)) for v in (axes.cos_lat, axes.sin_lat, axes.cos_lon, axes.sin_lon))
+    t = targets.select("dst_id", "lat", "lon", *[c.alias(n) for c, n in zip(unit_vector("lat", "lon"), ("_x", "_y", "_z"))])
+    tv = (F.col("_x"), F.col("_y"), F.col("_z"))
+
+    def distance(i, j):
+        cl = F.get(cos_lat, i)
+        return _chord2(tv, (cl * F.get(cos_lon, j), cl * F.get(sin_lon, j), F.get(sin_lat, i)))
+    j0 = F.rint((F.col("lon") - F.lit(lon0)) / F.lit(dlon)).cast("int")
+    near = F.array(*[F.pmod(j0 + k, F.lit(n_lon)) for k in (-1, 0, 1)])
+    columns = F.when(F.abs(F.col("lat")) > 90 - _AT_POLE_DEG, F.sequence(F.lit(0), F.lit(n_lon - 1))).otherwise(near)
+    t = t.withColumn("_columns", columns)
+    phi, lam = F.radians("lat"), F.radians("lon")
+
+    def cells(j):
+        top = F.degrees(F.atan2(F.sin(phi), F.cos(phi) * F.cos(lam - F.radians(F.lit(lon0) + j * F.lit(dlon)))))
+        i = F.rint((top - F.lit(lat0)) / F.lit(dlat)).cast("int")
+        rows = F.array(*[F.least(F.greatest(i + k, F.lit(0)), F.lit(n_lat - 1)) for k in (-1, 0, 1)])
+        return F.transform(rows, lambda i: F.struct(distance(i, j).alias("d"), i.alias("si"), j.alias("sj")))
+    best = F.array_min(F.flatten(F.transform("_columns", cells)))
+    return t.withColumn("_best", best).select("dst_id", "lat", "lon", "_best.si", "_best.sj")
+
+
+def nearest_by_windows(src: DataFrame, targets: DataFrame, lat0: float, dlat: float, lon0: float, dlon: float,
+                       n_lat: int, n_lon: int, value: str = "v", seed_radius: int = 1) -> DataFrame:
+    """J11 for targets near holes, and for sources that are no lattice: candidates are joined to the sources that exist.
+
     ``src``: ``(src_id, si, sj, lat, lon, value)``; ``targets``: ``(dst_id, lat, lon)``.
     Exact, without a cap on candidates:
 
@@ -177,19 +292,8 @@ def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float
     seed = seed.groupBy("dst_id").agg(F.min("d2").alias("d2"))
 
     # exact window from the bound
-    chord = F.sqrt(F.col("d2")) * F.lit(1 + 1e-9) + F.lit(1e-12)
-    theta = F.lit(2.0) * F.asin(F.least(chord / 2, F.lit(1.0)))
-    theta_deg = F.degrees(theta)
-    phi = F.radians(F.col("lat"))
-    reaches_pole = (F.col("lat") - theta_deg <= -90.0) | (F.col("lat") + theta_deg >= 90.0)
-    ratio = F.sin(theta) / F.cos(phi)
-    dlam = F.when(reaches_pole | (ratio >= 1.0), F.lit(180.0)).otherwise(F.degrees(F.asin(ratio)))
-    si_lo = F.greatest(F.ceil((F.col("lat") - theta_deg - F.lit(lat0)) / F.lit(dlat)).cast("int") - 1, F.lit(0))
-    si_hi = F.least(F.floor((F.col("lat") + theta_deg - F.lit(lat0)) / F.lit(dlat)).cast("int") + 1, F.lit(n_lat - 1))
-    sj_lo = F.floor((F.col("lon") - dlam - F.lit(lon0)) / F.lit(dlon)).cast("int") - 1
-    sj_hi = F.ceil((F.col("lon") + dlam - F.lit(lon0)) / F.lit(dlon)).cast("int") + 1
-    tb = t.join(seed, "dst_id").withColumns(
-        {"_si_lo": si_lo, "_si_hi": F.greatest(si_hi, si_lo), "_sj_lo": sj_lo, "_sj_hi": sj_hi}).drop("d2")
+    window = _window(F.col("lat"), F.col("lon"), F.col("d2"), lat0, dlat, lon0, dlon, n_lat)
+    tb = t.join(seed, "dst_id").withColumns(dict(zip(("_si_lo", "_si_hi", "_sj_lo", "_sj_hi"), window))).drop("d2")
     cand = sized_join(candidates(tb, F.col("_si_lo"), F.col("_si_hi"), F.col("_sj_lo"), F.col("_sj_hi")),
                       s, ["si", "sj"], "inner", salt_by=["dst_id"])
     best = cand.groupBy("dst_id").agg(

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from floe.operators import regrid, stencil
@@ -44,12 +45,16 @@ def test_weights_apply_equals_bilinear(spark):
     assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
 
 
-def test_nearest_equals_brute_force_with_holes(spark):
+@pytest.mark.parametrize("kept,ids", [(0.85, "ascending"), (1.0, "ascending"), (0.3, "ascending"), (0.85, "shuffled")])
+def test_nearest_equals_brute_force_with_holes(spark, kept, ids):
+    """Full, holed and nearly empty lattices, ids that don't follow the lattice; at the pole, the date line and on exact ties."""
     rng = np.random.default_rng(7)
     n_lat, n_lon, lat0, dlat, lon0, dlon = 12, 20, -89.0, 2.0, -171.0, 18.0
-    src = [(i * n_lon + j, i, j, lat0 + i * dlat, lon0 + j * dlon, float(rng.normal()))
-           for i in range(n_lat) for j in range(n_lon) if rng.uniform() > 0.15]
+    number = rng.permutation(n_lat * n_lon) if ids == "shuffled" else np.arange(n_lat * n_lon) + 5
+    src = [(int(number[i * n_lon + j]), i, j, lat0 + i * dlat, lon0 + j * dlon, float(rng.normal()))
+           for i in range(n_lat) for j in range(n_lon) if rng.uniform() <= kept]
     tgt = [(k, float(rng.uniform(-90, -65)), float(rng.uniform(-180, 180))) for k in range(150)]
+    tgt += [(200 + k, la, lo) for k, (la, lo) in enumerate((la, lo) for la in (-90.0, -89.99, -88.0, -70.0, -60.0) for lo in (-180.0, 179.999, 180.0, -171.0, 0.0, 171.0))]
     s = spark.createDataFrame(src, "src_id int, si int, sj int, lat double, lon double, v double")
     t = spark.createDataFrame(tgt, "dst_id int, lat double, lon double")
     got = {r.dst_id: r.src_id for r in regrid.nearest_regular(s, t, lat0, dlat, lon0, dlon, n_lat, n_lon).collect()}
@@ -64,6 +69,16 @@ def test_nearest_equals_brute_force_with_holes(spark):
         assert got[k] == src[best][0]
 
 
+def test_nearest_cell_needs_no_shuffle(spark):
+    src = spark.range(240).select(F.col("id").cast("int").alias("src_id"), (F.col("id") / 20).cast("int").alias("si"), (F.col("id") % 20).cast("int").alias("sj"))
+    src = src.select("*", (F.lit(-89.0) + F.col("si") * 2.0).alias("lat"), (F.lit(-171.0) + F.col("sj") * 18.0).alias("lon"), F.lit(1.0).alias("v"))
+    t = spark.range(500).select(F.col("id").alias("dst_id"), (F.lit(-90.0) + F.col("id") * 0.04).alias("lat"), (F.col("id") % 360 - 180).cast("double").alias("lon"))
+    axes = regrid.lattice_axes(src, -89.0, 2.0, -171.0, 18.0, 12, 20)
+    assert axes.full
+    plan = regrid.nearest_regular(src, t, -89.0, 2.0, -171.0, 18.0, 12, 20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 1 and "Generate" not in plan and "Python" not in plan
+
+
 def test_slope_equals_numpy_gradient_with_edge_padding(spark):
     rng = np.random.default_rng(3)
     ny, nx = 7, 9
