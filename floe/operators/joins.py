@@ -48,6 +48,27 @@ def broadcast_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
+def hot_keys(df: DataFrame, on: list[str], buckets: int) -> list[tuple]:
+    """Keys that hold more than one row in ``4 * buckets``: fewer than that many, found by one count with map-side combination."""
+    n = df.count()
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    return [tuple(r) for r in counts.where(F.col("_n") * (4 * buckets) > n).select(*on).collect()]
+
+
+def salted_sides(big: DataFrame, small: DataFrame, on: list[str], salt: Column, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``: rows of hot keys of ``big`` get ``salt``, and the small rows of these keys a copy for each; all others get 0."""
+    hot = hot_keys(big, on, buckets)
+    if not hot:
+        return big.withColumn("_salt", F.lit(0).cast("long")), small.withColumn("_salt", F.lit(0).cast("long"))
+    fields = T.StructType([big.schema[k] for k in on])
+    flagged = F.broadcast(big.sparkSession.createDataFrame(hot, fields).withColumn("_hot", F.lit(True)))  # 4 * buckets keys at most
+    every = F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))
+    none = F.lit(0).cast("long")
+    keyed = big.join(flagged, on, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(none)).drop("_hot")
+    copies = small.join(flagged, on, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(none)))).drop("_hot")
+    return keyed, copies
+
+
 def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
                max_bytes: int = DEFAULT_BROADCAST_BYTES,
                salt_by: list[str] | None = None,
@@ -55,10 +76,10 @@ def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left
     """Join ``big`` with a side that is usually small.
 
     * broadcast when the measured size of ``small`` is within ``max_bytes``;
-    * otherwise a salted shuffle join: ``big`` rows get a deterministic salt
-      from ``salt_by`` (e.g. the pixel key), ``small`` rows are replicated per
-      salt, so a key holding a third of all rows still spreads over
-      ``salt_buckets`` tasks. Rows of ``big`` with a null key cannot match;
+    * otherwise a shuffle join that is salted for hot keys only (``hot_keys``): their ``big``
+      rows get a deterministic salt from ``salt_by`` (e.g. the pixel key) and their
+      ``small`` rows a copy per salt, so a key holding a third of all rows spreads over
+      ``salt_buckets`` tasks, and no other small row is copied. Rows of ``big`` with a null key cannot match;
       they bypass the shuffle (left join) or are dropped (inner join).
     """
     if how not in ("left", "inner"):
@@ -68,8 +89,7 @@ def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     salt_cols = salt_by or [c for c in big.columns if c not in on][:2] or on
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salt_buckets))
-    keyed = big.where(~null_key).withColumn("_salt", salt)
-    rep = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
+    keyed, rep = salted_sides(big.where(~null_key), small, on, salt, salt_buckets)
     joined = keyed.join(rep, on + ["_salt"], how).drop("_salt")
     if how == "inner":
         return joined

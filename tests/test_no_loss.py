@@ -64,3 +64,27 @@ def test_long_table_keeps_columns_and_rows_without_a_time(spark):
     assert set(got) == {(0, 0, D1), (0, 0, None), (1, 0, None), (0, 0, D2)}
     assert got[0, 0, D1].delta_h_sigma == 0.1 and got[0, 0, D2].note == "x" and got[0, 0, D2].delta_h_sigma is None
     assert got[0, 0, D2].delta_h == 1.0 and got[1, 0, None].bed == 200.0 and got[0, 0, None].delta_h == 9.0
+
+
+def test_only_small_rows_of_hot_keys_are_copied(spark):
+    """A key with a third of all rows is salted; the other 600 small rows are sent once. Rows equal the plain join's."""
+    big = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 500 == 1, F.lit(None)).otherwise(F.col("id") % 600).cast("int").alias("k"), F.col("id").alias("row"))
+    small = spark.range(600).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
+    keyed = big.where("k IS NOT NULL")
+    assert joins.hot_keys(keyed, ["k"], 8) == [(7,)] and joins.hot_keys(small, ["k"], 8) == []
+    a, b = joins.salted_sides(keyed, small, ["k"], F.pmod(F.xxhash64("row"), F.lit(8)), 8)
+    assert b.count() == 599 + 8 and a.count() == keyed.count()
+    assert a.where("k = 7").select("_salt").distinct().count() == 8 and a.where("k <> 7 AND _salt <> 0").count() == 0
+    for how in ("left", "inner"):
+        got = joins.sized_join(big, small, ["k"], how, max_bytes=0, salt_by=["row"], salt_buckets=8)
+        want = big.join(small, ["k"], how)
+        assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    even = joins.sized_join(small, small.withColumnRenamed("v", "w"), ["k"], "left", max_bytes=0)
+    assert even.count() == 600 and even.where("v <> w").count() == 0
+
+
+def test_broadcasts_are_measured_in_bytes(spark):
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 10_000).alias("s"))
+    assert joins.measured_bytes(wide) >= 1_000_000 and not joins.fits_broadcast(wide, 900_000)
+    assert joins.measured_bytes(spark.range(100).select(F.sequence(F.lit(1), F.lit(1000)).alias("a"))) >= 400_000
+    assert joins.measured_bytes(wide.limit(0)) == 0
