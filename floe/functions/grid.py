@@ -86,3 +86,37 @@ def truncate_text(c, limit: int = 100) -> Column:
     """strings longer than ``limit`` become their first ``limit-3`` chars + '...'."""
     s = col(c)
     return F.when(F.length(s) > limit, F.concat(F.substring(s, 1, limit - 3), F.lit("..."))).otherwise(s)
+
+
+def dense_run(entries, first, size, fill: Column) -> Column:
+    """Array of ``size`` values: those of ``entries`` (structs ``p``, ``v``) at positions ``p - first``, ``fill`` where none is.
+
+    Linear after one sort: before each entry stand as many fills as positions are skipped, and the last gap
+    follows the last entry. A position held twice is an error when the plan runs.
+    """
+    run = F.array_sort(col(entries))
+    first, size = (F.lit(v) if isinstance(v, int) else v for v in (first, size))
+
+    def piece(cur, prev):
+        skipped = F.coalesce(cur["p"] - first, size) - F.coalesce(prev["p"] - first, F.lit(-1)) - 1
+        twice = F.raise_error(F.concat(F.lit("dense_run: a position is held twice: "), F.to_json(cur))).cast("int")
+        fills = F.array_repeat(fill, F.when(skipped < 0, twice).otherwise(skipped).cast("int"))
+        return F.when(cur.isNull(), fills).otherwise(F.concat(fills, F.array(cur["v"])))
+    before = F.concat(F.array(F.lit(None)), run)
+    return F.flatten(F.zip_with(run, before, piece))
+
+
+#: The shifts and masks that spread 32 bits over the even bits of 64.
+_SPREAD = [(16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)]
+
+
+def _spread_bits(c: Column) -> Column:
+    x = c.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+    for shift, mask in _SPREAD:
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
+def morton(iy="iy", ix="ix") -> Column:
+    """Place of a cell on the Z-order curve: cells near each other in both directions get near keys."""
+    return F.shiftleft(_spread_bits(col(iy)), 1).bitwiseOR(_spread_bits(col(ix)))

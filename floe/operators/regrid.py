@@ -8,9 +8,11 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from floe.functions.grid import dense_run
 from floe.functions.proj import unit_vector
-from floe.operators.joins import sized_join
+from floe.operators.joins import DEFAULT_SALT_BUCKETS, salted_sides, sized_join
 from floe.session import materialize
 
 _CORNERS = [(0, 0), (0, 1), (1, 0), (1, 1)]  # (dy, dx)
@@ -93,14 +95,20 @@ def bilinear_weights(targets: DataFrame, dst: str, fy: str, fx: str, node_id) ->
                     F.col("p.w").alias("w"))
 
 
-def apply_weights(src: DataFrame, weights: DataFrame, value: str = "v", by=()) -> DataFrame:
+#: Consecutive source ids of one block of the sparse matrix product.
+SOURCE_BLOCK = 4096
+
+
+def apply_weights(src: DataFrame, weights: DataFrame, value: str = "v", by=(), block: int = SOURCE_BLOCK) -> DataFrame:
     """Sparse matrix product ``sum(w * v)`` per destination (and per ``by`` that the sources hold, e.g. time).
 
     Every destination has a row for every ``by``; it is null when any of its
-    weighted sources is missing or null. Hot sources (one coarse cell feeding
-    many targets) are split by ``sized_join`` (broadcast within its budget,
-    salted by destination beyond) or by AQE.
+    weighted sources is missing or null. Without ``by``, hot sources (one coarse cell feeding
+    many targets) are spread by ``sized_join`` (broadcast within its budget, salted by destination
+    beyond). With ``by``, the product is blocked: see ``_blocked_product``.
     """
+    if by and isinstance(src.schema["src_id"].dataType, T.IntegralType):
+        return _blocked_product(src, weights, value, list(by), block)
     n_w = weights.groupBy("dst_id").agg(F.count(F.lit(1)).alias("_n_w"))
     if by:
         # the steps as one value: an array as long as the time axis
@@ -117,6 +125,39 @@ def apply_weights(src: DataFrame, weights: DataFrame, value: str = "v", by=()) -
             .select(*[F.col(f"t.{k}").alias(k) for k in keys], F.when(F.col("_n") == F.col("_n_w"), F.col("_s")).alias(value)))
 
 
+def _blocked_product(src: DataFrame, weights: DataFrame, value: str, by: list[str], block: int) -> DataFrame:
+    """J13 for many steps: weights and sources are partitioned alike, by blocks of consecutive source ids.
+
+    * Sources become one array per (block, step), so a shuffled source row is a block's step, not a cell's.
+      Blocks without a source at a step get an empty one, which makes the sums there null.
+    * A weight is shuffled once, not once per step. Its products are summed in the task of the join, and one
+      partial sum per destination, step and block goes on: the only shuffle that grows with the steps.
+    * A block with more weights than its share (a hot source) is cut by destination into 64 parts, and only such
+      blocks' arrays are copied (``salted_sides``).
+
+    A source id held twice at a step is an error. Ids should be numbered along the grid (rows of a lattice do):
+    an array is as long as the span of the ids in its block.
+    """
+    place = F.expr(f"pmod(src_id, {block})").cast("int")
+    number = F.expr(f"(src_id - pmod(src_id, {block})) div {block}")
+    w = weights.select("dst_id", "w", F.coalesce(number, F.lit(0)).alias("_block"), place.alias("_place"))
+    steps = src.agg(F.collect_set(F.struct(*by)).alias("_steps")).scalar()  # an array as long as the time axis
+    cells = src.where(F.col("src_id").isNotNull()).select(
+        number.alias("_block"), *by, F.struct(place.alias("p"), F.col(value).cast("double").alias("v")).alias("_e"))
+    empty = (w.select("_block").distinct().select("_block", F.explode(steps).alias("_by"))
+             .select("_block", "_by.*", F.lit(None).cast(cells.schema["_e"].dataType).alias("_e")))
+    span = F.col("_last") - F.col("_first") + 1
+    arrays = (cells.unionByName(empty).groupBy("_block", *by)
+              .agg(F.collect_list("_e").alias("_es"), F.min("_e.p").alias("_first"), F.max("_e.p").alias("_last"))
+              .select("_block", *by, "_first", dense_run("_es", F.col("_first"), span, F.lit(None).cast("double")).alias("_values")))
+    salt = F.pmod(F.xxhash64("dst_id"), F.lit(DEFAULT_SALT_BUCKETS))
+    w, arrays = salted_sides(w, arrays, ["_block"], salt, DEFAULT_SALT_BUCKETS)
+    v = F.get(F.col("_values"), F.col("_place") - F.col("_first"))
+    products = w.join(arrays, ["_block", "_salt"]).select("dst_id", *by, "w", v.alias("_v"))
+    sums = products.groupBy("dst_id", *by).agg(F.sum(F.col("w") * F.col("_v")).alias("_s"), F.count("_v").alias("_n"), F.count(F.lit(1)).alias("_n_w"))
+    return sums.select("dst_id", *by, F.when(F.col("_n") == F.col("_n_w"), F.col("_s")).alias(value))
+
+
 # ----------------------------------------------------------- nearest (J11) ---
 
 def _chord2(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column]) -> Column:

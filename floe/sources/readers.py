@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floe.functions.grid import Grid, nan_to_null
+from floe.functions.grid import Grid, dense_run, nan_to_null
 from floe.functions.timefn import nanos_to_timestamp
 
 
@@ -52,16 +52,19 @@ def cube_to_long(chunks: DataFrame, value: str = "v") -> DataFrame:
 
 
 def long_to_cube(df: DataFrame, value: str, chunk: int, keys=("iy", "ix"), extra=()) -> DataFrame:
-    """Inverse of S3 (used to build test inputs): dense ``chunk x chunk`` arrays, NaN where absent."""
+    """Inverse of S3 (chunk rows of a flat table): dense ``chunk x chunk`` arrays, NaN where absent or null.
+
+    One shuffle by chunk; a chunk's cells are sorted by position and its gaps filled in linear time
+    (``dense_run``). A cell held twice is an error.
+    """
     iy, ix = keys
     y0 = (F.floor(F.col(iy) / chunk) * chunk).cast("int")
     x0 = (F.floor(F.col(ix) / chunk) * chunk).cast("int")
     pos = ((F.col(iy) - y0) * chunk + (F.col(ix) - x0)).cast("int")
-    g = df.select(*extra, y0.alias("y0"), x0.alias("x0"), F.struct(pos.alias("p"), F.col(value).cast("double").alias("v")).alias("e"))
-    agg = g.groupBy(*extra, "y0", "x0").agg(F.map_from_entries(F.collect_list("e")).alias("m"))
-    vals = F.transform(F.sequence(F.lit(0), F.lit(chunk * chunk - 1)),
-                       lambda p: F.coalesce(F.element_at(F.col("m"), p), F.lit(float("nan"))))
-    return agg.select(*extra, "y0", "x0", F.lit(chunk).alias("ny"), F.lit(chunk).alias("nx"), vals.alias("values"))
+    nan = F.lit(float("nan"))
+    cell = F.struct(pos.alias("p"), F.coalesce(F.col(value).cast("double"), nan).alias("v"))
+    g = df.select(*extra, y0.alias("y0"), x0.alias("x0"), cell.alias("e")).groupBy(*extra, "y0", "x0").agg(F.collect_list("e").alias("es"))
+    return g.select(*extra, "y0", "x0", F.lit(chunk).alias("ny"), F.lit(chunk).alias("nx"), dense_run("es", 0, chunk * chunk, nan).alias("values"))
 
 
 def read_products(spark: SparkSession, config: dict[str, dict[str, str]], reader=None) -> dict[str, DataFrame]:
