@@ -141,8 +141,8 @@ def k8_column_metadata(spark, d):
     writers.write_layout(writers.with_metadata(o, meta), p, keys=("time",))
     back = _read(spark, p)
     rows = writers.metadata_report(back)
-    counts = back.agg(*[F.count(c).alias(c) for c, _ in rows]).first().asDict()
-    return spark.createDataFrame([(c, u, int(counts[c])) for c, u in rows], "column_name string, unit string, n long")
+    each = [F.struct(F.lit(c).alias("column_name"), F.lit(u).cast("string").alias("unit"), F.count(c).alias("n")) for c, u in rows]
+    return back.agg(F.array(*each).alias("r")).select(F.inline("r"))
 
 
 @query("k9_narrow_floats", W("fx_ocean") + """
@@ -165,7 +165,7 @@ def k10_timestamp_micros(spark, d):
 @query("k11_chunk_layout", W("fx_icesat") + "SELECT * FROM fx_icesat")
 def k11_chunk_layout(spark, d):
     p = scratch_path(spark, "k11")
-    writers.write_layout(fx.fx_icesat(spark, d), p, keys=("time",), tile=16)
+    writers.write_layout(fx.fx_icesat(spark, d), p, keys=("time",))
     return _read(spark, p)
 
 

@@ -1,8 +1,7 @@
 """Sinks (K1-K11): distributed parquet writes with an explicit layout.
 
-Preferred layout for gridded long tables: range-partitioned by (time, tile)
-and sorted inside each file by (time, iy, ix), so row-group statistics prune
-pixel and time filters; time-step folders (``partitionBy``) give per-step
+Preferred layout for gridded long tables: range-partitioned and sorted by time and
+place on the Z-order curve, so row-group statistics prune boxes and time filters; time-step folders (``partitionBy``) give per-step
 files without any driver loop.
 """
 
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floe.functions.grid import tile_of
+from floe.functions.grid import morton, tile_of
 
 
 def _writer(df: DataFrame, mode: str, compression: str = "zstd", partition_by=None, dynamic: bool = False):
@@ -32,21 +31,24 @@ def write_even(df: DataFrame, path: str, files: int, mode: str = "overwrite") ->
 
 
 def with_tiles(df: DataFrame, tile: int = 2048) -> DataFrame:
-    """Tile keys of a pixel (K4/K11 layout)."""
+    """Tile keys of a pixel (K4 layout)."""
     return df.withColumns({"tile_y": tile_of("iy", tile), "tile_x": tile_of("ix", tile)})
 
 
-def write_layout(df: DataFrame, path: str, keys=("time",), tile: int = 2048, mode: str = "overwrite",
-                 partitions: int | None = None) -> None:
-    """Range-partition by (keys, tile, pixel) and sort within files by (keys, iy, ix).
+def write_layout(df: DataFrame, path: str, keys=("time",), mode: str = "overwrite",
+                 partitions: int | None = None, row_group_bytes: int | None = None) -> None:
+    """Range-partition and sort by (keys, place on the Z-order curve).
 
-    The pixel in the range key lets a (step, tile) of any size spread over several files.
+    The pixel in the range key lets a step of any size spread over several files. A row group holds a compact
+    patch of cells, so its statistics of ``iy`` and ``ix`` prune boxes in both directions.
     """
-    d = with_tiles(df, tile)
-    order = [*keys, "tile_y", "tile_x", "iy", "ix"]
+    order = [*[F.col(k) for k in keys], F.col("_z")]
+    d = df.withColumn("_z", morton("iy", "ix"))
     d = d.repartitionByRange(partitions, *order) if partitions else d.repartitionByRange(*order)
-    d = d.sortWithinPartitions(*keys, "iy", "ix").drop("tile_y", "tile_x")
-    _writer(d, mode).parquet(path)
+    w = _writer(d.sortWithinPartitions(*order).drop("_z"), mode)
+    if row_group_bytes:
+        w = w.option("parquet.block.size", row_group_bytes)
+    w.parquet(path)
 
 
 def spread_steps(df: DataFrame, keys) -> DataFrame:
