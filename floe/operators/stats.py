@@ -172,24 +172,63 @@ def extents(df: DataFrame, by: str, res: float, x: str = "x", y: str = "y") -> D
             .withColumns({"left": F.col("x_min") - h, "right": F.col("x_max") + h, "bottom": F.col("y_min") - h, "top": F.col("y_max") + h}))
 
 
+def _sides(a: DataFrame, b: DataFrame, by: str) -> tuple[Column, Column, Column]:
+    """Common width and height of boxes ``a`` and ``b`` (negative: the gap), and whether ``a`` comes first by its lower edge."""
+    dx = F.least("a_x_max", "b_x_max") - F.greatest("a_x_min", "b_x_min")
+    dy = F.least("a_y_max", "b_y_max") - F.greatest("a_y_min", "b_y_min")
+    return dx, dy, F.struct(F.col("a_y_min"), F.col(f"a_{by}")) < F.struct(F.col("b_y_min"), F.col(f"b_{by}"))
+
+
+def _named(df: DataFrame, side: str, cols: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{side}_{c}") for c in cols], *[c for c in df.columns if c not in cols])
+
+
 def tile_pairs(ext: DataFrame, by: str) -> DataFrame:
-    """J10 + O2: overlap / gap between tile boxes, pairs (i < j) in order of the lower edge.
+    """J10 + O2: overlap or gap of every two tile boxes, pairs in order of the lower edge.
 
-    The extent table has one row per tile (a handful), so the theta join runs as
-    a broadcast nested loop over a table whose size is the number of tiles.
+    A row for every pair is the result, so it is for as many tiles as can be looked at (a broadcast nested
+    loop over the extents, after a check of their size). ``overlapping_pairs`` finds the overlaps among many.
     """
-    w = Window.orderBy("y_min", by)
-    r = ext.withColumn("rank", F.row_number().over(w))
-    a = r.select(*[F.col(c).alias(f"a_{c}") for c in r.columns])
-    b = r.select(*[F.col(c).alias(f"b_{c}") for c in r.columns])
-    p = a.join(broadcast_checked(b), F.col("a_rank") < F.col("b_rank"))
-    dx = F.least("a_x_max", "b_x_max") - F.greatest("a_x_min", "b_x_min")
-    dy = F.least("a_y_max", "b_y_max") - F.greatest("a_y_min", "b_y_min")
-    return p.select(F.col(f"a_{by}").alias("tile_a"), F.col(f"b_{by}").alias("tile_b"),
-                    dx.alias("dx"), dy.alias("dy"),
-                    ((dx > 0) & (dy > 0)).alias("overlap"),
-                    F.when((dx > 0) & (dy > 0), F.floor(dx / 1000).cast("long")).alias("overlap_cells_x"),
-                    F.when((dx > 0) & (dy > 0), F.floor(dx / 1000 * (dy / 1000)).cast("long")).alias("overlap_area_km2"))
+    a, b = (_named(ext, side, ext.columns) for side in "ab")
+    dx, dy, first = _sides(a, b, by)
+    p = a.join(broadcast_checked(b), first)
+    both = (dx > 0) & (dy > 0)
+    return p.select(F.col(f"a_{by}").alias("tile_a"), F.col(f"b_{by}").alias("tile_b"), dx.alias("dx"), dy.alias("dy"), both.alias("overlap"),
+                    F.when(both, F.floor(dx / 1000).cast("long")).alias("overlap_cells_x"),
+                    F.when(both, F.floor(dx / 1000 * (dy / 1000)).cast("long")).alias("overlap_area_km2"))
+
+
+def overlapping_pairs(ext: DataFrame, by: str) -> DataFrame:
+    """J10 for any number of boxes: only the pairs that overlap, found by an equi-join on grid cells.
+
+    * A box belongs to the level whose cells (2^level wide) are at least as large as it, so it touches at most
+      3 x 3 of them, whatever the mix of sizes. It is looked for in its own level and all coarser ones that occur.
+    * A pair meets in the level of its larger box, and only the cell that holds the lower corner of the
+      common area reports it: every pair once, without a distinct.
+    * Boxes without width or height overlap nothing; nor do those with null bounds.
+    """
+    cols = [by, "x_min", "x_max", "y_min", "y_max", "_level"]
+    size = F.greatest(F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min"))
+    boxes = (ext.where((F.col("x_max") > F.col("x_min")) & (F.col("y_max") > F.col("y_min")))
+             .withColumn("_level", F.ceil(F.log2(size)).cast("int")).select(*cols))
+    levels = boxes.agg(F.collect_set("_level")).scalar()  # one number per binary order of magnitude
+
+    def cells(df):
+        s = F.pow(F.lit(2.0), F.col("_l"))
+        for axis in "xy":
+            df = df.withColumn(f"_c{axis}", F.explode(F.sequence(F.floor(F.col(f"{axis}_min") / s), F.floor(F.col(f"{axis}_max") / s))))
+        return df
+    home = cells(boxes.withColumn("_l", F.col("_level")))
+    probe = cells(boxes.withColumn("_l", F.explode(levels)).where(F.col("_l") >= F.col("_level")))
+    a, b = _named(probe, "a", cols), _named(home, "b", cols)
+    dx, dy, first = _sides(a, b, by)
+    s = F.pow(F.lit(2.0), F.col("_l"))
+    owner = [F.floor(F.greatest(f"a_{v}_min", f"b_{v}_min") / s) == F.col(f"_c{v}") for v in "xy"]
+    met = (a.join(b, ["_l", "_cx", "_cy"]).where((dx > 0) & (dy > 0) & owner[0] & owner[1])
+           .where((F.col("a__level") < F.col("b__level")) | first))
+    one, two = F.col(f"a_{by}"), F.col(f"b_{by}")
+    return met.select(F.when(first, one).otherwise(two).alias("tile_a"), F.when(first, two).otherwise(one).alias("tile_b"), dx.alias("dx"), dy.alias("dy"),
+                      F.floor(dx / 1000).cast("long").alias("overlap_cells_x"), F.floor(dx / 1000 * (dy / 1000)).cast("long").alias("overlap_area_km2"))
 
 
 def successor_violations(df: DataFrame, pos: str, value: str, increasing: bool = True) -> DataFrame:

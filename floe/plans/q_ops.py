@@ -259,6 +259,23 @@ def j10_tile_pairs(spark, d):
     return stats.tile_pairs(ext, "tile_order")
 
 
+_BOX = """CAST(tile_order * 100000 + year(time) * 4 + quarter(time) AS BIGINT)"""
+
+
+@query("j10_overlapping_boxes", W("fx_tiles") + f"""
+, t AS (SELECT {_BOX} AS box, {XY} FROM fx_tiles),
+ext AS (SELECT box, MIN(x) AS x_min, MAX(x) AS x_max, MIN(y) AS y_min, MAX(y) AS y_max FROM t GROUP BY box),
+p AS (SELECT a.box AS tile_a, b.box AS tile_b, LEAST(a.x_max, b.x_max) - GREATEST(a.x_min, b.x_min) AS dx,
+             LEAST(a.y_max, b.y_max) - GREATEST(a.y_min, b.y_min) AS dy
+      FROM ext a JOIN ext b ON a.y_min < b.y_min OR (a.y_min = b.y_min AND a.box < b.box))
+SELECT tile_a, tile_b, dx, dy, CAST(floor(dx / 1000) AS BIGINT) AS overlap_cells_x,
+       CAST(floor(dx / 1000 * (dy / 1000)) AS BIGINT) AS overlap_area_km2 FROM p WHERE dx > 0 AND dy > 0""")
+def j10_overlapping_boxes(spark, d):
+    """J10 among many boxes, one per tile and step: overlaps found by a join on grid cells."""
+    boxes = _xy(fx.fx_tiles(spark, d)).withColumn("box", F.expr(_BOX))
+    return stats.overlapping_pairs(stats.extents(boxes, "box", 500.0), "box")
+
+
 _GAPS = """
 WITH t AS (SELECT DISTINCT ts AS t FROM events WHERE ts IS NOT NULL),
 g AS (SELECT LAG(t) OVER (ORDER BY t) AS prev_ts, t AS ts FROM t)
