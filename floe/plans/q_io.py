@@ -15,7 +15,7 @@ from floe.session import scratch_path
 from floe.sinks import writers
 from floe.sources import fixtures as fx
 from floe.sources import readers
-from floe.streaming import incremental
+from floe.streaming import incremental, versioned
 
 W = fx.ctes
 
@@ -186,6 +186,25 @@ def t1_incremental_load(spark, d):
     return readers.read_steps(spark, target, _ICESAT_SCHEMA)
 
 
+@query("t1_versioned_load", W("fx_icesat") + """
+SELECT ix, iy, CASE WHEN time = (SELECT MAX(time) FROM fx_icesat) THEN delta_h + 1 ELSE delta_h END AS delta_h,
+       delta_h_sigma, ice_area, time FROM fx_icesat""")
+def t1_versioned_load(spark, d):
+    """T1 as deltas behind a manifest: two loads of three drops, the steps that both hold compacted, the newest version read."""
+    inbox, target, ckpt = (scratch_path(spark, n) for n in ("t1v-in", "t1v-out", "t1v-ckpt"))
+    a = fx.fx_icesat(spark, d)
+    cut = F.lit("1998-01-01").cast("date")
+    last = a.agg(F.max("time")).first()[0]
+    a.where(F.col("time") < cut).write.parquet(f"{inbox}/drop1")
+    a.where(F.col("time") == F.lit(last)).write.parquet(f"{inbox}/drop2")
+    versioned.load_versioned(spark, inbox, _ICESAT_SCHEMA, target, ckpt)
+    a.where((F.col("time") >= cut) & (F.col("time") < F.lit(last))).write.parquet(f"{inbox}/drop3")
+    a.where(F.col("time") == F.lit(last)).withColumn("delta_h", F.col("delta_h") + 1).write.parquet(f"{inbox}/drop4")
+    versioned.load_versioned(spark, inbox, _ICESAT_SCHEMA, target, ckpt)
+    versioned.compact(spark, target, _ICESAT_SCHEMA, deltas=1)
+    return versioned.read_versioned(spark, target, _ICESAT_SCHEMA)
+
+
 @query("s4_grouped_product_read", W("fx_tiles") + """
 SELECT iy, ix, time, delta_h, delta_h_sigma, 'A' || CAST(tile_order + 1 AS VARCHAR) AS tile_id FROM fx_tiles""")
 def s4_grouped_product_read(spark, d):
