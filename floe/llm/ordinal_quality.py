@@ -2,10 +2,11 @@
 
 P(grade >= k) = sigmoid(score - threshold_k): one set of hashed-text weights is shared by all grades and the
 thresholds are ordered (the first plus positive gaps). Features of a text are the presence of its
-words, hashed, and the relative frequencies of its adjacent byte pairs.
+words and of their beginnings, hashed, and the relative frequencies of its adjacent byte pairs.
 
 The model is fitted on a bounded sample of rated rows (``max_train``, those whose ids hash lowest)
-by full-batch Adam on the driver; every document is then scored in one pass over its whole text.
+by full-batch Adam on the driver, which receives the features that the tasks made, never texts; every document is then
+scored in one pass over its whole text.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from floe.llm.common import fresh, plus, unused, utf8
 
 WORD_BUCKETS = 1 << 17
-#: Bytes of a word's beginning that make a feature.
+#: Bytes of a word's beginning that make a feature beside the whole word.
 STEMS = (4, 5, 6)
 #: Frequencies are scaled so that their weights are of the size of the word weights.
 PAIR_SCALE = 50.0
@@ -42,7 +43,7 @@ _LETTERS = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 
 def word_buckets(text: bytes) -> np.ndarray:
-    """Sorted hashed ids of the distinct beginnings of words, of ``STEMS`` bytes each.
+    """Sorted hashed ids of the distinct words, of any length, and of their beginnings of ``STEMS`` bytes.
 
     Words are runs of ASCII letters and digits (lower-cased) and non-ASCII bytes.
     """
@@ -50,8 +51,8 @@ def word_buckets(text: bytes) -> np.ndarray:
         words = {m[0] for m in _LETTERS.finditer(text.lower())}
     else:
         words = set(_LETTERS.findall(text.lower()))
-    stems = {w[:k] for k in STEMS for w in words if len(w) >= k}
-    return np.unique(np.fromiter((zlib.crc32(w) % WORD_BUCKETS for w in stems), np.int64, len(stems)))
+    words |= {w[:k] for k in STEMS for w in words if len(w) > k}
+    return np.unique(np.fromiter((zlib.crc32(w) % WORD_BUCKETS for w in words), np.int64, len(words)))
 
 
 def _pairs(text: bytes):
@@ -86,12 +87,19 @@ def _pair_counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return p, PAIR_SCALE * c / max(len(text) - 1, 1)
 
 
-def _associated_pairs(texts: list[bytes], grades: np.ndarray, min_z: float) -> np.ndarray:
+#: Word buckets, byte pairs and their scaled frequencies of a text: at most 131,072 and 65,536 numbers, however long it is.
+Features = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def features(text: bytes) -> Features:
+    return (word_buckets(text), *_pair_counts(text))
+
+
+def _associated_pairs(rows: list[Features], grades: np.ndarray, min_z: float) -> np.ndarray:
     """Byte pairs whose correlation with the grade is beyond ``min_z`` standard errors in the sample."""
     n, g = len(grades), grades - grades.mean()
     s1, s2, sg = np.zeros((3, 65536))
-    for t, x in zip(texts, g):
-        p, v = _pair_counts(t)
+    for (_, p, v), x in zip(rows, g):
         s1[p] += v
         s2[p] += v * v
         sg[p] += v * x
@@ -99,16 +107,14 @@ def _associated_pairs(texts: list[bytes], grades: np.ndarray, min_z: float) -> n
     return np.abs(sg) * np.sqrt(n) > min_z * np.maximum(spread, 1e-9)
 
 
-def _design(texts: list[bytes], pairs: np.ndarray):
+def _design(rows: list[Features], pairs: np.ndarray):
     """Rows of (feature, value) as flat arrays with row starts; the byte pairs in use come after the word buckets."""
     idx, val, ptr = [], [], [0]
-    for t in texts:
-        w = word_buckets(t)
-        p, c = _pair_counts(t)
-        p, c = p[pairs[p]], c[pairs[p]]
-        idx.append(np.concatenate([w, p + WORD_BUCKETS]).astype(np.int32))
-        val.append(np.concatenate([np.ones(len(w)), c]).astype(np.float32))
-        ptr.append(ptr[-1] + len(w) + len(p))
+    for w, p, c in rows:
+        used = pairs[p]
+        idx.append(np.concatenate([w, p[used] + WORD_BUCKETS]).astype(np.int32))
+        val.append(np.concatenate([np.ones(len(w)), c[used]]).astype(np.float32))
+        ptr.append(ptr[-1] + len(idx[-1]))
     return np.concatenate(idx), np.concatenate(val), np.array(ptr)
 
 
@@ -131,11 +137,16 @@ def _odds(idx: np.ndarray, row: np.ndarray, grades: np.ndarray, n_grades: int, d
     return out
 
 
-def fit(texts: list[bytes], grades: np.ndarray, n_grades: int, *, steps: int = 150, rate: float = 0.1,
-        l2: float = 1e-4, min_z: float = MIN_Z) -> OrdinalModel:
+def fit(texts: list[bytes], grades: np.ndarray, n_grades: int, **options) -> OrdinalModel:
+    """``fit_features`` on the features of ``texts``."""
+    return fit_features([features(t) for t in texts], grades, n_grades, **options)
+
+
+def fit_features(rows: list[Features], grades: np.ndarray, n_grades: int, *, steps: int = 150, rate: float = 0.1,
+                 l2: float = 1e-4, min_z: float = MIN_Z) -> OrdinalModel:
     """Full-batch Adam on the mean negative log-likelihood; deterministic."""
-    idx, val, ptr = _design(texts, _associated_pairs(texts, grades, min_z))
-    d, n = WORD_BUCKETS + 65536, len(texts)
+    idx, val, ptr = _design(rows, _associated_pairs(rows, grades, min_z))
+    d, n = WORD_BUCKETS + 65536, len(rows)
     row = np.repeat(np.arange(n, dtype=np.int32), np.diff(ptr))
     scale = _odds(idx, row, grades, n_grades, d)
     val *= scale[idx].astype(np.float32)
@@ -174,9 +185,10 @@ def fit(texts: list[bytes], grades: np.ndarray, n_grades: int, *, steps: int = 1
 
 
 def graded_sample(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                  grade_col: str = "grade", max_train: int = MAX_TRAIN) -> list[tuple[bytes, int]]:
-    """At most ``max_train`` (text, grade) pairs: the rated ids that hash lowest, in that order.
+                  grade_col: str = "grade", max_train: int = MAX_TRAIN) -> list[tuple[Features, int]]:
+    """At most ``max_train`` (features, grade) pairs: the rated ids that hash lowest, in that order.
 
+    Features are made where the texts are, so the driver receives a bounded number of values per row.
     Ids rated more than once take their lowest grade; rows without id, grade or text are left out.
     """
     by_hash = F.xxhash64("id")
@@ -184,9 +196,18 @@ def graded_sample(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id"
              .groupBy("id").agg(F.min("grade").alias("grade")).orderBy(by_hash, "id").limit(max_train))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).dropna()
     # the rated side is bounded by max_train rows of two numbers
-    rows = texts.join(F.broadcast(rated), "id").select(by_hash.alias("h"), "id", "text", "grade")
-    rows = rows.orderBy("h", "id", F.xxhash64("text")).limit(max_train).select("text", "grade").toArrow()
-    return list(zip(rows.column("text").to_pylist(), rows.column("grade").to_pylist()))
+    rows = texts.join(F.broadcast(rated), "id").select(by_hash.alias("h"), "id", F.xxhash64("text").alias("t"), "grade", "text")
+
+    def make(batches):
+        for b in batches:
+            made = [features(t) for t in utf8(b.column("text"))]
+            lists = [pa.array([m[i] for m in made], pa.list_(t)) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("h", "id", "t", "grade")), *lists], names=[*names, "words", "pairs", "freqs"])
+    names = ["h", "id", "t", "grade"]
+    schema = plus(rows.drop("text").schema, "words array<long>, pairs array<long>, freqs array<double>")
+    found = rows.mapInArrow(make, schema).orderBy("h", "id", "t").limit(max_train).select("grade", "words", "pairs", "freqs").toArrow()
+    columns = [[v.values.to_numpy() for v in found.column(c)] for c in ("words", "pairs", "freqs")]
+    return list(zip(zip(*columns), found.column("grade").to_pylist()))
 
 
 def score_documents(docs: DataFrame, model: OrdinalModel, *, text_col: str = "text", out_col: str = "quality") -> DataFrame:
@@ -226,5 +247,5 @@ def rate_documents(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id
     if len(set(grades.tolist())) < 2:
         model = OrdinalModel(np.zeros(WORD_BUCKETS), np.zeros(65536), np.full(n_grades - 1, -60.0))
     else:
-        model = fit([t for t, _ in sample], grades, n_grades)
+        model = fit_features([f for f, _ in sample], grades, n_grades)
     return score_documents(docs, model, text_col=text_col)

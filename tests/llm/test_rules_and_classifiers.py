@@ -1,4 +1,5 @@
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -102,6 +103,61 @@ def test_rules_messy(spark, messy, empty):
     assert quality_rules.judge_documents(empty, messy).count() == 0
 
 
+def brute_features(text):
+    """Word buckets, byte pairs and their scaled frequencies, counted one by one."""
+    words = set(re.findall(rb"[a-z0-9\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: bytes([m[0][0] + 32]), text)))
+    heads = {w[:k] for w in words for k in (4, 5, 6, len(w)) if len(w) >= k}
+    pairs = Counter(zip(text, text[1:]))
+    keys = sorted(pairs)
+    return (np.array(sorted({zlib.crc32(w) % 131072 for w in heads}), np.int64), np.array([256 * a + b for a, b in keys], np.int64),
+            np.array([50.0 * pairs[k] / (len(text) - 1) for k in keys]))
+
+
+def test_ordinal_features_and_scores_equal_brute_force():
+    """Short words count, words that differ after byte 6 are different ones; texts over a piece of 1 MB."""
+    rng = np.random.default_rng(4)
+    m = ordinal_quality.OrdinalModel(rng.normal(size=131072), rng.normal(size=65536), np.array([0.0, 1.0]))
+    long = b"".join(rng.choice([b"Ab ", b"trailers ", b"trailing\n", b"\xc3\xa9\xc3\xa9 ", b"x"], 400_000).tolist())
+    assert len(long) > 2 * ordinal_quality._PIECE
+    for t in (b"", b"a", b"A b\tab", b"no go", "Ünïcode wörds 12".encode(), b"abcdefg abcdefh ABCDEFG", long):
+        want, got = brute_features(t), ordinal_quality.features(t)
+        assert all(np.array_equal(a, b) for a, b in zip(want[:2], got)) and np.allclose(want[2], got[2])
+        assert m.score(t) == pytest.approx(m.words[want[0]].sum() + (m.pairs[want[1]] * want[2]).sum(), abs=1e-6)
+    one, other = (set(ordinal_quality.word_buckets(w).tolist()) for w in (b"abcdefg", b"abcdefh"))
+    assert one != other and len(one & other) == 3 and len(ordinal_quality.word_buckets(b"no")) == 1
+
+
+def test_ordinal_fit_is_a_minimum_of_the_likelihood():
+    """The negative log-likelihood, written out here, has next to no slope at the fitted weights and thresholds."""
+    rng = np.random.default_rng(2)
+    vocabulary = ["alpha", "be", "gamma", "deltas", "epsilon", "zeta", "eta"]
+    texts, grades = [], []
+    for _ in range(400):
+        grades.append(int(rng.integers(3)))
+        texts.append(" ".join(rng.choice(vocabulary, 6, p=np.roll([.3, .2, .1, .1, .1, .1, .1], grades[-1]))).encode())
+    grades = np.array(grades)
+    start, end = (ordinal_quality.fit(texts, grades, 3, steps=n, l2=0.0, min_z=1e9) for n in (1, 2000))
+    buckets = sorted({b for t in texts for b in brute_features(t)[0]})
+    present = np.array([np.isin(buckets, brute_features(t)[0]) for t in texts], float)
+    low = present[grades < 2].sum(axis=0)
+    base = np.mean(grades < 2)
+    odds = np.log((low + 10 * base) / (present.sum(axis=0) - low + 10 * (1 - base))) - np.log(base / (1 - base))
+
+    def loss(weights, cut):
+        up = 1 / (1 + np.exp(cut - (present @ weights)[:, None]))
+        full = np.hstack([np.ones((400, 1)), up, np.zeros((400, 1))])
+        return -np.log(full[np.arange(400), grades] - full[np.arange(400), grades + 1]).mean()
+
+    def slopes(model):
+        at = np.concatenate([model.words[buckets], model.thresholds])
+        d = len(buckets)
+        bumps = 1e-4 * np.eye(d + 2)
+        each = np.array([(loss((at + x)[:d], (at + x)[d:]) - loss((at - x)[:d], (at - x)[d:])) / 2e-4 for x in bumps])
+        return np.abs(each * np.concatenate([odds ** 2 / 2, np.ones(2)])).max()    # words are scaled by their odds
+    assert loss(end.words[buckets], end.thresholds) < loss(start.words[buckets], start.thresholds) - 0.02
+    assert slopes(end) < 2e-4 < slopes(start)
+
+
 def test_ordinal_thresholds_and_tails():
     texts = [("good " * (i % 7 + 1) + f"text number {i}").encode() if i % 3 == 2 else (b"idiot " if i % 3 == 0 else b"!! ## ") * (i % 5 + 1) for i in range(300)]
     grades = np.array([0 if i % 3 == 0 else 1 if i % 3 == 1 else 2 for i in range(300)])
@@ -128,7 +184,9 @@ def test_held_out_quality(spark):
 def test_ordinal_messy(spark, messy, empty):
     ratings = spark.createDataFrame([(1, 2), (1, 0), (7, 2), (8, 1), (None, 1), (5, None), (2, 1), (10, 0)], "doc_id long, grade int")
     sample = ordinal_quality.graded_sample(messy, ratings)
-    assert sorted(sample) == sorted([(t.encode(), g) for t, g in [(r.text, {1: 0, 7: 2, 8: 1, 10: 0}.get(r.doc_id)) for r in messy.collect()] if g is not None])
+    flat = lambda f, g: (*(tuple(x.tolist()) for x in f), g)
+    want = [(r.text, {1: 0, 7: 2, 8: 1, 10: 0}.get(r.doc_id)) for r in messy.collect()]
+    assert sorted(flat(f, g) for f, g in sample) == sorted(flat(brute_features(t.encode()), g) for t, g in want if g is not None)
     got = ordinal_quality.rate_documents(messy, ratings).collect()
     assert len(got) == messy.count() and all(r.quality.score == 0 for r in got if not r.text)
     assert all(0 <= r.quality.tail <= r.quality.expected_grade <= 2 and r._text == "own _text" for r in got)
