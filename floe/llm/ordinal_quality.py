@@ -81,25 +81,30 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(-np.clip(scores[:, None] - self.thresholds[None, :], -60, 60)))
 
 
-def _pair_counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Byte pairs of a text and their scaled relative frequencies."""
-    p, c = np.unique(np.concatenate([np.empty(0, np.int64), *_pairs(text)]), return_counts=True)
-    return p, PAIR_SCALE * c / max(len(text) - 1, 1)
-
-
-#: Word buckets, byte pairs and their scaled frequencies of a text: at most 131,072 and 65,536 numbers, however long it is.
+#: Word buckets, byte pairs and their counts in a text: at most 131,072 and 65,536 numbers, however long it is.
 Features = tuple[np.ndarray, np.ndarray, np.ndarray]
+_PACKED = (np.int32, np.uint16, np.int32)
 
 
 def features(text: bytes) -> Features:
-    return (word_buckets(text), *_pair_counts(text))
+    counts = np.zeros(65536, np.int64)
+    for p in _pairs(text):
+        counts += np.bincount(p, minlength=65536)
+    pairs = counts.nonzero()[0]
+    return tuple(a.astype(t) for a, t in zip((word_buckets(text), pairs, counts[pairs]), _PACKED))
+
+
+def _frequencies(counts: np.ndarray) -> np.ndarray:
+    """Scaled relative frequencies of a text's byte pairs."""
+    return PAIR_SCALE * counts / max(counts.sum(), 1)
 
 
 def _associated_pairs(rows: list[Features], grades: np.ndarray, min_z: float) -> np.ndarray:
     """Byte pairs whose correlation with the grade is beyond ``min_z`` standard errors in the sample."""
     n, g = len(grades), grades - grades.mean()
     s1, s2, sg = np.zeros((3, 65536))
-    for (_, p, v), x in zip(rows, g):
+    for (_, p, c), x in zip(rows, g):
+        v = _frequencies(c)
         s1[p] += v
         s2[p] += v * v
         sg[p] += v * x
@@ -112,8 +117,8 @@ def _design(rows: list[Features], pairs: np.ndarray):
     idx, val, ptr = [], [], [0]
     for w, p, c in rows:
         used = pairs[p]
-        idx.append(np.concatenate([w, p[used] + WORD_BUCKETS]).astype(np.int32))
-        val.append(np.concatenate([np.ones(len(w)), c[used]]).astype(np.float32))
+        idx.append(np.concatenate([w, p[used].astype(np.int32) + WORD_BUCKETS]))
+        val.append(np.concatenate([np.ones(len(w)), _frequencies(c)[used]]).astype(np.float32))
         ptr.append(ptr[-1] + len(idx[-1]))
     return np.concatenate(idx), np.concatenate(val), np.array(ptr)
 
@@ -201,12 +206,12 @@ def graded_sample(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id"
     def make(batches):
         for b in batches:
             made = [features(t) for t in utf8(b.column("text"))]
-            lists = [pa.array([m[i] for m in made], pa.list_(t)) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("h", "id", "t", "grade")), *lists], names=[*names, "words", "pairs", "freqs"])
-    names = ["h", "id", "t", "grade"]
-    schema = plus(rows.drop("text").schema, "words array<long>, pairs array<long>, freqs array<double>")
-    found = rows.mapInArrow(make, schema).orderBy("h", "id", "t").limit(max_train).select("grade", "words", "pairs", "freqs").toArrow()
-    columns = [[v.values.to_numpy() for v in found.column(c)] for c in ("words", "pairs", "freqs")]
+            packed = [pa.array([m[i].tobytes() for m in made], pa.binary()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *packed], names=[*names, *parts])
+    names, parts = ["h", "id", "t", "grade"], ["words", "pairs", "counts"]
+    schema = plus(rows.drop("text").schema, ", ".join(f"{c} binary" for c in parts))
+    found = rows.mapInArrow(make, schema).orderBy("h", "id", "t").limit(max_train).select("grade", *parts).toArrow()
+    columns = [[np.frombuffer(v.as_buffer(), t) for v in found.column(c)] for c, t in zip(parts, _PACKED)]
     return list(zip(zip(*columns), found.column("grade").to_pylist()))
 
 
