@@ -114,13 +114,13 @@ def _associated_pairs(rows: list[Features], grades: np.ndarray, min_z: float) ->
 
 def _design(rows: list[Features], pairs: np.ndarray):
     """Rows of (feature, value) as flat arrays with row starts; the byte pairs in use come after the word buckets."""
-    idx, val, ptr = [], [], [0]
-    for w, p, c in rows:
-        used = pairs[p]
-        idx.append(np.concatenate([w, p[used].astype(np.int32) + WORD_BUCKETS]))
-        val.append(np.concatenate([np.ones(len(w)), _frequencies(c)[used]]).astype(np.float32))
-        ptr.append(ptr[-1] + len(idx[-1]))
-    return np.concatenate(idx), np.concatenate(val), np.array(ptr)
+    ptr = np.cumsum([0] + [len(w) + int(pairs[p].sum()) for w, p, _ in rows])
+    idx, val = np.empty(ptr[-1], np.int32), np.ones(ptr[-1], np.float32)
+    for (w, p, c), i, j in zip(rows, ptr, ptr[1:]):
+        used, mid = pairs[p], i + len(w)
+        idx[i:mid], idx[mid:j] = w, p[used].astype(np.int32) + WORD_BUCKETS
+        val[mid:j] = _frequencies(c)[used]
+    return idx, val, ptr
 
 
 def _blocks(n: int):
@@ -135,9 +135,12 @@ def _odds(idx: np.ndarray, row: np.ndarray, grades: np.ndarray, n_grades: int, d
     """
     low = grades < n_grades - 1
     base = min(max(low.mean(), 1e-3), 1 - 1e-3)
-    a = np.bincount(idx, weights=low[row], minlength=d)
-    b = np.bincount(idx, minlength=d) - a
-    out = (np.log((a + SMOOTHING * base) / (b + SMOOTHING * (1 - base))) - np.log(base / (1 - base))) ** 2 / 2
+    worse, better = np.zeros((2, d))
+    for b in _blocks(len(idx)):
+        n = np.bincount(idx[b], weights=low[row[b]], minlength=d)
+        worse += n
+        better += np.bincount(idx[b], minlength=d) - n
+    out = (np.log((worse + SMOOTHING * base) / (better + SMOOTHING * (1 - base))) - np.log(base / (1 - base))) ** 2 / 2
     out[WORD_BUCKETS:] = 1.0
     return out
 
@@ -154,13 +157,14 @@ def fit_features(rows: list[Features], grades: np.ndarray, n_grades: int, *, ste
     d, n = WORD_BUCKETS + 65536, len(rows)
     row = np.repeat(np.arange(n, dtype=np.int32), np.diff(ptr))
     scale = _odds(idx, row, grades, n_grades, d)
-    val *= scale[idx].astype(np.float32)
+    blocks = _blocks(len(idx))
+    for b in blocks:
+        val[b] *= scale[idx[b]].astype(np.float32)
     counts = np.bincount(grades, minlength=n_grades)[::-1].cumsum()[::-1][1:] / n
     base = -np.log((counts + 1e-3) / (1 - counts + 1e-3))
     gaps = np.maximum(np.diff(base), 0.1)
     theta = np.concatenate([np.zeros(d), base[:1], np.log(np.expm1(gaps))])  # gaps by softplus
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    blocks = _blocks(len(idx))
     for step in range(1, steps + 1):
         cut = theta[d] + np.concatenate([[0.0], np.cumsum(np.log1p(np.exp(theta[d + 1:])))])
         s = np.zeros(n)
