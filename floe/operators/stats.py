@@ -48,8 +48,23 @@ def valid_per_step(df: DataFrame, value: str, steps: DataFrame | None = None, ti
             .select(time, F.coalesce("n_valid", F.lit(0)).cast("long").alias("n_valid")))
 
 
-def valid_per_pixel(df: DataFrame, value: str, n_steps: Column | int, keys=("iy", "ix")) -> DataFrame:
-    """A3: per-pixel valid counts and the share of fully covered pixels."""
+def valid_per_pixel(df: DataFrame, value: str, n_steps: Column | int | None = None, keys=("iy", "ix"), time: str = "time") -> DataFrame:
+    """A3: per-pixel valid counts and the share of fully covered pixels.
+
+    Without ``n_steps`` the distinct times of ``df`` (nulls aside) are counted in the same pass: grouping sets give
+    the pixels and the steps, and a histogram of the counts, one entry per count, decides which pixels are full.
+    """
+    if n_steps is None:
+        sets = (df.groupingSets([[F.col(k) for k in keys], [F.col(time)]], *keys, time)
+                .agg(F.grouping(time).alias("_pixel"), F.count(value).alias("n")))
+        pixel = F.col("_pixel") == 1
+        hist = sets.groupBy("_pixel", "n").agg(F.count(F.lit(1)).alias("_c"), F.count(time).alias("_steps"))
+        whole = hist.agg(F.coalesce(F.sum(F.when(pixel, F.col("_c"))), F.lit(0).cast("long")).alias("n_pixels"),
+                         F.sum(F.when(~pixel, F.col("_steps"))).alias("_t"),
+                         F.min(F.when(pixel, F.col("n"))).alias("min_count"), F.max(F.when(pixel, F.col("n"))).alias("max_count"),
+                         F.collect_list(F.when(pixel, F.struct("n", "_c"))).alias("_h"))
+        full = F.aggregate("_h", F.lit(0).cast("long"), lambda acc, h: acc + F.when(h["n"] == F.col("_t"), h["_c"]).otherwise(0))
+        return whole.select("n_pixels", F.round(F.try_divide(full, "n_pixels"), 6).alias("share_full"), "min_count", "max_count")
     nT = F.lit(n_steps) if isinstance(n_steps, int) else n_steps
     per = df.groupBy(*keys).agg(F.count(value).alias("n"))
     return per.agg(F.count(F.lit(1)).alias("n_pixels"),

@@ -107,9 +107,7 @@ SELECT COUNT(*) AS n_pixels,
        ROUND(AVG(CASE WHEN n = (SELECT COUNT(DISTINCT time) FROM bb) THEN 1 ELSE 0 END), 6) AS share_full,
        MIN(n) AS min_count, MAX(n) AS max_count FROM per""")
 def a3_valid_per_pixel(spark, d):
-    bb = _bb(spark, d)
-    n_steps = bb.select("time").distinct().count()
-    return stats.valid_per_pixel(bb, "delta_h", int(n_steps))
+    return stats.valid_per_pixel(_bb(spark, d), "delta_h")
 
 
 @query("a4_temporal_moments", W("fx_icesat") + """

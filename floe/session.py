@@ -69,10 +69,28 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's own folder under the shared checkpoint folder."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext
+        app = spark.conf.get("spark.app.id", "session")
+    return f"{checkpoint_dir(spark).rstrip('/')}/floe-out/{app}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (for sinks in queries)."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/floe-out/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's scratch folder (for sinks in queries)."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this application wrote to its scratch folder; other applications' tables stay.
+
+    Frames that still read them (every result that ``materialize`` cut) are unusable afterwards, so it
+    is the caller's last step, when all results are written.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship_package(spark: SparkSession) -> None:

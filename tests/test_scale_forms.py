@@ -1,16 +1,19 @@
 """Forms of operators for large inputs: blocked weights, box overlaps by cells, chunk arrays in linear time, the Z-order layout."""
 
 import datetime as dt
+import os
 import random
 import time
+from collections import defaultdict
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from floe import session
 from floe.functions.grid import morton
 from floe.operators import regrid, stats
-from floe.session import scratch_path
+from floe.session import checkpoint_dir, materialize, remove_scratch, scratch_path
 from floe.sinks import writers
 from floe.sources import readers
 
@@ -177,3 +180,30 @@ def test_a_box_reads_a_bounded_share_of_the_row_groups(spark, tmp_path):
         touched = sum(g[0] for g in groups if g[1] < y + 64 and g[2] >= y and g[3] < x + 64 and g[4] >= x)
         assert touched <= n * n / 16
     assert spark.read.parquet(p).count() == n * n
+
+
+@pytest.mark.parametrize("holes", [True, False])
+def test_steps_are_counted_with_the_pixels(spark, holes):
+    rng = random.Random(5)
+    rows = [(i // 7, i % 7, dt.date(2000, 1, 1 + t) if t < 6 else None, None if (holes or i % 3) and rng.random() < 0.2 else 1.0)
+            for i in range(60) for t in range(7) if t < 6 or i % 10 == 0]
+    df = spark.createDataFrame(rows, "iy int, ix int, time date, v double")
+    n = defaultdict(int)
+    for y, x, _, v in rows:
+        n[y, x] += v is not None
+    got = stats.valid_per_pixel(df, "v").collect()
+    assert [tuple(r) for r in got] == [(60, round(sum(c == 6 for c in n.values()) / 60, 6), min(n.values()), max(n.values()))]
+    assert [tuple(r) for r in stats.valid_per_pixel(df, "v", 6).collect()] == [tuple(r) for r in got]
+    assert [tuple(r) for r in stats.valid_per_pixel(df.limit(0), "v").collect()] == [(0, None, None, None)]
+
+
+def test_scratch_goes_and_other_applications_keep_theirs(spark, monkeypatch):
+    root = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "floe-out")
+    assert f"/floe-out/{spark.sparkContext.applicationId}/" in scratch_path(spark, "t")
+    other = materialize(spark.range(5), "kept")
+    monkeypatch.setattr(session, "_scratch_root", lambda _: f"{root}/application-of-its-own")  # the other tests' tables are in this one's
+    mine = materialize(spark.range(10), "gone")
+    assert mine.count() == 10 and os.listdir(f"{root}/application-of-its-own")
+    remove_scratch(spark)
+    assert not os.path.exists(f"{root}/application-of-its-own") and other.count() == 5
+    remove_scratch(spark)  # nothing left to delete
