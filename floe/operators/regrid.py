@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -180,10 +181,15 @@ def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float
 
     The nearest point of the *lattice* is found inside the target's row (``nearest_cell``); if that cell
     has a source it is the nearest source, and one join by cell fetches it (broadcast, or salted beyond the
-    budget). Only targets whose nearest cell is a hole search again among the sources themselves
+    budget). Axes longer than ``MAX_AXES`` stay out of the plan: see ``_nearest_on_long_axes``.
+    Only targets whose nearest cell is a hole search again among the sources themselves
     (``nearest_by_windows``), as do all targets of a source table that isn't a lattice: coordinates that
     don't follow the axes or axes that don't go round the globe, cells held twice, or ids that don't ascend along them.
     """
+    if n_lat + n_lon > MAX_AXES:
+        placed = lattice_placement(src, lat0, dlat, lon0, dlon, n_lat, n_lon)
+        if placed is not None:
+            return _nearest_on_long_axes(src, targets, placed, lat0, dlat, lon0, dlon, n_lat, n_lon, value, seed_radius)
     axes = lattice_axes(src, lat0, dlat, lon0, dlon, n_lat, n_lon)
     if axes is None:
         return nearest_by_windows(src, targets, lat0, dlat, lon0, dlon, n_lat, n_lon, value, seed_radius)
@@ -197,6 +203,32 @@ def nearest_regular(src: DataFrame, targets: DataFrame, lat0: float, dlat: float
     return hit.unionByName(nearest_by_windows(src, holes, lat0, dlat, lon0, dlon, n_lat, n_lon, value, seed_radius))
 
 
+@dataclass(frozen=True)
+class Placement:
+    """How far (degrees) the sources of a lattice lie from its axes, and whether every cell has a source."""
+    off_lat: float
+    off_lon: float
+    full: bool
+
+
+def lattice_placement(src: DataFrame, lat0: float, dlat: float, lon0: float, dlon: float, n_lat: int, n_lon: int) -> Placement | None:
+    """The placement of a source table on axes of any length, or None if it is no lattice. One row goes to the driver."""
+    if abs(n_lon * abs(dlon) - 360) > 1e-6:
+        return None
+    off = F.col("src_id") - (F.col("si").cast("long") * n_lon + F.col("sj"))
+    apart = [F.abs(F.col(degrees) - (F.lit(first) + F.col(axis) * F.lit(step)))
+             for axis, degrees, first, step in (("si", "lat", lat0, dlat), ("sj", "lon", lon0, dlon))]
+    c = src.select("si", "sj", off.alias("off"), apart[0].alias("lat"), apart[1].alias("lon")).groupBy("si", "sj").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.col("lat") + F.col("lon")).alias("known"), F.min("off").alias("off"), F.max("lat").alias("lat"), F.max("lon").alias("lon")).agg(
+        F.count(F.lit(1)).alias("cells"), F.max("n").alias("n"), F.min("known").alias("known"), F.min("off").alias("lo"), F.max("off").alias("hi"),
+        F.min("si").alias("si0"), F.max("si").alias("si1"), F.min("sj").alias("sj0"), F.max("sj").alias("sj1"), F.max("lat").alias("lat"), F.max("lon").alias("lon")).first()
+    if not c.cells or c.n > 1 or not c.known or c.lo != c.hi or min(c.si0, c.sj0) < 0 or c.si1 >= n_lat or c.sj1 >= n_lon:
+        return None
+    if not (c.lat < abs(dlat) * 1e-6 and c.lon < abs(dlon) * 1e-6):
+        return None
+    return Placement(c.lat, c.lon, full=c.cells == n_lat * n_lon)
+
+
 @dataclass(frozen=True)
 class Axes:
     """Sines and cosines along the axes of a lattice, as Spark computes them, and whether every cell has a source."""
@@ -255,12 +287,18 @@ def nearest_cell(targets: DataFrame, axes: Axes, lat0: float, dlat: float, lon0:
     at a pole, where longitude says nothing, looks at all columns. The axes are the only data in the plan.
     """
     cos_lat, sin_lat, cos_lon, sin_lon = (F.lit(np.array(v, np.float64)) for v in (axes.cos_lat, axes.sin_lat, axes.cos_lon, axes.sin_lon))
-    t = targets.select("dst_id", "lat", "lon", *[c.alias(n) for c, n in zip(unit_vector("lat", "lon"), ("_x", "_y", "_z"))])
-    tv = (F.col("_x"), F.col("_y"), F.col("_z"))
 
-    def distance(i, j):
+    def point(i, j):
         cl = F.get(cos_lat, i)
-        return _chord2(tv, (cl * F.get(cos_lon, j), cl * F.get(sin_lon, j), F.get(sin_lat, i)))
+        return cl * F.get(cos_lon, j), cl * F.get(sin_lon, j), F.get(sin_lat, i)
+    t = _with_candidates(targets, point, lat0, dlat, lon0, dlon, n_lat, n_lon)
+    return t.withColumn("_best", F.array_min("_near")).select("dst_id", "lat", "lon", "_best.si", "_best.sj")
+
+
+def _with_candidates(targets: DataFrame, point, lat0: float, dlat: float, lon0: float, dlon: float, n_lat: int, n_lon: int) -> DataFrame:
+    """``targets`` with ``_near``: the lattice points that may be the nearest, as structs ``(d, si, sj)``; ``point(i, j)`` is a unit vector."""
+    t = targets.select("dst_id", "lat", "lon", *[c.alias(n) for c, n in zip(unit_vector("lat", "lon"), ("_x", "_y", "_z"))])
+    tv = (F.col("_x"), F.col("_y"), F.col("_z"))
     j0 = F.rint((F.col("lon") - F.lit(lon0)) / F.lit(dlon)).cast("int")
     near = F.array(*[F.pmod(j0 + k, F.lit(n_lon)) for k in (-1, 0, 1)])
     columns = F.when(F.abs(F.col("lat")) > 90 - _AT_POLE_DEG, F.sequence(F.lit(0), F.lit(n_lon - 1))).otherwise(near)
@@ -271,9 +309,47 @@ def nearest_cell(targets: DataFrame, axes: Axes, lat0: float, dlat: float, lon0:
         top = F.degrees(F.atan2(F.sin(phi), F.cos(phi) * F.cos(lam - F.radians(F.lit(lon0) + j * F.lit(dlon)))))
         i = F.rint((top - F.lit(lat0)) / F.lit(dlat)).cast("int")
         rows = F.array(*[F.least(F.greatest(i + k, F.lit(0)), F.lit(n_lat - 1)) for k in (-1, 0, 1)])
-        return F.transform(rows, lambda i: F.struct(distance(i, j).alias("d"), i.alias("si"), j.alias("sj")))
-    best = F.array_min(F.flatten(F.transform("_columns", cells)))
-    return t.withColumn("_best", best).select("dst_id", "lat", "lon", "_best.si", "_best.sj")
+        return F.transform(rows, lambda i: F.struct(_chord2(tv, point(i, j)).alias("d"), i.alias("si"), j.alias("sj")))
+    return t.withColumn("_near", F.flatten(F.transform("_columns", cells)))
+
+
+def _nearest_on_long_axes(src: DataFrame, targets: DataFrame, placed: Placement, lat0: float, dlat: float, lon0: float, dlon: float,
+                          n_lat: int, n_lon: int, value: str, seed_radius: int) -> DataFrame:
+    """J11 on a lattice whose axes are too long for a plan: the axes are computed in the row, ties are settled by the sources.
+
+    The points of the ideal axes differ from the sources by the measured placement. So a target keeps every candidate whose
+    distance is the least one's within that error: nearly always one, which is fetched by its cell. The rows of
+    the others are compared by the sources' own coordinates, as a plain search would. A target with a hole among its
+    candidates searches again among the sources.
+    """
+    def point(i, j):
+        lat, lon = F.radians(F.lit(lat0) + i * F.lit(dlat)), F.radians(F.lit(lon0) + j * F.lit(dlon))
+        return F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)
+    slack = 2 * math.radians(placed.off_lat + placed.off_lon) + 1e-12  # both ends move; the rest is rounding
+    dealt = targets.repartition("dst_id")  # a small file of many targets would be one task
+    t = _with_candidates(dealt, point, lat0, dlat, lon0, dlon, n_lat, n_lon).withColumn("_d", F.array_min("_near")["d"])
+    close = F.filter("_near", lambda c: F.sqrt(c["d"]) <= F.sqrt("_d") + F.lit(slack))
+    close = F.array_distinct(F.transform(close, lambda c: F.struct(c["si"].alias("si"), c["sj"].alias("sj"))))
+    near = materialize(t.select("dst_id", "lat", "lon", close.alias("_cells")), "nearest-cells")
+    held = src.select("si", "sj", "src_id", value, *[c.alias(n) for c, n in zip(unit_vector("lat", "lon"), ("_sx", "_sy", "_sz"))])
+
+    one = near.where(F.size("_cells") <= 1).select("dst_id", "lat", "lon", F.get("_cells", F.lit(0)).alias("_c")).select("dst_id", "lat", "lon", "_c.*")
+    one = sized_join(one, held.select("si", "sj", "src_id", value), ["si", "sj"], "left", salt_by=["dst_id"]).select("dst_id", "lat", "lon", "src_id", value)
+    # equal targets are compared once and repeated at the end
+    many = near.where(F.size("_cells") > 1).groupBy("dst_id", "lat", "lon", "_cells").agg(F.count(F.lit(1)).alias("_copies"))
+    many = many.select("dst_id", "lat", "lon", "_copies", F.explode("_cells").alias("_c"), *[c.alias(n) for c, n in zip(unit_vector("lat", "lon"), ("_x", "_y", "_z"))])
+    many = sized_join(many.select("*", "_c.*").drop("_c"), held, ["si", "sj"], "left", salt_by=["dst_id"])
+    d = _chord2((F.col("_x"), F.col("_y"), F.col("_z")), (F.col("_sx"), F.col("_sy"), F.col("_sz")))
+    best = F.min_by(F.struct("src_id", value), F.struct(d.alias("d"), F.col("src_id")))
+    many = many.groupBy("dst_id", "lat", "lon", "_copies").agg(F.when(F.count("src_id") == F.count(F.lit(1)), best).alias("_b"))
+    many = many.select("dst_id", "lat", "lon", F.explode(F.array_repeat("_b", F.col("_copies").cast("int"))).alias("_b"))
+    found = one.unionByName(many.select("dst_id", "lat", "lon", "_b.*"))
+    if placed.full:
+        return found.select("dst_id", "src_id", value)
+    found = materialize(found, "nearest")
+    hit = found.where(F.col("src_id").isNotNull()).select("dst_id", "src_id", value)
+    holes = found.where(F.col("src_id").isNull()).select("dst_id", "lat", "lon")
+    return hit.unionByName(nearest_by_windows(src, holes, lat0, dlat, lon0, dlon, n_lat, n_lon, value, seed_radius))
 
 
 def nearest_by_windows(src: DataFrame, targets: DataFrame, lat0: float, dlat: float, lon0: float, dlon: float,

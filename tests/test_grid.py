@@ -69,6 +69,27 @@ def test_nearest_equals_brute_force_with_holes(spark, kept, ids):
         assert got[k] == src[best][0]
 
 
+@pytest.mark.parametrize("kept", [1.0, 0.95])
+def test_nearest_on_axes_too_long_for_a_plan(spark, monkeypatch, kept):
+    """Long axes give the rows of the short ones, ties, pole, holes, repeated and null targets included, and no search by windows on a whole lattice."""
+    n_lat, n_lon, lat0, dlat, lon0, dlon = 40, 20, -89.5, 1.0, -171.0, 18.0
+    rng = np.random.default_rng(9)
+    src = [(i * n_lon + j, i, j, lat0 + i * dlat, lon0 + j * dlon, float(i)) for i in range(n_lat) for j in range(n_lon) if rng.uniform() <= kept]
+    tgt = [(k, float(rng.uniform(-90, -52)), float(rng.uniform(-180, 180))) for k in range(120)]
+    tgt += [(200 + k, la, lo) for k, (la, lo) in enumerate((la, lo) for la in (-90.0, -89.0, -70.0) for lo in (-180.0, 180.0, -162.0, 0.0, 171.0))]
+    tgt += [(7, -90.0, 0.0), (7, -90.0, 0.0), (None, -60.2, 3.0)] + ([(8, None, None)] if kept == 1.0 else [])
+    s = spark.createDataFrame(src, "src_id int, si int, sj int, lat double, lon double, v double")
+    t = spark.createDataFrame(tgt, "dst_id int, lat double, lon double")
+
+    def rows():
+        return sorted(map(tuple, regrid.nearest_regular(s, t, lat0, dlat, lon0, dlon, n_lat, n_lon).collect()), key=str)
+    want = rows()
+    monkeypatch.setattr(regrid, "MAX_AXES", 10)
+    if kept == 1.0:
+        monkeypatch.setattr(regrid, "nearest_by_windows", lambda *a, **k: pytest.fail("a whole lattice needs no windows"))
+    assert rows() == want and len(want) == len(tgt)
+
+
 def test_nearest_cell_needs_no_shuffle(spark):
     src = spark.range(240).select(F.col("id").cast("int").alias("src_id"), (F.col("id") / 20).cast("int").alias("si"), (F.col("id") % 20).cast("int").alias("sj"))
     src = src.select("*", (F.lit(-89.0) + F.col("si") * 2.0).alias("lat"), (F.lit(-171.0) + F.col("sj") * 18.0).alias("lon"), F.lit(1.0).alias("v"))
