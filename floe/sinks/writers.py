@@ -8,12 +8,14 @@ files without any driver loop.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floe.functions.grid import morton, tile_of
+from floe.session import materialize
 
 
 def _writer(df: DataFrame, mode: str, compression: str = "zstd", partition_by=None, dynamic: bool = False):
@@ -71,13 +73,26 @@ def append_steps(df: DataFrame, path: str, step_col: str = "time") -> None:
     _writer(spread_steps(df, [step_col]), "append", partition_by=[step_col]).parquet(path)
 
 
-def overwrite_regions(df: DataFrame, path: str, keys=("time",)) -> None:
-    """K4: replace only the partitions present in ``df`` (dynamic partition overwrite).
+def overwrite_regions(df: DataFrame, path: str, keys=("time",), folders=None) -> None:
+    """K4: replace only the regions present in ``df``, each named by its values of ``keys`` (dynamic partition overwrite).
 
     Idempotent: re-running a step (e.g. a replayed batch) rewrites the same
-    partitions and leaves all others untouched.
+    regions and leaves all others untouched.
+
+    A region is a folder, unless ``folders`` names other columns that group regions: small regions then share a folder, so
+    that folders and files don't multiply with the tiles. Only the folders that hold a region of ``df`` are written
+    again; their other regions' rows are kept.
     """
-    _writer(spread_steps(df, list(keys)), "overwrite", partition_by=list(keys), dynamic=True).parquet(path)
+    place = list(folders or keys)
+    if folders and is_complete(df.sparkSession, path):
+        stored = df.sparkSession.read.schema(df.schema).parquet(path)
+        new = materialize(df, "k4-new")
+        touched = reduce(lambda a, b: a & b, [F.col(f"s.{c}").eqNullSafe(F.col(f"f.{c}")) for c in place])
+        replaced = reduce(lambda a, b: a & b, [F.col(f"s.{c}").eqNullSafe(F.col(f"r.{c}")) for c in dict.fromkeys([*place, *keys])])
+        held = stored.alias("s").join(new.select(*place).distinct().alias("f"), touched, "left_semi")
+        kept = held.alias("s").join(new.select(*dict.fromkeys([*place, *keys])).distinct().alias("r"), replaced, "left_anti")
+        df = new.unionByName(materialize(kept.select(*new.columns), "k4-kept"))
+    _writer(spread_steps(df, list(dict.fromkeys([*place, *keys]))), "overwrite", partition_by=place, dynamic=True).parquet(path)
 
 
 def is_complete(spark, path: str) -> bool:
