@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from floe.operators.joins import spread
+
 CELL_TIME = ["iy", "ix", "time"]
 
 
@@ -27,13 +29,13 @@ def mosaic(tiles: DataFrame, sigma: str, keys=CELL_TIME, order: str = "tile_orde
     missing). Hence: ties go to the earlier tile; a key with no valid sigma
     keeps the first tile's values; other tiles without sigma never win.
 
-    ``groupBy + min_by`` aggregates partially on the map side; each key has at
-    most one row per tile, so there is no skew to handle.
+    Each key has at most one row per tile, so there is no skew to handle and nothing to gain
+    from combining on the map side: rows are dealt to as many tasks as the input needs, then grouped.
     """
     vals = values or [c for c in tiles.columns if c not in list(keys) + [order]]
     cand = tiles.where(F.col(sigma).isNotNull() | (F.col(order) == first_tile))
     rank = F.struct(F.coalesce(F.col(sigma), F.lit(float("inf"))).alias("s"), F.col(order).alias("o"))
-    picked = cand.groupBy(*keys).agg(F.min_by(F.struct(*vals, order), rank).alias("_m"))
+    picked = spread(cand, *keys).groupBy(*keys).agg(F.min_by(F.struct(*vals, order), rank).alias("_m"))
     return picked.select(*keys, *[F.col(f"_m.{c}").alias(c) for c in vals + [order]])
 
 

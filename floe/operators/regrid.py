@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from floe.functions.grid import dense_run
 from floe.functions.proj import unit_vector
-from floe.operators.joins import DEFAULT_SALT_BUCKETS, salted_sides, sized_join
+from floe.operators.joins import DEFAULT_SALT_BUCKETS, salted_sides, sized_join, spread
 from floe.session import materialize
 
 _CORNERS = [(0, 0), (0, 1), (1, 0), (1, 1)]  # (dy, dx)
@@ -34,7 +34,7 @@ def corner_cells(nodes: DataFrame, value: str = "v", node_keys=("cy", "cx"), by=
     e = e.select(*by, (F.col("_cy") - F.col("o.dy")).alias("sy"), (F.col("_cx") - F.col("o.dx")).alias("sx"),
                  (F.col("o.dy") * 2 + F.col("o.dx")).alias("corner"), "_v")
     aggs = [F.max(F.when(F.col("corner") == dy * 2 + dx, F.col("_v"))).alias(f"v{dy}{dx}") for dy, dx in _CORNERS]
-    return e.groupBy(*by, "sy", "sx").agg(*aggs, F.count("_v").alias("n_valid"),
+    return spread(e, *by, "sy", "sx", grow=len(_CORNERS)).groupBy(*by, "sy", "sx").agg(*aggs, F.count("_v").alias("n_valid"),
                                           F.bool_or(F.col("corner") == 0).alias("has00"))
 
 
@@ -98,6 +98,8 @@ def bilinear_weights(targets: DataFrame, dst: str, fy: str, fx: str, node_id) ->
 
 #: Consecutive source ids of one block of the sparse matrix product.
 SOURCE_BLOCK = 4096
+#: Steps that count for one in the number of tasks of a product for many steps.
+STEPS_OF_TASK = 16
 
 
 def apply_weights(src: DataFrame, weights: DataFrame, value: str = "v", by=(), block: int = SOURCE_BLOCK) -> DataFrame:
@@ -153,6 +155,7 @@ def _blocked_product(src: DataFrame, weights: DataFrame, value: str, by: list[st
               .select("_block", *by, "_first", dense_run("_es", F.col("_first"), span, F.lit(None).cast("double")).alias("_values")))
     salt = F.pmod(F.xxhash64("dst_id"), F.lit(DEFAULT_SALT_BUCKETS))
     w, arrays = salted_sides(w, arrays, ["_block"], salt, DEFAULT_SALT_BUCKETS)
+    w = spread(w, "_block", "_salt", grow=STEPS_OF_TASK)  # every weight becomes a product for each step
     v = F.get(F.col("_values"), F.col("_place") - F.col("_first"))
     products = w.join(arrays, ["_block", "_salt"]).select("dst_id", *by, "w", v.alias("_v"))
     sums = products.groupBy("dst_id", *by).agg(F.sum(F.col("w") * F.col("_v")).alias("_s"), F.count("_v").alias("_n"), F.count(F.lit(1)).alias("_n_w"))

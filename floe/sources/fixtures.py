@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floe.functions.timefn import quarter_start
+from floe.operators.joins import spread
 
 NX = 50
 
@@ -27,6 +28,13 @@ def _dec2(c):
     return F.col(c).cast("decimal(10,2)")
 
 
+def _by_part(li: DataFrame, *more: str):
+    """Line items by part and quarter (and ``more``); few share a group, so they are dealt to tasks before they are grouped."""
+    used = li.select("l_partkey", quarter_start("l_shipdate").alias("time"), "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    used = used.withColumn("tile_order", (F.col("l_linenumber") % 4).cast("int"))
+    return spread(used, "l_partkey", "time").groupBy("l_partkey", "time", *more)
+
+
 def _grid_keys(key: str):
     k = F.col(key)
     return (k % NX).cast("int").alias("ix"), F.floor(k / F.lit(NX)).cast("int").alias("iy")
@@ -55,8 +63,7 @@ def fx_static(spark, sf_dir) -> DataFrame:
 def fx_icesat(spark, sf_dir) -> DataFrame:
     """Altimetry (odd line numbers), unique per (iy, ix, time)."""
     li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") % 2 == 1)
-    t = quarter_start("l_shipdate")
-    return (li.groupBy(F.col("l_partkey"), t.alias("time"))
+    return (_by_part(li)
             .agg(F.sum(_dec2("l_discount") - _dec2("l_tax")).cast("double").alias("delta_h"),
                  F.min("l_tax").alias("delta_h_sigma"),
                  (F.min("l_quantity") * F.lit(5000.0)).alias("ice_area"))
@@ -66,8 +73,7 @@ def fx_icesat(spark, sf_dir) -> DataFrame:
 def fx_ocean(spark, sf_dir) -> DataFrame:
     """Ocean temperature/salinity (even line numbers), unique per (iy, ix, time)."""
     li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") % 2 == 0)
-    t = quarter_start("l_shipdate")
-    return (li.groupBy(F.col("l_partkey"), t.alias("time"))
+    return (_by_part(li)
             .agg((F.max("l_quantity") / F.lit(10.0) - F.lit(2.0)).alias("thetao"),
                  (F.lit(33.0) + F.max("l_discount") * F.lit(10.0)).alias("so"))
             .select(*_grid_keys("l_partkey"), "time", "thetao", "so"))
@@ -86,9 +92,7 @@ def fx_grace(spark, sf_dir) -> DataFrame:
 def fx_tiles(spark, sf_dir) -> DataFrame:
     """Four overlapping tiles with ties and missing sigma."""
     li = table(spark, sf_dir, "lineitem")
-    t = quarter_start("l_shipdate")
-    return (li.groupBy(F.col("l_partkey"), t.alias("time"),
-                       (F.col("l_linenumber") % 4).cast("int").alias("tile_order"))
+    return (_by_part(li, "tile_order")
             .agg(F.sum(_dec2("l_discount") - _dec2("l_tax")).cast("double").alias("delta_h"),
                  F.min("l_tax").alias("_s"))
             .select(*_grid_keys("l_partkey"), "time", "tile_order", "delta_h",

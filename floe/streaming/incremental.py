@@ -21,20 +21,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from floe.operators.joins import spread
 from floe.session import materialize
 from floe.sinks.writers import spread_steps
 
 VERSION = "_version"
 
 
-def newest(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The newest version of each key (one aggregate with map-side combine).
+#: Rows of a stream's batch that one task groups.
+BATCH_TASK_ROWS = 250_000
+
+
+def batch_tasks(batch: DataFrame) -> int:
+    """Tasks for a stream's batch, whose files its plan doesn't name: its rows are counted."""
+    return -(-batch.count() // BATCH_TASK_ROWS)
+
+
+def newest(rows: DataFrame, keys: list[str], tasks: int | None = None) -> DataFrame:
+    """The newest version of each key (one aggregate; ``tasks`` as in ``spread``).
 
     Rows of one file share a version; a key that a delivery holds twice keeps the row that is
     greatest in all columns, so replays agree.
     """
     values = F.struct(*[c for c in rows.columns if c not in keys])
-    return (rows.groupBy(*keys).agg(F.max_by(values, F.struct(F.col(VERSION).alias("v"), F.to_json(values).alias("j"))).alias("_new"))
+    return (spread(rows, *keys, tasks=tasks).groupBy(*keys).agg(F.max_by(values, F.struct(F.col(VERSION).alias("v"), F.to_json(values).alias("j"))).alias("_new"))
             .select(*keys, "_new.*").select(*rows.columns))
 
 
@@ -55,7 +65,7 @@ def load_new_steps(spark: SparkSession, source_dir: str, schema: T.StructType, t
 
     def merge_steps(batch: DataFrame, epoch_id: int) -> None:
         row_keys = [step_col, *keys]
-        rows = materialize(newest(batch, row_keys), "t1-batch")
+        rows = materialize(newest(batch, row_keys, batch_tasks(batch)), "t1-batch")
         fs_path = spark._jvm.org.apache.hadoop.fs.Path(target)
         if fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
             stored = spark.read.schema(rows.schema).parquet(target)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floe.sinks.writers import spread_steps
-from floe.streaming.incremental import VERSION, newest
+from floe.streaming.incremental import VERSION, batch_tasks, newest
 
 _LOAD = "load"
 _VERSION_TYPE = T.StructType([T.StructField("at", T.TimestampType()), T.StructField("file", T.StringType())])
@@ -132,7 +132,7 @@ def load_versioned(spark: SparkSession, source_dir: str, schema: T.StructType, t
             return
         load = f"{ids[0]}-{epoch:09d}"
         steps = dict(old["steps"])
-        for s in _write_load(newest(batch, [step_col, *keys]), target, load, step_col):
+        for s in _write_load(newest(batch, [step_col, *keys], batch_tasks(batch)), target, load, step_col):
             steps[s] = [*steps.get(s, []), load]
         _commit(spark, target, old, {**old["streams"], ids[0]: epoch}, steps)
         committed.append(load)
