@@ -510,7 +510,7 @@ def b11_merge_regrid_stored(spark, d):
     ref = fx.fx_static(spark, d).where(F.col("ix").between(5, 44)).select((F.col("ix") * 500.0).alias("x"), (F.col("iy") * -500.0).alias("y"))
     inside = select.bbox_subset(tiles, ref, 500.0).select(
         F.rint(F.col("y") / -500).cast("int").alias("iy"), F.rint(F.col("x") / 500).cast("int").alias("ix"), "time", "tile_order", "delta_h", "delta_h_sigma")
-    merged = mosaic.mosaic(inside, "delta_h_sigma")
+    merged = materialize(mosaic.mosaic(inside, "delta_h_sigma"), "b11-merged")  # read for the steps and for the values
     node = lambda cy, cx: cy.cast("long") * (1 << 20) + cx
     t = q_grid._targets_2x(fx.fx_coarse(spark, d)).withColumn("dst_id", node(F.col("iy"), F.col("ix")))
     weights = regrid.weights_table(spark, scratch_path(spark, "b11-weights"), lambda: regrid.bilinear_weights(t, "dst_id", "fy", "fx", node),
