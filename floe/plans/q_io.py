@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from floe.functions import thermo
 from floe.plans.registry import query
-from floe.session import scratch_path
+from floe.session import materialize, scratch_path
 from floe.sinks import writers
 from floe.sources import fixtures as fx
 from floe.sources import readers
@@ -64,24 +64,23 @@ def k3_create_then_append(spark, d):
     return readers.read_steps(spark, p, _ICESAT_SCHEMA)
 
 
-_TILED = T.StructType(_ICESAT_SCHEMA.fields + [T.StructField("tile_y", T.IntegerType()),
-                                                T.StructField("tile_x", T.IntegerType())])
+_FOLDERED = T.StructType(_ICESAT_SCHEMA.fields + [T.StructField(c, T.IntegerType()) for c in ("tile_y", "tile_x", "folder_y", "folder_x")])
 
 
 @query("k4_region_overwrite", W("fx_icesat") + """
 SELECT ix, iy, CASE WHEN time = (SELECT MIN(time) FROM fx_icesat) THEN delta_h * 2 ELSE delta_h END AS delta_h,
        delta_h_sigma, ice_area, time FROM fx_icesat""")
 def k4_region_overwrite(spark, d):
-    """K4: rewrite the regions (time step x tile) of one step in place; all other regions stay."""
+    """K4: rewrite the regions (time step x tile) of one step in place; all other regions stay. A folder holds 64 x 64 tiles of a step."""
     p = scratch_path(spark, "k4")
-    keys = ["time", "tile_y", "tile_x"]
-    a = writers.with_tiles(fx.fx_icesat(spark, d), tile=32)
-    writers.overwrite_regions(a, p, keys)
+    keys, folders = ["time", "tile_y", "tile_x"], ["time", "folder_y", "folder_x"]
+    a = materialize(writers.with_folders(writers.with_tiles(fx.fx_icesat(spark, d), tile=32)), "k4-in")
+    writers.overwrite_regions(a, p, keys, folders)
     first = a.agg(F.min("time")).first()[0]
     fixed = a.where(F.col("time") == F.lit(first)).withColumn("delta_h", F.col("delta_h") * 2)
-    writers.overwrite_regions(fixed, p, keys)
-    writers.overwrite_regions(fixed, p, keys)  # replay: idempotent
-    return readers.read_steps(spark, p, _TILED).drop("tile_y", "tile_x")
+    writers.overwrite_regions(fixed, p, keys, folders)
+    writers.overwrite_regions(fixed, p, keys, folders)  # replay: idempotent
+    return readers.read_steps(spark, p, _FOLDERED).drop("tile_y", "tile_x", "folder_y", "folder_x")
 
 
 @query("k5_skip_existing", W("fx_static") + "SELECT * FROM fx_static")

@@ -8,12 +8,14 @@ files without any driver loop.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floe.functions.grid import morton, tile_of
+from floe.session import materialize
 
 
 def _writer(df: DataFrame, mode: str, compression: str = "zstd", partition_by=None, dynamic: bool = False):
@@ -71,13 +73,53 @@ def append_steps(df: DataFrame, path: str, step_col: str = "time") -> None:
     _writer(spread_steps(df, [step_col]), "append", partition_by=[step_col]).parquet(path)
 
 
-def overwrite_regions(df: DataFrame, path: str, keys=("time",)) -> None:
-    """K4: replace only the partitions present in ``df`` (dynamic partition overwrite).
+def with_folders(df: DataFrame, tiles: int = 64) -> DataFrame:
+    """Keys of the square of ``tiles`` x ``tiles`` tiles that a tile lies in (folders of small tiles in the K4 layout)."""
+    return df.withColumns({"folder_y": tile_of("tile_y", tiles), "folder_x": tile_of("tile_x", tiles)})
+
+
+def overwrite_regions(df: DataFrame, path: str, keys=("time",), folders=None) -> None:
+    """K4: replace only the regions present in ``df``, each named by its values of ``keys`` (dynamic partition overwrite).
 
     Idempotent: re-running a step (e.g. a replayed batch) rewrites the same
-    partitions and leaves all others untouched.
+    regions and leaves all others untouched.
+
+    A region is a folder, unless ``folders`` names the columns of a coarser grouping (the same for all writes to a path, one value for
+    a region): small regions then share a folder, so that folders and files don't multiply with them. The rows of other regions in the
+    folders of ``df`` are read and written again, those of other folders aren't.
     """
-    _writer(spread_steps(df, list(keys)), "overwrite", partition_by=list(keys), dynamic=True).parquet(path)
+    keys, place = list(keys), list(folders or keys)
+    order = list(dict.fromkeys([*place, *keys]))
+    if folders and _exists(df.sparkSession, path):
+        df = materialize(df, "regions-new")
+        df = df.unionByName(materialize(_other_regions(df, path, order, place), "regions-kept"))
+    _writer(spread_steps(df, order), "overwrite", partition_by=place, dynamic=True).parquet(path)
+
+
+def _other_regions(new: DataFrame, path: str, order: list[str], place: list[str]) -> DataFrame:
+    """Stored rows in the folders that ``new`` has rows for, without those of its regions (``order``: their folder and key columns)."""
+    def value(c: str):
+        # in a folder's name an empty string is a null
+        return F.when(F.col(c) != "", F.col(c)) if c in place and isinstance(new.schema[c].dataType, T.StringType) else F.col(c)
+
+    def same(columns):
+        return reduce(lambda a, b: a & b, [value(c).eqNullSafe(F.col(f"_region_{c}")) for c in columns])
+    regions = new.select(*[value(c).alias(f"_region_{c}") for c in order]).distinct()
+    touched = regions.select(*[f"_region_{c}" for c in place]).distinct()
+    stored = new.sparkSession.read.schema(new.schema).parquet(path).select(*new.columns)
+    ranged = [c for c in place if isinstance(new.schema[c].dataType, (T.DateType, T.IntegralType))]
+    if ranged:  # folders beyond the bounds aren't read
+        bounds = touched.agg(*[f(f"_region_{c}") for c in ranged for f in (F.min, F.max)],
+                             *[F.count_if(F.col(f"_region_{c}").isNull()) for c in ranged]).first()
+        for i, c in enumerate(ranged):
+            within = F.col(c).between(F.lit(bounds[2 * i]).cast(new.schema[c].dataType), F.lit(bounds[2 * i + 1]).cast(new.schema[c].dataType))
+            stored = stored.where(within | F.col(c).isNull() if bounds[2 * len(ranged) + i] else within)
+    return stored.join(touched, same(place), "left_semi").join(regions, same(order), "left_anti")
+
+
+def _exists(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def is_complete(spark, path: str) -> bool:
